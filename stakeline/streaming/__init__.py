@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+Old months are revised by the source and one revised field moves the coverage
+status of every owner of that month, so each build recomputes from the full
+history and replaces its output (see ``sources.sinks.publish``).
+"""
