@@ -49,18 +49,15 @@ def month_facts(stakes: DataFrame, first: Column, last: Column) -> DataFrame:
     start = F.col("start_date")
     begins = X.month_floor(start)
     inside = (begins >= first) & (begins <= last) & (F.dayofmonth(start) > 1)
-    active = F.transform(
-        F.coalesce(active_months(start, F.col("end_date"), first, last), F.array().cast("array<date>")),
-        lambda m: F.struct(m.alias("month_start"), F.lit(True).alias("active")),
-    )
-    marker = F.when(
-        inside, F.array(F.struct(begins.alias("month_start"), F.lit(False).alias("active")))
-    ).otherwise(F.array().cast("array<struct<month_start:date,active:boolean>>"))
+    none = F.array().cast("array<date>")
+    active = F.coalesce(active_months(start, F.col("end_date"), first, last), none)
+    marker = F.when(inside, F.array(begins)).otherwise(none)
+    flags = F.concat(F.array_repeat(F.lit(True), F.size(active)), F.array_repeat(F.lit(False), F.size(marker)))
     laid = stakes.select(
         F.col("field_name").alias("equity_field"),
         "company_name",
         F.col("interest_pct").cast(PERCENT).alias("pct"),
-        F.explode(F.concat(active, marker)).alias("m"),
+        F.explode(F.arrays_zip(F.concat(active, marker).alias("month_start"), flags.alias("active"))).alias("m"),
     ).select("equity_field", "company_name", "pct", "m.month_start", "m.active")
     by_company = laid.groupBy("equity_field", "month_start", "company_name").agg(
         F.count_if("active").alias("rows"),
@@ -262,3 +259,29 @@ def company_history_summary(attributed: DataFrame, hits: DataFrame) -> DataFrame
 def latest_value_rounding(rows: DataFrame, names: tuple[str, ...] = EQUITY_STREAMS) -> DataFrame:
     return rows.select(*[c for c in rows.columns if c not in names],
                        *[F.round(F.col(n), 3).cast(PUBLISHED).alias(n) for n in names])
+
+
+def join_active(months: DataFrame, stakes: DataFrame, first: Column, last: Column) -> DataFrame:
+    """Left outer: every field-month with its 0..n active intervals."""
+    laid = lay_out(stakes, first, last).select(
+        F.col("field_name").alias("equity_field"), "month_start", "company_name", "interest_pct", "start_date", "end_date"
+    )
+    return months.join(laid, ["equity_field", "month_start"], "left")
+
+
+def field_documents_summary(published: DataFrame, stakes: DataFrame) -> DataFrame:
+    """Head of each matched field's ownership document."""
+    heads = published.where(F.col("method").isNotNull()).groupBy("field", "equity_field", "method").agg(
+        F.count("*").alias("months"), F.count_if(F.col("category") != "resolved").alias("excluded_months")
+    )
+    sizes = stakes.groupBy(F.col("field_name").alias("equity_field")).agg(F.count("*").alias("interval_rows"))
+    return heads.join(sizes, "equity_field", "left")
+
+
+def holders_of(companies: DataFrame, matches: DataFrame, stakes: DataFrame, field: str) -> DataFrame:
+    """Companies that appear in the field's recorded intervals, resolved or not."""
+    own = matches.where(F.col("field") == field).select("equity_field")
+    listed = stakes.join(own, stakes["field_name"] == own["equity_field"], "left_semi").select(
+        F.col("company_name").alias("company")
+    )
+    return companies.join(listed, "company", "left_semi")

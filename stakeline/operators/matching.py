@@ -147,3 +147,8 @@ def unmatched_impact(latest: DataFrame, matches: DataFrame) -> DataFrame:
         F.round("u", 3).alias("unmatched_total_mboed"),
         X.coverage_pct(F.col("u"), F.col("t")).alias("unmatched_production_pct"),
     )
+
+
+def field_volumes(history: DataFrame) -> DataFrame:
+    """Whole-history volumes per field."""
+    return history.groupBy("field").agg(*[F.sum(s).cast(TOTAL).alias(s) for s in EQUITY_STREAMS])

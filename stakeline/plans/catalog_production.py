@@ -247,7 +247,7 @@ def _(t: Domain):
 
 
 @entry("W7_partial_year", """
-select substr(period, 1, 4) as year, count(distinct period) months from hist
+select substr(period, 1, 4) as year, count(distinct period) as months from hist
 where substr(period, 1, 4) = (select max(substr(period, 1, 4)) from hist) group by 1 having max(substr(period, 5, 2)) < '12'""")
 def _(t: Domain):
     return P.partial_year(t.history)
