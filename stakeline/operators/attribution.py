@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import scalars as X
-from ..functions.volumes import DERIVED_STREAMS, EQUITY_STREAMS, TOTAL, round3
+from ..functions.volumes import DERIVED_STREAMS, EQUITY_STREAMS, SCF_PER_BOE, TOTAL, round3
 
 STREAMS = (*EQUITY_STREAMS, *DERIVED_STREAMS)
 
@@ -112,3 +112,23 @@ def owner_index(attributed: DataFrame, series: DataFrame, name: str = "company")
 def compact(series: DataFrame, name: str = "company") -> DataFrame:
     """The series without coverage figures."""
     return series.select(name, "period", "stream", "value", "status")
+
+
+def equity_metadata(published: DataFrame, stakes: DataFrame, matches: DataFrame, entities: DataFrame,
+                    publication_start: str) -> DataFrame:
+    """What an ownership build records about itself, as one row."""
+    spans = published.agg(F.min("period").alias("earliest_period"), F.max("period").alias("latest_period"))
+    matched = matches.agg(
+        F.count("method").alias("matched_field_count"),
+        F.count_if(F.col("method").isNull()).alias("unmatched_field_count"),
+    )
+    return spans.select(
+        "*",
+        stakes.agg(F.count("*")).scalar().alias("interval_count"),
+        *[matched.select(c).scalar().alias(c) for c in matched.columns],
+        entities.agg(F.count("*")).scalar().alias("legal_entity_count"),
+        F.lit(publication_start).alias("publication_start"),
+        F.lit(X.PUBLISH_COVERAGE).alias("minimum_coverage_pct"),
+        F.lit(X.WARN_COVERAGE).alias("warning_coverage_pct"),
+        F.lit(SCF_PER_BOE).cast("bigint").alias("scf_per_boe"),
+    )

@@ -396,3 +396,8 @@ def panel_fallback(shapes: DataFrame, latest: DataFrame, attributes: DataFrame)
         F.coalesce("o1", "o2").alias("operator"), F.coalesce("r1", "r2").alias("region"), "location",
         F.when(F.col("in_latest"), "latest").when(F.col("in_history"), "history").otherwise("slug").alias("source"),
     )
+
+
+def compact_fields(history: DataFrame) -> DataFrame:
+    """Field series for top-N views: the values already published, never recomputed."""
+    return history.select("field", X.slugify(F.col("field")).alias("slug"), "period", *DERIVED_STREAMS)
