@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import scalars as X
 from ..functions.volumes import DERIVED_STREAMS, EQUITY_STREAMS, SCF_PER_BOE, TOTAL, round3
+from .rows import one_row
 
 STREAMS = (*EQUITY_STREAMS, *DERIVED_STREAMS)
 
@@ -19,6 +20,13 @@ def per_month(frame: DataFrame) -> DataFrame:
     return F.broadcast(frame)
 
 
+def owner_facts(attributed: DataFrame) -> DataFrame:
+    """(company, field, period) sums, the grain every owner figure is built from."""
+    return attributed.groupBy("company", "field", "period").agg(
+        *[F.sum(s).cast(TOTAL).alias(s) for s in EQUITY_STREAMS]
+    )
+
+
 def owner_months(attributed: DataFrame, key: Column | str = "company", name: str = "company") -> DataFrame:
     """(owner, period) sums; ``key`` may be any expression over an attributed row."""
     owner = F.col(key) if isinstance(key, str) else key
@@ -27,7 +35,7 @@ def owner_months(attributed: DataFrame, key: Column | str = "company", name: str
     )
 
 
-def _derived_values(status_prefix: str = "") -> dict[str, Column]:
+def _derived_values() -> dict[str, Column]:
     liq = X.owner_value(F.col("liquids_status"), F.col("oil_mbd") + F.col("condensate_mbd"))
     gas = X.owner_value(
         F.col("gas_status"), (F.col("dry_gas_mmscfd") + F.col("assoc_gas_mmscfd")).cast(TOTAL) / 6
@@ -35,14 +43,13 @@ def _derived_values(status_prefix: str = "") -> dict[str, Column]:
     return {"liquids_mboed": liq, "natural_gas_mboed": gas, "total_mboed": liq + gas}
 
 
-def owner_series(owner_volumes: DataFrame, native_wide: DataFrame, derived: DataFrame,
-                 name: str = "company") -> DataFrame:
+def owner_series(owner_volumes: DataFrame, statuses: DataFrame, name: str = "company") -> DataFrame:
     """(owner, period, stream) -> value, status, coverage.
 
     Statuses belong to the month, not to the owner: an unavailable value is null
     for everybody, a component nobody produced is a known zero.
     """
-    joined = owner_volumes.join(per_month(native_wide), "period").join(per_month(derived), "period")
+    joined = owner_volumes.join(per_month(statuses), "period")
     values = _derived_values()
     native = [
         F.struct(
@@ -122,11 +129,10 @@ def equity_metadata(published: DataFrame, stakes: DataFrame, matches: DataFrame,
         F.count("method").alias("matched_field_count"),
         F.count_if(F.col("method").isNull()).alias("unmatched_field_count"),
     )
-    return spans.select(
+    sizes = stakes.agg(F.count("*").alias("interval_count"))
+    names = entities.agg(F.count("*").alias("legal_entity_count"))
+    return one_row(spans, matched, sizes, names).select(
         "*",
-        stakes.agg(F.count("*")).scalar().alias("interval_count"),
-        *[matched.select(c).scalar().alias(c) for c in matched.columns],
-        entities.agg(F.count("*")).scalar().alias("legal_entity_count"),
         F.lit(publication_start).alias("publication_start"),
         F.lit(X.PUBLISH_COVERAGE).alias("minimum_coverage_pct"),
         F.lit(X.WARN_COVERAGE).alias("warning_coverage_pct"),

@@ -7,6 +7,7 @@ from pyspark.sql.types import StructType
 
 from ..functions import scalars as X
 from ..functions.volumes import DERIVED_STREAMS, EQUITY_STREAMS, GAS_MMSCF_PER_MBOE, NATIVE_STREAMS, TOTAL
+from .rows import one_row
 
 # fixed values: allowed differences
 REPARTITION_TOLERANCE = 0.01
@@ -293,7 +294,7 @@ def build_metadata(prod: DataFrame, stakes: DataFrame | None = None) -> DataFram
         F.count("*").alias("history_field_count"),
         F.max("hi").alias("latest_period"),
     )
-    return meta if stakes is None else meta.withColumn("interval_count", stakes.agg(F.count("*")).scalar())
+    return meta if stakes is None else one_row(meta, stakes.agg(F.count("*").alias("interval_count")))
 
 
 # fixed values: check name, column, direction and allowed change in percent

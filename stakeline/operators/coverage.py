@@ -30,12 +30,23 @@ def by_category(resolved: DataFrame) -> DataFrame:
 
 
 def monthly(categories: DataFrame) -> DataFrame:
-    """(period, stream) -> total, resolved and coverage percent (null without volume)."""
+    """(period, stream) -> total, resolved, coverage percent and dominant excluded category.
+
+    Coverage is null without volume. Of the excluded categories the one with
+    most volume dominates, the smaller name on a tie.
+    """
+    resolved = F.col("category") == "resolved"
+    largest = F.min(F.when(~resolved, F.struct((-F.col("volume")).alias("v"), "category")))
     sums = categories.groupBy("period", "stream").agg(
         F.sum("volume").cast(TOTAL).alias("total"),
-        F.sum(F.when(F.col("category") == "resolved", F.col("volume")).otherwise(0)).cast(TOTAL).alias("resolved"),
+        F.sum(F.when(resolved, F.col("volume")).otherwise(0)).cast(TOTAL).alias("resolved"),
+        largest.alias("largest"),
+    )
+    return sums.select(
+        "period", "stream", "total", "resolved",
+        X.coverage_pct(F.col("resolved"), F.col("total")).alias("coverage_pct"),
+        F.col("largest.category").alias("dominant_category"),
     )
-    return sums.withColumn("coverage_pct", X.coverage_pct(F.col("resolved"), F.col("total")))
 
 
 def excluded(categories: DataFrame) -> DataFrame:
@@ -139,57 +150,40 @@ def stability_points(months: DataFrame, thresholds: tuple[float, ...] = STABILIT
     )
 
 
-def dominant_category(categories: DataFrame) -> DataFrame:
-    """(period, stream) -> the excluded category with most volume; ties go to the smaller name."""
-    sums = excluded(categories).groupBy("period", "stream", "category").agg(
-        F.sum("volume").cast(TOTAL).alias("volume")
-    )
-    top = sums.groupBy("period", "stream").agg(F.max("volume").alias("volume"))
-    return (
-        sums.join(top, ["period", "stream", "volume"])
-        .groupBy("period", "stream")
-        .agg(F.min("category").alias("dominant_category"))
-    )
-
-
-def breach_causes(months: DataFrame, categories: DataFrame, threshold: float) -> DataFrame:
+def breach_causes(months: DataFrame, threshold: float) -> DataFrame:
     """For the months under a threshold: how often each excluded category is the largest."""
-    low = months.where(F.col("coverage_pct") < threshold)
-    causes = low.join(dominant_category(categories), ["period", "stream"], "left")
-    return causes.groupBy("stream", F.coalesce("dominant_category", F.lit("unexplained")).alias("cause")).agg(
-        F.count("*").alias("months")
-    )
+    cause = F.coalesce("dominant_category", F.lit("unexplained")).alias("cause")
+    return months.where(F.col("coverage_pct") < threshold).groupBy("stream", cause).agg(F.count("*").alias("months"))
 
 
-def native_status(months: DataFrame, categories: DataFrame) -> DataFrame:
+def native_status(months: DataFrame) -> DataFrame:
     """(period, stream): status and coverage; the dominant excluded category where unavailable."""
-    status = X.stream_status(F.col("resolved"), F.col("total"))
-    rated = months.withColumn("status", status).join(
-        dominant_category(categories), ["period", "stream"], "left"
-    )
     low = F.col("coverage_pct") < X.PUBLISH_COVERAGE
-    return rated.select(
-        "period", "stream", "status", "coverage_pct",
+    return months.select(
+        "period", "stream",
+        X.stream_status(F.col("resolved"), F.col("total")).alias("status"), "coverage_pct",
         F.when(low, F.coalesce("dominant_category", F.lit("unknown"))).alias("dominant_category"),
     )
 
 
+def _component_sums() -> list[Column]:
+    def pair(column: str, streams: tuple[str, str], name: str) -> Column:
+        part = F.when(F.col("stream").isin(*streams), F.col(column)).otherwise(0)
+        return F.sum(part).cast(TOTAL).alias(name)
+
+    return [
+        pair("resolved", LIQUID_PAIR, "liquids_included"), pair("total", LIQUID_PAIR, "liquids_total"),
+        pair("resolved", GAS_PAIR, "gas_included"), pair("total", GAS_PAIR, "gas_total"),
+    ]
+
+
 def components(months: DataFrame) -> DataFrame:
     """Per month: included and total volume of liquids and gas, summed and never averaged."""
-    def pair(column: str, streams: tuple[str, str]) -> Column:
-        return F.sum(F.when(F.col("stream").isin(*streams), F.col(column)).otherwise(0)).cast(TOTAL)
-
-    return months.groupBy("period").agg(
-        pair("resolved", LIQUID_PAIR).alias("liquids_included"),
-        pair("total", LIQUID_PAIR).alias("liquids_total"),
-        pair("resolved", GAS_PAIR).alias("gas_included"),
-        pair("total", GAS_PAIR).alias("gas_total"),
-    )
+    return months.groupBy("period").agg(*_component_sums())
 
 
-def derived_status(months: DataFrame) -> DataFrame:
-    """One row per month: status and coverage of liquids, gas and their gated total."""
-    c = components(months).select(
+def _rated(component_sums: DataFrame, *carried: str) -> DataFrame:
+    c = component_sums.select(
         "*",
         X.component_status(F.col("liquids_included"), F.col("liquids_total")).alias("liquids_status"),
         X.coverage_pct(F.col("liquids_included"), F.col("liquids_total")).alias("liquids_pct"),
@@ -201,13 +195,21 @@ def derived_status(months: DataFrame) -> DataFrame:
     return c.select(
         "period", "liquids_status", "liquids_pct", "gas_status", "gas_pct",
         X.total_gate(F.col("liquids_status"), F.col("gas_status")).alias("total_status"),
-        X.coverage_pct(included, total).alias("total_pct"),
+        X.coverage_pct(included, total).alias("total_pct"), *carried,
     )
 
 
-def stream_status_wide(native: DataFrame) -> DataFrame:
-    """The native statuses as one row per month."""
-    return native.groupBy("period").agg(*[
-        F.max(F.when(F.col("stream") == s, F.col(c))).alias(f"{s}_{c}")
-        for s in EQUITY_STREAMS for c in ("status", "coverage_pct")
-    ])
+def derived_status(months: DataFrame) -> DataFrame:
+    """One row per month: status and coverage of liquids, gas and their gated total."""
+    return _rated(components(months))
+
+
+def month_statuses(months: DataFrame) -> DataFrame:
+    """Native and derived statuses of a month in one row, from one grouping."""
+    status = X.stream_status(F.col("resolved"), F.col("total"))
+    native = {
+        f"{s}_{name}": F.max(F.when(F.col("stream") == s, value))
+        for s in EQUITY_STREAMS for name, value in (("status", status), ("coverage_pct", F.col("coverage_pct")))
+    }
+    grouped = months.groupBy("period").agg(*_component_sums(), *[c.alias(n) for n, c in native.items()])
+    return _rated(grouped, *native)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import scalars as X
-from ..functions.volumes import PERCENT
-from .intervals import active_months
+from .intervals import active_months, micro_percent, percent_of
+from .rows import one_row
 
 POLICIES = ("A", "B", "C")
 
@@ -94,7 +94,7 @@ def policy_grid(stakes: DataFrame, latest_month: str) -> DataFrame:
         "policy", F.explode(F.array(*[F.lit(p) for p in POLICIES]))
     )
     laid = stakes.select(
-        "field_name", "company_name", F.col("interest_pct").cast(PERCENT).alias("pct"),
+        "field_name", "company_name", micro_percent(F.col("interest_pct")).alias("pct"),
         F.coalesce(F.col("start_date") == F.col("end_date"), F.lit(False)).alias("is_zero_length"),
         F.explode(policy_bounds()).alias("p"),
     ).where("p.used").select(
@@ -105,7 +105,7 @@ def policy_grid(stakes: DataFrame, latest_month: str) -> DataFrame:
         F.count("*").alias("rows"), F.sum("pct").alias("pct"), F.count_if("is_zero_length").alias("zero_length")
     )
     facts = by_company.groupBy("policy", "field_name", "month_start").agg(
-        F.sum("rows").alias("active_rows"), F.sum("pct").cast("decimal(38,6)").alias("sum_pct"),
+        F.sum("rows").alias("active_rows"), percent_of(F.sum("pct")).alias("sum_pct"),
         (F.max("rows") > 1).alias("repeats"), (F.sum("zero_length") > 0).alias("zero_length_active"),
     )
     return grid.join(facts, ["policy", "field_name", "month_start"], "left")
@@ -244,11 +244,11 @@ def zero_interest_profile(stakes: DataFrame) -> DataFrame:
         F.count_if(flagged & is_open).alias("operator_open"),
         F.count_if(flagged & ~is_open).alias("operator_closed"),
     )
-    covered = covered_by_others(stakes).agg(F.count_if("covered_by_other"))
-    elsewhere = positive_elsewhere(stakes).agg(F.count("*"))
-    return counts.select(
-        "*", covered.scalar().alias("covered_by_other"), elsewhere.scalar().alias("positive_elsewhere")
-    ).withColumn("not_covered", F.col("operator_rows") - F.col("covered_by_other"))
+    covered = covered_by_others(stakes).agg(F.count_if("covered_by_other").alias("covered_by_other"))
+    elsewhere = positive_elsewhere(stakes).agg(F.count("*").alias("positive_elsewhere"))
+    return one_row(counts, covered, elsewhere).withColumn(
+        "not_covered", F.col("operator_rows") - F.col("covered_by_other")
+    )
 
 
 def future_dated(stakes: DataFrame, as_of: str) -> DataFrame:
@@ -287,14 +287,14 @@ def open_ended_by_field(stakes: DataFrame, as_of: str) -> DataFrame:
         F.count_if(is_open).alias("open_rows"),
         F.count_if(is_open & (F.col("interest_pct") > 0)).alias("open_positive"),
         F.count_if(current).alias("current_rows"),
-        F.sum(F.when(current, F.col("interest_pct").cast(PERCENT))).alias("current_pct"),
+        F.sum(F.when(current, micro_percent(F.col("interest_pct")))).alias("current_pct"),
     )
     return by_company.groupBy("field_name").agg(
         F.sum("open_rows").alias("open_rows"),
         F.sum("open_positive").alias("open_positive"),
         (F.max("open_rows") > 1).alias("company_repeats"),
         F.sum("current_rows").alias("current_rows"),
-        F.sum("current_pct").cast("decimal(38,6)").alias("current_pct"),
+        percent_of(F.sum("current_pct")).alias("current_pct"),
     )
 
 
@@ -322,16 +322,17 @@ def interval_schema_report(stakes: DataFrame) -> DataFrame:
         F.count_if(F.year("start_date") < X.SENTINEL_YEAR).alias("sentinel"),
         F.count_if(F.col("interest_pct") == 0).alias("zero"),
     )
-    fields = pairs.select("field_name").distinct().agg(F.count("*"))
-    companies = pairs.select("company_name").distinct().agg(F.count("*"))
-    return pairs.agg(
+    fields = pairs.select("field_name").distinct().agg(F.count("*").alias("field_count"))
+    companies = pairs.select("company_name").distinct().agg(F.count("*").alias("company_count"))
+    totals = pairs.agg(
         F.sum("n").alias("row_count"),
         F.date_format(F.min("s0"), "yyyy-MM-dd").alias("start_min"),
         F.date_format(F.max("s1"), "yyyy-MM-dd").alias("start_max"),
         F.date_format(F.min("e0"), "yyyy-MM-dd").alias("end_min"),
         F.date_format(F.max("e1"), "yyyy-MM-dd").alias("end_max"),
         F.sum("open").alias("open_rows"), F.sum("sentinel").alias("sentinel_rows"), F.sum("zero").alias("zero_rows"),
-    ).select("*", fields.scalar().alias("field_count"), companies.scalar().alias("company_count"))
+    )
+    return one_row(totals, fields, companies)
 
 
 def recency_order(stakes: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import scalars as X
 from ..functions.volumes import DERIVED_STREAMS, PUBLISHED, TOTAL
+from .rows import one_row
 
 UNRESOLVED = "Unresolved legal entities"
 
@@ -91,7 +92,7 @@ def pivot_streams(series: DataFrame, key: str = "grp") -> DataFrame:
     )
 
 
-def review_report(mapping: DataFrame, series: DataFrame, membership: DataFrame, latest_period: str | None = None) -> DataFrame:
+def review_report(mapping: DataFrame, series: DataFrame, membership: DataFrame) -> DataFrame:
     """Grouping figures as one row.
 
     Counts of entities by status, distinct groups, the share of the latest
@@ -99,19 +100,23 @@ def review_report(mapping: DataFrame, series: DataFrame, membership: DataFrame,
     groups with several members re-label.
     """
     total = series.where(F.col("stream") == "total_mboed")
-    period = F.lit(latest_period) if latest_period else total.select(F.max("period")).scalar()
     approved_groups = membership.join(
         mapping.where(F.col("status") == "approved").select("entity"), "entity", "left_semi"
     ).select("grp", F.lit(True).alias("has_approved")).distinct()
     value = F.coalesce("value", F.lit(0))
-    now = F.col("period") == period
     approved = F.coalesce("has_approved", F.lit(False))
-    shares = total.join(approved_groups, "grp", "left").agg(
-        F.sum(F.when(now, value)).cast(TOTAL).alias("latest"),
-        F.sum(F.when(now & approved, value)).cast(TOTAL).alias("latest_approved"),
-        F.sum(F.when(now & ~approved, value)).cast(TOTAL).alias("latest_rest"),
-        F.sum(value).cast(TOTAL).alias("ever"),
-        F.sum(F.when(F.col("members") > 1, value)).cast(TOTAL).alias("ever_merged"),
+    by_month = total.join(approved_groups, "grp", "left").groupBy("period").agg(
+        F.sum(value).cast(TOTAL).alias("all"),
+        F.sum(F.when(approved, value)).cast(TOTAL).alias("approved"),
+        F.sum(F.when(~approved, value)).cast(TOTAL).alias("rest"),
+        F.sum(F.when(F.col("members") > 1, value)).cast(TOTAL).alias("merged"),
+    )
+    newest = F.max(F.struct("period", "all", "approved", "rest"))
+    shares = by_month.agg(
+        newest.alias("newest"), F.sum("all").cast(TOTAL).alias("ever"), F.sum("merged").cast(TOTAL).alias("ever_merged")
+    ).select(
+        F.col("newest.all").alias("latest"), F.col("newest.approved").alias("latest_approved"),
+        F.col("newest.rest").alias("latest_rest"), "ever", "ever_merged",
     )
     groups = mapping.groupBy("display_group").agg(
         F.count_if(F.col("status") == "approved").alias("approved"),
@@ -133,14 +138,9 @@ def review_report(mapping: DataFrame, series: DataFrame, membership: DataFrame,
         F.count_if(F.col("status") == "excluded").alias("excluded_count"),
         F.count_if(F.col("evidence") == "conflict").alias("ambiguous_count"),
     )
-    # every frame here is a single row
-    return counts.select(
-        "*",
-        *[groups.select(c).scalar().alias(c) for c in groups.columns],
-        merged.scalar().alias("non_singleton_group_count"),
-        *[shares.select(expression).scalar().alias(name) for name, expression in {
-            "latest_approved_pct": X.coverage_pct(F.coalesce("latest_approved", zero), F.col("latest")),
-            "latest_unresolved_pct": X.coverage_pct(F.coalesce("latest_rest", zero), F.col("latest")),
-            "history_relabelled_pct": X.coverage_pct(F.coalesce("ever_merged", zero), F.col("ever")),
-        }.items()],
+    rates = shares.select(
+        X.coverage_pct(F.coalesce("latest_approved", zero), F.col("latest")).alias("latest_approved_pct"),
+        X.coverage_pct(F.coalesce("latest_rest", zero), F.col("latest")).alias("latest_unresolved_pct"),
+        X.coverage_pct(F.coalesce("ever_merged", zero), F.col("ever")).alias("history_relabelled_pct"),
     )
+    return one_row(counts, groups, merged, rates)

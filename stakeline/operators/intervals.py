@@ -11,11 +11,15 @@ production. Months outside the production window are never generated.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import scalars as X
 from ..functions.volumes import EQUITY_STREAMS, PERCENT, PUBLISHED, SHARE, TOTAL
 
+MICRO = Decimal("0.000001")
+
 # fixed values: every field-month is in exactly one of these
 CATEGORIES = (
     "resolved", "unmatched", "no_equity_history", "quarantined", "e1_sum_mismatch",
@@ -26,6 +30,15 @@ GAP_CATEGORIES = (
 )
 
 
+def micro_percent(pct: Column) -> Column:
+    """Percentages as millionths: integer sums are exact and cheap."""
+    return F.rint(pct * 1e6).cast("bigint")
+
+
+def percent_of(micro: Column) -> Column:
+    return (micro.cast("decimal(20,0)") * F.lit(MICRO)).cast("decimal(38,6)")
+
+
 def active_months(start: Column, end: Column, first: Column, last: Column) -> Column:
     """Array of the month starts inside [start, end), clipped to [first, last]; null when none."""
     starts_on_first = F.dayofmonth(start) == 1
@@ -37,7 +50,7 @@ def active_months(start: Column, end: Column, first: Column, last: Column) -> Co
 def lay_out(stakes: DataFrame, first: Column, last: Column) -> DataFrame:
     """One row per interval and active month."""
     months = active_months(F.col("start_date"), F.col("end_date"), first, last)
-    return stakes.withColumn("month_start", F.explode(months))
+    return stakes.withColumn("month_start", months).withColumn("month_start", F.explode("month_start"))
 
 
 def month_facts(stakes: DataFrame, first: Column, last: Column) -> DataFrame:
@@ -50,14 +63,17 @@ def month_facts(stakes: DataFrame, first: Column, last: Column) -> DataFrame:
     begins = X.month_floor(start)
     inside = (begins >= first) & (begins <= last) & (F.dayofmonth(start) > 1)
     none = F.array().cast("array<date>")
-    active = F.coalesce(active_months(start, F.col("end_date"), first, last), none)
-    marker = F.when(inside, F.array(begins)).otherwise(none)
-    flags = F.concat(F.array_repeat(F.lit(True), F.size(active)), F.array_repeat(F.lit(False), F.size(marker)))
-    laid = stakes.select(
+    dated = stakes.select(
         F.col("field_name").alias("equity_field"),
         "company_name",
-        F.col("interest_pct").cast(PERCENT).alias("pct"),
-        F.explode(F.arrays_zip(F.concat(active, marker).alias("month_start"), flags.alias("active"))).alias("m"),
+        micro_percent(F.col("interest_pct")).alias("pct"),
+        F.coalesce(active_months(start, F.col("end_date"), first, last), none).alias("held"),
+        F.when(inside, F.array(begins)).otherwise(none).alias("begun"),
+    )
+    flags = F.concat(F.array_repeat(F.lit(True), F.size("held")), F.array_repeat(F.lit(False), F.size("begun")))
+    laid = dated.select(
+        "equity_field", "company_name", "pct",
+        F.explode(F.arrays_zip(F.concat("held", "begun").alias("month_start"), flags.alias("active"))).alias("m"),
     ).select("equity_field", "company_name", "pct", "m.month_start", "m.active")
     by_company = laid.groupBy("equity_field", "month_start", "company_name").agg(
         F.count_if("active").alias("rows"),
@@ -66,7 +82,7 @@ def month_facts(stakes: DataFrame, first: Column, last: Column) -> DataFrame:
     )
     return by_company.groupBy("equity_field", "month_start").agg(
         F.sum("rows").alias("active_rows"),
-        F.sum("positive").cast("decimal(38,6)").alias("positive_sum"),
+        percent_of(F.sum("positive")).alias("positive_sum"),
         F.count_if(F.col("rows") > 1).alias("repeated_companies"),
         (F.sum("mid_starts") > 0).alias("mid_month_start"),
     )
@@ -83,8 +99,8 @@ def first_starts(stakes: DataFrame) -> DataFrame:
 def window_of(prod: DataFrame) -> tuple[Column, Column]:
     """First and last reported month, as scalar subqueries over the period column alone."""
     return (
-        X.month_start(prod.select(F.min("period")).scalar()),
-        X.month_start(prod.select(F.max("period")).scalar()),
+        prod.select(X.month_start(F.min("period"))).scalar(),
+        prod.select(X.month_start(F.max("period"))).scalar(),
     )
 
 
@@ -200,8 +216,6 @@ def gap_examples(resolved: DataFrame, names: int = 10) -> DataFrame:
     The filter on the row number lets Spark keep only that many rows per
     category in each task before the shuffle.
     """
-    from pyspark.sql import Window
-
     fields = resolved.where(F.col("category").isin(*GAP_CATEGORIES)).select("category", "field").distinct()
     w = Window.partitionBy("category").orderBy("field")
     return fields.withColumn("position", F.row_number().over(w)).where(F.col("position") <= names)

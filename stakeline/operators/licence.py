@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import scalars as X
+from .rows import one_row
 
 UNMAPPED = "Unmapped"
 
@@ -114,10 +115,10 @@ def episode_summary(entries: DataFrame) -> DataFrame:
     total = pairs.groupBy("licence_reference").agg(F.sum("n").alias("n")).agg(
         F.count(filled("licence_reference")).alias("distinct_licence_count"), F.sum("n").alias("episode_count")
     )
-    blocks = pairs.select(filled("block_reference").alias("b")).distinct().agg(F.count("b"))
-    return total.select(
-        "distinct_licence_count", blocks.scalar().alias("distinct_block_count"), "episode_count"
-    ).where(F.col("episode_count") > 0)
+    blocks = pairs.select(filled("block_reference").alias("b")).distinct().agg(
+        F.count("b").alias("distinct_block_count")
+    )
+    return one_row(total, blocks).where(F.col("episode_count") > 0)
 
 
 def episode_metadata(entries: DataFrame) -> DataFrame:

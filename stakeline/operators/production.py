@@ -19,6 +19,7 @@ from ..functions.volumes import (
     exact_sum,
     round3,
 )
+from .rows import one_row
 
 CURRENT = ("region", "location", "operator")
 FULL = tuple(f"{s}_full" for s in DERIVED_STREAMS)
@@ -262,13 +263,9 @@ def headline(country: DataFrame) -> DataFrame:
 
     ``country`` has one row per calendar month.
     """
-    newest = (
-        year_ago(country)
-        .orderBy(F.desc("period"))
-        .limit(1)
-        .withColumn("peak_year", peak_year(country).select("year").scalar())
-        .withColumn("peak_average", peak_year(country).select("average").scalar())
-    )
+    latest = year_ago(country).orderBy(F.desc("period")).limit(1)
+    peak = peak_year(country).select(F.col("year").alias("peak_year"), F.col("average").alias("peak_average"))
+    newest = one_row(latest, peak)
     total = F.nullif(F.col("total_mboed").cast("double"), F.lit(0.0))
     now, before = F.col("total_mboed").cast("double"), F.col("before_mboed").cast("double")
     return newest.select(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as X
 from ..functions.volumes import DERIVED_STREAMS, EQUITY_STREAMS
 from ..operators import attribution as A, coverage as C, groups as G, production as P
+from ..operators.rows import one_row
 from .catalog_production import d
 from .domain import CANDIDATE_STARTS, PUBLICATION_START, Domain
 from .reference_sql import DERIVED, FOUR, pct, slug
@@ -99,7 +100,7 @@ def _(t: Domain):
 select m.stream, coalesce(d.dominant_category, 'unexplained') cause, count(*) as months from mon_all m
 left join dom_all d on d.period = m.period and d.stream = m.stream where m.coverage_pct < 95 group by 1, 2""")
 def _(t: Domain):
-    return C.breach_causes(t.months_all, t.categories_all, 95.0)
+    return C.breach_causes(t.months_all, 95.0)
 
 
 @entry("T5_lowest_coverage_months", """
@@ -160,14 +161,14 @@ def _(t: Domain):
 
 @entry("A20_company_field_month", f"select company, field, period, {d(*DERIVED)}, liquids_status, gas_status, total_status from ofs")
 def _(t: Domain):
-    return plain(A.owner_field_series(t.attributed, t.derived_status))
+    return plain(A.owner_field_series(t.facts, t.derived_status))
 
 
 @entry("J16_zero_fill_grid", """
 select company, field, count(*) as months, count(case when total_mboed = 0 then 1 end) zero_months, count(case when total_mboed is null then 1 end) null_months
 from ofs group by company, field""")
 def _(t: Domain):
-    return A.owner_field_series(t.attributed, t.derived_status).groupBy("company", "field").agg(
+    return A.owner_field_series(t.facts, t.derived_status).groupBy("company", "field").agg(
         F.count("*").alias("months"), F.count_if(F.col("total_mboed") == 0).alias("zero_months"),
         F.count_if(F.col("total_mboed").isNull()).alias("null_months"))
 
@@ -180,7 +181,7 @@ select s.company, {slug('s.company')} slug, max(f.lo) first_period, max(f.hi) la
 from series s join (select company, min(period) lo, max(period) hi, count(distinct field) n from att group by company) f
  on f.company = s.company and f.hi = s.period group by s.company""")
 def _(t: Domain):
-    return plain(A.owner_index(t.attributed, t.series))
+    return plain(A.owner_index(t.facts, t.series))
 
 
 # --- groups ----------------------------------------------------------------------------
@@ -262,10 +263,9 @@ def _(t: Domain):
 @entry("A48_overview_metadata", f"""
 select r.*, (select min(period) from country) first_period, (select max(period) from country) last_period, '{PUBLICATION_START}' equity_first_period from ({REPORT}) r""")
 def _(t: Domain):
-    return plain(G.review_report(t.mapping, t.group_series, t.membership).select(
-        "*", t.country.select(F.min("period")).scalar().alias("first_period"),
-        t.country.select(F.max("period")).scalar().alias("last_period"),
-        F.lit(PUBLICATION_START).alias("equity_first_period")))
+    span = t.country.agg(F.min("period").alias("first_period"), F.max("period").alias("last_period"))
+    report = one_row(G.review_report(t.mapping, t.group_series, t.membership), span)
+    return plain(report.withColumn("equity_first_period", F.lit(PUBLICATION_START)))
 
 
 @entry("A59_equity_build_metadata", f"""

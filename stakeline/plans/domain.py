@@ -1,7 +1,10 @@
 """The engine's tables over one data set, as lazily built plans.
 
-Nothing is computed or cached here: every attribute is a DataFrame whose plan
-Catalyst prunes to what a query asks for.
+Every attribute is a DataFrame whose plan Catalyst prunes to what a query asks
+for. Two of them feed several branches of the same query and are marked to be
+kept after their first use: ``resolved`` (field-months) and ``facts`` (owner,
+field, month). Kept blocks spill to disk and are recomputed from their lineage
+when an executor is lost; ``release`` drops them.
 """
 
 from __future__ import annotations
@@ -26,6 +29,11 @@ class Domain:
         self.spark = spark
         self.sf_dir = sf_dir
 
+    def release(self) -> None:
+        for name in ("resolved", "facts"):
+            if name in self.__dict__:
+                self.__dict__.pop(name).unpersist()
+
     def raw(self, name: str) -> DataFrame:
         return adapters.table(self.spark, self.sf_dir, name)
 
@@ -114,7 +122,7 @@ class Domain:
 
     @cached_property
     def resolved(self) -> DataFrame:
-        return intervals.resolve(self.history, self.matches, self.stakes, TODAY_MONTH, *self.window)
+        return intervals.resolve(self.history, self.matches, self.stakes, TODAY_MONTH, *self.window).persist()
 
     @cached_property
     def published(self) -> DataFrame:
@@ -155,26 +163,28 @@ class Domain:
 
     @cached_property
     def native_status(self) -> DataFrame:
-        return coverage.native_status(self.months, self.categories)
+        return coverage.native_status(self.months)
 
     @cached_property
     def derived_status(self) -> DataFrame:
         return coverage.derived_status(self.months)
 
     # owners
+    @cached_property
+    def facts(self) -> DataFrame:
+        return attribution.owner_facts(self.attributed).persist()
+
     @cached_property
     def owner_volumes(self) -> DataFrame:
-        return attribution.owner_months(self.attributed)
+        return attribution.owner_months(self.facts)
 
     @cached_property
     def series(self) -> DataFrame:
-        return attribution.owner_series(
-            self.owner_volumes, coverage.stream_status_wide(self.native_status), self.derived_status
-        )
+        return attribution.owner_series(self.owner_volumes, coverage.month_statuses(self.months))
 
     @cached_property
     def entities(self) -> DataFrame:
-        return self.attributed.select(F.col("company").alias("entity")).distinct()
+        return self.facts.select(F.col("company").alias("entity")).distinct()
 
     @cached_property
     def evidence(self) -> DataFrame:
@@ -202,7 +212,7 @@ class Domain:
 
     @cached_property
     def group_fields(self) -> DataFrame:
-        mapped = self.attributed.join(self.collapsed, self.attributed["company"] == self.collapsed["entity"])
+        mapped = self.facts.join(self.collapsed, self.facts["company"] == self.collapsed["entity"])
         return attribution.owner_field_series(mapped, self.derived_status, "grp", "grp")
 
     # licences
