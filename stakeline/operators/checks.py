@@ -33,16 +33,21 @@ def require_empty(offenders: DataFrame, what: str, shown: int = 20) -> None:
         raise CheckFailed(f"{what}: " + "; ".join(str(r.asDict()) for r in rows[:shown]) + more)
 
 
-def schema_differences(spark: SparkSession, frame: DataFrame, contract: str | StructType) -> DataFrame:
-    """Contract columns that are missing from the frame or have another type."""
-    if isinstance(contract, str):
-        contract = StructType.fromDDL(contract)
-    actual = {f.name: f.dataType.simpleString() for f in frame.schema.fields}
-    rows = [
+def contract_differences(schema: StructType, contract: str) -> list[tuple[str, str, str | None]]:
+    """(column, expected type, actual type) for contract columns that are missing or have another type."""
+    actual = {f.name: f.dataType.simpleString() for f in schema.fields}
+    return [
         (f.name, f.dataType.simpleString(), actual.get(f.name))
-        for f in contract.fields if actual.get(f.name) != f.dataType.simpleString()
+        for f in StructType.fromDDL(contract).fields if actual.get(f.name) != f.dataType.simpleString()
     ]
-    return spark.createDataFrame(rows, "column_name string, expected string, actual string")
+
+
+def require_contract(frame: DataFrame, contract: str, what: str) -> DataFrame:
+    """The frame itself, or an error naming every column that breaks the contract."""
+    wrong = contract_differences(frame.schema, contract)
+    if wrong:
+        raise CheckFailed(f"{what}: " + "; ".join(f"{n} is {a or 'missing'}, expected {e}" for n, e, a in wrong))
+    return frame
 
 
 def negatives(rows: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
@@ -281,6 +286,16 @@ def percentage_columns(columns: list[str]) -> list[str]:
     return [c for c in columns if any(word in c.lower() for word in PERCENT_WORDS)]
 
 
+def percentage_keys(entries: DataFrame) -> DataFrame:
+    """Over every published feature: property names that suggest an ownership percentage."""
+    keys = F.json_object_keys(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}))
+    hits = F.filter(keys, lambda k: F.lower(k).rlike("|".join(PERCENT_WORDS)))
+    return entries.select(F.size(hits).alias("hits")).agg(
+        F.lit("ownership").alias("words"), F.count("*").alias("features"),
+        F.coalesce(F.sum(F.col("hits").cast("bigint")), F.lit(0)).alias("offending"),
+    )
+
+
 def build_metadata(prod: DataFrame, stakes: DataFrame | None = None) -> DataFrame:
     """The counts a build is compared by, as one row."""
     newest = prod.select(F.max("period")).scalar()

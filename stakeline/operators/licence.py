@@ -182,3 +182,28 @@ def polygon_matches(polygons: DataFrame, matches: DataFrame) -> DataFrame:
         F.when(F.col("m").isNotNull(), X.slugify(F.col("m.field"))).alias("matched_slug"),
         F.col("m.method").alias("match_method"),
     )
+
+
+def enrich(shapes: DataFrame, latest: DataFrame) -> DataFrame:
+    """Matched shapes with their field's properties, which win over the shape's own on a shared name."""
+    clash = [c for c in shapes.columns if c in latest.columns]
+    props = latest.select(F.col("slug").alias("matched_slug"), *[F.col(c) for c in latest.columns if c != "slug"])
+    joined = shapes.withColumnsRenamed({c: f"{c}__own" for c in clash}).join(props, "matched_slug", "left")
+    found = F.col("field").isNotNull()
+    return joined.select(
+        *[c for c in shapes.columns if c not in clash],
+        *[F.when(found, F.col(c)).otherwise(F.col(f"{c}__own")).alias(c) for c in clash],
+        *[c for c in latest.columns if c not in clash and c != "slug"],
+    )
+
+
+def operator_filter(shapes: DataFrame, operator: str | None) -> DataFrame:
+    """The operator's shapes; unmatched shapes always stay."""
+    if operator is None:
+        return shapes
+    return shapes.where(F.col("matched_slug").isNull() | (F.col("operator") == operator))
+
+
+def points_without_shape(latest: DataFrame, shapes: DataFrame) -> DataFrame:
+    drawn = shapes.where(F.col("matched_slug").isNotNull()).select(F.col("matched_slug").alias("slug"))
+    return latest.join(drawn, "slug", "left_anti")

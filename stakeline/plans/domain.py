@@ -1,10 +1,9 @@
 """The engine's tables over one data set, as lazily built plans.
 
 Every attribute is a DataFrame whose plan Catalyst prunes to what a query asks
-for. Two of them feed several branches of the same query and are marked to be
-kept after their first use: ``resolved`` (field-months) and ``facts`` (owner,
-field, month). Kept blocks spill to disk and are recomputed from their lineage
-when an executor is lost; ``release`` drops them.
+for. The few in ``KEPT`` feed several branches of the same query and are marked
+to be kept after their first use. Kept blocks spill to disk and are recomputed
+from their lineage when an executor is lost; ``release`` drops them.
 """
 
 from __future__ import annotations
@@ -24,13 +23,17 @@ LATEST_MONTH = "2001-12-01"
 CANDIDATE_STARTS = ["199501", "199601", "199703", "199801", "199901", "200001", "200101"]
 
 
+# field-months, owner facts, entity mapping, group months, group-field months
+KEPT = ("resolved", "facts", "mapping", "group_wide", "group_fields")
+
+
 class Domain:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
 
     def release(self) -> None:
-        for name in ("resolved", "facts"):
+        for name in KEPT:
             if name in self.__dict__:
                 self.__dict__.pop(name).unpersist()
 
@@ -192,7 +195,7 @@ class Domain:
 
     @cached_property
     def mapping(self) -> DataFrame:
-        return groups.build_mapping(self.entities, self.evidence, self.overrides)
+        return groups.build_mapping(self.entities, self.evidence, self.overrides).persist()
 
     @cached_property
     def membership(self) -> DataFrame:
@@ -210,10 +213,14 @@ class Domain:
     def group_overview(self) -> DataFrame:
         return groups.group_series(self.series, self.collapsed)
 
+    @cached_property
+    def group_wide(self) -> DataFrame:
+        return groups.pivot_streams(self.group_overview).persist()
+
     @cached_property
     def group_fields(self) -> DataFrame:
         mapped = self.facts.join(self.collapsed, self.facts["company"] == self.collapsed["entity"])
-        return attribution.owner_field_series(mapped, self.derived_status, "grp", "grp")
+        return attribution.owner_field_series(mapped, self.derived_status, "grp", "grp").persist()
 
     # licences
     @cached_property
