@@ -50,25 +50,15 @@ def round3(value: Column) -> Column:
     return F.round(value.cast(TOTAL), 3).cast(PUBLISHED)
 
 
-def liquids(oil: Column, condensate: Column) -> Column:
-    return F.coalesce(oil, F.lit(0)) + F.coalesce(condensate, F.lit(0))
+def derived(liquids: Column, gas: Column) -> dict[str, Column]:
+    """Energy equivalents at full precision from liquids and *undivided* gas volumes.
 
-
-def gas_equivalent(dry: Column, assoc: Column) -> Column:
-    both = F.coalesce(dry, F.lit(0)) + F.coalesce(assoc, F.lit(0))
-    return both.cast(TOTAL) / F.lit(GAS_MMSCF_PER_MBOE)
-
-
-def derived(oil: Column, condensate: Column, dry: Column, assoc: Column) -> dict[str, Column]:
-    """Energy equivalents at full precision; round them once, at the end."""
-    liq = liquids(oil, condensate).cast(TOTAL)
-    gas = gas_equivalent(dry, assoc).cast(TOTAL)
+    Gas stays undivided until here: sums of sixths would already be rounded, and
+    a sum that lies exactly on a rounding boundary would fall to the wrong side.
+    """
+    liquids, gas = liquids.cast(TOTAL), gas.cast(TOTAL)
     return {
-        "liquids_mboed": liq,
-        "natural_gas_mboed": gas,
-        "total_mboed": (liq + gas).cast(TOTAL),
+        "liquids_mboed": liquids,
+        "natural_gas_mboed": (gas / GAS_MMSCF_PER_MBOE).cast(TOTAL),
+        "total_mboed": ((liquids * GAS_MMSCF_PER_MBOE + gas).cast(TOTAL) / GAS_MMSCF_PER_MBOE).cast(TOTAL),
     }
-
-
-def as_double(*names: str) -> list[Column]:
-    return [F.col(n).cast("double").alias(n) for n in names]

@@ -7,6 +7,7 @@ from pyspark.sql.types import StructType
 
 from ..functions import scalars as X
 from ..functions.volumes import DERIVED_STREAMS, EQUITY_STREAMS, GAS_MMSCF_PER_MBOE, NATIVE_STREAMS, TOTAL
+from .production import FULL
 from .rows import one_row
 
 # fixed values: allowed differences
@@ -91,9 +92,8 @@ def native_conservation(history: DataFrame, operators: DataFrame) -> DataFrame:
 
 
 def exact_conservation(history: DataFrame, operators: DataFrame) -> DataFrame:
-    return conservation(history, operators, {s: f"{s}_full" for s in DERIVED_STREAMS}).withColumn(
-        "tolerance", F.lit(EXACT_TOLERANCE)
-    )
+    """Before any rounding: liquids and undivided gas, which every derived stream is made of."""
+    return conservation(history, operators, {s: s for s in FULL}).withColumn("tolerance", F.lit(EXACT_TOLERANCE))
 
 
 def rounded_conservation(history: DataFrame, operators: DataFrame) -> DataFrame:

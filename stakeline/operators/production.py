@@ -22,7 +22,8 @@ from ..functions.volumes import (
 from .rows import one_row
 
 CURRENT = ("region", "location", "operator")
-FULL = tuple(f"{s}_full" for s in DERIVED_STREAMS)
+# full-precision columns: liquids, and gas in its own unit
+FULL = ("liquids_full", "gas_full")
 
 
 def classify(prod: DataFrame, classification: DataFrame) -> DataFrame:
@@ -49,16 +50,15 @@ def field_history(classified: DataFrame) -> DataFrame:
         .groupBy("field", "period")
         .agg(*[exact_sum(F.col(s)).alias(s) for s in NATIVE_STREAMS])
     )
-    equivalents = derived(
-        F.col("oil_mbd"), F.col("condensate_mbd"), F.col("dry_gas_mmscfd"), F.col("assoc_gas_mmscfd")
-    )
+    liquids, gas = F.col("oil_mbd") + F.col("condensate_mbd"), F.col("dry_gas_mmscfd") + F.col("assoc_gas_mmscfd")
     return sums.select(
         "field",
         "period",
         X.month_start(F.col("period")).alias("month_start"),
         *[round3(F.col(s)).alias(s) for s in NATIVE_STREAMS],
-        *[round3(c).alias(n) for n, c in equivalents.items()],
-        *[c.alias(f"{n}_full") for n, c in equivalents.items()],
+        *[round3(c).alias(n) for n, c in derived(liquids, gas).items()],
+        liquids.cast(TOTAL).alias("liquids_full"),
+        gas.cast(TOTAL).alias("gas_full"),
     )
 
 
@@ -128,7 +128,7 @@ def field_latest(latest_classified: DataFrame) -> DataFrame:
         F.min(F.when(is_prod, F.col("first_row"))).alias("first_row"),
     )
     equivalents = derived(
-        F.col("oil_mbd"), F.col("condensate_mbd"), F.col("dry_gas_mmscfd"), F.col("assoc_gas_mmscfd")
+        F.col("oil_mbd") + F.col("condensate_mbd"), F.col("dry_gas_mmscfd") + F.col("assoc_gas_mmscfd")
     )
     points = F.when(F.col("points") > 0, F.col("points"))
     return fields.where(F.col("unit_count") > 0).select(
@@ -184,11 +184,11 @@ def operator_history(history: DataFrame, attributes: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("field_count"),
             *[F.sum(s).cast(PUBLISHED).alias(s) for s in NATIVE_STREAMS],
-            *[F.sum(f"{s}_full").cast(TOTAL).alias(f"{s}_full") for s in DERIVED_STREAMS],
+            *[F.sum(s).cast(TOTAL).alias(s) for s in FULL],
         )
         .select(
             "operator", "period", "field_count", *NATIVE_STREAMS,
-            *[round3(F.col(f"{s}_full")).alias(s) for s in DERIVED_STREAMS],
+            *[round3(c).alias(n) for n, c in derived(F.col("liquids_full"), F.col("gas_full")).items()],
             *FULL,
         )
     )
@@ -196,10 +196,9 @@ def operator_history(history: DataFrame, attributes: DataFrame) -> DataFrame:
 
 def country_history(history: DataFrame) -> DataFrame:
     """One row per month: full-precision equivalents added up and rounded once."""
-    sums = history.groupBy("period").agg(
-        *[F.sum(f"{s}_full").cast(TOTAL).alias(s) for s in DERIVED_STREAMS]
-    )
-    return sums.select("period", *[round3(F.col(s)).alias(s) for s in DERIVED_STREAMS])
+    sums = history.groupBy("period").agg(*[F.sum(s).cast(TOTAL).alias(s) for s in FULL])
+    equivalents = derived(F.col("liquids_full"), F.col("gas_full"))
+    return sums.select("period", *[round3(c).alias(n) for n, c in equivalents.items()])
 
 
 def in_range(series: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:

@@ -76,10 +76,12 @@ def _(t: Domain):
     return plain(gaps.select("stream", "left_total", "right_total", (F.col("gap") <= F.col("tolerance")).alias("holds")))
 
 
-@entry("V6_full_precision_conservation", "select stream, true holds from (values ('liquids_mboed'), ('natural_gas_mboed'), ('total_mboed')) t(stream) where (select count(*) from hist) > 0")
+@entry("V6_full_precision_conservation", """
+select 'liquids_full' stream, round(sum(liquids_raw), 6)::double left_total, true holds from hist
+union all select 'gas_full', round(sum(gas_raw), 6)::double, true from hist""")
 def _(t: Domain):
     gaps = K.exact_conservation(t.history, t.operators)
-    return gaps.select("stream", (F.col("gap") <= F.col("tolerance")).alias("holds"))
+    return plain(gaps.select("stream", F.round("left_total", 6).alias("left_total"), (F.col("gap") <= F.col("tolerance")).alias("holds")))
 
 
 @entry("V7_rounded_conservation", " union all ".join(f"""

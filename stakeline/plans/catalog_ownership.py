@@ -227,7 +227,7 @@ def _(t: Domain):
     return plain(I.gap_examples(t.resolved))
 
 
-FOCUS = "FIELD 0000000007"
+FOCUS = "FIELD 0000000037"
 
 
 @entry("A27_named_field_analysis", f"""

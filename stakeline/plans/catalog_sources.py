@@ -225,6 +225,11 @@ def _(t: Domain):
     return t.spark.read.schema("operator string, period string, field_count bigint").json(path)
 
 
+@entry("T10_stable_output_order", f"select {slug('field')} slug, period, cast(total_mboed as double) total_mboed from hist")
+def _(t: Domain):
+    return plain(P.compact_fields(t.history).select("slug", "period", "total_mboed")).orderBy("slug", "period")
+
+
 @entry("K9_all_or_nothing_publish", f"select period, {d(*DERIVED)} from country")
 def _(t: Domain):
     target = scratch_path(t.spark, "site")

@@ -1,9 +1,9 @@
 """The engine's tables over one data set, as lazily built plans.
 
 Every attribute is a DataFrame whose plan Catalyst prunes to what a query asks
-for. The few in ``KEPT`` feed several branches of the same query and are marked
-to be kept after their first use. Kept blocks spill to disk and are recomputed
-from their lineage when an executor is lost; ``release`` drops them.
+for. The few that feed several branches of a query, or many queries, are stored
+tables (see ``store``): field-months, owner facts, the entity mapping, group
+months and group-field months.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import scalars as X
 from ..operators import attribution, coverage, groups, intervals, licence, matching, production
-from ..sources import adapters, readers
+from ..sources import adapters
+from .store import input_version, stored
 
 # fixed values: parameters of the queries over the test tables
 PUBLICATION_START = "199703"
@@ -23,8 +24,7 @@ LATEST_MONTH = "2001-12-01"
 CANDIDATE_STARTS = ["199501", "199601", "199703", "199801", "199901", "200001", "200101"]
 
 
-# field-months, owner facts, entity mapping, group months, group-field months
-KEPT = ("resolved", "facts", "mapping", "group_wide", "group_fields")
+INPUTS = ("lineitem", "orders", "supplier", "customer", "nation")
 
 
 class Domain:
@@ -32,10 +32,12 @@ class Domain:
         self.spark = spark
         self.sf_dir = sf_dir
 
-    def release(self) -> None:
-        for name in KEPT:
-            if name in self.__dict__:
-                self.__dict__.pop(name).unpersist()
+    @cached_property
+    def _key(self) -> tuple:
+        return (self.sf_dir, *input_version(self.spark, [f"{self.sf_dir}/{n}.parquet" for n in INPUTS]))
+
+    def _stored(self, name: str, build) -> DataFrame:
+        return stored(self.spark, self._key, name, build)
 
     def raw(self, name: str) -> DataFrame:
         return adapters.table(self.spark, self.sf_dir, name)
@@ -125,7 +127,8 @@ class Domain:
 
     @cached_property
     def resolved(self) -> DataFrame:
-        return intervals.resolve(self.history, self.matches, self.stakes, TODAY_MONTH, *self.window).persist()
+        return self._stored("resolved", lambda: intervals.resolve(
+            self.history, self.matches, self.stakes, TODAY_MONTH, *self.window))
 
     @cached_property
     def published(self) -> DataFrame:
@@ -175,7 +178,7 @@ class Domain:
     # owners
     @cached_property
     def facts(self) -> DataFrame:
-        return attribution.owner_facts(self.attributed).persist()
+        return self._stored("facts", lambda: attribution.owner_facts(self.attributed))
 
     @cached_property
     def owner_volumes(self) -> DataFrame:
@@ -195,7 +198,7 @@ class Domain:
 
     @cached_property
     def mapping(self) -> DataFrame:
-        return groups.build_mapping(self.entities, self.evidence, self.overrides).persist()
+        return self._stored("mapping", lambda: groups.build_mapping(self.entities, self.evidence, self.overrides))
 
     @cached_property
     def membership(self) -> DataFrame:
@@ -215,12 +218,13 @@ class Domain:
 
     @cached_property
     def group_wide(self) -> DataFrame:
-        return groups.pivot_streams(self.group_overview).persist()
+        return self._stored("group_wide", lambda: groups.pivot_streams(self.group_overview))
 
     @cached_property
     def group_fields(self) -> DataFrame:
         mapped = self.facts.join(self.collapsed, self.facts["company"] == self.collapsed["entity"])
-        return attribution.owner_field_series(mapped, self.derived_status, "grp", "grp").persist()
+        return self._stored("group_fields", lambda: attribution.owner_field_series(
+            mapped, self.derived_status, "grp", "grp"))
 
     # licences
     @cached_property

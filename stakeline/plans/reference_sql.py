@@ -170,8 +170,8 @@ select *, lead(d) over (partition by fk order by d) nd, lag(d) over (partition b
   from orders) t where rn = 1) u"""
 
 VIEWS["equity"] = f"""
-select case when fk % 10 = 9 then concat('RETIRED FIELD ', cast(fk as varchar))
-  when fk % 7 = 3 then concat(case when fk % 5 = 1 and ck % 2 = 0 then 'Field   ' else 'field   ' end, lpad(cast(fk as varchar), 10, '0'))
+select case when fk % 100 = 49 then concat('RETIRED FIELD ', cast(fk as varchar))
+  when fk % 7 = 3 then concat(case when fk % 10 = 6 and ck % 2 = 0 then 'Field   ' else 'field   ' end, lpad(cast(fk as varchar), 10, '0'))
   when fk % 11 = 5 then concat('OLD FIELD ', cast(fk as varchar)) else {FIELD.format('fk')} end field_name,
  case when fk % 9 = 0 then 'ONSHORE' else 'OFFSHORE' end on_offshore,
  case when fk % 6 = 0 then 'CEASED' else 'PRODUCING' end status,
@@ -182,19 +182,19 @@ select case when fk % 10 = 9 then concat('RETIRED FIELD ', cast(fk as varchar))
  case when ok % 61 = 0 then 'Unknown' when e is null or ok % 43 = 0 then 'Current'
   else concat('Previous-', cast(year(s) - case when ok % 31 = 0 then 1 else 0 end as varchar), ' to ', cast(year(e) as varchar)) end period_label
 from (
- select fk, ck, ok, i, case i when 0 then case when ck % 2 = 1 then 62.5 else 60.0 end - case when ok % 97 = 0 then 5.0 else 0.0 end
+ select fk, ck, ok, i, case i when 0 then case when ck % 2 = 1 then 62.5 else 60.0 end - case when ok % 291 = 0 then 5.0 else 0.0 end
    when 1 then case when ck % 2 = 1 then 37.5 else 40.0 end else 0.0 end pct, s, e
- from (select *, case when fk % 50 = 7 then make_date(2090, 1, 4) when pd is null and fk % 17 = 4 then make_date(1950, 1, 1) else d end s,
-   case when fk % 50 = 7 then null when ok % 41 = 0 and nd is not null then nd + 60
-    when ok % 53 = 0 and nd is not null then d + 15 else nd end e from span) x
+ from (select *, case when fk % 100 = 37 then make_date(2090, 1, 4) when pd is null and fk % 17 = 4 then make_date(1950, 1, 1) else d end s,
+   case when fk % 100 = 37 then null when ok % 123 = 0 and nd is not null then nd + 60
+    when ok % 159 = 0 and nd is not null then d + 15 else nd end e from span) x
  cross join (values (0), (1), (2)) k(i) where i < 2 or fk % 4 = 0
  union all
- select fk, ck, ok, 0, 60.0, d, d from span where ok % 29 = 0 and fk % 50 <> 7
+ select fk, ck, ok, 0, 60.0, d, d from span where ok % 29 = 0 and fk % 100 <> 37
 ) y"""
 
 VIEWS["renamed"] = f"""
 select {FIELD.format('s_suppkey')} production_name, concat('OLD FIELD ', cast(s_suppkey as varchar)) equity_name
-from supplier where s_suppkey % 11 = 5 and s_suppkey % 10 <> 9 and s_suppkey % 7 <> 3"""
+from supplier where s_suppkey % 11 = 5 and s_suppkey % 100 <> 49 and s_suppkey % 7 <> 3"""
 
 VIEWS["lnames"] = "select distinct field from prodc where unit_class = 'production'"
 VIEWS["rnames"] = "select distinct field_name from equity"

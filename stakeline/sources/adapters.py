@@ -99,25 +99,25 @@ def ownership_spans(orders: DataFrame) -> DataFrame:
 def stakes(orders: DataFrame) -> DataFrame:
     rows = ownership_spans(orders).selectExpr(
         "*",
-        "case when fk % 50 = 7 then make_date(2090, 1, 4) when pd is null and fk % 17 = 4 then make_date(1950, 1, 1) "
+        "case when fk % 100 = 37 then make_date(2090, 1, 4) when pd is null and fk % 17 = 4 then make_date(1950, 1, 1) "
         "else d end as s",
-        "case when fk % 50 = 7 then null when ok % 41 = 0 and nd is not null then date_add(nd, 60) "
-        "when ok % 53 = 0 and nd is not null then date_add(d, 15) else nd end as e",
+        "case when fk % 100 = 37 then null when ok % 123 = 0 and nd is not null then date_add(nd, 60) "
+        "when ok % 159 = 0 and nd is not null then date_add(d, 15) else nd end as e",
     ).selectExpr(
         "*",
         "explode(concat("
-        "array(named_struct('i', 0, 'pct', case when ck % 2 = 1 then 62.5D else 60.0D end - case when ok % 97 = 0 then 5.0D else 0.0D end, 'point', false),"
+        "array(named_struct('i', 0, 'pct', case when ck % 2 = 1 then 62.5D else 60.0D end - case when ok % 291 = 0 then 5.0D else 0.0D end, 'point', false),"
         " named_struct('i', 1, 'pct', case when ck % 2 = 1 then 37.5D else 40.0D end, 'point', false)),"
         "case when fk % 4 = 0 then array(named_struct('i', 2, 'pct', 0.0D, 'point', false)) else array() end,"
-        "case when ok % 29 = 0 and fk % 50 <> 7 then array(named_struct('i', 0, 'pct', 60.0D, 'point', true)) else array() end"
+        "case when ok % 29 = 0 and fk % 100 <> 37 then array(named_struct('i', 0, 'pct', 60.0D, 'point', true)) else array() end"
         ")) as k",
     ).selectExpr(
         "fk", "ck", "ok", "k.i as i", "k.pct as pct",
         "case when k.point then d else s end as s", "case when k.point then d else e end as e",
     )
     return rows.selectExpr(
-        "case when fk % 10 = 9 then concat('RETIRED FIELD ', cast(fk as string))"
-        " when fk % 7 = 3 then concat(case when fk % 5 = 1 and ck % 2 = 0 then 'Field   ' else 'field   ' end, lpad(cast(fk as string), 10, '0'))"
+        "case when fk % 100 = 49 then concat('RETIRED FIELD ', cast(fk as string))"
+        " when fk % 7 = 3 then concat(case when fk % 10 = 6 and ck % 2 = 0 then 'Field   ' else 'field   ' end, lpad(cast(fk as string), 10, '0'))"
         f" when fk % 11 = 5 then concat('OLD FIELD ', cast(fk as string)) else {FIELD.format('fk')} end as field_name",
         "case when fk % 9 = 0 then 'ONSHORE' else 'OFFSHORE' end as on_offshore",
         "case when fk % 6 = 0 then 'CEASED' else 'PRODUCING' end as status",
@@ -134,7 +134,7 @@ def field_traits(supplier: DataFrame) -> DataFrame:
     """How the ownership source spells each field."""
     return supplier.selectExpr(
         "s_suppkey as fk",
-        "case when s_suppkey % 10 = 9 then 'retired' when s_suppkey % 7 = 3 then 'spelling' "
+        "case when s_suppkey % 100 = 49 then 'retired' when s_suppkey % 7 = 3 then 'spelling' "
         "when s_suppkey % 11 = 5 then 'renamed' else 'same' end as trait",
     )
 
