@@ -324,29 +324,28 @@ BUILD_LIMITS = (
 
 def build_changes(previous: DataFrame, current: DataFrame) -> DataFrame:
     """One row per comparison of two one-row metadata frames; skipped when there is no previous build."""
-    shared = [limit for limit in BUILD_LIMITS if limit[1] in current.columns]
-    old = {c: (previous.select(c).scalar() if c in previous.columns else F.lit(None)) for c in current.columns}
+    shared = [limit for limit in BUILD_LIMITS if limit[1] in current.columns and limit[1] in previous.columns]
+    old = previous.select(*[F.col(c).alias(f"old_{c}") for c in previous.columns])
+    both = one_row(old, current)
 
-    def verdict(column: str, direction: str, limit: float) -> Column:
-        before, now = old[column].cast("double"), F.col(column).cast("double")
+    def verdict(name: str, column: str, direction: str | None, limit: float) -> Column:
+        before, now = F.col(f"old_{column}").cast("double"), F.col(column).cast("double")
         usable = F.when(before != 0, before)
-        change = (usable - now) / usable * 100 if direction == "drop" else F.abs(now - usable) / usable * 100
+        if direction is None:
+            change, failed, skipped = F.lit(None).cast("double"), now < before, before.isNull()
+        else:
+            gap = usable - now if direction == "drop" else F.abs(now - usable)
+            change = gap / usable * 100
+            failed, skipped = change > limit, change.isNull()
+        outcome = F.when(skipped, "skipped").when(failed, "failed").otherwise("passed")
         return F.struct(
-            before.alias("before"), now.alias("now"), F.round(change, 6).alias("change_pct"),
-            F.when(change.isNull(), "skipped").when(change > limit, "failed").otherwise("passed").alias("outcome"),
+            F.lit(name).alias("check"), before.alias("before"), now.alias("now"),
+            F.round(change, 6).alias("change_pct"), outcome.alias("outcome"),
         )
 
-    checks = [
-        F.struct(F.lit(name).alias("check"), verdict(column, direction, limit).alias("v"))
-        for name, column, direction, limit in shared
-    ]
-    before, now = old["latest_period"].cast("double"), F.col("latest_period").cast("double")
-    regress = F.struct(
-        before.alias("before"), now.alias("now"), F.lit(None).cast("double").alias("change_pct"),
-        F.when(before.isNull(), "skipped").when(now < before, "failed").otherwise("passed").alias("outcome"),
-    )
-    checks.append(F.struct(F.lit("latest period").alias("check"), regress.alias("v")))
-    return current.select(F.explode(F.array(*checks)).alias("c")).select("c.check", "c.v.*")
+    checks = [verdict(*limit) for limit in shared]
+    checks.append(verdict("latest period", "latest_period", None, 0.0))
+    return both.select(F.explode(F.array(*checks)).alias("c")).select("c.*")
 
 
 def title_changed(previous: DataFrame, current: DataFrame) -> DataFrame:

@@ -145,13 +145,12 @@ def resolve(history: DataFrame, matches: DataFrame, stakes: DataFrame, today_mon
     )
 
 
-def resolve_latest(latest: DataFrame, matches: DataFrame, stakes: DataFrame) -> DataFrame:
-    """The single-month form: five categories, for fields that produce in the latest month."""
+def resolve_latest(latest: DataFrame, matches: DataFrame, stakes: DataFrame, month: Column) -> DataFrame:
+    """The single-month form: five categories, for fields that produce in the latest ``month``."""
     dated = latest.withColumn("month_start", X.month_start(F.col("period")))
-    first, last = window_of(latest)
     by_field = matches.join(first_starts(stakes), "equity_field", "left")
     joined = dated.join(by_field, "field", "left").join(
-        month_facts(stakes, first, last), ["equity_field", "month_start"], "left"
+        month_facts(stakes, month, month), ["equity_field", "month_start"], "left"
     )
     active = F.coalesce("active_rows", F.lit(0))
     total = F.coalesce("positive_sum", F.lit(0).cast("decimal(38,6)"))

@@ -2,8 +2,10 @@
 
 Every attribute is a DataFrame whose plan Catalyst prunes to what a query asks
 for. The few that feed several branches of a query, or many queries, are stored
-tables (see ``store``): field-months, owner facts, the entity mapping, group
-months and group-field months.
+tables (see ``store``): landed intervals, field history, attributes and latest records,
+name matches, resolved field-months, owner facts, the entity mapping, group
+months and group-field months. Each is far smaller than the unit reports, which
+are only ever scanned.
 """
 
 from __future__ import annotations
@@ -53,7 +55,7 @@ class Domain:
 
     @cached_property
     def stakes(self) -> DataFrame:
-        return adapters.stakes(self.raw("orders"))
+        return self._stored("stakes", lambda: adapters.stakes(self.raw("orders")))
 
     @cached_property
     def aliases(self) -> DataFrame:
@@ -82,11 +84,11 @@ class Domain:
 
     @cached_property
     def history(self) -> DataFrame:
-        return production.field_history(self.classified)
+        return self._stored("history", lambda: production.field_history(self.classified))
 
     @cached_property
     def attributes(self) -> DataFrame:
-        return production.current_attributes(self.classified)
+        return self._stored("attributes", lambda: production.current_attributes(self.classified))
 
     @cached_property
     def spans(self) -> DataFrame:
@@ -98,7 +100,7 @@ class Domain:
 
     @cached_property
     def latest(self) -> DataFrame:
-        return production.field_latest(self.latest_classified)
+        return self._stored("latest", lambda: production.field_latest(self.latest_classified))
 
     @cached_property
     def operators(self) -> DataFrame:
@@ -111,7 +113,7 @@ class Domain:
     # ownership
     @cached_property
     def left_names(self) -> DataFrame:
-        return production.production_rows(self.classified).select("field").distinct()
+        return self.history.select("field").distinct()
 
     @cached_property
     def right_names(self) -> DataFrame:
@@ -119,11 +121,15 @@ class Domain:
 
     @cached_property
     def matches(self) -> DataFrame:
-        return matching.match_names(self.left_names, self.right_names, self.aliases)
+        return self._stored("matches", lambda: matching.match_names(self.left_names, self.right_names, self.aliases))
 
     @cached_property
     def window(self):
-        return intervals.window_of(self.prod)
+        return intervals.window_of(self.history)
+
+    @cached_property
+    def latest_month(self):
+        return self.latest.select(F.max(X.month_start(F.col("period")))).scalar()
 
     @cached_property
     def resolved(self) -> DataFrame:
@@ -144,11 +150,12 @@ class Domain:
 
     @cached_property
     def resolved_latest(self) -> DataFrame:
-        return intervals.resolve_latest(self.latest, self.matches, self.stakes)
+        return self._stored("resolved_latest", lambda: intervals.resolve_latest(
+            self.latest, self.matches, self.stakes, self.latest_month))
 
     @cached_property
     def attributed_latest(self) -> DataFrame:
-        return intervals.attribute(self.resolved_latest, self.stakes, *intervals.window_of(self.latest))
+        return intervals.attribute(self.resolved_latest, self.stakes, self.latest_month, self.latest_month)
 
     # coverage
     @cached_property
