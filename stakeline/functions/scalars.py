@@ -41,11 +41,8 @@ def normalize_name(name: Column) -> Column:
 # --- periods and dates -----------------------------------------------------
 
 def month_start(period: Column) -> Column:
-    return F.to_date(F.concat(period, F.lit("01")), "yyyyMMdd")
-
-
-def period_of(day: Column) -> Column:
-    return F.date_format(day, "yyyyMM")
+    year, month = F.substring(period, 1, 4).cast("int"), F.substring(period, 5, 2).cast("int")
+    return F.make_date(year, month, F.lit(1))
 
 
 def month_floor(day: Column) -> Column:
@@ -56,16 +53,24 @@ def next_month(day: Column) -> Column:
     return F.add_months(F.trunc(day, "MM"), 1)
 
 
-def epoch_timestamp(ms: Column) -> Column:
-    return F.timestamp_millis(ms.cast("bigint"))
+DAY_MS = 86_400_000
+
+
+def epoch_day(ms: Column) -> Column:
+    """UTC date of epoch milliseconds, whatever the session's time zone; negative before 1970."""
+    return F.date_from_unix_date(F.floor(ms / DAY_MS).cast("int"))
 
 
 def epoch_date(ms: Column) -> Column:
-    return F.date_format(epoch_timestamp(ms), "yyyy-MM-dd")
+    return F.date_format(epoch_day(ms), "yyyy-MM-dd")
 
 
 def epoch_iso(ms: Column) -> Column:
-    return F.date_format(epoch_timestamp(ms), "yyyy-MM-dd'T'HH:mm:ssXXX")
+    second = F.floor(F.pmod(ms, F.lit(DAY_MS)) / 1000).cast("int")
+    clock = F.format_string(
+        "%02d:%02d:%02d", F.floor(second / 3600).cast("int"), F.floor(second % 3600 / 60).cast("int"), second % 60
+    )
+    return F.when(ms.isNotNull(), F.concat(epoch_date(ms), F.lit("T"), clock, F.lit("Z")))
 
 
 def normalize_period_input(raw: Column, edge: str) -> Column:

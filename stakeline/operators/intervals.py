@@ -96,6 +96,12 @@ def first_starts(stakes: DataFrame) -> DataFrame:
     )
 
 
+def matched_starts(matches: DataFrame, stakes: DataFrame) -> DataFrame:
+    """Matched fields with the first start of their intervals; unmatched fields would only share a null key."""
+    found = matches.where(F.col("equity_field").isNotNull())
+    return found.join(first_starts(stakes), "equity_field", "left")
+
+
 def window_of(prod: DataFrame) -> tuple[Column, Column]:
     """First and last reported month, as scalar subqueries over the period column alone."""
     return (
@@ -112,7 +118,7 @@ def resolve(history: DataFrame, matches: DataFrame, stakes: DataFrame, today_mon
     ``today_month`` (first of a month, ISO) separates fields whose ownership is
     still in the future from fields whose ownership simply began later.
     """
-    by_field = matches.join(first_starts(stakes), "equity_field", "left")
+    by_field = matched_starts(matches, stakes)
     keyed = history.join(by_field, "field", "left")
     joined = keyed.join(month_facts(stakes, first, last), ["equity_field", "month_start"], "left")
     active = F.coalesce("active_rows", F.lit(0))
@@ -148,7 +154,7 @@ def resolve(history: DataFrame, matches: DataFrame, stakes: DataFrame, today_mon
 def resolve_latest(latest: DataFrame, matches: DataFrame, stakes: DataFrame, month: Column) -> DataFrame:
     """The single-month form: five categories, for fields that produce in the latest ``month``."""
     dated = latest.withColumn("month_start", X.month_start(F.col("period")))
-    by_field = matches.join(first_starts(stakes), "equity_field", "left")
+    by_field = matched_starts(matches, stakes)
     joined = dated.join(by_field, "field", "left").join(
         month_facts(stakes, month, month), ["equity_field", "month_start"], "left"
     )

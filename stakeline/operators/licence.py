@@ -187,8 +187,12 @@ def polygon_matches(polygons: DataFrame, matches: DataFrame) -> DataFrame:
 def enrich(shapes: DataFrame, latest: DataFrame) -> DataFrame:
     """Matched shapes with their field's properties, which win over the shape's own on a shared name."""
     clash = [c for c in shapes.columns if c in latest.columns]
-    props = latest.select(F.col("slug").alias("matched_slug"), *[F.col(c) for c in latest.columns if c != "slug"])
-    joined = shapes.withColumnsRenamed({c: f"{c}__own" for c in clash}).join(props, "matched_slug", "left")
+    props = latest.select(F.col("slug").alias("_key"), *[F.col(c) for c in latest.columns if c != "slug"])
+    # no slug contains '#': unmatched shapes spread by name instead of meeting under one null key
+    own_key = F.coalesce("matched_slug", F.concat(F.lit("#"), F.col("polygon_name")))
+    joined = shapes.withColumn("_key", own_key).withColumnsRenamed({c: f"{c}__own" for c in clash}).join(
+        props, "_key", "left"
+    )
     found = F.col("field").isNotNull()
     return joined.select(
         *[c for c in shapes.columns if c not in clash],

@@ -42,13 +42,16 @@ def match_names(left: DataFrame, right: DataFrame, aliases: DataFrame) -> DataFr
         .alias("alias_name"),
     )
     targets = right.select(F.col("equity_field").alias("alias_name"), F.lit(True).alias("alias_exists"))
+    known = listed.join(targets, "alias_name", "left")
     keyed = normalized_candidates(left, right)
+    # a name that is already matched keeps its own text as key: a null key would put
+    # all of them into one partition, and what the key finds is not used for them
+    key = F.when(F.col("exact_name").isNull(), X.normalize_name(F.col("field"))).otherwise(F.col("field"))
     joined = (
         left.join(exact, "field", "left")
-        .withColumn("name_key", F.when(F.col("exact_name").isNull(), X.normalize_name(F.col("field"))))
+        .withColumn("name_key", key)
         .join(keyed, "name_key", "left")
-        .join(listed, "field", "left")
-        .join(targets, "alias_name", "left")
+        .join(known, "field", "left")
     )
     alias_target = F.when(F.col("alias_exists"), F.col("alias_name")).otherwise(
         F.raise_error(F.concat(F.lit("alias target does not exist: "), "alias_name")).cast("string")

@@ -197,7 +197,7 @@ def _(t: Domain):
 
 
 @entry("Q7_ownership_panel", f"""
-select r.kind, r.company_name, r.interest_pct, r.start_date, r.end_date, cast(r.position as bigint) as position from (
+select r.kind, r.company_name, r.interest_pct, r.start_date, r.end_date, cast(r.position as double) as position from (
  select field_name, company_name, interest_pct, strftime(start_date, '%Y-%m-%d') start_date, strftime(end_date, '%Y-%m-%d') end_date,
   case when start_date = end_date then 'event' else 'interval' end kind,
   rank() over (partition by field_name, coalesce(start_date = end_date, false) order by case when end_date is null then 0 else 1 end,
@@ -208,7 +208,7 @@ union all select 'excluded', category, null, period, null, null from pub where f
 def _(t: Domain):
     own = t.matches.where(F.col("field") == FIELD).select(F.col("equity_field").alias("field_name"))
     rows = plain(D.recency_order(t.stakes.join(own, "field_name", "left_semi"))).select(
-        "kind", "company_name", "interest_pct", "start_date", "end_date", "position")
+        "kind", "company_name", "interest_pct", "start_date", "end_date", F.col("position").cast("double").alias("position"))
     missing = t.published.where((F.col("field") == FIELD) & (F.col("category") != "resolved")).select(
         F.lit("excluded").alias("kind"), F.col("category").alias("company_name"), F.col("period").alias("start_date"))
     return rows.unionByName(missing, allowMissingColumns=True)

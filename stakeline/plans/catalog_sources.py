@@ -104,9 +104,9 @@ def _(t: Domain):
     return plain(t.subareas.select("object_id", "licence_reference", "block_reference", "subarea_name", F.size("rings").alias("ring_count")))
 
 
-@entry("S15_episode_scan", "select object_id, history, licence_reference, start_ms, end_ms, operator_group, len(rings) ring_count from episode")
+@entry("S15_episode_scan", "select object_id, history, licence_reference, start_ms::double start_ms, end_ms::double end_ms, operator_group, len(rings) ring_count from episode")
 def _(t: Domain):
-    return plain(t.episodes.select("object_id", "history", "licence_reference", "start_ms", "end_ms", "operator_group", F.size("rings").alias("ring_count")))
+    return plain(t.episodes.select("object_id", "history", "licence_reference", F.col("start_ms").cast("double").alias("start_ms"), F.col("end_ms").cast("double").alias("end_ms"), "operator_group", F.size("rings").alias("ring_count")))
 
 
 @entry("S16_polygon_scan", "select field_no, polygon_name, determination_status, len(rings) ring_count from poly")
