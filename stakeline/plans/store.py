@@ -35,6 +35,7 @@ def stored(spark: SparkSession, key: tuple, name: str, build: Callable[[], DataF
     return spark.read.schema(schema).parquet(path)
 
 
-def forget() -> None:
-    """Makes the next use of every stored table build it anew."""
-    _TABLES.clear()
+def forget(keep: tuple[str, ...] = ()) -> None:
+    """Makes the next use of every stored table, but those named, build it anew."""
+    for key in [k for k in _TABLES if k[-1] not in keep]:
+        del _TABLES[key]
