@@ -121,7 +121,7 @@ def _(t: Domain):
     return t.derived_status.select("period", "liquids_status", "liquids_pct", "gas_status", "gas_pct")
 
 
-@entry("X14b_stream_status", "select period, stream, status, coverage_pct, dominant_category from nstat")
+@entry("X14b_stream_status", "select period, stream, status, coverage_pct, dominant_category from streamstat")
 def _(t: Domain):
     return t.native_status
 
@@ -139,7 +139,7 @@ def _(t: Domain):
 
 
 @entry("J11_period_status_attach", """
-select o.company, o.period, n.stream, n.status from ownvol o join nstat n on n.period = o.period""")
+select o.company, o.period, n.stream, n.status from ownvol o join streamstat n on n.period = o.period""")
 def _(t: Domain):
     return t.series.where(F.col("stream").isin(*EQUITY_STREAMS)).select("company", "period", "stream", "status")
 

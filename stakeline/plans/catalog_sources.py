@@ -270,7 +270,7 @@ ANOMALY_SQL = """select 'quarantined' kind, field, period from pub where categor
 union all select 'interval gap', field, period from pub where category in ('e1_sum_mismatch', 'genuine_interval_gap', 'no_equity_history')
 union all select 'future only', field, period from pub where category = 'future_only'
 union all select 'unmatched', field, null from matched where method is null
-union all select 'below threshold', stream, period from nstat where status = 'unavailable'"""
+union all select 'below threshold', stream, period from streamstat where status = 'unavailable'"""
 
 
 @entry("K13_anomaly_export", ANOMALY_SQL)

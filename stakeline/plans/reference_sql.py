@@ -293,7 +293,7 @@ VIEWS["mon_all"] = _month_view("cat_all")
 VIEWS["mon"] = _month_view("cat")
 VIEWS["dom_all"] = _dominant_view("cat_all")
 VIEWS["dom"] = _dominant_view("cat")
-VIEWS["nstat"] = """
+VIEWS["streamstat"] = """
 select m.period, m.stream, m.coverage_pct,
  case when m.total <= 0 or m.coverage_pct < 95 then 'unavailable' when m.coverage_pct >= 99.5 then 'complete' else 'warning' end status,
  case when m.coverage_pct < 95 then coalesce(d.dominant_category, 'unknown') end dominant_category
@@ -338,7 +338,7 @@ _DV = derived_values("oil_mbd + condensate_mbd", "dry_gas_mmscfd + assoc_gas_mms
 _SHORT = {"liquids_mboed": "liquids", "natural_gas_mboed": "gas", "total_mboed": "total"}
 VIEWS["series"] = " union all ".join(
     [f"""select o.company, o.period, '{s}' stream, case when n.status <> 'unavailable' then {r3d('o.' + s)} end as value, n.status, n.coverage_pct
- from ownvol o join nstat n on n.period = o.period and n.stream = '{s}'""" for s in FOUR]
+ from ownvol o join streamstat n on n.period = o.period and n.stream = '{s}'""" for s in FOUR]
     + [f"""select company, o.period, '{s}' stream, {_DV[s]} as value, {_SHORT[s]}_status status, {_SHORT[s]}_pct coverage_pct
  from ownvol o join dstat d on d.period = o.period""" for s in DERIVED])
 
