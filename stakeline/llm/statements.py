@@ -5,7 +5,7 @@ from __future__ import annotations
 # two windows of words per item; a document word in any occurrence of a window is hit
 _DECONTAMINATION = r"""
 with words as (
-  select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as at, len(w) as n
+  select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as pos, len(w) as n
   from (select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents)),
 item_words as (
@@ -16,15 +16,15 @@ windows as (
   from (select item_id, w, unnest(range(1, greatest(2, len(w) - 11))) as i from item_words where len(w) > 0)),
 sizes as (select distinct size from windows),
 document_windows as (
-  select doc_id, at, size, string_agg(word, ' ') over (partition by doc_id, size order by at rows between current row and 12 following) as win,
+  select doc_id, pos, size, string_agg(word, ' ') over (partition by doc_id, size order by pos rows between current row and 12 following) as win,
          n from words, sizes where size = 13
   union all
-  select w.doc_id, w.at, s.size, (select string_agg(v.word, ' ' order by v.at) from words v
-                                  where v.doc_id = w.doc_id and v.at between w.at and w.at + s.size - 1), w.n
+  select w.doc_id, w.pos, s.size, (select string_agg(v.word, ' ' order by v.pos) from words v
+                                  where v.doc_id = w.doc_id and v.pos between w.pos and w.pos + s.size - 1), w.n
   from words w, sizes s where s.size < 13),
-hits as (select d.doc_id, d.at, d.size, w.item_id from document_windows d join windows w on d.win = w.win and d.size = w.size
-         where d.at + d.size - 1 <= d.n),
-hit_words as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(at, at + size)) as p from hits) group by doc_id),
+hits as (select d.doc_id, d.pos, d.size, w.item_id from document_windows d join windows w on d.win = w.win and d.size = w.size
+         where d.pos + d.size - 1 <= d.n),
+hit_words as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(pos, pos + size)) as p from hits) group by doc_id),
 hit_items as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
               from (select distinct doc_id, item_id::varchar as item from hits) group by doc_id)
 select d.doc_id, d.n_words, coalesce(h.n_hit, 0) as n_hit, coalesce(i.n_items, 0) as n_items,
@@ -37,11 +37,11 @@ left join hit_words h using (doc_id) left join hit_items i using (doc_id)
 
 _QUALITY = r"""
 with texts as (select doc_id, coalesce(text, '') as t from documents),
-words as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as at, len(w) as n
+words as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as pos, len(w) as n
           from (select doc_id, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as w from texts)),
-windows as (select doc_id, at, n, string_agg(word, ' ') over (partition by doc_id order by at rows between current row and 4 following) as win from words),
-repeated as (select doc_id, at from (select *, count(*) over (partition by doc_id, win) as c from windows where at + 4 <= n) where c > 1),
-covered as (select doc_id, count(distinct p) as n_repeat_words from (select doc_id, unnest(range(at, at + 5)) as p from repeated) group by doc_id),
+windows as (select doc_id, pos, n, string_agg(word, ' ') over (partition by doc_id order by pos rows between current row and 4 following) as win from words),
+repeated as (select doc_id, pos from (select *, count(*) over (partition by doc_id, win) as c from windows where pos + 4 <= n) where c > 1),
+covered as (select doc_id, count(distinct p) as n_repeat_words from (select doc_id, unnest(range(pos, pos + 5)) as p from repeated) group by doc_id),
 lines as (select doc_id, unnest(string_split(t, chr(10))) as line from texts),
 real_lines as (select doc_id, line, len(line) as size,
     len(string_split_regex(trim(line, ' '), '[ \t\n\x0B\f\r]+')) < 8 as short from lines where regexp_matches(line, '[^\x20\x09-\x0D]')),
