@@ -74,19 +74,25 @@ def owner_series(owner_volumes: DataFrame, statuses: DataFrame, name: str = "com
 
 
 def owner_field_series(attributed: DataFrame, derived: DataFrame, key: Column | str = "company",
-                       name: str = "company") -> DataFrame:
+                       name: str = "company", parts: int = 256) -> DataFrame:
     """(owner, field, period) -> energy equivalents, with a known zero where the field was not held.
 
-    The grid is the owner's own fields times the owner's own months. It is built
-    by an equality join on the owner; the facts are joined back on the full key.
+    The grid is the owner's own fields times the owner's own months. An owner's months
+    (bounded by the calendar) and the numbers of its parts (``parts`` at most) are small sets;
+    its fields are dealt over these parts, take the months by (owner, part) and are only then
+    laid out. So an owner of nearly all fields is spread over ``parts`` tasks.
     """
     owner = F.col(key) if isinstance(key, str) else key
     facts = attributed.groupBy(owner.alias(name), "field", "period").agg(
         *[F.sum(s).cast(TOTAL).alias(s) for s in EQUITY_STREAMS]
     )
-    fields = attributed.select(owner.alias(name), "field").distinct()
-    months = attributed.select(owner.alias(name), "period").distinct()
-    grid = fields.join(months, name).join(facts, [name, "field", "period"], "left")
+    part = F.pmod(F.xxhash64("field"), F.lit(parts)).cast("int").alias("part")
+    fields = facts.select(name, "field", part).distinct()
+    months = facts.select(name, "period", part).groupBy(name).agg(
+        F.collect_set("period").alias("periods"), F.collect_set("part").alias("owned")
+    ).select(name, "periods", F.explode("owned").alias("part"))
+    laid = fields.join(months, [name, "part"]).select(name, "field", F.explode("periods").alias("period"))
+    grid = laid.join(facts, [name, "field", "period"], "left")
     filled = grid.select(
         name, "field", "period",
         *[F.coalesce(s, F.lit(0).cast(TOTAL)).alias(s) for s in EQUITY_STREAMS],

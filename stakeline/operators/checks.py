@@ -326,7 +326,7 @@ def build_changes(previous: DataFrame, current: DataFrame) -> DataFrame:
     """One row per comparison of two one-row metadata frames; skipped when there is no previous build."""
     shared = [limit for limit in BUILD_LIMITS if limit[1] in current.columns and limit[1] in previous.columns]
     old = previous.select(*[F.col(c).alias(f"old_{c}") for c in previous.columns])
-    both = one_row(old, current)
+    both = one_row(old, current, missing_ok=True)
 
     def verdict(name: str, column: str, direction: str | None, limit: float) -> Column:
         before, now = F.col(f"old_{column}").cast("double"), F.col(column).cast("double")

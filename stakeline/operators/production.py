@@ -2,11 +2,13 @@
 
 ``prod`` has one or more rows per (field, unit, period):
 ``field, unit, operator, region, location, unit_type, period, <5 streams>,
-gas_pipeline, lon, lat, object_id``.
+gas_pipeline, lon, lat, object_id, reported_at``.
 """
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import scalars as X
@@ -96,8 +98,19 @@ def latest_period(prod: DataFrame) -> Column:
     return prod.select(F.max("period")).scalar()
 
 
+def in_month(prod: DataFrame, period: str) -> DataFrame:
+    """The reports of one YYYYMM month, as a range of the stored date, which a scan can skip by."""
+    first = datetime(int(period[:4]), int(period[4:]), 1)
+    after = datetime(first.year + first.month // 12, first.month % 12 + 1, 1)
+    at = F.col("reported_at")
+    return prod.where((at >= F.lit(str(first)).cast("timestamp_ntz")) & (at < F.lit(str(after)).cast("timestamp_ntz")))
+
+
 def latest_rows(prod: DataFrame) -> DataFrame:
-    return prod.where(F.col("period") == latest_period(prod))
+    """The reports of the last month there is, from the first day of the month of the newest date."""
+    newest = prod.select(F.max("reported_at").alias("m")).select(
+        F.expr("make_timestamp_ntz(year(m), month(m), 1, 0, 0, 0)")).scalar()
+    return prod.where(F.col("reported_at") >= newest)
 
 
 def field_latest(latest_classified: DataFrame) -> DataFrame:

@@ -242,6 +242,27 @@ def _(t: Domain):
     return plain(one_row(L.portfolio_summary(picked), L.ring_extent(shapes)))
 
 
+@entry("Q10_empty", f"""
+select * from (select {PORTFOLIO} from ({PICK}) p where false having count(*) > 0) a cross join ({extent_sql('(select rings from (' + PICK + ') z where false)')}) b""")
+def _(t: Domain):
+    picked = L.filter_subareas(t.subarea_entries, "no-such-group", False, "EXTANT")
+    return plain(one_row(L.portfolio_summary(picked), L.ring_extent(t.subareas.where(F.col("holder_group") == "no such group"))))
+
+
+LONG_AGO = "1800-01-01"
+ACTIVE_THEN = ACTIVE.replace(AS_OF, LONG_AGO)
+
+
+@entry("Q11_empty", f"""
+select * from (select {EP_COUNTS} from ep where {ACTIVE_THEN} having count(*) > 0) a
+cross join ({extent_sql('(select rings from ep where ' + ACTIVE_THEN + ') z')}) b""")
+def _(t: Domain):
+    dated = t.episodes.withColumn("start_date", X.epoch_date(F.col("start_ms"))).withColumn(
+        "end_date", X.epoch_date(F.col("end_ms")))
+    return one_row(L.episode_summary(L.filter_episodes(t.episode_entries, LONG_AGO)),
+                   L.ring_extent(L.filter_episodes(dated, LONG_AGO)))
+
+
 @entry("Q11_licences_as_of", f"""
 select * from (select {EP_COUNTS} from ep where {ACTIVE} having count(*) > 0) a cross join ({extent_sql('(select rings from ep where ' + ACTIVE + ') z')}) b""")
 def _(t: Domain):

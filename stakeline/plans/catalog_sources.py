@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import scalars as X
 from ..functions.volumes import DERIVED_STREAMS, EQUITY_STREAMS, NATIVE_STREAMS
 from ..operators import checks, coverage as C, intervals as I, licence as L, matching as M, production as P
+from ..operators.rows import one_row
 from ..session import scratch_path
 from ..sources import adapters, readers, schemas, sinks
 from .catalog_licence import ENTRY_COLUMNS, EPISODE_COLUMNS
@@ -28,17 +29,17 @@ def landed_csv(t: Domain, rows: DataFrame, name: str) -> str:
 
 @entry("S1_feature_page_scan", "select object_id, field, unit, period, oil_mbd, lon x, lat y from prod")
 def _(t: Domain):
-    return readers.features(adapters.feature_pages(t.prod))
+    return readers.features(t.pages)
 
 
 @entry("S2_column_pruning", "select object_id, field, unit, period, oil_mbd from prod")
 def _(t: Domain):
-    return readers.features(adapters.feature_pages(t.prod), geometry=False)
+    return readers.features(t.pages, geometry=False)
 
 
 @entry("S3_filter_pushdown", "select field, unit, object_id from prod where period = '199806'")
 def _(t: Domain):
-    return t.prod.where(F.col("period") == F.lit("199806")).select("field", "unit", "object_id")
+    return P.in_month(t.prod, "199806").select("field", "unit", "object_id")
 
 
 @entry("S4_statistics_scan", "select min(period) min_value, max(period) max_value, count(*) row_count from prod where oil_mbd > 10")
@@ -203,11 +204,21 @@ def _(t: Domain):
     return lines.select("slug", F.from_json("body", POINT).alias("p")).select("slug", "p.*")
 
 
-@entry("K7_size_conditional_layout", f"""
-select documents, bytes, case when bytes <= {sinks.EMBED_LIMIT} then 'embedded' else 'split' end layout from (
- select count(*) documents, cast(sum(length(to_json({{'field': field, 'period': period}}))) as bigint) bytes from hist) t""")
-def _(t: Domain):
-    return sinks.layout_choice(sinks.combined_size(t.history.select("field", "period")))
+@entry("K7_size_conditional_layout", """
+select 'series' section, count(*) documents, count(*) read_back, cast(sum(length(to_json({'field': field, 'period': period}))) as bigint) bytes from hist
+union all select 'last', count(*), count(*), cast(sum(length(to_json({'field': field, 'period': period}))) as bigint)
+from (select field, max(period) period from hist group by field) l""")
+def _(t: Domain):
+    points = t.history.select("field", "period")
+    out = []
+    for name, rows in (("series", points), ("last", points.groupBy("field").agg(F.max("period").alias("period")))):
+        path = scratch_path(t.spark, "sized")
+        docs = sinks.section(rows.withColumn("slug", X.slugify(F.col("field"))), name, "slug", ["period"])
+        sinks.write_documents(docs, path)
+        lines = t.spark.read.schema("slug string, section string, position string, body string").json(path)
+        back = lines.agg(F.count("body").alias("read_back"), F.sum(F.octet_length("body")).alias("bytes"))
+        out.append(one_row(rows.agg(F.count("*").alias("documents")), back).select(F.lit(name).alias("section"), "documents", "read_back", "bytes"))
+    return out[0].unionByName(out[1])
 
 
 @entry("A54_serialized_size", """

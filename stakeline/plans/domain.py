@@ -49,6 +49,11 @@ class Domain:
     def prod(self) -> DataFrame:
         return adapters.unit_production(self.raw("lineitem"))
 
+    @cached_property
+    def pages(self) -> DataFrame:
+        """The reports as landed pages of a feature service."""
+        return self._stored("pages", lambda: adapters.feature_pages(self.prod))
+
     @cached_property
     def classification(self) -> DataFrame:
         return adapters.unit_classification(self.raw("supplier"))

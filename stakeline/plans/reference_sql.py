@@ -163,11 +163,11 @@ join (select *, row_number() over (partition by field order by unit, object_id,
 where t.unit_count > 0"""
 
 VIEWS["span"] = """
-select *, lead(d) over (partition by fk order by d) nd, lag(d) over (partition by fk order by d) pd from (
- select fk, d, ok, ck from (
-  select o_custkey // 15 fk, o_custkey ck, cast(o_orderdate as date) d, o_orderkey ok,
-   row_number() over (partition by o_custkey // 15, date_trunc('quarter', o_orderdate) order by cast(o_orderdate as date), o_orderkey, o_custkey) rn
-  from orders) t where rn = 1) u"""
+select o.fk, o.d, o.ok, o.ck, t.n, t.nd, t.pd
+from (select o_custkey // 15 fk, o_custkey ck, cast(o_orderdate as date) d, o_orderkey ok from orders) o
+join (select fk, d, n, lead(d) over (partition by fk order by d) nd, lag(d) over (partition by fk order by d) pd
+ from (select o_custkey // 15 fk, cast(o_orderdate as date) d, count(*) n from orders group by 1, 2) g) t
+on o.fk = t.fk and o.d = t.d"""
 
 VIEWS["equity"] = f"""
 select case when fk % 100 = 49 then concat('RETIRED FIELD ', cast(fk as varchar))
@@ -176,20 +176,20 @@ select case when fk % 100 = 49 then concat('RETIRED FIELD ', cast(fk as varchar)
  case when fk % 9 = 0 then 'ONSHORE' else 'OFFSHORE' end on_offshore,
  case when fk % 6 = 0 then 'CEASED' else 'PRODUCING' end status,
  {COMPANY.format('15 * (fk // 10) + (ck - 15 * fk + i) % 15')} company_name,
- cast(pct as double) interest_pct,
+ cast(pct as double) / n interest_pct,
  case when (i = 0 and fk % 8 <> 0) or (i = 2 and fk % 8 = 0) then 'Y' else 'N' end operator_flag,
  s start_date, e end_date,
  case when ok % 61 = 0 then 'Unknown' when e is null or ok % 43 = 0 then 'Current'
   else concat('Previous-', cast(year(s) - case when ok % 31 = 0 then 1 else 0 end as varchar), ' to ', cast(year(e) as varchar)) end period_label
 from (
- select fk, ck, ok, i, case i when 0 then case when ck % 2 = 1 then 62.5 else 60.0 end - case when ok % 291 = 0 then 5.0 else 0.0 end
+ select fk, ck, ok, n, i, case i when 0 then case when ck % 2 = 1 then 62.5 else 60.0 end - case when ok % 291 = 0 then 5.0 else 0.0 end
    when 1 then case when ck % 2 = 1 then 37.5 else 40.0 end else 0.0 end pct, s, e
  from (select *, case when fk % 100 = 37 then make_date(2090, 1, 4) when pd is null and fk % 17 = 4 then make_date(1950, 1, 1) else d end s,
    case when fk % 100 = 37 then null when ok % 123 = 0 and nd is not null then nd + 60
     when ok % 159 = 0 and nd is not null then d + 15 else nd end e from span) x
  cross join (values (0), (1), (2)) k(i) where i < 2 or fk % 4 = 0
  union all
- select fk, ck, ok, 0, 60.0, d, d from span where ok % 29 = 0 and fk % 100 <> 37
+ select fk, ck, ok, n, 0, 60.0, d, d from span where ok % 29 = 0 and fk % 100 <> 37
 ) y"""
 
 VIEWS["renamed"] = f"""

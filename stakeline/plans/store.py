@@ -16,13 +16,15 @@ from ..session import scratch_path
 _TABLES: dict[tuple, tuple[str, object]] = {}
 
 
-def input_version(spark: SparkSession, paths: list[str]) -> tuple[int, ...]:
-    """Modification times of the inputs; a changed input gives other stored tables."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
-    conf = spark._jsc.hadoopConfiguration()
-    return tuple(
-        p.getFileSystem(conf).getFileStatus(p).getModificationTime() for p in (jvm_path(path) for path in paths)
-    )
+def input_version(spark: SparkSession, paths: list[str]) -> tuple:
+    """Name, length and time of every file of the inputs; a changed file gives other stored tables."""
+    conf, found = spark._jsc.hadoopConfiguration(), []
+    for path in (spark._jvm.org.apache.hadoop.fs.Path(p) for p in paths):
+        files = path.getFileSystem(conf).listFiles(path, True)
+        while files.hasNext():
+            status = files.next()
+            found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return tuple(sorted(found))
 
 
 def stored(spark: SparkSession, key: tuple, name: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -36,6 +38,13 @@ def stored(spark: SparkSession, key: tuple, name: str, build: Callable[[], DataF
 
 
 def forget(keep: tuple[str, ...] = ()) -> None:
-    """Makes the next use of every stored table, but those named, build it anew."""
+    """Deletes every stored table but those named; the next use builds it anew.
+
+    Frames that still read a deleted table fail, so this is for between queries.
+    """
+    spark = SparkSession.getActiveSession()
     for key in [k for k in _TABLES if k[-1] not in keep]:
-        del _TABLES[key]
+        path, _ = _TABLES.pop(key)
+        if spark is not None:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -28,13 +28,24 @@ def build_session(app: str = "stakeline", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
+_LOCAL: dict[str, str] = {}
+
+
+def refuse_remote(master: str) -> None:
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that setting is absent, as in tests, is a local folder made.
+    Where that setting is absent, a local master gets a folder of its own; any other master is
+    refused, because its executors would not see one another's files.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    base = base or _LOCAL.get(context.applicationId)
     if not base:
-        base = tempfile.mkdtemp(prefix="spark-stakeline-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", base)
+        refuse_remote(context.master)
+        base = _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="spark-stakeline-", dir="/tmp")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

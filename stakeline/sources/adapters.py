@@ -62,6 +62,7 @@ def unit_production(lineitem: DataFrame) -> DataFrame:
         "-14.0D + (l_partkey % 195) / 10.0D as lon",
         "48.0D + (l_orderkey % 150) / 10.0D as lat",
         "l_orderkey * 10 + l_linenumber as object_id",
+        "l_shipdate as reported_at",
     )
 
 
@@ -81,19 +82,17 @@ def unit_classification(supplier: DataFrame) -> DataFrame:
 
 
 def ownership_spans(orders: DataFrame) -> DataFrame:
-    """The first order of a field in a quarter changes its ownership until the next change.
+    """Every order changes the ownership of its field on its date, until the next date with orders.
 
-    Orders are reduced to one row per (field, quarter) before the window, so a
-    field's window holds as many rows as the calendar has quarters.
+    Orders of one field and date share the interest (``n`` of them). Only the distinct dates of
+    a field pass the window, so it holds as many rows as the calendar has days at most.
     """
-    changes = (
-        orders.selectExpr("o_custkey div 15 as fk", "o_custkey as ck", "cast(o_orderdate as date) as d", "o_orderkey as ok")
-        .groupBy("fk", F.trunc("d", "QUARTER").alias("quarter"))
-        .agg(F.min(F.struct("d", "ok", "ck")).alias("c"))
-        .select("fk", "c.*")
-    )
+    changes = orders.selectExpr(
+        "o_custkey div 15 as fk", "o_custkey as ck", "cast(o_orderdate as date) as d", "o_orderkey as ok")
     w = Window.partitionBy("fk").orderBy("d")
-    return changes.select("*", F.lead("d").over(w).alias("nd"), F.lag("d").over(w).alias("pd"))
+    dates = changes.groupBy("fk", "d").agg(F.count("*").alias("n")).select(
+        "*", F.lead("d").over(w).alias("nd"), F.lag("d").over(w).alias("pd"))
+    return changes.join(dates, ["fk", "d"])
 
 
 def stakes(orders: DataFrame) -> DataFrame:
@@ -112,7 +111,7 @@ def stakes(orders: DataFrame) -> DataFrame:
         "case when ok % 29 = 0 and fk % 100 <> 37 then array(named_struct('i', 0, 'pct', 60.0D, 'point', true)) else array() end"
         ")) as k",
     ).selectExpr(
-        "fk", "ck", "ok", "k.i as i", "k.pct as pct",
+        "fk", "ck", "ok", "k.i as i", "k.pct / n as pct",
         "case when k.point then d else s end as s", "case when k.point then d else e end as e",
     )
     return rows.selectExpr(

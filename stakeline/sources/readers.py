@@ -10,9 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions import scalars as X
 from . import schemas
 
-# fixed value: a feature scan larger than this is refused
-FEATURE_CAP = 500_000
-
 
 class SourceError(RuntimeError):
     """A source does not look the way it must."""
@@ -40,15 +37,6 @@ def repeated_features(rows: DataFrame, key: str = "object_id") -> DataFrame:
     return rows.groupBy(key).agg(F.count("*").alias("copies")).where("copies > 1")
 
 
-def capped(rows: DataFrame, cap: int = FEATURE_CAP) -> DataFrame:
-    """A one-row frame with the row count; evaluating it fails when the scan exceeds the cap."""
-    counted = rows.agg(F.count("*").alias("rows"))
-    complaint = F.concat(F.lit(f"more than {cap} features: "), F.col("rows").cast("string"))
-    return counted.select(
-        F.when(F.col("rows") <= cap, F.col("rows")).otherwise(F.raise_error(complaint).cast("bigint")).alias("rows")
-    )
-
-
 def statistics(rows: DataFrame, column: str, where: Column | None = None) -> DataFrame:
     """Smallest and largest value and row count under a predicate, in one pass."""
     scanned = rows if where is None else rows.where(where)

@@ -5,7 +5,8 @@ from __future__ import annotations
 PRODUCTION = (
     "field string, unit string, operator string, region string, location string, unit_type string, "
     "period string, oil_mbd double, assoc_gas_mmscfd double, dry_gas_mmscfd double, condensate_mbd double, "
-    "water_mbd double, gas_pipeline double, lon double, lat double, object_id bigint"
+    "water_mbd double, gas_pipeline double, lon double, lat double, object_id bigint, "
+    "reported_at timestamp_ntz"
 )
 CLASSIFICATION = ("field string, unit string, classification string, note string")
 ALIASES = ("production_name string, equity_name string")

@@ -16,8 +16,6 @@ from ..functions import scalars as X
 from .readers import _exists
 from ..operators.checks import CheckFailed, require_empty
 
-# fixed value: combined documents up to this many bytes are embedded in their index
-EMBED_LIMIT = 2 * 1024 * 1024
 BUCKETS = 64
 
 
@@ -64,18 +62,13 @@ def combined_size(rows: DataFrame) -> DataFrame:
     )
 
 
-def layout_choice(size: DataFrame, limit: int = EMBED_LIMIT) -> DataFrame:
-    return size.withColumn("layout", F.when(F.col("bytes") <= limit, "embedded").otherwise("split"))
+def write_sized(docs: DataFrame, path: str) -> DataFrame:
+    """Writes documents in the one layout there is for every size, and measures them.
 
-
-def write_sized(docs: DataFrame, path: str, limit: int = EMBED_LIMIT) -> str:
-    """Small sets in one embedded file, larger ones split by bucket; returns the layout used."""
-    layout = layout_choice(combined_size(docs), limit).first()["layout"]
-    if layout == "embedded":
-        docs.coalesce(1).write.mode("errorifexists").json(path)
-    else:
-        write_documents(docs, path)
-    return layout
+    The size is a figure for whoever publishes them; it decides nothing here.
+    """
+    write_documents(docs, path)
+    return combined_size(docs)
 
 
 def point_features(latest: DataFrame) -> DataFrame:

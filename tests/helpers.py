@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
@@ -18,6 +18,8 @@ def production(spark, rows):
                 oil_mbd=None, assoc_gas_mmscfd=None, dry_gas_mmscfd=None, condensate_mbd=None, water_mbd=None,
                 gas_pipeline=None, lon=1.0, lat=55.0)
     full = [{**base, "object_id": i, **r} for i, r in enumerate(rows)]
+    for r in full:
+        r.setdefault("reported_at", r["period"] and datetime(int(r["period"][:4]), int(r["period"][4:]), 15))
     names = [c.strip().split(" ")[0] for c in schemas.PRODUCTION.split(",")]
     return spark.createDataFrame([tuple(r[n] for n in names) for r in full], schemas.PRODUCTION)
 

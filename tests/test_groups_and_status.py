@@ -66,6 +66,20 @@ def test_null_zero_and_absent(spark):
     assert float(filled["F", "202001"]) == 11.0
 
 
+def test_grid_of_one_owner_with_most_fields_is_spread(spark):
+    facts = spark.range(3000).selectExpr(
+        "case when id % 10 < 9 then 'BIG' else concat('S', id) end as company", "concat('F', id) as field",
+        "cast(202001 + id % 12 as string) as period", *[f"cast(1 as decimal(38,12)) as {s}" for s in A.EQUITY_STREAMS])
+    months = spark.range(12).selectExpr("cast(202001 + id as string) as period", "'complete' as liquids_status",
+                                        "'complete' as gas_status", "'complete' as total_status")
+    grid = A.owner_field_series(facts, months)
+    counts = dict(grid.groupBy("company").count().collect())
+    assert counts["BIG"] == 2700 * 11 or counts["BIG"] == 2700 * 12
+    part = F.pmod(F.xxhash64("field"), F.lit(256))
+    sizes = [r["count"] for r in grid.where("company = 'BIG'").groupBy(part).count().collect()]
+    assert len(sizes) > 200 and max(sizes) <= 3 * sorted(sizes)[len(sizes) // 2]
+
+
 def points(spark, data):
     return spark.createDataFrame(data, "company string, period string, stream string, value double, status string").withColumn(
         "value", F.col("value").cast("decimal(18,3)"))

@@ -20,9 +20,6 @@ def test_pages_round_trip(spark, tmp_path):
     assert found.count() == 5 and "x" in found.columns
     assert "x" not in readers.features(pages, geometry=False).columns
     assert rows(readers.repeated_features(found)) == [(3, 2)]
-    assert one(readers.capped(found, 5))["rows"] == 5
-    with pytest.raises(Exception, match="more than 4"):
-        readers.capped(found, 4).collect()
 
 
 def test_csv_contracts(spark, tmp_path):
@@ -77,8 +74,11 @@ def test_documents_by_slug(spark, tmp_path):
     sinks.write_documents(docs, str(tmp_path / "d"), 4)
     assert rows(sinks.read_document(spark, str(tmp_path / "d"), "a", 4), "position", "body") == [
         ("202001", '{"period":"202001","v":1.0}'), ("202002", '{"period":"202002","v":null}')]
-    assert sinks.write_sized(docs, str(tmp_path / "s"), 10_000) == "embedded"
-    assert sinks.write_sized(docs, str(tmp_path / "l"), 10) == "split"
+    many = sinks.section(spark.range(3000).selectExpr("'a' as slug", "lpad(id, 6, '0') as period", "repeat('x', 1000) as v"), "series", "slug", ["period"])
+    for name, written, lines in (("small", docs, 2), ("large", many, 3000)):
+        size = one(sinks.write_sized(written, str(tmp_path / name)))
+        assert size["documents"] == written.count() and size["bytes"] > 0
+        assert sinks.read_document(spark, str(tmp_path / name), "a").count() == lines
 
 
 def test_chart_csv_leaves_null_cells_empty(spark, tmp_path):
@@ -180,3 +180,40 @@ def test_handover_of_latest_attributes_is_deterministic(spark):
     prod = production(spark, [dict(unit="B", region="Z", oil_mbd=1.0), dict(unit="A", region="Y", oil_mbd=1.0)])
     latest = one(P.field_latest(prod.withColumn("unit_class", F.lit("production"))))
     assert latest["region"] == "Y"
+
+
+def test_one_row_of_several_parts(spark):
+    from stakeline.operators.rows import one_row
+
+    a, b = spark.range(1).selectExpr("id as a"), spark.range(1).selectExpr("'x' as b")
+    assert rows(one_row(a, b)) == [(0, "x")]
+    assert rows(one_row(a, b.limit(0))) == []
+    with pytest.raises(Exception, match="several rows"):
+        one_row(spark.range(2).selectExpr("id as a"), b).collect()
+
+
+def test_only_a_local_master_gets_a_folder_of_its_own():
+    from stakeline.session import refuse_remote
+
+    refuse_remote("local[4]")
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]", "k8s://x"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            refuse_remote(master)
+
+
+def test_stored_tables_follow_their_files(spark, tmp_path):
+    import os
+
+    from stakeline.plans import store
+
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    before = store.input_version(spark, [str(tmp_path / "t")])
+    assert before == store.input_version(spark, [str(tmp_path / "t")])
+    spark.range(1).write.mode("append").parquet(str(tmp_path / "t"))
+    assert before != store.input_version(spark, [str(tmp_path / "t")])
+    kept = store.stored(spark, ("test",), "kept-table", lambda: spark.range(2).toDF("id"))
+    path = kept.inputFiles()[0].removeprefix("file://")
+    store.forget(keep=("kept-table",))
+    assert os.path.exists(path) and kept.count() == 2
+    store.forget()
+    assert not os.path.exists(path)
