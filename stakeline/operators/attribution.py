@@ -43,34 +43,37 @@ def _derived_values() -> dict[str, Column]:
     return {"liquids_mboed": liq, "natural_gas_mboed": gas, "total_mboed": liq + gas}
 
 
-def owner_series(owner_volumes: DataFrame, statuses: DataFrame, name: str = "company") -> DataFrame:
-    """(owner, period, stream) -> value, status, coverage.
+def owner_wide(owner_volumes: DataFrame, statuses: DataFrame, name: str = "company") -> DataFrame:
+    """(owner, period) with one struct of value, status and coverage per stream, side by side.
 
     Statuses belong to the month, not to the owner: an unavailable value is null
     for everybody, a component nobody produced is a known zero.
     """
     joined = owner_volumes.join(per_month(statuses), "period")
-    values = _derived_values()
+    short = {"liquids_mboed": "liquids", "natural_gas_mboed": "gas", "total_mboed": "total"}
     native = [
         F.struct(
-            F.lit(s).alias("stream"),
             F.when(F.col(f"{s}_status") != "unavailable", round3(F.col(s))).alias("value"),
-            F.col(f"{s}_status").alias("status"),
-            F.col(f"{s}_coverage_pct").alias("coverage_pct"),
-        )
+            F.col(f"{s}_status").alias("status"), F.col(f"{s}_coverage_pct").alias("coverage_pct"),
+        ).alias(s)
         for s in EQUITY_STREAMS
     ]
-    short = {"liquids_mboed": "liquids", "natural_gas_mboed": "gas", "total_mboed": "total"}
     energy = [
         F.struct(
-            F.lit(s).alias("stream"), round3(c).alias("value"),
-            F.col(f"{short[s]}_status").alias("status"), F.col(f"{short[s]}_pct").alias("coverage_pct"),
-        )
-        for s, c in values.items()
+            round3(c).alias("value"), F.col(f"{short[s]}_status").alias("status"),
+            F.col(f"{short[s]}_pct").alias("coverage_pct"),
+        ).alias(s)
+        for s, c in _derived_values().items()
     ]
-    return joined.select(name, "period", F.explode(F.array(*native, *energy)).alias("p")).select(
-        name, "period", "p.*"
-    )
+    return joined.select(name, "period", *native, *energy)
+
+
+def owner_series(owner_volumes: DataFrame, statuses: DataFrame, name: str = "company") -> DataFrame:
+    """(owner, period, stream) -> value, status, coverage: the rows of ``owner_wide``."""
+    wide = owner_wide(owner_volumes, statuses, name)
+    points = [F.struct(F.lit(s).alias("stream"), *[F.col(s)[c].alias(c) for c in ("value", "status", "coverage_pct")])
+              for s in STREAMS]
+    return wide.select(name, "period", F.explode(F.array(*points)).alias("p")).select(name, "period", "p.*")
 
 
 def owner_field_series(attributed: DataFrame, derived: DataFrame, key: Column | str = "company",
@@ -105,20 +108,14 @@ def owner_field_series(attributed: DataFrame, derived: DataFrame, key: Column |
     )
 
 
-def owner_index(attributed: DataFrame, series: DataFrame, name: str = "company") -> DataFrame:
-    """Span, field count and the values and statuses of the owner's last month."""
+def owner_index(attributed: DataFrame, wide: DataFrame, name: str = "company") -> DataFrame:
+    """Span, field count and the values and statuses of the owner's last month, from ``owner_wide``."""
     counts = attributed.select(name, "field").distinct().groupBy(name).agg(F.count("*").alias("field_count"))
-    wide = series.groupBy(name, "period").agg(*[
-        F.max(F.when(F.col("stream") == s, F.col(c))).alias(f"{s}_{c}") for s in STREAMS for c in ("value", "status")
-    ])
-    columns = [f"{s}_{c}" for s in STREAMS for c in ("value", "status")]
-    last = wide.groupBy(name).agg(
-        F.min("period").alias("first_period"), F.max(F.struct("period", *columns)).alias("newest")
-    )
+    last = wide.groupBy(name).agg(F.min("period").alias("first_period"), F.max(F.struct("period", *STREAMS)).alias("newest"))
     return last.join(counts, name).select(
         name, X.slugify(F.col(name)).alias("slug"), "first_period",
         F.col("newest.period").alias("last_period"), "field_count",
-        *[F.col(f"newest.{c}").alias(c) for c in columns],
+        *[F.col(f"newest.{s}.{c}").alias(f"{s}_{c}") for s in STREAMS for c in ("value", "status")],
     )
 
 

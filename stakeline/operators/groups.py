@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import scalars as X
 from ..functions.volumes import DERIVED_STREAMS, PUBLISHED, TOTAL
+from .attribution import STREAMS
 from .rows import one_row
 
 UNRESOLVED = "Unresolved legal entities"
@@ -85,13 +86,40 @@ def group_series(series: DataFrame, membership: DataFrame) -> DataFrame:
     )
 
 
-def pivot_streams(series: DataFrame, key: str = "grp") -> DataFrame:
-    """Energy equivalents side by side; one row per (key, period)."""
-    return series.where(F.col("stream").isin(*DERIVED_STREAMS)).groupBy(key, "period").agg(
-        *[F.max(F.when(F.col("stream") == s, F.col("value"))).alias(s) for s in DERIVED_STREAMS]
+def group_months(wide: DataFrame, membership: DataFrame) -> DataFrame:
+    """(grp, period): sum, number of known values and the month's status of every stream, side by side."""
+    rated = wide.join(membership, wide["company"] == membership["entity"])
+    return rated.groupBy("grp", "period").agg(*[
+        c for s in STREAMS for c in (
+            F.sum(f"{s}.value").cast(TOTAL).alias(s), F.count(f"{s}.value").alias(f"{s}_present"),
+            F.max(f"{s}.status").alias(f"{s}_status"))
+    ])
+
+
+def month_series(months: DataFrame, membership: DataFrame) -> DataFrame:
+    """``group_series`` from sums laid side by side: they are unpivoted after the shuffle.
+
+    All members of a month share the status of a stream, so counts of complete and of
+    warned values follow from the number of known ones.
+    """
+    sizes = membership.groupBy("grp").agg(F.count("*").alias("members"))
+    points = F.array(*[F.struct(
+        F.lit(s).alias("stream"), F.col(s).alias("value"), F.col(f"{s}_present").alias("present"),
+        F.col(f"{s}_status").alias("month_status")) for s in STREAMS])
+    rows = months.select("grp", "period", F.explode(points).alias("p")).select("grp", "period", "p.*")
+    known = lambda status: F.when(F.col("month_status") == status, F.col("present")).otherwise(0)
+    return rows.join(sizes, "grp").select(
+        "grp", "period", "stream", F.round("value", 3).cast(PUBLISHED).alias("value"),
+        X.group_status(F.col("present"), F.col("members"), known("complete"), known("warning")).alias("status"),
+        "members",
     )
 
 
+def energy_months(months: DataFrame) -> DataFrame:
+    """Energy equivalents side by side; one row per (grp, period)."""
+    return months.select("grp", "period", *[F.round(s, 3).cast(PUBLISHED).alias(s) for s in DERIVED_STREAMS])
+
+
 def review_report(mapping: DataFrame, series: DataFrame, membership: DataFrame) -> DataFrame:
     """Grouping figures as one row.
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import scalars as X
 from ..functions.volumes import DERIVED_STREAMS, NATIVE_STREAMS
@@ -44,7 +47,16 @@ def _(t: Domain):
         for name, (attribute, contract) in SOURCES.items()])
 
 
-@entry("A49_schema_fingerprint")
+def contract_text(contract: str) -> str:
+    """The sorted (name, type) pairs of a column contract as JSON."""
+    fields = sorted((f.name, f.dataType.simpleString()) for f in StructType.fromDDL(contract).fields)
+    return json.dumps([{"name": n, "type": k} for n, k in fields], separators=(",", ":"))
+
+
+@entry("A49_schema_fingerprint", " union all ".join(
+    f"select '{name}' source, sha256('{contract_text(contract)}') fingerprint, "
+    f"{len(StructType.fromDDL(contract).fields)}::bigint as columns, count(*) row_count from {VIEW_OF[name]}"
+    for name, (_, contract) in SOURCES.items()))
 def _(t: Domain):
     return union([
         K.schema_fingerprint(t.spark, getattr(t, attribute)).select(F.lit(name).alias("source"), "fingerprint", "columns").withColumn(
@@ -294,6 +306,53 @@ def _(t: Domain):
     return K.title_changed(previous, current)
 
 
+# --- the same checks over tables with planted violations -------------------------------------
+
+
+@entry("V3_planted", "select field, period, 'oil_mbd' column_name, -cast(oil_mbd as double) as value from hist where period like '%06' and oil_mbd > 0")
+def _(t: Domain):
+    planted = t.history.withColumn("oil_mbd", F.when(F.col("period").endswith("06"), -F.col("oil_mbd")).otherwise(F.col("oil_mbd")))
+    return K.negatives(planted, ["field", "period"], list(NATIVE_STREAMS))
+
+
+@entry("V8_planted", f"""
+select operator, period, 'formula' reason from (select * replace (case when operator = 'OPERATOR 3' then total_mboed + 1 else total_mboed end as total_mboed) from opers) o
+where {FORMULA.format('0.01')}""")
+def _(t: Domain):
+    total = F.col("total_mboed")
+    planted = t.operators.withColumn("total_mboed", F.when(F.col("operator") == "OPERATOR 3", total + 1).otherwise(total))
+    return K.formula_offenders(planted, ["operator", "period"], 0.01)
+
+
+@entry("V11_planted", """
+select field_name, company_name, strftime(start_date, '%Y-%m-%d') start_date, 'end before start' reason from equity where end_date is not null and interest_pct = 0""")
+def _(t: Domain):
+    planted = t.stakes.withColumn("end_date", F.when((F.col("interest_pct") == 0) & F.col("end_date").isNotNull(), F.date_sub("start_date", 1)).otherwise(F.col("end_date")))
+    return plain(K.interval_offenders(planted).select("field_name", "company_name", "start_date", "reason"))
+
+
+@entry("V15_planted_centroid", "select field, slug from latest where regexp_matches(slug, '[13579]$')")
+def _(t: Domain):
+    planted = t.latest.withColumn("lon", F.when(~F.col("slug").rlike("[13579]$"), F.col("lon")))
+    return K.missing_centroid(planted).select("field", "slug")
+
+
+@entry("V19_planted", """
+select h.period, cast(sum(h.total_mboed) as double) fields_total, cast(max(c.total_mboed) + 100000 as double) country_total
+from hist h join country c on c.period = h.period where h.period like '%03' group by h.period""")
+def _(t: Domain):
+    total = F.col("total_mboed")
+    planted = t.country.withColumn("total_mboed", F.when(F.col("period").endswith("03"), total + 100000).otherwise(total))
+    return plain(K.country_offenders(K.fields_against_country(t.history, planted)).select("period", "fields_total", "country_total"))
+
+
+@entry("V20_planted", "select period, cast(total_mboed as double) total_mboed from country where period like '%11'")
+def _(t: Domain):
+    liquids = F.col("liquids_mboed")
+    planted = t.country.withColumn("liquids_mboed", F.when(F.col("period").endswith("11"), liquids + 1).otherwise(liquids))
+    return plain(K.country_parts(planted, 0.01).select("period", "total_mboed"))
+
+
 OLD_SUMS = f"""(select p.field, p.period, {', '.join(f"cast(round(sum(coalesce(cast({s} as decimal(28,12)), 0)), 3) as decimal(18,3)) {s}" for s in FIVE)} from prod p group by 1, 2)"""
 
 

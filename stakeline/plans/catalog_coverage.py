@@ -181,7 +181,7 @@ select s.company, {slug('s.company')} slug, max(f.lo) first_period, max(f.hi) la
 from series s join (select company, min(period) lo, max(period) hi, count(distinct field) n from att group by company) f
  on f.company = s.company and f.hi = s.period group by s.company""")
 def _(t: Domain):
-    return plain(A.owner_index(t.facts, t.series))
+    return plain(A.owner_index(t.facts, t.owner_wide))
 
 
 # --- groups ----------------------------------------------------------------------------

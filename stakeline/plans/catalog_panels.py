@@ -135,7 +135,7 @@ def _(t: Domain):
 
 @entry("Q2_by_legal_entity", by_owner_sql("swide", "company"))
 def _(t: Domain):
-    series = R.top_n_direct(G.pivot_streams(t.series, "company"), "company", TOTAL)
+    series = R.top_n_direct(t.owner_wide.select("company", "period", F.col(TOTAL)["value"].alias(TOTAL)), "company", TOTAL)
     return plain(P.annual_average(series, ["label"], [TOTAL]))
 
 

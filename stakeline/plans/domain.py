@@ -196,6 +196,10 @@ class Domain:
     def owner_volumes(self) -> DataFrame:
         return attribution.owner_months(self.facts)
 
+    @cached_property
+    def owner_wide(self) -> DataFrame:
+        return attribution.owner_wide(self.owner_volumes, coverage.month_statuses(self.months))
+
     @cached_property
     def series(self) -> DataFrame:
         return attribution.owner_series(self.owner_volumes, coverage.month_statuses(self.months))
@@ -222,15 +226,16 @@ class Domain:
 
     @cached_property
     def group_series(self) -> DataFrame:
-        return groups.group_series(self.series, self.membership)
+        return groups.month_series(groups.group_months(self.owner_wide, self.membership), self.membership)
 
     @cached_property
     def group_overview(self) -> DataFrame:
-        return groups.group_series(self.series, self.collapsed)
+        return groups.month_series(groups.group_months(self.owner_wide, self.collapsed), self.collapsed)
 
     @cached_property
     def group_wide(self) -> DataFrame:
-        return self._stored("group_wide", lambda: groups.pivot_streams(self.group_overview))
+        return self._stored("group_wide", lambda: groups.energy_months(
+            groups.group_months(self.owner_wide, self.collapsed)))
 
     @cached_property
     def group_fields(self) -> DataFrame:

@@ -119,3 +119,18 @@ def test_breakdown_check(spark):
     parts = spark.createDataFrame([("G", "1", 1.5), ("G", "1", 1.5), ("G", "2", 1.0), ("G", "3", 2.0)], "grp string, period string, total_mboed double")
     bad = K.parts_offenders(K.parts_against_group(groups, parts, F.lit(0.01)))
     assert [r[0] for r in rows(bad, "period")] == ["2", "3"]
+
+
+def test_side_by_side_sums_give_the_same_group_series(spark):
+    statuses = spark.createDataFrame([("202001", "complete"), ("202002", "unavailable"), ("202003", "warning")], "period string, s string")
+    statuses = statuses.select("period", *[F.col("s").alias(f"{x}_status") for x in (*A.EQUITY_STREAMS, "liquids", "gas", "total")],
+                               *[F.lit(99.0).alias(f"{x}_coverage_pct") for x in A.EQUITY_STREAMS],
+                               *[F.lit(99.0).alias(f"{x}_pct") for x in ("liquids", "gas", "total")])
+    volumes = spark.createDataFrame([("A", "202001", 1), ("B", "202001", 2), ("A", "202002", 3), ("C", "202003", 5)], "company string, period string, v int")
+    volumes = volumes.select("company", "period", *[F.col("v").cast("decimal(38,12)").alias(s) for s in A.EQUITY_STREAMS])
+    members = spark.createDataFrame([("A", "G"), ("B", "G"), ("C", "H")], "entity string, grp string")
+    wide = A.owner_wide(volumes, statuses)
+    slow = G.group_series(A.owner_series(volumes, statuses), members)
+    fast = G.month_series(G.group_months(wide, members), members)
+    assert sorted(map(tuple, fast.collect()), key=repr) == sorted(map(tuple, slow.select(fast.columns).collect()), key=repr)
+    assert G.energy_months(G.group_months(wide, members)).count() == 3
