@@ -110,6 +110,16 @@ def window_of(prod: DataFrame) -> tuple[Column, Column]:
     )
 
 
+def join_months(months: DataFrame, facts: DataFrame) -> DataFrame:
+    """Left outer join on (equity_field, month_start).
+
+    Unmatched fields join under a name of their own, so they don't meet under one null key.
+    """
+    own = F.coalesce("equity_field", F.concat(F.lit("\0"), "field"))
+    found = facts.withColumnRenamed("equity_field", "join_field")
+    return months.withColumn("join_field", own).join(found, ["join_field", "month_start"], "left").drop("join_field")
+
+
 def resolve(history: DataFrame, matches: DataFrame, stakes: DataFrame, today_month: str,
             first: Column, last: Column) -> DataFrame:
     """(field, period) with its category, match method and active-interest figures.
@@ -120,7 +130,7 @@ def resolve(history: DataFrame, matches: DataFrame, stakes: DataFrame, today_mon
     """
     by_field = matched_starts(matches, stakes)
     keyed = history.join(by_field, "field", "left")
-    joined = keyed.join(month_facts(stakes, first, last), ["equity_field", "month_start"], "left")
+    joined = join_months(keyed, month_facts(stakes, first, last))
     active = F.coalesce("active_rows", F.lit(0))
     total = F.coalesce("positive_sum", F.lit(0).cast("decimal(38,6)"))
     rounded = F.round(total, 4)
@@ -155,9 +165,7 @@ def resolve_latest(latest: DataFrame, matches: DataFrame, stakes: DataFrame, mon
     """The single-month form: five categories, for fields that produce in the latest ``month``."""
     dated = latest.withColumn("month_start", X.month_start(F.col("period")))
     by_field = matched_starts(matches, stakes)
-    joined = dated.join(by_field, "field", "left").join(
-        month_facts(stakes, month, month), ["equity_field", "month_start"], "left"
-    )
+    joined = join_months(dated.join(by_field, "field", "left"), month_facts(stakes, month, month))
     active = F.coalesce("active_rows", F.lit(0))
     total = F.coalesce("positive_sum", F.lit(0).cast("decimal(38,6)"))
     category = (
@@ -285,7 +293,7 @@ def join_active(months: DataFrame, stakes: DataFrame, first: Column, last: Colum
     laid = lay_out(stakes, first, last).select(
         F.col("field_name").alias("equity_field"), "month_start", "company_name", "interest_pct", "start_date", "end_date"
     )
-    return months.join(laid, ["equity_field", "month_start"], "left")
+    return join_months(months, laid)
 
 
 def field_documents_summary(published: DataFrame, stakes: DataFrame) -> DataFrame:

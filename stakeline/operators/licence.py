@@ -75,15 +75,18 @@ def portfolio_summary(entries: DataFrame) -> DataFrame:
     return portfolio_counts(entries).where(F.col("distinct_subarea_count") > 0)
 
 
-def episode_entries(episodes: DataFrame) -> DataFrame:
-    """One published row per episode; there is no ownership percentage in the source and none here."""
+def episode_entries(episodes: DataFrame, *more: str) -> DataFrame:
+    """One published row per episode; there is no ownership percentage in the source and none here.
+
+    ``more`` names further source columns to carry, such as the rings.
+    """
     return episodes.select(
         F.col("object_id").alias("episode_id"),
         F.coalesce(F.col("history") == "N", F.lit(False)).alias("is_current_episode"),
         "licence_number", "licence_reference", "block_reference", "licence_status",
         X.epoch_date(F.col("start_ms")).alias("start_date"),
         X.epoch_date(F.col("end_ms")).alias("end_date"),
-        "licensee_names", "licensee_group", "operator_names", "operator_group", "admin_org", "admin_group",
+        "licensee_names", "licensee_group", "operator_names", "operator_group", "admin_org", "admin_group", *more,
     )
 
 

@@ -64,34 +64,40 @@ def field_history(classified: DataFrame) -> DataFrame:
     )
 
 
+def month_number(period: Column) -> Column:
+    return period.cast("int")
+
+
+def month_text(number: Column) -> Column:
+    return F.lpad(number.cast("string"), 6, "0")
+
+
 def current_attributes(classified: DataFrame) -> DataFrame:
     """Region, location and operator of the field's most recent production month.
 
-    A maximum over a struct is combined on the map side, so a field with very
-    many reports still sends one row per task. Ties within the month go to the
-    first row in source order.
+    Raw reports are hashed by the attributes they carry with a number as the only
+    aggregate (month first, then the earliest row in source order), so nothing is
+    sorted; the few combinations of a field are compared after that.
     """
-    newest = F.max(F.struct("period", (-F.col("object_id")).alias("o"), *CURRENT))
-    return (
-        production_rows(classified)
-        .groupBy("field")
-        .agg(newest.alias("newest"))
-        .select("field", *[F.col(f"newest.{c}").alias(c) for c in CURRENT])
-    )
+    newest = month_number(F.col("period")).cast("decimal(6,0)") * F.lit("1" + "0" * 20).cast("decimal(21,0)") - F.col("object_id")
+    combinations = production_rows(classified).groupBy("field", *CURRENT).agg(F.max(newest.cast("decimal(38,0)")).alias("newest"))
+    return combinations.groupBy("field").agg(F.max(F.struct("newest", *CURRENT)).alias("last")).select(
+        "field", *[F.col(f"last.{c}").alias(c) for c in CURRENT])
 
 
 def unit_spans(classified: DataFrame) -> DataFrame:
-    """First and last month of every unit, with the type of its first row in source order."""
-    return (
-        classified.groupBy("field", "unit_class", "unit")
-        .agg(
-            F.min("period").alias("first_period"),
-            F.max("period").alias("last_period"),
-            F.min(F.struct("object_id", "unit_type")).alias("first_row"),
-        )
-        .select("field", "unit_class", "unit", "first_period", "last_period",
-                F.col("first_row.unit_type").alias("unit_type"))
-    )
+    """First and last month of every unit, with the type of its first row in source order.
+
+    Hashed by unit and type with numbers only; a unit's few types meet in the second step.
+    """
+    month = month_number(F.col("period"))
+    types = classified.groupBy("field", "unit_class", "unit", "unit_type").agg(
+        F.min(month).alias("first"), F.max(month).alias("last"), F.min("object_id").alias("object_id"))
+    return types.groupBy("field", "unit_class", "unit").agg(
+        F.min("first").alias("first"), F.max("last").alias("last"),
+        F.min(F.struct("object_id", "unit_type")).alias("first_row"),
+    ).select("field", "unit_class", "unit", month_text(F.col("first")).alias("first_period"),
+             month_text(F.col("last")).alias("last_period"), F.col("first_row.unit_type").alias("unit_type"))
 
 
 def latest_period(prod: DataFrame) -> Column:

@@ -188,9 +188,7 @@ def _(t: Domain):
 
 @entry("K5_episode_features", f"select episode_id, is_current_episode, start_date, end_date, operator_group, {SHAPE_SQL} shape from ep where len(rings) > 0")
 def _(t: Domain):
-    entries = L.episode_entries(L.with_rings(t.episodes))
-    rows = entries.join(t.episodes.select(F.col("object_id").alias("episode_id"), "rings"), "episode_id")
-    return sinks.polygon_features(rows).select(
+    return sinks.polygon_features(L.episode_entries(L.with_rings(t.episodes), "rings")).select(
         "properties.episode_id", "properties.is_current_episode", "properties.start_date", "properties.end_date",
         "properties.operator_group", F.col("geometry_type").alias("shape"))
 
