@@ -141,21 +141,26 @@ def future_only_fields(stakes: DataFrame, latest_month: str) -> DataFrame:
     return firsts.where(F.col("first_month") > F.lit(latest_month).cast("date"))
 
 
-def label_audit(stakes: DataFrame) -> DataFrame:
-    """Label forms, and labels that disagree with the dates."""
+def label_disagrees() -> Column:
+    """Whether a label contradicts the dates of its row."""
     label = F.coalesce("period_label", F.lit(""))
     kind = X.label_kind(label)
     first, last = X.label_years(label)
     wrong_current = (kind == "current") & F.col("end_date").isNotNull()
-    wrong_years = (kind == "previous") & ~(
+    return wrong_current | ((kind == "previous") & ~(
         first.eqNullSafe(F.year("start_date")) & last.eqNullSafe(F.year("end_date"))
-    )
+    ))
+
+
+def label_audit(stakes: DataFrame) -> DataFrame:
+    """Label forms, and labels that disagree with the dates."""
+    kind = X.label_kind(F.coalesce("period_label", F.lit("")))
     return stakes.agg(
         F.count("*").alias("total_rows"),
         F.count_if(kind == "current").alias("current_form"),
         F.count_if(kind == "previous").alias("previous_form"),
         F.count_if(kind == "other").alias("other_form"),
-        F.count_if(wrong_current | wrong_years).alias("mismatches"),
+        F.count_if(label_disagrees()).alias("mismatches"),
     )
 
 

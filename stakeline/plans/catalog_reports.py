@@ -10,9 +10,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions import scalars as X
 from ..functions.volumes import EQUITY_STREAMS, TOTAL
-from ..sources import adapters
+from ..operators import diagnostics, intervals, licence
+from ..session import scratch_path
+from ..sources import adapters, sinks
 from .domain import CANDIDATE_STARTS, Domain
+from .reference_sql import slug
 from .registry import ENTRIES, entry
 from .shape import plain
 
@@ -68,6 +72,70 @@ def _(t: Domain):
         t.raw("orders").select(F.count(F.lit(1))).scalar().alias("orders"), "in_intervals")
 
 
+# --- what a report names, as rows --------------------------------------------------------------
+
+
+@entry("A1_unit_rows", "select distinct field, unit, unit_class, unit_type, period from latestc")
+def _(t: Domain):
+    return t.latest_classified.select("field", "unit", "unit_class", "unit_type", "period").distinct()
+
+
+@entry("A26_gap_rows", f"""
+select field, period, category, {', '.join(f"cast({s} as double) {s}" for s in EQUITY_STREAMS)} from fm
+where category in ({', '.join(f"'{c}'" for c in intervals.GAP_CATEGORIES)})""")
+def _(t: Domain):
+    return plain(t.resolved.where(F.col("category").isin(*intervals.GAP_CATEGORIES)).select("field", "period", "category", *EQUITY_STREAMS))
+
+
+@entry("A30_mismatch_rows", """
+select field_name, company_name, strftime(start_date, '%Y-%m-%d') start_date, strftime(end_date, '%Y-%m-%d') end_date, period_label from equity
+where (period_label = 'Current' and end_date is not null) or (period_label like 'Previous-%' and
+ period_label <> concat('Previous-', cast(year(start_date) as varchar), ' to ', coalesce(cast(year(end_date) as varchar), '')))""")
+def _(t: Domain):
+    return plain(t.stakes.where(diagnostics.label_disagrees()).select("field_name", "company_name", "start_date", "end_date", "period_label"))
+
+
+@entry("A36_mapping_names", "select status, basis, display_group, entity from mapping")
+def _(t: Domain):
+    return t.mapping.select("status", "basis", "display_group", "entity")
+
+
+@entry("A37_subarea_rows", f"select grp, {slug('grp')} slug, licence_reference, block_reference, subarea_name, operated, licence_status from entry")
+def _(t: Domain):
+    named = t.subarea_entries.withColumn("grp", licence.holder_or_unmapped(F.col("display_group")))
+    return named.select("grp", X.slugify(F.col("grp")).alias("slug"), "licence_reference", "block_reference",
+                        "subarea_name", "operated", "licence_status")
+
+
+@entry("A47_field_interval_rows", """
+select m.field, e.company_name, e.interest_pct, strftime(e.start_date, '%Y-%m-%d') start_date, strftime(e.end_date, '%Y-%m-%d') end_date, e.operator_flag
+from matched m join equity e on e.field_name = m.equity_field""")
+def _(t: Domain):
+    own = t.matches.where("equity_field is not null").select("field", F.col("equity_field").alias("field_name"))
+    return plain(t.stakes.join(own, "field_name").select("field", "company_name", "interest_pct", "start_date", "end_date", "operator_flag"))
+
+
+@entry("A47_field_period_rows", "select field, period, category, cast(positive_sum as double) positive_sum from pub")
+def _(t: Domain):
+    return plain(t.published.select("field", "period", "category", "positive_sum"))
+
+
+@entry("K10_field_documents", f"""
+select {slug('m.field')} slug, 'intervals' section, concat_ws('|', strftime(e.start_date, '%Y-%m-%d'), e.company_name) as position, count(*) as lines
+from matched m join equity e on e.field_name = m.equity_field group by 1, 2, 3
+union all select {slug('field')}, 'periods', period, count(*) from pub group by 1, 2, 3""")
+def _(t: Domain):
+    own = t.matches.where("equity_field is not null").select("field", F.col("equity_field").alias("field_name"))
+    held = plain(t.stakes.join(own, "field_name").select("field", "start_date", "company_name", "interest_pct", "end_date"))
+    months = plain(t.published.select("field", "period", "category", "positive_sum"))
+    slugged = lambda rows: rows.withColumn("slug", X.slugify(F.col("field"))).drop("field")
+    path = scratch_path(t.spark, "field-documents")
+    sinks.write_documents(sinks.documents([sinks.section(slugged(held), "intervals", "slug", ["start_date", "company_name"]),
+                                           sinks.section(slugged(months), "periods", "slug", ["period"])]), path)
+    lines = t.spark.read.schema("slug string, section string, position string, body string").json(path)
+    return lines.groupBy("slug", "section", "position").agg(F.count("body").alias("lines"))
+
+
 report("Q15_latest_checkpoint_report", [
     Part("categories", "Q15_latest_join_checkpoint", ("category",), ("field_count", "distinct_fields", "attributed_rows", *VOLUMES)),
     Part("coverage", "A57_latest_coverage_report", ("category",), ("fields", *VOLUMES)),
