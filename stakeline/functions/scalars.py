@@ -78,12 +78,15 @@ def normalize_period_input(raw: Column, edge: str) -> Column:
     if edge not in ("start", "end"):
         raise ValueError("edge must be 'start' or 'end'")
     text = F.trim(raw)
-    full = r"^(\d{4})[-/ ]?(\d{2})$"
-    month = F.regexp_extract(text, full, 2)
-    whole = F.concat(F.regexp_extract(text, full, 1), month)
+    digits = F.translate(text, "-/ ", "")
+    size, whole = F.length(text), F.length(digits)
+    numeric = F.translate(digits, "0123456789", "") == ""
+    # one separator at most, behind the year
+    placed = (size == whole) | ((size == whole + 1) & F.substring(text, 5, 1).isin("-", "/", " "))
+    month = F.substring(digits, 5, 2).between("01", "12")
     return (
-        F.when(text.rlike(full) & month.between("01", "12"), whole)
-        .when(text.rlike(r"^\d{4}$"), F.concat(text, F.lit("01" if edge == "start" else "12")))
+        F.when(numeric & placed & (whole == 6) & month, digits)
+        .when(numeric & (size == 4) & (whole == 4), F.concat(text, F.lit("01" if edge == "start" else "12")))
     )
 
 
@@ -136,18 +139,16 @@ def label_years(label: Column) -> tuple[Column, Column]:
 
 def split_holders(text: Column) -> Column:
     """'NAME (85%), NAME2 (15%)' -> array of (name, pct); parts of another shape are skipped."""
-    pattern = r"^\s*(.*?)\s*\(([\d.]+)\s*%\)\s*$"
+    def parsed(piece: Column) -> Column:
+        whole = F.rtrim(piece)
+        bracket = F.substring_index(whole, "(", -1)
+        number = F.rtrim(F.left(bracket, F.length(bracket) - 2))
+        shaped = whole.contains("(") & bracket.endswith("%)") & (F.translate(number, "0123456789.", "") == "")
+        name = F.trim(F.left(whole, F.length(whole) - F.length(bracket) - 1))
+        return F.struct(name.alias("name"), F.when(shaped, number.try_cast("double")).alias("pct"))
 
     pieces = F.split(F.coalesce(text, F.lit("")), ",")
-    shaped = F.filter(pieces, lambda p: p.rlike(pattern))
-    parsed = F.transform(
-        shaped,
-        lambda p: F.struct(
-            F.trim(F.regexp_extract(p, pattern, 1)).alias("name"),
-            F.regexp_extract(p, pattern, 2).try_cast("double").alias("pct"),
-        ),
-    )
-    return F.filter(parsed, lambda h: h["pct"].isNotNull())
+    return F.filter(F.transform(pieces, parsed), lambda h: h["pct"].isNotNull())
 
 
 def row_holder(text: Column, pct: Column, tolerance: float = 1e-6) -> Column:

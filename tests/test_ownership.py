@@ -1,5 +1,6 @@
 import random
-from datetime import date
+from collections import defaultdict
+from datetime import date, timedelta
 
 import pytest
 from helpers import day, history, one, rows, stakes
@@ -91,25 +92,32 @@ def test_attribution_and_conservation(spark):
 
 
 def brute(months, intervals):
-    """Straight loops over the definition."""
-    out = {}
-    for f, period in months:
-        m = date(int(period[:4]), int(period[4:]), 1)
-        own = [i for i in intervals if i[0] == f]
-        act = [i for i in own if day(i[3]) <= m and (i[4] is None or m < day(i[4]))]
-        if not own:
-            out[f, period] = "no_equity_history"
-        elif not act:
-            first = min(day(i[3]) for i in own).replace(day=1)
-            begins = [day(i[3]) for i in own if day(i[3]).replace(day=1) == m]
-            out[f, period] = ("future_only" if first > date(2026, 9, 1) else "pre_equity_history") if m < first else (
-                "month_start_boundary" if any(b.day > 1 for b in begins) else "genuine_interval_gap")
-        else:
-            total = sum(i[2] for i in act)
-            names_seen = [i[1] for i in act]
-            out[f, period] = ("quarantined" if len(set(names_seen)) < len(names_seen) or total > 100.5
-                              else "e1_sum_mismatch" if abs(total - 100) > 0.5 else "resolved")
-    return out
+    """Month sheets: walking day by day, an interval is entered on the sheet of each month it is in force on the first of."""
+    sheets, begun = defaultdict(list), defaultdict(list)
+    for f, company, share, start, end, *_ in intervals:
+        at, stop = day(start), day(end) if end else date(2031, 1, 1)
+        begun[f].append(at)
+        while at < stop:
+            if at.day == 1:
+                sheets[f, f"{at:%Y%m}"].append((company, share))
+            at += timedelta(days=1)
+
+    def empty_sheet(f, period):
+        opening = min(f"{b:%Y%m}" for b in begun[f])
+        if period < opening:
+            return "future_only" if opening > "202609" else "pre_equity_history"
+        started = [b.day for b in begun[f] if f"{b:%Y%m}" == period]
+        return "month_start_boundary" if max(started, default=1) > 1 else "genuine_interval_gap"
+
+    def judged(f, period):
+        sheet = sheets[f, period]
+        if not sheet:
+            return empty_sheet(f, period) if begun[f] else "no_equity_history"
+        off = sum(share for _, share in sheet) - 100
+        if off > 0.5 or len(dict(sheet)) != len(sheet):
+            return "quarantined"
+        return "resolved" if off >= -0.5 else "e1_sum_mismatch"
+    return {key: judged(*key) for key in months}
 
 
 @pytest.mark.parametrize("partitions", ["1", "7"])
