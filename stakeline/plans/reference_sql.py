@@ -176,7 +176,7 @@ select case when fk % 100 = 49 then concat('RETIRED FIELD ', cast(fk as varchar)
  case when fk % 9 = 0 then 'ONSHORE' else 'OFFSHORE' end on_offshore,
  case when fk % 6 = 0 then 'CEASED' else 'PRODUCING' end status,
  {COMPANY.format('15 * (fk // 10) + (ck - 15 * fk + i) % 15')} company_name,
- cast(pct as double) / n interest_pct,
+ round(cast(pct as double) / n, 4) interest_pct,
  case when (i = 0 and fk % 8 <> 0) or (i = 2 and fk % 8 = 0) then 'Y' else 'N' end operator_flag,
  s start_date, e end_date,
  case when ok % 61 = 0 then 'Unknown' when e is null or ok % 43 = 0 then 'Current'

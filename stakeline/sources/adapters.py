@@ -111,7 +111,7 @@ def stakes(orders: DataFrame) -> DataFrame:
         "case when ok % 29 = 0 and fk % 100 <> 37 then array(named_struct('i', 0, 'pct', 60.0D, 'point', true)) else array() end"
         ")) as k",
     ).selectExpr(
-        "fk", "ck", "ok", "k.i as i", "k.pct / n as pct",
+        "fk", "ck", "ok", "k.i as i", "round(k.pct / n, 4) as pct",
         "case when k.point then d else s end as s", "case when k.point then d else e end as e",
     )
     return rows.selectExpr(
