@@ -6,7 +6,7 @@ are closer than ``MARGIN`` of the second, the guess is rejected (``accepted`` is
 names the best. Only letters count: others become single blanks, and case is folded.
 
 Dictionaries are learned from at most ``SAMPLE_ROWS`` labelled rows per language, those with the smallest
-hash of their id (a documented bound); at most ``LANGUAGES`` languages are accepted. Everything else reads
+hash of their id (a documented bound; of rows that repeat an id, the smallest text); at most ``LANGUAGES`` languages are accepted. Everything else reads
 all rows, and texts are encoded whole.
 
 Defined cases: null texts and texts without a letter get ``und``, score 0, not accepted; ties go to the
@@ -60,8 +60,8 @@ def learn(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
         return {}
     found = {(r["id"], r["lang"]): r["rank"] for r in picked.collect()}
     ids = rows.sparkSession.createDataFrame([(k[0], k[1]) for k in found], picked.select("id", "lang").schema)
-    shares = rows.join(F.broadcast(ids), ["id", "lang"]).select(
-        "id", "lang", F.substring("text", 1, DICTIONARY_BYTES).alias("text")).dropDuplicates(["id", "lang"])
+    shares = rows.join(F.broadcast(ids), ["id", "lang"]).groupBy("id", "lang").agg(
+        F.min(F.substring("text", 1, DICTIONARY_BYTES)).alias("text"))
     samples: dict[str, list] = {}
     for r in shares.collect():  # at most sample_rows x languages rows
         samples.setdefault(r["lang"], []).append((found[(r["id"], r["lang"])], r["text"]))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .frames import id_and_text, map_arrow
 
-UNIT, MIN_WORDS = "sentence", 12
+UNIT, MIN_WORDS = "sentence", 14
 _CUT = {
     "sentence": re.compile(r"(?<=[.!?])\s+|\n+"),
     "line": re.compile(r"\n+"),
