@@ -111,9 +111,9 @@ FORMULA = """(abs(cast(liquids_mboed as double) - (cast(oil_mbd as double) + cas
  or abs(cast(total_mboed as double) - (cast(oil_mbd as double) + cast(condensate_mbd as double) + (cast(dry_gas_mmscfd as double) + cast(assoc_gas_mmscfd as double)) / 6)) > {0})"""
 
 
-@entry("V8_derived_formula", f"select operator, period, 'formula' reason from opers where {FORMULA.format('0.002')}")
+@entry("V8_derived_formula", f"select operator, period, 'formula' reason from opers where {FORMULA.format('0.01')}")
 def _(t: Domain):
-    return K.formula_offenders(t.operators, ["operator", "period"], 0.002)
+    return K.formula_offenders(t.operators, ["operator", "period"], 0.01)
 
 
 @entry("V9_unclassified_storage_like", """
@@ -232,9 +232,13 @@ def _(t: Domain):
 @entry("V18_breakdown_reconciles", """
 select g.grp, g.period, cast(g.total_mboed as double) total_mboed, cast(f.v as double) parts_total from gowide g
 left join (select grp, period, sum(total_mboed) v, count(total_mboed) n from gfs group by 1, 2) f on f.grp = g.grp and f.period = g.period
-where (g.total_mboed is null and coalesce(f.n, 0) > 0) or abs(g.total_mboed - coalesce(f.v, 0)) > 0.0015""")
+join (select grp, count(*) m from collapsed group by grp) s on s.grp = g.grp
+where (g.total_mboed is null and coalesce(f.n, 0) > 0) or
+ cast(abs(g.total_mboed - coalesce(f.v, 0)) as double) > 8 * 0.5e-3 * sqrt((coalesce(f.n, 0) + s.m) / 3.0)""")
 def _(t: Domain):
-    compared = K.parts_against_group(t.group_wide, t.group_fields, F.lit(0.0015))
+    sizes = t.collapsed.groupBy("grp").agg(F.count("*").alias("members"))
+    bound = X.rounding_tolerance(F.coalesce("parts_known", F.lit(0)), F.col("members"))
+    compared = K.parts_against_group(t.group_wide.join(sizes, "grp"), t.group_fields, bound)
     return plain(K.parts_offenders(compared).select("grp", "period", "total_mboed", "parts_total"))
 
 
@@ -247,9 +251,9 @@ def _(t: Domain):
 
 
 @entry("V20_country_parts", """
-select period, cast(total_mboed as double) total_mboed from country where abs(total_mboed - liquids_mboed - natural_gas_mboed) >= 0.001""")
+select period, cast(total_mboed as double) total_mboed from country where abs(total_mboed - liquids_mboed - natural_gas_mboed) > 0.01""")
 def _(t: Domain):
-    return plain(K.country_parts(t.country, 0.0005).select("period", "total_mboed"))
+    return plain(K.country_parts(t.country, 0.01).select("period", "total_mboed"))
 
 
 @entry("V21_episode_dates", """
@@ -346,6 +350,18 @@ def _(t: Domain):
     return plain(K.country_offenders(K.fields_against_country(t.history, planted)).select("period", "fields_total", "country_total"))
 
 
+@entry("V18_planted", """
+select g.grp, g.period, cast(g.total_mboed + 50 as double) total_mboed, cast(f.v as double) parts_total from gowide g
+join (select grp, period, sum(total_mboed) v from gfs group by 1, 2) f on f.grp = g.grp and f.period = g.period
+where g.period like '%05' and g.total_mboed is not null""")
+def _(t: Domain):
+    sizes = t.collapsed.groupBy("grp").agg(F.count("*").alias("members"))
+    total = F.col("total_mboed")
+    planted = t.group_wide.join(sizes, "grp").withColumn("total_mboed", F.when(F.col("period").endswith("05"), total + 50).otherwise(total))
+    bound = X.rounding_tolerance(F.coalesce("parts_known", F.lit(0)), F.col("members"))
+    return plain(K.parts_offenders(K.parts_against_group(planted, t.group_fields, bound)).select("grp", "period", "total_mboed", "parts_total"))
+
+
 @entry("V20_planted", "select period, cast(total_mboed as double) total_mboed from country where period like '%11'")
 def _(t: Domain):
     liquids = F.col("liquids_mboed")
