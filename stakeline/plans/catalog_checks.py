@@ -351,13 +351,13 @@ def _(t: Domain):
 
 
 @entry("V18_planted", """
-select g.grp, g.period, cast(g.total_mboed + 50 as double) total_mboed, cast(f.v as double) parts_total from gowide g
-join (select grp, period, sum(total_mboed) v from gfs group by 1, 2) f on f.grp = g.grp and f.period = g.period
-where g.period like '%05' and g.total_mboed is not null""")
+select g.grp, g.period, cast(coalesce(g.total_mboed, 0) + 50 as double) total_mboed, cast(f.v as double) parts_total from gowide g
+left join (select grp, period, sum(total_mboed) v from gfs group by 1, 2) f on f.grp = g.grp and f.period = g.period
+where g.period like '%05'""")
 def _(t: Domain):
     sizes = t.collapsed.groupBy("grp").agg(F.count("*").alias("members"))
     total = F.col("total_mboed")
-    planted = t.group_wide.join(sizes, "grp").withColumn("total_mboed", F.when(F.col("period").endswith("05"), total + 50).otherwise(total))
+    planted = t.group_wide.join(sizes, "grp").withColumn("total_mboed", F.when(F.col("period").endswith("05"), F.coalesce(total, F.lit(0)) + 50).otherwise(total))
     bound = X.rounding_tolerance(F.coalesce("parts_known", F.lit(0)), F.col("members"))
     return plain(K.parts_offenders(K.parts_against_group(planted, t.group_fields, bound)).select("grp", "period", "total_mboed", "parts_total"))
 
