@@ -1,6 +1,7 @@
 """Every named query against its check statement; SF_DIR chooses the data."""
 
 import os
+import subprocess
 import sys
 
 import pytest
@@ -31,3 +32,14 @@ def test_every_inventory_id_is_registered():
     found = {name.split("_")[0] for name in QUERIES}
     sizes = {"S": 18, "K": 13, "P": 24, "J": 25, "A": 59, "W": 9, "T": 11, "U": 7, "X": 24, "V": 26, "Q": 17}
     assert {f"{letter}{i}" for letter, n in sizes.items() for i in range(1, n + 1)} - found == set()
+
+
+def test_queries_and_statements_are_made_without_a_session():
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = "import __spark_entry__ as e; q, s = e.queries(), e.oracle_sql(); assert set(s) <= set(q); print(len(q))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr[-500:]
+
+
+def test_every_query_of_the_engine_has_a_statement():
+    assert set(QUERIES) == set(STATEMENTS)
