@@ -132,7 +132,7 @@ def _(t: Domain):
     path = scratch_path(t.spark, "field-documents")
     sinks.write_documents(sinks.documents([sinks.section(slugged(held), "intervals", "slug", ["start_date", "company_name"]),
                                            sinks.section(slugged(months), "periods", "slug", ["period"])]), path)
-    lines = t.spark.read.schema("slug string, section string, position string, body string").json(path)
+    lines = sinks.read_documents(t.spark, path)
     return lines.groupBy("slug", "section", "position").agg(F.count("body").alias("lines"))
 
 

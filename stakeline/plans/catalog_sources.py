@@ -79,8 +79,8 @@ def _(t: Domain):
 def _(t: Domain):
     point = F.struct("period", *[F.col(s).cast("double").alias(s) for s in ALL8])
     # a field has at most one point per calendar month, which bounds the array
-    documents = t.history.groupBy("field").agg(F.array_sort(F.collect_list(point)).alias("series"))
-    return plain(readers.published_history(documents))
+    written = t._stored("published_history", lambda: t.history.groupBy("field").agg(F.array_sort(F.collect_list(point)).alias("series")))
+    return plain(readers.published_history(written))
 
 
 @entry("S12_field_universe", f"""
@@ -147,7 +147,7 @@ union all select {slug('field')}, 'head', field, null from attrs union all selec
 def _(t: Domain):
     path = scratch_path(t.spark, "history")
     sinks.write_documents(history_documents(t), path)
-    lines = t.spark.read.schema("slug string, section string, position string, body string").json(path)
+    lines = sinks.read_documents(t.spark, path)
     body = F.from_json("body", "field string, unit string, period string, total_mboed double")
     return lines.select("slug", "section", body.alias("b")).select(
         "slug", "section", F.coalesce("b.period", "b.unit", "b.field").alias("label"), "b.total_mboed")
@@ -157,7 +157,11 @@ def _(t: Domain):
 select {slug('h.field')} slug, h.field, a.operator, a.region, min(h.period) first_period, max(h.period) last_period
 from hist h join attrs a on a.field = h.field group by h.field, a.operator, a.region""")
 def _(t: Domain):
-    return readers.field_universe(t.history, t.attributes)
+    path = scratch_path(t.spark, "index")
+    index = readers.field_universe(t.history, t.attributes)
+    shape = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in index.schema if f.name != "slug")
+    sinks.write_documents(sinks.section(index, "index", "slug", []), path)
+    return sinks.read_documents(t.spark, path).select("slug", F.from_json("body", f"struct<{shape}>").alias("b")).select("slug", "b.*")
 
 
 @entry("K2_point_features", f"select slug, lon, lat, unit_count, cast(total_mboed as double) total_mboed, 'Point' shape from latest")
@@ -198,7 +202,7 @@ def _(t: Domain):
     path = scratch_path(t.spark, "operators")
     points = t.operators.select(X.slugify(F.col("operator")).alias("slug"), "period", *[F.col(s).cast("double").alias(s) for s in ALL8])
     sinks.write_documents(sinks.section(points, "series", "slug", ["period"]), path)
-    lines = t.spark.read.schema("slug string, body string").json(path)
+    lines = sinks.read_documents(t.spark, path)
     return lines.select("slug", F.from_json("body", POINT).alias("p")).select("slug", "p.*")
 
 
@@ -213,7 +217,7 @@ def _(t: Domain):
         path = scratch_path(t.spark, "sized")
         docs = sinks.section(rows.withColumn("slug", X.slugify(F.col("field"))), name, "slug", ["period"])
         sinks.write_documents(docs, path)
-        lines = t.spark.read.schema("slug string, section string, position string, body string").json(path)
+        lines = sinks.read_documents(t.spark, path)
         back = lines.agg(F.count("body").alias("read_back"), F.sum(F.octet_length("body")).alias("bytes"))
         out.append(one_row(rows.agg(F.count("*").alias("documents")), back).select(F.lit(name).alias("section"), "documents", "read_back", "bytes"))
     return out[0].unionByName(out[1])
@@ -257,7 +261,7 @@ def _(t: Domain):
         sinks.section(companies, "company", "slug", ["period", "stream"]), sinks.section(grouped, "group", "slug", ["period", "stream"])])
     path = scratch_path(t.spark, "equity")
     sinks.write_documents(docs, path)
-    lines = t.spark.read.schema("slug string, section string, body string").json(path)
+    lines = sinks.read_documents(t.spark, path)
     return lines.select("slug", F.from_json("body", "kind string, period string, stream string, value double").alias("b")).select("slug", "b.*")
 
 

@@ -1,9 +1,9 @@
 """Writers.
 
 Documents are laid out as rows: one line per point, unit or interval, keyed by
-slug. They are spread by range over (bucket, slug, section, position), so a
+slug. They are spread by range over (slug, section, position) and sorted, so a
 very large document is split over tasks and files instead of being gathered
-into one value, and a reader of one slug opens only its bucket.
+into one value, and a reader of one slug skips all other files.
 """
 
 from __future__ import annotations
@@ -16,11 +16,6 @@ from ..functions import scalars as X
 from .readers import _exists
 from ..operators.checks import CheckFailed, require_empty
 
-BUCKETS = 64
-
-
-def bucket_of(slug: Column, buckets: int = BUCKETS) -> Column:
-    return F.pmod(F.xxhash64(slug), F.lit(buckets)).cast("int")
 
 
 def section(rows: DataFrame, name: str, slug: str, order: list[str]) -> DataFrame:
@@ -41,17 +36,22 @@ def documents(sections: Iterable[DataFrame]) -> DataFrame:
     return joined
 
 
-def write_documents(docs: DataFrame, path: str, buckets: int = BUCKETS, mode: str = "errorifexists") -> None:
-    """Deterministic layout: range-partitioned and sorted by bucket, slug, section and position."""
-    keyed = docs.withColumn("bucket", bucket_of(F.col("slug"), buckets))
-    order = ["bucket", "slug", "section", "position"]
-    keyed.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode).partitionBy("bucket").json(path)
+DOCUMENT = "slug string, section string, position string, body string"
+
+
+def write_documents(docs: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Deterministic layout: range-partitioned and sorted by slug, section and position."""
+    order = ["slug", "section", "position"]
+    docs.select(*order, "body").repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode).parquet(path)
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(DOCUMENT).parquet(path)
 
 
-def read_document(spark: SparkSession, path: str, slug: str, buckets: int = BUCKETS) -> DataFrame:
-    """The lines of one document; only the slug's bucket is listed and read."""
-    docs = spark.read.schema("slug string, section string, position string, body string, bucket int").json(path)
-    return docs.where((F.col("bucket") == bucket_of(F.lit(slug), buckets)) & (F.col("slug") == slug)).drop("bucket")
+def read_document(spark: SparkSession, path: str, slug: str) -> DataFrame:
+    """The lines of one document; other files and row groups are skipped by their smallest and largest slug."""
+    return read_documents(spark, path).where(F.col("slug") == slug)
 
 
 def combined_size(rows: DataFrame) -> DataFrame:

@@ -71,8 +71,8 @@ def test_publish_is_all_or_nothing(spark, tmp_path):
 def test_documents_by_slug(spark, tmp_path):
     points = spark.createDataFrame([("a", "202001", 1.0), ("a", "202002", None), ("b", "202001", 2.0)], "slug string, period string, v double")
     docs = sinks.section(points, "series", "slug", ["period"])
-    sinks.write_documents(docs, str(tmp_path / "d"), 4)
-    assert rows(sinks.read_document(spark, str(tmp_path / "d"), "a", 4), "position", "body") == [
+    sinks.write_documents(docs, str(tmp_path / "d"))
+    assert rows(sinks.read_document(spark, str(tmp_path / "d"), "a"), "position", "body") == [
         ("202001", '{"period":"202001","v":1.0}'), ("202002", '{"period":"202002","v":null}')]
     many = sinks.section(spark.range(3000).selectExpr("'a' as slug", "lpad(id, 6, '0') as period", "repeat('x', 1000) as v"), "series", "slug", ["period"])
     for name, written, lines in (("small", docs, 2), ("large", many, 3000)):
