@@ -144,17 +144,21 @@ def decode(encoded: DataFrame, ranks_path: str, *, ids_col: str = "token_ids", o
 
     def work(batches):
         ranks = load_ranks(ranks_path)
-        table: list = [None] * (max(ranks.values()) + 1)
+        length = np.full(max(ranks.values()) + 1, -1, dtype=np.int64)
         for token, rank in ranks.items():
-            table[rank] = token
+            length[rank] = len(token)
+        tokens = np.frombuffer(b"".join(sorted(ranks, key=ranks.get)), dtype=np.uint8)
+        start = np.cumsum(np.maximum(length, 0)) - np.maximum(length, 0)
         for batch in batches:
             ids = batch.column(place)
-            flat, ends = ids.flatten().to_pylist(), np.cumsum(ids.value_lengths().fill_null(0).to_numpy()).tolist()
-            if flat and min(flat) < 0:
-                raise ValueError("a token id is negative")
-            out = [b"".join([table[i] for i in flat[a:b]]) for a, b in zip([0, *ends[:-1]], ends)]
-            none = ids.is_null().to_pylist()
-            out = [None if gone else x for gone, x in zip(none, out)]
+            flat = ids.flatten().to_numpy(zero_copy_only=False)
+            if len(flat) and (flat.min() < 0 or flat.max() >= len(length) or length[flat].min() < 0):
+                raise ValueError("a token id is not in the table")
+            many, size = length[flat], ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            ends = np.concatenate([[0], np.cumsum(many)])
+            data = tokens[np.arange(ends[-1]) + np.repeat(start[flat] - ends[:-1], many)].tobytes()
+            bounds = ends[np.concatenate([[0], np.cumsum(size)])].tolist()
+            out = [None if gone else data[a:b] for gone, a, b in zip(ids.is_null().to_pylist(), bounds, bounds[1:])]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())],
                                              names=[*batch.schema.names, out_col])
     return map_arrow(encoded, work, schema)
