@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .frames import map_arrow
 
 #: Bytes of text of one block, at least one document.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 _ROW = "block string, bucket int, docs binary, payload binary"
 _ARROW = pa.schema([("block", pa.string()), ("bucket", pa.int32()), ("docs", pa.binary()), ("payload", pa.binary())])
 _CODES = -1
