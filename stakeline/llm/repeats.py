@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import id_and_text, map_arrow
+from .frames import id_and_text, map_arrow, settle
 
 UNIT, MIN_WORDS = "sentence", 14
 _CUT = {
@@ -83,6 +83,8 @@ def find_repeats(docs: DataFrame, *, unit: str = UNIT, min_words: int = MIN_WORD
     # a null id ranks last
     rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("kept_doc_id"), F.col("first").alias("kept_start"))
     kept = places.groupBy("high", "low").agg(F.count("*").alias("n"), F.min(rank).alias("kept")).where("n > 1").drop("n")
+    # stored, so that both sides of the join come from exchanges of their own and a very frequent unit can be split
+    kept = settle(kept, "kept-units")
     return places.join(kept, ["high", "low"]).where(
         ~(F.col("doc_id").eqNullSafe(F.col("kept.kept_doc_id")) & (F.col("first") == F.col("kept.kept_start")))
     ).select("doc_id", F.col("first").cast("bigint").alias("start"), F.col("end").cast("bigint").alias("end"),
