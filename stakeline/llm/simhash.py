@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .frames import id_and_text, map_arrow, settle, texts_as_bytes
 
@@ -144,17 +145,20 @@ def links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """``a, b``: links between the distinct fingerprints in ``print`` that connect all that are near."""
     spark = prints.sparkSession
     found = None
-    keys = prints.select(F.lit(0).cast("bigint").alias("mask"), "print")
+    keys = prints.select("print")
     for level, masks in enumerate(levels()):
         children: dict[int, list] = {}
         chains: dict[int, list] = {}
         for parent, mask, *rest in masks:
             children.setdefault(parent, []).append(signed(mask))
             chains.setdefault(signed(mask), []).append(tuple(rest))
-        # at most 24 x 24 rows: the masks follow from the rule, not from the data
-        table = spark.createDataFrame([(signed(p), sorted(set(m))) for p, m in children.items()],
-                                      "mask bigint, masks array<bigint>")
-        keys = keys.join(F.broadcast(table), "mask").select(F.explode("masks").alias("mask"), "print").select(
+        if not level:
+            masked = keys.withColumn("masks", F.array(*[F.lit(m).cast("bigint") for m in sorted(set(children[0]))]))
+        else:  # at most 24 x 24 rows: the masks follow from the rule, not from the data
+            table = spark.createDataFrame([(signed(p), sorted(set(m))) for p, m in children.items()],
+                                          "mask bigint, masks array<bigint>")
+            masked = keys.join(F.broadcast(table), "mask")
+        keys = masked.select(F.explode("masks").alias("mask"), "print").select(
             "mask", F.col("print").bitwiseAND(F.col("mask")).alias("value"), "print")
         if level:
             keys = keys.distinct()
@@ -202,8 +206,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         now.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", bucket: int = BUCKET) -> DataFrame:
-    """``doc_id, print, component_id``: the smallest id reachable over links."""
+def _prints_and_names(docs: DataFrame, id_col: str, text_col: str, bucket: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, print) of every row and (print, component_id) of every distinct fingerprint."""
     prints = settle(fingerprints(docs, id_col=id_col, text_col=text_col), "prints")
     owners = settle(prints.groupBy("print").agg(F.min("doc_id").alias("least_id")), "owners")
     roots = components(links(owners.select("print"), bucket)).withColumnRenamed("node", "print")
@@ -211,6 +215,13 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     named = rooted.select("print", "root").join(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")), "root")
     names = owners.join(named.select("print", "component_id"), "print", "left").select(
         "print", F.coalesce("component_id", "least_id").alias("component_id"))
+    # stored, so that both sides of a join with it come from exchanges of their own and a very frequent print can be split
+    return prints, settle(names, "names")
+
+
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", bucket: int = BUCKET) -> DataFrame:
+    """``doc_id, print, component_id``: the smallest id reachable over links."""
+    prints, names = _prints_and_names(docs, id_col, text_col, bucket)
     return prints.join(names, "print").select("doc_id", "print", "component_id")
 
 
@@ -224,6 +235,15 @@ def keep_one_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     Rows that repeat such an id are the same document and stay together; rows with a null id stay only
     where their whole component has no id.
     """
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col)
-    ids = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(ids, docs[id_col].eqNullSafe(ids["__kept"]), "left_semi")
+    prints, names = _prints_and_names(docs, id_col, text_col, BUCKET)
+    ids = prints.join(names, "print").where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
+    kept = docs.join(ids, docs[id_col] == ids["__kept"], "left_semi")
+    unnamed, place = docs.where(F.col(id_col).isNull()), docs.columns.index(text_col)
+
+    def with_print(batches):
+        for batch in batches:
+            own = np.array([fingerprint(t or b"") for t in texts_as_bytes(batch.column(place))], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own.view(np.int64))], names=[*batch.schema.names, "__print"])
+    schema = StructType([*docs.schema.fields, StructField("__print", LongType())])
+    alone = names.where("component_id is null").select(F.col("print").alias("__print"))
+    return kept.unionByName(map_arrow(unnamed, with_print, schema).join(alone, "__print", "left_semi").drop("__print"))

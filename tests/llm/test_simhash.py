@@ -49,8 +49,9 @@ def test_fingerprints_and_components(spark):
     assert sorted(repr((r.doc_id, r.print % 2**64, r.component_id)) for r in got) == want
     kept = S.keep_one_each(docs)
     assert kept.columns == docs.columns
-    # the twin rows of one document stay together
+    # the twin rows of one document stay together, and rows without an id where nothing near has one
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(d) for d, p in texts if d == least.get(roots[p]))
+    assert [r.text for r in kept.collect() if r.doc_id is None] == ["a text without an id here"]
 
 
 def near_prints(rnd, n, bits, spread):
