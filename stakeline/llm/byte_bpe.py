@@ -149,7 +149,7 @@ def decode(encoded: DataFrame, ranks_path: str, *, ids_col: str = "token_ids", o
             length[rank] = len(token)
         tokens = np.frombuffer(b"".join(sorted(ranks, key=ranks.get)), dtype=np.uint8)
         start = np.cumsum(np.maximum(length, 0)) - np.maximum(length, 0)
-        for batch in batches:
+        for batch in (b.slice(k, 100) for b in batches for k in range(0, b.num_rows, 100)):  # bounds the index arrays
             ids = batch.column(place)
             flat = ids.flatten().to_numpy(zero_copy_only=False)
             if len(flat) and (flat.min() < 0 or flat.max() >= len(length) or length[flat].min() < 0):
