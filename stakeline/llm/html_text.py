@@ -1,11 +1,15 @@
 """HTML extraction with the layout kept (operator 6).
 
 A tree builder reads the markup with implied end tags (paragraphs, list items, table cells, options, heads)
-and void elements; visibility rules drop what a reader does not see (scripts, styles, heads, templates,
-``hidden`` and ``display:none`` or ``visibility:hidden`` elements, comments). All other text is rendered:
-blocks begin on new lines, with an empty line around paragraphs and headings, list items carry their bullet
-or number with their depth, ``br`` breaks lines, ``pre`` keeps its blanks, and the cells of a table are
-padded so that its columns stand below each other. Navigation and the like is visible and stays.
+and void elements; visibility rules drop what a browser does not show (scripts, styles, heads, titles,
+templates, ``noscript``, ``datalist``, what stands inside ``iframe``, ``audio``, ``video`` and ``canvas`` for
+old browsers, definitions and descriptions of drawings, annotations of formulas, ``hidden`` and
+``display:none`` or ``visibility:hidden`` elements, comments). All other text is rendered: blocks begin on new
+lines, with an empty line around paragraphs and headings, list items carry their bullet or number with their
+depth, ``br`` breaks lines, ``pre`` keeps its blanks, and the cells of a table are padded so that its columns
+stand below each other. What stands in a table, row group or row outside the cells comes before the table, as
+in browsers; cells inside a form or the like there belong to the row. Options, text areas and texts of drawings
+have lines of their own. Navigation and the like is visible and stays.
 
 Defined cases: a null page gives a null text, a page without visible text an empty one; broken markup never
 fails: stray end tags are dropped and open elements end with their parent; text of any length is read
@@ -27,10 +31,15 @@ from .frames import map_arrow
 DEPTH = 200
 # fixed values: elements of HTML by their part in the layout
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = set("script style head title template noscript iframe object svg math select datalist textarea audio video canvas".split())
+HIDDEN = set("script style head title template noscript iframe datalist audio video canvas".split())
+#: Hidden inside these elements only.
+HIDDEN_IN = {"svg": set("defs desc metadata symbol clippath mask pattern marker".split()), "math": {"annotation", "annotation-xml"}}
 SPACED = set("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure hr".split())
 BLOCK = SPACED | set("address article aside body dd details dialog div dt fieldset figcaption footer form header html "
                      "legend li main nav section summary tr caption thead tbody tfoot td th center".split())
+#: Begin on a new line, but do not end a paragraph.
+OWN_LINE = set("select option optgroup textarea text foreignobject mtr".split())
+ROW_PARTS = {"tr", "thead", "tbody", "tfoot", "td", "th"}
 #: A start tag ends these open elements, up to the nearest of the bounds.
 IMPLIED = {
     **dict.fromkeys(BLOCK - {"td", "th", "tr", "thead", "tbody", "tfoot", "caption", "li", "dd", "dt"}, ({"p"}, {"td", "th", "li", "div", "button"})),
@@ -38,7 +47,7 @@ IMPLIED = {
     "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
     "tr": ({"td", "th", "tr", "caption"}, {"table"}),
     **dict.fromkeys(("thead", "tbody", "tfoot"), ({"td", "th", "tr", "thead", "tbody", "tfoot", "caption"}, {"table"})),
-    "option": ({"option"}, {"select"}), "body": ({"head"}, {"html"}),
+    "option": ({"option"}, {"select"}), "optgroup": ({"option", "optgroup"}, {"select"}), "body": ({"head"}, {"html"}),
 }
 _RAW = {"script", "style"}
 _INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -46,10 +55,11 @@ _BLANKS = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("tag", "hidden", "items", "start")
+    __slots__ = ("tag", "hidden", "items", "start", "parts")
 
     def __init__(self, tag: str, hidden: bool = False, start: int = 1):
         self.tag, self.hidden, self.items, self.start = tag, hidden, [], start
+        self.parts = False  # whether rows or cells of the table around it lie inside
 
 
 class _Builder(HTMLParser):
@@ -70,15 +80,27 @@ class _Builder(HTMLParser):
                     # a row ends its cells, a row group its rows
                     if tag not in ("tr", "thead", "tbody", "tfoot"):
                         break
-        hidden = tag in HIDDEN or "hidden" in attrs or bool(_INVISIBLE.search(attrs.get("style") or ""))
+        hidden = (tag in HIDDEN or "hidden" in attrs or bool(_INVISIBLE.search(attrs.get("style") or ""))
+                  or any(tag in tags and self.inside(of) for of, tags in HIDDEN_IN.items()))
         first = attrs.get("start") or ""
         node = Node(tag, hidden, int(first) if re.fullmatch(r"-?[0-9]{1,9}", first) else 1)
         self.open[-1].items.append(node)
+        if tag in ROW_PARTS:
+            for above in reversed(self.open):
+                if above.tag == "table" or above.parts:
+                    break
+                above.parts = True
         if tag not in VOID and len(self.open) < DEPTH:
             self.open.append(node)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
+        # only drawings and formulas have elements that end at once
+        if tag not in VOID and self.open[-1] is not self.root and not self.open[-1].items and self.open[-1].tag == tag and any(map(self.inside, HIDDEN_IN)):
+            self.open.pop()
+
+    def inside(self, tag: str) -> bool:
+        return any(node.tag == tag for node in self.open)
 
     def handle_endtag(self, tag):
         for k in range(len(self.open) - 1, 0, -1):
@@ -139,25 +161,44 @@ def _inner(node: Node) -> str:
     return lines.done()
 
 
-def _rows(node: Node) -> list[list[Node]]:
-    rows: list[list[Node]] = []
+def _lay_out(node: Node, rows: list[list[Node]], stray: list, row: list[Node] | None, shown: bool = True):
+    """Cells by row, and what stands outside of them; None in ``stray`` where a row begins."""
     for item in node.items:
-        if isinstance(item, Node) and not item.hidden:
-            if item.tag == "tr":
-                rows.append([c for c in item.items if isinstance(c, Node) and c.tag in ("td", "th") and not c.hidden])
-            elif item.tag in ("thead", "tbody", "tfoot"):
-                rows += _rows(item)
-    return rows
+        if isinstance(item, str):
+            if shown and item.strip():
+                stray.append(item)
+        elif item.tag in ROW_PARTS:
+            if item.hidden:
+                continue
+            if item.tag in ("td", "th"):
+                if row is None:
+                    rows.append(row := [])
+                row.append(item)
+            else:
+                row = None
+                stray.append(None)
+                if item.tag == "tr":
+                    rows.append([])
+                _lay_out(item, rows, stray, rows[-1] if item.tag == "tr" else None, shown)
+        elif item.parts and item.tag != "table":
+            _lay_out(item, rows, stray, row, shown and not item.hidden)
+        elif shown:
+            stray.append(item)
 
 
 def _table(node: Node, out: _Lines, depth: int):
-    for item in node.items:  # captions and stray content come before the rows
-        if isinstance(item, Node) and item.tag not in ("tr", "thead", "tbody", "tfoot"):
-            _render(item, out, depth, False)
-        elif isinstance(item, str) and item.strip():
+    found: list[list[Node]] = []
+    stray: list = []
+    _lay_out(node, found, stray, None)
+    for item in stray:  # captions and stray content come before the rows
+        if item is None:
+            out.block(False)
+        elif isinstance(item, str):
             out.text(item, False)
+        else:
+            _render(item, out, depth, False)
     out.block(False)
-    rows = [[_inner(cell).split("\n") for cell in row] for row in _rows(node)]
+    rows = [[_inner(cell).split("\n") for cell in row] for row in found]
     width: list[int] = []
     for row in rows:
         for k, cell in enumerate(row):
@@ -183,8 +224,10 @@ def _render(node: Node, out: _Lines, depth: int, kept: bool, marker: str = ""):
         out.block(True)
         _table(node, out, depth)
         out.block(True)
+    elif tag == "svg":
+        _drawing(node, out, depth)
     else:
-        block = tag in BLOCK
+        block = tag in BLOCK or tag in OWN_LINE
         spaced = tag in SPACED and not (tag in ("ul", "ol") and depth)
         if block:
             out.block(spaced)
@@ -195,14 +238,26 @@ def _render(node: Node, out: _Lines, depth: int, kept: bool, marker: str = ""):
             if len(out.lines) == before[0] and not out.current.strip(" " + marker):
                 out.current = ""
         else:
-            _children(node, out, depth + (tag in ("ul", "ol")), kept or tag == "pre")
+            _children(node, out, depth + (tag in ("ul", "ol")), kept or tag in ("pre", "textarea"))
         if block:
             out.block(spaced)
 
 
+def _drawing(node: Node, out: _Lines, depth: int):
+    """The texts of a drawing; characters outside of them are not shown."""
+    for item in node.items:
+        if isinstance(item, Node) and not item.hidden:
+            if item.tag in ("text", "foreignobject"):
+                _render(item, out, depth, False)
+            else:
+                _drawing(item, out, depth)
+
+
 def _children(node: Node, out: _Lines, depth: int, kept: bool):
     number = node.start
-    for item in node.items:
+    for k, item in enumerate(node.items):
+        if k and node.tag in ("mtr", "mfrac"):
+            out.text(" ", kept)
         if isinstance(item, str):
             out.text(item, kept)
         elif item.tag == "li" and not item.hidden:

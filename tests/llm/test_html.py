@@ -47,3 +47,25 @@ def test_pages(spark):
     got = sorted(repr(tuple(r)) for r in H.extract_text(pages).collect())
     assert got == sorted(repr((i, u, None if h is None else H.render(h))) for i, u, h, _ in rows)
     assert H.extract_text(pages.limit(0)).count() == 0
+
+
+TABLES_AND_CONTROLS = {
+    "<table><tr><form><td>a<td>b</form></tr><tr><td>c<td>d</table>": "a  b\nc  d",
+    "<table><form><tr><td>a<td>b</form></table>": "a  b",
+    "<table><tr><div><td>a</td></div><td>b</table>": "a  b",
+    "<table><td>a<td>b</table>": "a  b",
+    "<table><tr>note<td>a</tr><tbody><p>other</p><tr><b>third</b><td>b</table>": "note\n\nother\n\nthird\na\nb",
+    "<table><tr><td><table><tr>in<td>x</table><td>y</table>": "in  y\nx",
+    "<table><tr hidden><td>no</tr><tr><td hidden>no<td>yes</table>": "yes",
+    "pick<select><option>one<optgroup><option>two</select>now": "pick\none\ntwo\nnow",
+    "<textarea>a\n  b</textarea>": "a\n  b",
+    "<p><math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac><annotation>no</annotation></math></p>": "x=1 2",
+    "<svg>no<title>no</title><desc/><g><path/><text>seen</text></g><defs><text>no</text></defs></svg>end": "seen\nend",
+    "<object data=x>instead</object><canvas>no</canvas>": "instead",
+    "<annotation>kept</annotation> <desc>too</desc>": "kept too",
+}
+
+
+@pytest.mark.parametrize("html", TABLES_AND_CONTROLS)
+def test_all_that_browsers_show(html):
+    assert H.render(html) == TABLES_AND_CONTROLS[html]
