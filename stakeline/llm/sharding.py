@@ -9,7 +9,8 @@ Each round, every piece asks for the shard where most of its group is, if that i
 met under quotas: between two shards as many rows may go one way as want to go the other, and beside these
 exchanges a shard may take the room that it has below its capacity, ``SLACK`` above an even share. Requests
 are ordered by gain and dealt into bins; whole bins are admitted while they fit, so no ranking of single
-rows is needed. Moves stop when no request is admitted or after ``ROUNDS`` rounds.
+rows is needed. A bin larger than the room left is passed over and does not count in the running sum, ``PASSES``
+times a round, so that a piece of a huge group does not hold up those after it. Moves stop when no request is admitted or after ``ROUNDS`` rounds.
 
 At last rows are put in order of (shard, group, id) and cut into runs whose lengths are at most one apart.
 That makes the law exact and cuts one group at most at each border, beside those that are larger than a
@@ -22,12 +23,12 @@ columns do not matter; the shards beyond the number of rows stay empty.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .frames import id_and_text, settle
 
-SHARDS, ROUNDS, SLACK, BINS = 16, 5, 0.25, 64
+SHARDS, ROUNDS, SLACK, BINS, PASSES = 16, 5, 0.25, 64, 3
 
 
 def measured(docs: DataFrame, id_col: str, text_col: str, shards: int) -> DataFrame:
@@ -38,6 +39,18 @@ def measured(docs: DataFrame, id_col: str, text_col: str, shards: int) -> DataFr
         F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int").alias("first_shard"))
 
 
+def admit(bins_of: DataFrame, name: str, within: list[str], order: list[str], room: Column) -> DataFrame:
+    """Adds ``name``: whether a bin of ``wanted`` rows fits into ``room``, with those before it that fit."""
+    every = Window.partitionBy(*within)
+    found = bins_of.withColumn(name, F.lit(False))
+    for _ in range(PASSES):
+        found = found.withColumn("__left", room - F.sum(F.when(F.col(name), F.col("wanted")).otherwise(0)).over(every))
+        fits = ~F.col(name) & (F.col("wanted") <= F.col("__left"))
+        found = found.withColumn("__run", F.sum(F.when(fits, F.col("wanted")).otherwise(0)).over(every.orderBy(*order)))
+        found = found.withColumn(name, F.col(name) | (fits & (F.col("__run") <= F.col("__left"))))
+    return found.drop("__left", "__run")
+
+
 def propagate(pieces: DataFrame, rows: int, shards: int, rounds: int = ROUNDS, slack: float = SLACK,
               bins: int = BINS) -> DataFrame:
     """``group, first_shard, shard, n``: pieces after label propagation under quotas."""
@@ -59,10 +72,11 @@ def propagate(pieces: DataFrame, rows: int, shards: int, rounds: int = ROUNDS, s
         pair = bins_of.groupBy("shard", "to").agg(F.sum("wanted").alias("returned"))
         back = pair.select(F.col("to").alias("shard"), F.col("shard").alias("to"), "returned")
         free = pieces.groupBy(F.col("shard").alias("to")).agg((F.lit(capacity) - F.sum("n")).alias("free"))
-        to_pair, to_shard = Window.partitionBy("shard", "to").orderBy("bin"), Window.partitionBy("to").orderBy("bin", "shard")
-        admitted = bins_of.join(back, ["shard", "to"], "left").join(free, "to", "left").withColumn("swapped", F.sum("wanted").over(to_pair) <= F.coalesce("returned", F.lit(0))).withColumn(
-            "filled", F.sum(F.when(F.col("swapped"), 0).otherwise(F.col("wanted"))).over(to_shard)).where(
-            F.col("swapped") | (F.col("filled") <= F.coalesce("free", F.lit(capacity)))).select("shard", "to", "bin")
+        offered = bins_of.join(back, ["shard", "to"], "left").join(free, "to", "left")
+        offered = admit(offered, "swapped", ["shard", "to"], ["bin"], F.coalesce("returned", F.lit(0)))
+        # what is swapped needs no room
+        rest = admit(offered.where(~F.col("swapped")), "filled", ["to"], ["bin", "shard"], F.coalesce("free", F.lit(capacity)))
+        admitted = offered.where("swapped").select("shard", "to", "bin").unionByName(rest.where("filled").select("shard", "to", "bin"))
         moving = asking.join(admitted, ["shard", "to", "bin"]).select("group", "first_shard", F.col("to").alias("target"))
         moved = settle(moving, "moving")
         if moved.isEmpty():

@@ -48,3 +48,18 @@ def test_same_result_for_any_partitioning(spark):
     docs = frame(spark, awkward()).select("doc_id", "text").where("doc_id is not null").distinct()
     one = sorted(map(tuple, S.assign_shards(docs.coalesce(1), 4).collect()))
     assert one == sorted(map(tuple, S.assign_shards(docs.repartition(7), 4).collect()))
+
+
+@pytest.mark.parametrize("hot", [1300, 700, 0])
+def test_a_huge_group_does_not_hold_up_others(spark, hot):
+    rows = [(i, f"text {i}") for i in range(2000 - hot)] + [(3000 + i, f"copied {i % 400}") for i in range(2000)]
+    rows += [(9000 + i, "the hot one") for i in range(hot)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = S.assign_shards(docs, 16).collect()
+    check(got, docs.collect(), 16)
+    labels = defaultdict(set)
+    for r in got:
+        if 3000 <= r.doc_id < 9000:
+            labels[r.text_crc32].add(r.label)
+    # labels are the shards before rows are cut into even runs
+    assert sum(len(s) > 1 for s in labels.values()) <= 4
