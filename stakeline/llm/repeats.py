@@ -7,6 +7,13 @@ together with their surroundings; what is left too short at the end of a text is
 grouped over all documents, the occurrence with the smallest (document, start) stays, all others are removed;
 their places in the original text are kept as offsets in characters (code points).
 
+A passage may begin and end anywhere, so beside these units there are runs of ``RUN`` = 26 words chosen by
+their content (winnowing): of every 26 runs that follow each other the one with the smallest hash. Two texts
+with 51 words in common have 26 whole runs in common and so choose the same one, whatever stands around. Runs
+chosen next to each other meet, so a longer passage goes but for less than 26 words at its ends. A run is
+never compared with a line or sentence; equal runs that overlap (one word over and over) count once.
+Characters of scripts without blanks are words of their own.
+
 Units may overlap by their extension; removed spans of a document that meet are united.
 
 Defined cases: null, empty and wordless texts have no units; repeated rows of one document have the same
@@ -25,17 +32,60 @@ from pyspark.sql import functions as F
 
 from .frames import id_and_text, map_arrow, settle
 
-UNIT, MIN_WORDS = "sentence", 14
+UNIT, MIN_WORDS, RUN = "sentence", 14, 26
 _CUT = {
-    "sentence": re.compile(r"(?<=[.!?])\s+|\n+"),
+    "sentence": re.compile(r"(?<=[.!?\u0589\u061f\u06d4\u0964\u0965\u1362])\s+|(?<=[\u3002\uff01\uff1f\uff61])\s*|\n+"),
     "line": re.compile(r"\n+"),
     "paragraph": re.compile(r"\n\s*\n"),
 }
-_WORDS = re.compile(r"\w+")
+# Thai to Lao, Myanmar, Khmer, kana, Han
+_SINGLE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_WORDS = re.compile(f"[^\\W{_SINGLE}]+|[{_SINGLE}]")
+#: Words whose hashes a worker keeps.
+_KEPT_WORDS = 1 << 18
+_STEP = 0x9E3779B97F4A7C15
+
+
+class _Hashes(dict):
+    """64-bit hashes of words, without regard to case."""
+
+    def __missing__(self, word: str) -> int:
+        import xxhash
+
+        if len(self) >= _KEPT_WORDS:
+            self.clear()
+        self[word] = value = xxhash.xxh3_64_intdigest(word.lower().encode("utf-8", "surrogatepass"))
+        return value
+
+
+_HASHES = _Hashes()
+
+
+def runs(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, normalised words after a mark) of the chosen runs of ``RUN`` words."""
+    words = _WORDS.findall(text)
+    if len(words) < 2 * RUN - 1:
+        return []
+    values = np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
+    rolled = np.zeros(len(words) - RUN + 1, dtype=np.uint64)
+    for k in range(RUN):
+        rolled = rolled * np.uint64(_STEP) + values[k:len(words) - RUN + 1 + k]
+    rolled ^= rolled >> np.uint64(29)  # the low bits are mixed best
+    rolled *= np.uint64(0xBF58476D1CE4E5B9)
+    least = np.lib.stride_tricks.sliding_window_view(rolled, RUN).argmin(axis=1)
+    chosen = np.unique(least + np.arange(len(least)))
+    spans = [m.span() for m in _WORDS.finditer(text)]
+    found, over = [], {}
+    for k in chosen.tolist():
+        run = "\0" + " ".join(words[k:k + RUN]).lower()
+        if over.get(run, 0) <= k:
+            over[run] = k + RUN
+            found.append((spans[k][0], spans[k + RUN - 1][1], run))
+    return found
 
 
 def units(text: str, unit: str = UNIT, min_words: int = MIN_WORDS) -> list[tuple[int, int, str]]:
-    """(start, end, normalised words) of each unit with enough words."""
+    """(start, end, normalised words) of each unit with enough words, and of the chosen runs."""
     bounds, at = [], 0
     for cut in _CUT[unit].finditer(text):
         bounds.append((at, cut.start()))
@@ -51,7 +101,7 @@ def units(text: str, unit: str = UNIT, min_words: int = MIN_WORDS) -> list[tuple
             k += 1
         if len(words) >= min_words:
             found.append((start, end, " ".join(words)))
-    return found
+    return found + runs(text)
 
 
 def unit_digests(docs: DataFrame, unit: str, min_words: int) -> DataFrame:

@@ -1,3 +1,5 @@
+import random
+
 from cases import awkward, frame
 
 from stakeline.llm import repeats as R
@@ -49,3 +51,31 @@ def test_earliest_stays_and_rest_goes(spark):
 def test_empty_table(spark):
     docs = frame(spark, [])
     assert R.find_repeats(docs).count() == 0 and R.without_repeats(docs, R.find_repeats(docs)).count() == 0
+
+
+def test_passages_inside_longer_sentences(spark):
+    rnd = random.Random(4)
+    words = lambda n: " ".join("w%d" % rnd.randrange(10**6) for _ in range(n))
+    rows, passages = [], {}
+    for i in range(40):
+        passage = words(51) if i % 4 else "".join(chr(0x4E00 + rnd.randrange(5000)) for _ in range(51))
+        rows += [(i, f"{words(i + 3)} {passage} {words(30 - i % 7)}."), (100 + i, f"{words(40)} {passage.upper()}, {words(20)}")]
+        passages[100 + i] = passage.upper()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    text = dict(rows)
+    found = R.find_repeats(docs).collect()
+    assert {r.doc_id: r.kept_doc_id for r in found} == {100 + i: i for i in range(40)}
+    assert all(text[r.doc_id][r.start:r.end] in passages[r.doc_id] for r in found)
+
+
+def test_one_word_over_and_over_and_other_sentence_ends(spark):
+    many = " ".join(["Again"] * 500)
+    assert len(R.runs(many)) <= 500 // R.RUN
+    chinese = "".join(chr(0x4E00 + k) for k in range(40))
+    hindi = " ".join(f"क{k}" for k in range(20))
+    docs = spark.createDataFrame([(1, f"一。{chinese}。二"), (2, f"三四。{chinese}。五"), (3, f"a। {hindi}। b"), (4, f"c। {hindi}। d"), (5, many), (6, f"so {many}")],
+                                 "doc_id bigint, text string")
+    clean = {r.doc_id: r.text for r in R.without_repeats(docs, R.find_repeats(docs)).collect()}
+    assert chinese in clean[1] and chinese not in clean[2] and clean[2].startswith("三四。")
+    assert hindi in clean[3] and hindi not in clean[4]
+    assert len(clean[6].split()) < 60
