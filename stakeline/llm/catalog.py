@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, html_text, language, quality, repeats, secrets, sharding, simhash, token_counts
+from . import (
+    byte_bpe, decontaminate, html_text, language, line_dedup, quality, repeats, secrets, sharding, simhash, token_counts,
+)
 from .frames import read
 from .statements import STATEMENTS
 
@@ -80,6 +82,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex(F.col("print")).alias("fingerprint"), "component_id")
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -88,7 +95,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_sharding, op2_decontamination, op3_token_counts, op4_repeats, op5_secret_scan, op6_html_text,
-             op7_language, op8_byte_bpe, op9_quality, op10_simhash, pipeline)
+             op7_language, op8_byte_bpe, op9_quality, op10_simhash, op11_line_dedup, pipeline)
     return {f.__name__: f for f in found}
 
 

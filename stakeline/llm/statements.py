@@ -62,4 +62,19 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 from base
 """
 
-STATEMENTS = {"op2_decontamination": _DECONTAMINATION, "op9_quality": _QUALITY}
+_LINE_DEDUP = r"""
+with lines as (
+  select doc_id, unnest(ls) as line, unnest(range(len(ls))) as pos
+  from (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents)),
+keyed as (
+  select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from lines),
+crowded as (
+  select key, max(doc_id) as holder from keyed where length(key) >= 20 group by key having count(distinct doc_id) >= 3),
+judged as (select l.*, c.key is not null and l.doc_id <> c.holder as goes from keyed l left join crowded c on l.key = c.key)
+select doc_id, count(*) as n_lines, count(*) filter (goes) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not goes), '')) as kept_sha256
+from judged group by doc_id
+"""
+
+STATEMENTS = {"op11_line_dedup": _LINE_DEDUP, "op2_decontamination": _DECONTAMINATION, "op9_quality": _QUALITY}
