@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    byte_bpe, decontaminate, html_text, language, line_dedup, quality, repeats, secrets, sharding, simhash, token_counts,
+    byte_bpe, decontaminate, html_text, language, lexical, line_dedup, quality, repeats, secrets, sharding, simhash, token_counts,
 )
 from .frames import read
 from .statements import STATEMENTS
@@ -87,6 +87,10 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -95,7 +99,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_sharding, op2_decontamination, op3_token_counts, op4_repeats, op5_secret_scan, op6_html_text,
-             op7_language, op8_byte_bpe, op9_quality, op10_simhash, op11_line_dedup, pipeline)
+             op7_language, op8_byte_bpe, op9_quality, op10_simhash, op11_line_dedup, op12_lexical_search,
+             pipeline)
     return {f.__name__: f for f in found}
 
 

@@ -77,4 +77,23 @@ select doc_id, count(*) as n_lines, count(*) filter (goes) as n_dropped,
 from judged group by doc_id
 """
 
-STATEMENTS = {"op11_line_dedup": _LINE_DEDUP, "op2_decontamination": _DECONTAMINATION, "op9_quality": _QUALITY}
+_LEXICAL = r"""
+with doc_terms as (
+  select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from documents),
+item_terms as (
+  select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark),
+sizes as (select doc_id, count(*)::bigint as n from doc_terms group by doc_id),
+total as (select count(*)::bigint as docs, sum(n)::bigint as terms from sizes),
+counts as (select doc_id, term, count(*)::bigint as tf from doc_terms where term in (select term from item_terms) group by doc_id, term),
+weights as (select term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)))::bigint as w from counts, total group by term, docs),
+wanted as (select item_id, term, count(*)::bigint as times from item_terms group by item_id, term),
+scores as (
+  select i.item_id, c.doc_id, sum(i.times * w.w * ((1000000000 * c.tf) // (1000 * c.tf + 8 * (25 + (75 * s.n * t.docs) // t.terms))))::bigint as score
+  from wanted i join weights w using (term) join counts c using (term) join sizes s using (doc_id), total t group by i.item_id, c.doc_id)
+select item_id, rank::int as rank, doc_id, score
+from (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scores where score > 0) where rank <= 10
+"""
+
+STATEMENTS = {"op12_lexical_search": _LEXICAL, "op11_line_dedup": _LINE_DEDUP, "op2_decontamination": _DECONTAMINATION, "op9_quality": _QUALITY}
