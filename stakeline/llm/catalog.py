@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    byte_bpe, decontaminate, html_text, language, lexical, line_dedup, quality, repeats, secrets, sharding, simhash, token_counts,
+    byte_bpe, decontaminate, html_text, language, lexical, line_dedup, negatives, quality, repeats, secrets, sharding, simhash,
+    token_counts,
 )
 from .frames import read
 from .statements import STATEMENTS
@@ -91,6 +92,15 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def moved_label(vec_id, label):
+    """The stated test labels: those of ids divisible by seven go one on."""
+    return F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(read(spark, sf_dir, "embeddings"), label=moved_label)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -100,7 +110,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_sharding, op2_decontamination, op3_token_counts, op4_repeats, op5_secret_scan, op6_html_text,
              op7_language, op8_byte_bpe, op9_quality, op10_simhash, op11_line_dedup, op12_lexical_search,
-             pipeline)
+             op13_hard_negatives, pipeline)
     return {f.__name__: f for f in found}
 
 

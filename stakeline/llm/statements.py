@@ -96,4 +96,26 @@ select item_id, rank::int as rank, doc_id, score
 from (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scores where score > 0) where rank <= 10
 """
 
-STATEMENTS = {"op12_lexical_search": _LEXICAL, "op11_line_dedup": _LINE_DEDUP, "op2_decontamination": _DECONTAMINATION, "op9_quality": _QUALITY}
+_NEGATIVES = r"""
+with rows as (
+  select vec_id as id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+  from embeddings where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+pairs as (
+  select a.id as anchor, b.id as other, a.label = b.label as same,
+         list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2]))::bigint as score
+  from rows a, rows b where a.id % 50 = 0 and a.id <> b.id),
+positives as (
+  select anchor, other, score from (select *, row_number() over (partition by anchor order by score desc, other) as k from pairs where same)
+  where k <= 5),
+negatives as (
+  select p.anchor, p.other as positive, n.other as negative, p.score as positive_score, n.score as negative_score,
+         row_number() over (partition by p.anchor, p.other order by n.score desc, n.other) as rank
+  from positives p join pairs n on n.anchor = p.anchor and not n.same
+  where 50 * p.score <= 100 * n.score and 100 * n.score <= 95 * p.score)
+select anchor as anchor_id, positive as positive_id, rank::int as rank, negative as negative_id, positive_score, negative_score
+from negatives where rank <= 3
+"""
+
+STATEMENTS = {"op13_hard_negatives": _NEGATIVES, "op12_lexical_search": _LEXICAL, "op11_line_dedup": _LINE_DEDUP, "op2_decontamination": _DECONTAMINATION, "op9_quality": _QUALITY}
