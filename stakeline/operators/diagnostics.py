@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import scalars as X
-from .intervals import active_months, micro_percent, percent_of
+from .intervals import micro_percent, percent_of
 from .rows import one_row
 
 POLICIES = ("A", "B", "C")
@@ -85,55 +85,116 @@ def policy_bounds() -> Column:
     )
 
 
-def policy_grid(stakes: DataFrame, latest_month: str) -> DataFrame:
-    """(policy, field, month) from each field's first month on, with the active sum and flags."""
-    last = F.lit(latest_month).cast("date")
-    firsts = stakes.groupBy("field_name").agg(X.month_floor(F.min("start_date")).alias("first_month"))
-    months = F.explode(F.sequence("first_month", last, F.expr("interval 1 month"))).alias("month_start")
-    grid = firsts.where(F.col("first_month") <= last).select("field_name", months).withColumn(
-        "policy", F.explode(F.array(*[F.lit(p) for p in POLICIES]))
-    )
-    laid = stakes.select(
+def next_start(day: Column) -> Column:
+    """The first month start on or after a date."""
+    return F.when(F.dayofmonth(day) == 1, day).otherwise(X.next_month(day))
+
+
+def policy_events(stakes: DataFrame) -> DataFrame:
+    """(policy, field, company, month) with the changes in rows, percent and zero-length rows there.
+
+    An interval is active from the first month start on or after its start up to the one on or after its end,
+    so it is two changes, or none where the two are one.
+    """
+    begin, over = next_start(F.col("p.s")), next_start(F.col("p.e"))
+    rows = stakes.select(
         "field_name", "company_name", micro_percent(F.col("interest_pct")).alias("pct"),
-        F.coalesce(F.col("start_date") == F.col("end_date"), F.lit(False)).alias("is_zero_length"),
+        F.coalesce(F.col("start_date") == F.col("end_date"), F.lit(False)).cast("bigint").alias("points"),
         F.explode(policy_bounds()).alias("p"),
     ).where("p.used").select(
-        "field_name", "company_name", "pct", "is_zero_length", "p.policy",
-        F.explode(active_months(F.col("p.s"), F.col("p.e"), F.lit("1000-01-01").cast("date"), last)).alias("month_start"),
+        "field_name", "company_name", "p.policy", "pct", "points", begin.alias("begin"), over.alias("over"),
+    ).where(F.col("over").isNull() | (F.col("begin") < F.col("over")))
+    change = F.explode(F.array_compact(F.array(
+        F.struct(F.col("begin").alias("month"), F.lit(1).alias("sign")),
+        F.when(F.col("over").isNotNull(), F.struct(F.col("over").alias("month"), F.lit(-1).alias("sign"))),
+    ))).alias("c")
+    return rows.select("policy", "field_name", "company_name", "pct", "points", change).groupBy(
+        "policy", "field_name", "company_name", F.col("c.month").alias("month")
+    ).agg(
+        F.sum("c.sign").alias("rows"), F.sum(F.col("c.sign") * F.col("pct")).alias("pct"),
+        F.sum(F.col("c.sign") * F.col("points")).alias("points"),
     )
-    by_company = laid.groupBy("policy", "field_name", "month_start", "company_name").agg(
-        F.count("*").alias("rows"), F.sum("pct").alias("pct"), F.count_if("is_zero_length").alias("zero_length")
+
+
+def policy_steps(stakes: DataFrame, latest_month: str) -> DataFrame:
+    """(policy, field) as a step function: the active sum and flags from ``month`` up to ``until``.
+
+    Steps cover the months from each field's first one to the latest. Two sweeps make them: along a company's own
+    changes, which shows where it holds several rows at a time, then along those of all companies of the field. A
+    sweep runs over distinct months, a number that the calendar bounds, and no interval is laid out.
+    """
+    last = F.lit(latest_month).cast("date")
+    company = Window.partitionBy("policy", "field_name", "company_name").orderBy("month").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    held = F.sum("rows").over(company)
+    by_company = policy_events(stakes).select(
+        "policy", "field_name", "month", "rows", "pct", "points",
+        ((held > 1).cast("bigint") - (held - F.col("rows") > 1).cast("bigint")).alias("several"),
     )
-    facts = by_company.groupBy("policy", "field_name", "month_start").agg(
-        F.sum("rows").alias("active_rows"), percent_of(F.sum("pct")).alias("sum_pct"),
-        (F.max("rows") > 1).alias("repeats"), (F.sum("zero_length") > 0).alias("zero_length_active"),
+    firsts = stakes.groupBy("field_name").agg(X.month_floor(F.min("start_date")).alias("first_month")).where(
+        F.col("first_month") <= last)
+    none = F.lit(0).cast("bigint")
+    opened = firsts.select(
+        F.explode(F.array(*[F.lit(p) for p in POLICIES])).alias("policy"), "field_name", F.col("first_month").alias("month"),
+        none.alias("rows"), none.alias("pct"), none.alias("points"), none.alias("several"), "first_month")
+    changes = by_company.withColumn("first_month", F.lit(None).cast("date")).unionByName(opened).groupBy(
+        "policy", "field_name", "month"
+    ).agg(*[F.sum(c).alias(c) for c in ("rows", "pct", "points", "several")], F.max("first_month").alias("first_month"))
+    field = Window.partitionBy("policy", "field_name").orderBy("month")
+    upto = field.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    every = Window.partitionBy("policy", "field_name").orderBy("month").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
+    run = {c: F.sum(c).over(upto) for c in ("rows", "pct", "points", "several")}
+    steps = changes.select(
+        "policy", "field_name", F.greatest("month", F.max("first_month").over(every)).alias("month"),
+        F.least(F.coalesce(F.lead("month").over(field), X.next_month(last)), X.next_month(last)).alias("until"),
+        F.max("first_month").over(every).alias("first_month"), *[c.alias(n) for n, c in run.items()],
+    ).where(F.col("first_month").isNotNull() & (F.col("month") < F.col("until")))
+    active = F.col("rows") > 0
+    return steps.select(
+        "policy", "field_name", "month", "until", F.col("rows").alias("active_rows"),
+        F.when(active, percent_of(F.col("pct"))).alias("sum_pct"),
+        (active & (F.col("several") > 0)).alias("repeats"), (active & (F.col("points") > 0)).alias("zero_length_active"),
     )
-    return grid.join(facts, ["policy", "field_name", "month_start"], "left")
 
 
-def policy_comparison(grid: DataFrame) -> DataFrame:
-    active = F.coalesce("active_rows", F.lit(0)) > 0
+def policy_grid(steps: DataFrame) -> DataFrame:
+    """(policy, field, month): the steps read at every month."""
+    months = F.explode(F.sequence("month", F.add_months("until", -1), F.expr("interval 1 month"))).alias("month_start")
+    return steps.select("policy", "field_name", months, "active_rows", "sum_pct", "repeats", "zero_length_active")
+
+
+def policy_comparison(steps: DataFrame) -> DataFrame:
+    """Field-months by policy and outcome: a step counts its months."""
+    months = F.months_between("until", "month").cast("bigint")
+    active = F.col("active_rows") > 0
     off = F.abs(F.col("sum_pct") - 100) > X.SUM_TOLERANCE
-    return grid.groupBy("policy").agg(
-        F.count("*").alias("field_months"),
-        F.count_if(~active).alias("none_active"),
-        F.count_if(active & ~off).alias("sum_ok"),
-        F.count_if(active & off & (F.col("sum_pct") > 100 + X.SUM_TOLERANCE)).alias("sum_over"),
-        F.count_if(active & off & (F.col("sum_pct") <= 100 + X.SUM_TOLERANCE)).alias("sum_under"),
-        F.count_if(active & F.col("repeats")).alias("repeated_company_months"),
-        F.count_if(active & F.col("zero_length_active")).alias("zero_length_active_months"),
+    over = F.col("sum_pct") > 100 + X.SUM_TOLERANCE
+    count = lambda hit: F.sum(F.when(hit, months).otherwise(0))
+    return steps.groupBy("policy").agg(
+        F.sum(months).alias("field_months"),
+        count(~active).alias("none_active"),
+        count(active & ~off).alias("sum_ok"),
+        count(active & off & over).alias("sum_over"),
+        count(active & off & ~over).alias("sum_under"),
+        count(active & F.col("repeats")).alias("repeated_company_months"),
+        count(active & F.col("zero_length_active")).alias("zero_length_active_months"),
     )
 
 
-def worst_sums(grid: DataFrame, policy: str = "A", k: int = 15) -> DataFrame:
-    """Largest distances from 100 percent; by field and month on equal distance."""
+def worst_sums(steps: DataFrame, policy: str = "A", k: int = 15) -> DataFrame:
+    """Largest distances from 100 percent; by field and month on equal distance.
+
+    The first ``k`` months lie in the first ``k`` steps, since the steps of a field don't overlap.
+    """
     off = F.round("sum_pct", 2)
-    return (
-        grid.where((F.col("policy") == policy) & (F.abs(F.col("sum_pct") - 100) > X.SUM_TOLERANCE))
-        .select("field_name", "month_start", off.alias("sum_pct"), "active_rows")
-        .orderBy(F.desc(F.abs(F.col("sum_pct") - 100)), "field_name", "month_start")
-        .limit(k)
+    order = [F.desc(F.abs(F.col("sum_pct") - 100)), "field_name"]
+    first = (
+        steps.where((F.col("policy") == policy) & (F.abs(F.col("sum_pct") - 100) > X.SUM_TOLERANCE))
+        .select("policy", "field_name", "month", "until", off.alias("sum_pct"), "active_rows", "repeats", "zero_length_active")
+        .orderBy(*order, "month").limit(k)
     )
+    return policy_grid(first).select("field_name", "month_start", "sum_pct", "active_rows").orderBy(*order, "month_start").limit(k)
 
 
 def future_only_fields(stakes: DataFrame, latest_month: str) -> DataFrame:
@@ -164,71 +225,64 @@ def label_audit(stakes: DataFrame) -> DataFrame:
     )
 
 
-def running_events(rows: DataFrame, keys: list[str], dates: DataFrame) -> DataFrame:
-    """For every (keys, date): lasting and zero-length rows begun before it and over by it.
-
-    Rows are first counted per date, so a key's running total runs over its
-    distinct dates - a number the calendar bounds - and not over its rows.
-    """
-    point = F.coalesce(F.col("start_date") == F.col("end_date"), F.lit(False))
-    zero = F.lit(0).cast("bigint")
-    begun = rows.groupBy(*keys, F.col("start_date").alias("d")).agg(
-        F.count_if(~point).alias("begun"), F.count_if(point).alias("points")
-    )
-    over = rows.where(F.col("end_date").isNotNull() & ~point).groupBy(*keys, F.col("end_date").alias("d")).agg(
-        F.count("*").alias("over")
-    )
-    events = (
-        begun.select(*keys, "d", "begun", "points", zero.alias("over"))
-        .unionByName(over.select(*keys, "d", zero.alias("begun"), zero.alias("points"), "over"))
-        .unionByName(dates.select(*keys, "d", zero.alias("begun"), zero.alias("points"), zero.alias("over")))
-        .groupBy(*keys, "d")
-        .agg(F.sum("begun").alias("begun"), F.sum("points").alias("points"), F.sum("over").alias("over"))
-    )
-    upto = Window.partitionBy(*keys).orderBy("d").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return events.select(
-        *keys, "d",
-        (F.sum("begun").over(upto) - F.col("begun")).alias("begun_before"),
-        F.sum("over").over(upto).alias("over_by"),
-        (F.sum("points").over(upto) - F.col("points")).alias("points_before"),
-        F.sum("points").over(upto).alias("points_by"),
-    )
+def operator_zero_rows(stakes: DataFrame) -> DataFrame:
+    return stakes.where((F.col("interest_pct") == 0) & (F.col("operator_flag") == "Y"))
 
 
-def overlap_counts(left: DataFrame, right: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Number of ``right`` intervals overlapping each ``left`` interval of the same keys.
+def zero_interest_probe(stakes: DataFrame) -> DataFrame:
+    """Zero-interest operator rows by (field, company, start, end), judged by the positive interests of their fields.
 
-    Begun before my end, minus over by my start: no pairs are formed. A
-    zero-length row counts for a lasting one that strictly contains its date.
+    ``n`` equal rows; ``covered_by_other``: another company's positive interest overlaps them; ``positive_elsewhere``:
+    their own company holds one in the field at some time. Only fields that have such rows are looked at: their positive
+    rows are counted by date, for each company and for the field as a whole, and one pass of running totals answers
+    both. Overlaps are counted as begun before my end minus over by my start; a zero-length row counts for a
+    lasting one that strictly contains its date.
     """
     far = F.lit("9999-12-31").cast("date")
-    probe = left.withColumn("_end", F.coalesce("end_date", far))
-    dates = probe.select(*keys, F.explode(F.array("start_date", "_end")).alias("d")).distinct()
-    totals = running_events(right, keys, dates)
-    at_end = totals.select(*keys, F.col("d").alias("_end"), F.col("begun_before").alias("_b"),
-                           F.col("points_before").alias("_pb"))
-    at_start = totals.select(*keys, F.col("d").alias("start_date"), F.col("over_by").alias("_o"),
-                             F.col("points_by").alias("_po"))
-    counted = probe.join(at_end, [*keys, "_end"], "left").join(at_start, [*keys, "start_date"], "left")
-    none = F.lit(0)
-    return counted.withColumn(
-        name, F.col("_b") - F.col("_o") + F.greatest(F.col("_pb") - F.col("_po"), none)
-    ).select(*left.columns, name)
-
-
-def operator_zero_rows(stakes: DataFrame) -> DataFrame:
-    return stakes.where((F.col("interest_pct") == 0) & (F.col("operator_flag") == "Y"))
+    probes = operator_zero_rows(stakes).groupBy(
+        "field_name", "company_name", "start_date", F.coalesce("end_date", far).alias("probe_end")).agg(F.count("*").alias("n"))
+    fields = operator_zero_rows(stakes).select("field_name").distinct()
+    positive = stakes.where(F.col("interest_pct") > 0).join(fields, "field_name", "left_semi")
+    point = F.coalesce(F.col("start_date") == F.col("end_date"), F.lit(False))
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    event = lambda d, begun, points, over: F.struct(
+        d.alias("d"), begun.alias("begun"), points.alias("points"), over.alias("over"))
+    dated = positive.select("field_name", "company_name", F.explode(F.array_compact(F.array(
+        event(F.col("start_date"), F.when(point, zero).otherwise(one), F.when(point, one).otherwise(zero), zero),
+        F.when(~point & F.col("end_date").isNotNull(), event(F.col("end_date"), zero, zero, one)),
+    ))).alias("e")).groupBy("field_name", "company_name", "e.d").agg(*[F.sum(f"e.{c}").alias(c) for c in ("begun", "points", "over")])
+    # an owner is a company, or the field as a whole
+    owners = F.explode(F.array(F.concat(F.lit("="), F.col("company_name")), F.lit(""))).alias("owner")
+    asked = probes.select("field_name", owners, F.col("start_date"), F.col("probe_end")).select(
+        "field_name", "owner", F.explode(F.array("start_date", "probe_end")).alias("d"))
+    events = dated.select("field_name", owners, "d", "begun", "points", "over").unionByName(
+        asked.select("field_name", "owner", "d", zero.alias("begun"), zero.alias("points"), zero.alias("over"))
+    ).groupBy("field_name", "owner", "d").agg(*[F.sum(c).alias(c) for c in ("begun", "points", "over")])
+    upto = Window.partitionBy("field_name", "owner").orderBy("d").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    every = Window.partitionBy("field_name", "owner").orderBy("d").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    totals = events.select(
+        "field_name", "owner", "d", (F.sum("begun").over(upto) - F.col("begun")).alias("begun_before"), F.sum("over").over(upto).alias("over_by"),
+        (F.sum("points").over(upto) - F.col("points")).alias("points_before"), F.sum("points").over(upto).alias("points_by"),
+        F.sum(F.col("begun") + F.col("points")).over(every).alias("ever"))
+    keys = ["field_name", "company_name", "start_date", "probe_end"]
+    lookups = probes.select(*keys, "n", owners).select(*keys, "n", "owner", F.explode(F.array(
+        F.struct(F.col("start_date").alias("d"), F.lit(False).alias("ends")),
+        F.struct(F.col("probe_end").alias("d"), F.lit(True).alias("ends")))).alias("q")).select(*keys, "n", "owner", "q.d", "q.ends")
+    found = lookups.join(totals, ["field_name", "owner", "d"])
+    whole = F.col("owner") == ""
+    at = lambda own, ends, c: F.max(F.when((whole != F.lit(own)) & (F.col("ends") == ends), F.col(c)))
+    overlaps = lambda own: at(own, True, "begun_before") - at(own, False, "over_by") + F.greatest(
+        at(own, True, "points_before") - at(own, False, "points_by"), F.lit(0))
+    return found.groupBy(*keys, "n").agg(
+        (overlaps(False) > overlaps(True)).alias("covered_by_other"),
+        (F.max(F.when(~whole, F.col("ever"))) > 0).alias("positive_elsewhere"))
 
 
 def covered_by_others(stakes: DataFrame) -> DataFrame:
     """Zero-interest operator rows, flagged when another company's positive interest overlaps them."""
-    rows = operator_zero_rows(stakes)
-    positive = stakes.where(F.col("interest_pct") > 0)
-    everyone = overlap_counts(rows, positive, ["field_name"], "all_overlaps")
-    both = overlap_counts(everyone, positive, ["field_name", "company_name"], "own_overlaps")
-    return both.select(
-        *stakes.columns, (F.col("all_overlaps") > F.col("own_overlaps")).alias("covered_by_other")
-    )
+    flags = zero_interest_probe(stakes).drop("n", "positive_elsewhere")
+    rows = operator_zero_rows(stakes).withColumn("probe_end", F.coalesce("end_date", F.lit("9999-12-31").cast("date")))
+    return rows.join(flags, ["field_name", "company_name", "start_date", "probe_end"]).select(*stakes.columns, "covered_by_other")
 
 
 def positive_elsewhere(stakes: DataFrame) -> DataFrame:
@@ -249,11 +303,9 @@ def zero_interest_profile(stakes: DataFrame) -> DataFrame:
         F.count_if(flagged & is_open).alias("operator_open"),
         F.count_if(flagged & ~is_open).alias("operator_closed"),
     )
-    covered = covered_by_others(stakes).agg(F.count_if("covered_by_other").alias("covered_by_other"))
-    elsewhere = positive_elsewhere(stakes).agg(F.count("*").alias("positive_elsewhere"))
-    return one_row(counts, covered, elsewhere).withColumn(
-        "not_covered", F.col("operator_rows") - F.col("covered_by_other")
-    )
+    counted = lambda flag: F.coalesce(F.sum(F.when(F.col(flag), F.col("n"))), F.lit(0)).alias(flag)
+    judged = zero_interest_probe(stakes).agg(counted("covered_by_other"), counted("positive_elsewhere"))
+    return one_row(counts, judged).withColumn("not_covered", F.col("operator_rows") - F.col("covered_by_other"))
 
 
 def future_dated(stakes: DataFrame, as_of: str) -> DataFrame:
