@@ -1,15 +1,51 @@
 import random
+import re
 
+import numpy as np
 from cases import awkward, frame
 
 from stakeline.llm import repeats as R
 
 
+WORD = re.compile(r"[^\W\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff]+"
+                  r"|[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff]")
+CUTS = {"sentence": r"(?<=[.!?\u0964\u061f])\s+|(?<=\u3002)\s*|\n+", "line": r"\n+", "paragraph": r"\n\s*\n"}
+
+
+def plain_units(text, unit, min_words):
+    """(start, end, words) by walking from unit to unit."""
+    parts, at = [], 0
+    for cut in [*re.finditer(CUTS[unit], text), None]:
+        stop = cut.start() if cut else len(text)
+        words = [w.lower() for w in WORD.findall(text[at:stop])]
+        if words:
+            parts.append((at, stop, words))
+        at = cut.end() if cut else at
+    for i, (start, end, words) in enumerate(parts):
+        for k in range(i + 1, len(parts)):
+            if len(words) >= min_words:
+                break
+            words, end = words + parts[k][2], parts[k][1]
+        if len(words) >= min_words:
+            yield start, end, ("unit", *words)
+
+
+def plain_runs(text):
+    """The runs at the chosen places; equal ones that overlap count once."""
+    found = list(WORD.finditer(text))
+    over = {}
+    for k in R.runs(R.Text(text))[0].tolist():
+        words = ("run", *[m.group().lower() for m in found[k:k + R.RUN]])
+        assert over.get(words, 0) <= k
+        over[words] = k + R.RUN
+        yield found[k].start(), found[k + R.RUN - 1].end(), words
+
+
 def brute(rows, unit, min_words):
     places = {}
     order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
     for doc_id, text in order:
-        for start, end, words in R.units(text or "", unit, min_words):
+        for start, end, words in [*plain_units(text or "", unit, min_words), *plain_runs(text or "")]:
             places.setdefault(words, []).append((doc_id, start, end))
     out = []
     for found in places.values():
@@ -19,6 +55,29 @@ def brute(rows, unit, min_words):
     return out
 
 
+def test_stretches_are_equal_exactly_where_their_words_are():
+    rnd = random.Random(2)
+    text = " ".join(rnd.choice(["a", "b", "A", "é", "中"]) for _ in range(70))
+    words = R.Text(text)
+    plain = [m.group().lower() for m in WORD.finditer(text)]
+    n = len(plain)
+    pairs = [(i, j) for i in range(n) for j in range(i + 1, min(n, i + 9) + 1)]
+    digests = words.digests(np.array([p[0] for p in pairs]), np.array([p[1] for p in pairs]), 0)
+    by_words = {}
+    for (i, j), digest in zip(pairs, digests.tolist()):
+        by_words.setdefault(tuple(plain[i:j]), set()).add(tuple(digest))
+    assert all(len(d) == 1 for d in by_words.values())
+    assert len({next(iter(d)) for d in by_words.values()}) == len(by_words)
+
+
+def test_every_26_runs_have_a_chosen_one():
+    rnd = random.Random(6)
+    for n in (50, 51, 52, 77, 300):
+        chosen = R.runs(R.Text(" ".join(f"w{rnd.randrange(10**6)}" for _ in range(n))))[0].tolist()
+        starts = [-1, *chosen, n - R.RUN + 1] if n >= 51 else []
+        assert all(b - a <= R.RUN for a, b in zip(starts, starts[1:])) and bool(chosen) == (n >= 51)
+
+
 def test_all_units(spark):
     passage = "Here is a sentence that everyone copies into their text. And it goes on with a second one of many words."
     rows = awkward() + [(30, f"Some words first {passage} and more", *[None] * 10), (31, f"Other, other start. {passage} Then ends", *[None] * 10),
@@ -70,7 +129,7 @@ def test_passages_inside_longer_sentences(spark):
 
 def test_one_word_over_and_over_and_other_sentence_ends(spark):
     many = " ".join(["Again"] * 500)
-    assert len(R.runs(many)) <= 500 // R.RUN
+    assert len(R.runs(R.Text(many))[0]) <= 500 // R.RUN
     chinese = "".join(chr(0x4E00 + k) for k in range(40))
     hindi = " ".join(f"क{k}" for k in range(20))
     docs = spark.createDataFrame([(1, f"一。{chinese}。二"), (2, f"三四。{chinese}。五"), (3, f"a। {hindi}। b"), (4, f"c। {hindi}। d"), (5, many), (6, f"so {many}")],
