@@ -18,6 +18,7 @@ import base64
 import functools
 import sys
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,8 @@ from .pieces import BLOCK_BYTES, once_per_piece, pack_strings, unpack_strings
 WHITE_SPACE = [9, 10, 11, 12, 13, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]
 CONTRACTIONS = ["s", "t", "re", "ve", "m", "ll", "d"]
 _LETTER, _NUMBER, _SPACE, _OTHER = 1, 2, 3, 4
+#: Ids that are decoded together.
+SLICE_IDS = 1 << 18
 
 
 @functools.cache
@@ -149,14 +152,15 @@ def decode(encoded: DataFrame, ranks_path: str, *, ids_col: str = "token_ids", o
             length[rank] = len(token)
         tokens = np.frombuffer(b"".join(sorted(ranks, key=ranks.get)), dtype=np.uint8)
         start = np.cumsum(np.maximum(length, 0)) - np.maximum(length, 0)
-        for batch in (b.slice(k, 100) for b in batches for k in range(0, b.num_rows, 100)):  # bounds the index arrays
+        for batch in (part for b in batches for part in slices(b, place)):
             ids = batch.column(place)
             flat = ids.flatten().to_numpy(zero_copy_only=False)
             if len(flat) and (flat.min() < 0 or flat.max() >= len(length) or length[flat].min() < 0):
                 raise ValueError("a token id is not in the table")
             many, size = length[flat], ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
             ends = np.concatenate([[0], np.cumsum(many)])
-            data = tokens[np.arange(ends[-1]) + np.repeat(start[flat] - ends[:-1], many)].tobytes()
+            index = np.int32 if ends[-1] + len(tokens) < 2**31 else np.int64
+            data = tokens[np.arange(ends[-1], dtype=index) + np.repeat((start[flat] - ends[:-1]).astype(index), many)].tobytes()
             bounds = ends[np.concatenate([[0], np.cumsum(size)])].tolist()
             out = [None if gone else data[a:b] for gone, a, b in zip(ids.is_null().to_pylist(), bounds, bounds[1:])]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())],
@@ -164,6 +168,17 @@ def decode(encoded: DataFrame, ranks_path: str, *, ids_col: str = "token_ids", o
     return map_arrow(encoded, work, schema)
 
 
+def slices(batch: pa.RecordBatch, place: int) -> Iterator[pa.RecordBatch]:
+    """Rows with about ``SLICE_IDS`` ids at most together, which bounds the index arrays; a longer row stands alone."""
+    upto = np.cumsum(batch.column(place).value_lengths().fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        before = upto[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(upto, before + SLICE_IDS, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def digests(decoded: DataFrame) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of encoded and decoded documents."""
     ids = F.concat_ws(",", F.col("token_ids").cast("array<string>"))

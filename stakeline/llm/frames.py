@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -11,7 +12,9 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 #: Rows and bytes of one Arrow batch: a worker holds one batch at a time.
-BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 2000, 4 << 20
+#: Batches after which a worker gives unused memory back.
+GIVE_BACK = 16
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -33,9 +36,27 @@ def map_arrow(frame: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Itera
               schema: str) -> DataFrame:
     """``mapInArrow`` with batches bounded in rows and bytes."""
     conf = frame.sparkSession.conf
-    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    return frame.mapInArrow(work, schema)
+    limits = {"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_ROWS, "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES}
+    for name, value in limits.items():
+        if conf.get(name) != str(value):
+            conf.set(name, str(value))
+
+    def tidy(batches):
+        for k, batch in enumerate(work(batches), 1):
+            yield batch
+            if k % GIVE_BACK == 0:
+                give_back()
+        give_back()
+    return frame.mapInArrow(tidy, schema)
+
+
+def give_back() -> None:
+    """Returns what a worker no longer uses; workers live as long as the session and would hold on to their peaks."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def texts_as_bytes(column: pa.Array) -> list[bytes | None]:
