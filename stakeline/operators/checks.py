@@ -368,6 +368,53 @@ def table_changes(before: DataFrame, after: DataFrame, keys: list[str], ignore:
     return old.join(new, keys, "full_outer").select(*keys, kind.alias("change")).where(F.col("change").isNotNull())
 
 
+RANGES = 1024
+
+
+def key_range(keys: list[str]) -> Column:
+    """One of ``RANGES`` ranges of hashed keys."""
+    return F.pmod(F.xxhash64(*keys), F.lit(RANGES))
+
+
+def range_digests(rows: DataFrame, keys: list[str], ignore: tuple[str, ...] = ("built_at",)) -> DataFrame:
+    """``range, rows, digest``: a digest of each range of keys that does not depend on the order of rows; kept with a build.
+
+    At most ``RANGES`` rows. Null values are hashed by a mark, because a hash of several columns passes over nulls.
+    """
+    values = [F.col(c) for c in sorted(rows.columns) if c not in ignore]
+    own = F.xxhash64(*[x for v in values for x in (v, v.isNull())])
+    other = F.xxhash64(F.lit("other"), *[x for v in values for x in (v, v.isNull())])
+    return rows.groupBy(key_range(keys).alias("range")).agg(
+        F.count("*").alias("rows"), F.bit_xor(own).alias("digest"), F.sum(F.pmod(other, F.lit(1 << 31))).alias("sum"))
+
+
+def changes_by_digest(before: DataFrame, after: DataFrame, before_digests: DataFrame, after_digests: DataFrame, keys: list[str],
+                      ignore: tuple[str, ...] = ("built_at",)) -> DataFrame:
+    """``table_changes`` of the ranges whose digests differ; equal builds are told apart by their digests alone."""
+    marked = lambda digests: digests.select("range", F.struct("rows", "digest", "sum").alias("d"))
+    both = marked(before_digests).withColumnRenamed("d", "was").join(marked(after_digests).withColumnRenamed("d", "now"), "range", "full")
+    ranges = [r["range"] for r in both.where(~F.col("was").eqNullSafe(F.col("now"))).select("range").collect()]  # RANGES at most
+    differing = key_range(keys).isin(ranges) if ranges else F.lit(False)
+    return table_changes(before.where(differing), after.where(differing), keys, ignore)
+
+
+def titled(meta: DataFrame, title: Column | str) -> DataFrame:
+    """A build's metadata with the title that its source carried."""
+    return meta.withColumn("source_title", title if isinstance(title, Column) else F.lit(title))
+
+
+def title_change(previous: DataFrame, current: DataFrame) -> DataFrame:
+    """``previous_title, source_title, outcome`` of a build against the metadata of the one before.
+
+    ``first run`` where there is no metadata, ``no title`` where the source has none now, else ``unchanged`` or ``changed``.
+    """
+    was = previous.agg(F.count("*").alias("builds"), F.max("source_title").alias("previous_title"))
+    outcome = (
+        F.when(F.col("source_title").isNull(), "no title").when(F.col("builds") == 0, "first run")
+        .when(F.col("previous_title").eqNullSafe(F.col("source_title")), "unchanged").otherwise("changed"))
+    return one_row(was, current.select("source_title")).select("previous_title", "source_title", outcome.alias("outcome"))
+
+
 def schema_fingerprint(spark: SparkSession, frame: DataFrame) -> DataFrame:
     """sha256 over the sorted (name, type) pairs of a frame's schema."""
     pairs = spark.createDataFrame(

@@ -47,37 +47,41 @@ def active_months(start: Column, end: Column, first: Column, last: Column) -> Co
     return F.when(begin <= stop, F.sequence(begin, stop, F.expr("interval 1 month")))
 
 
-def lay_out(stakes: DataFrame, first: Column, last: Column) -> DataFrame:
-    """One row per interval and active month."""
-    months = active_months(F.col("start_date"), F.col("end_date"), first, last)
-    return stakes.withColumn("month_start", months).withColumn("month_start", F.explode("month_start"))
+def month_layout(stakes: DataFrame, first: Column, last: Column) -> DataFrame:
+    """(equity_field, month_start): one row per interval and month it is active in, and one, not active, per start within a month.
 
-
-def month_facts(stakes: DataFrame, first: Column, last: Column) -> DataFrame:
-    """(equity_field, month): active rows, their positive sum, repeated companies, mid-month starts.
-
-    Two steps of grouping: by company first, so that a repeated company shows up
-    as a count above one and no set of companies is ever built.
+    The one layout that all questions of field-months are answered from. Kept as a table in buckets of its
+    two keys (see ``store``), it meets months by joins and groupings that move only the other side.
     """
     start = F.col("start_date")
     begins = X.month_floor(start)
     inside = (begins >= first) & (begins <= last) & (F.dayofmonth(start) > 1)
     none = F.array().cast("array<date>")
     dated = stakes.select(
-        F.col("field_name").alias("equity_field"),
-        "company_name",
-        micro_percent(F.col("interest_pct")).alias("pct"),
+        F.col("field_name").alias("equity_field"), "company_name", "interest_pct", "start_date", "end_date", "operator_flag",
         F.coalesce(active_months(start, F.col("end_date"), first, last), none).alias("held"),
         F.when(inside, F.array(begins)).otherwise(none).alias("begun"),
     )
     flags = F.concat(F.array_repeat(F.lit(True), F.size("held")), F.array_repeat(F.lit(False), F.size("begun")))
-    laid = dated.select(
-        "equity_field", "company_name", "pct",
-        F.explode(F.arrays_zip(F.concat("held", "begun").alias("month_start"), flags.alias("active"))).alias("m"),
-    ).select("equity_field", "company_name", "pct", "m.month_start", "m.active")
-    by_company = laid.groupBy("equity_field", "month_start", "company_name").agg(
+    months = F.explode(F.arrays_zip(F.concat("held", "begun").alias("month_start"), flags.alias("active"))).alias("m")
+    return dated.select("*", months).select(
+        "equity_field", "m.month_start", "m.active", "company_name", "interest_pct", "start_date", "end_date", "operator_flag")
+
+
+def active_in(layout: DataFrame) -> DataFrame:
+    return layout.where("active").drop("active")
+
+
+def month_facts(layout: DataFrame) -> DataFrame:
+    """(equity_field, month): active rows, their positive sum, repeated companies, mid-month starts.
+
+    Two steps of grouping: by company first, so that a repeated company shows up
+    as a count above one and no set of companies is ever built.
+    """
+    pct = micro_percent(F.col("interest_pct"))
+    by_company = layout.groupBy("equity_field", "month_start", "company_name").agg(
         F.count_if("active").alias("rows"),
-        F.sum(F.when(F.col("active") & (F.col("pct") > 0), F.col("pct")).otherwise(0)).alias("positive"),
+        F.sum(F.when(F.col("active") & (pct > 0), pct).otherwise(0)).alias("positive"),
         F.count_if(~F.col("active")).alias("mid_starts"),
     )
     return by_company.groupBy("equity_field", "month_start").agg(
@@ -121,16 +125,16 @@ def join_months(months: DataFrame, facts: DataFrame) -> DataFrame:
 
 
 def resolve(history: DataFrame, matches: DataFrame, stakes: DataFrame, today_month: str,
-            first: Column, last: Column) -> DataFrame:
+            first: Column, last: Column, layout: DataFrame | None = None) -> DataFrame:
     """(field, period) with its category, match method and active-interest figures.
 
-    ``first`` and ``last`` bound the production months (see ``window_of``).
+    ``first`` and ``last`` bound the production months (see ``window_of``); ``layout`` is that of ``stakes``, where stored.
     ``today_month`` (first of a month, ISO) separates fields whose ownership is
     still in the future from fields whose ownership simply began later.
     """
     by_field = matched_starts(matches, stakes)
     keyed = history.join(by_field, "field", "left")
-    joined = join_months(keyed, month_facts(stakes, first, last))
+    joined = join_months(keyed, month_facts(layout if layout is not None else month_layout(stakes, first, last)))
     active = F.coalesce("active_rows", F.lit(0))
     total = F.coalesce("positive_sum", F.lit(0).cast("decimal(38,6)"))
     rounded = F.round(total, 4)
@@ -165,7 +169,7 @@ def resolve_latest(latest: DataFrame, matches: DataFrame, stakes: DataFrame, mon
     """The single-month form: five categories, for fields that produce in the latest ``month``."""
     dated = latest.withColumn("month_start", X.month_start(F.col("period")))
     by_field = matched_starts(matches, stakes)
-    joined = join_months(dated.join(by_field, "field", "left"), month_facts(stakes, month, month))
+    joined = join_months(dated.join(by_field, "field", "left"), month_facts(month_layout(stakes, month, month)))
     active = F.coalesce("active_rows", F.lit(0))
     total = F.coalesce("positive_sum", F.lit(0).cast("decimal(38,6)"))
     category = (
@@ -184,20 +188,16 @@ def resolve_latest(latest: DataFrame, matches: DataFrame, stakes: DataFrame, mon
     )
 
 
-def active_rows(resolved: DataFrame, stakes: DataFrame, first: Column, last: Column) -> DataFrame:
+def active_rows(resolved: DataFrame, layout: DataFrame) -> DataFrame:
     """Field-months with every interval active in them, whatever their category (inner)."""
-    laid = lay_out(stakes, first, last).select(
-        F.col("field_name").alias("equity_field"), "month_start", "company_name",
-        F.col("interest_pct").cast(PERCENT).alias("interest_pct"),
-        "start_date", "end_date", "operator_flag",
-    )
+    laid = active_in(layout).withColumn("interest_pct", F.col("interest_pct").cast(PERCENT))
     return resolved.join(laid, ["equity_field", "month_start"])
 
 
-def attribute(resolved: DataFrame, stakes: DataFrame, first: Column, last: Column) -> DataFrame:
+def attribute(resolved: DataFrame, layout: DataFrame) -> DataFrame:
     """(field, period, company): volume x interest, for resolved months and positive interests."""
     wanted = resolved.where(F.col("category") == "resolved")
-    rows = active_rows(wanted, stakes.where(F.col("interest_pct") > 0), first, last)
+    rows = active_rows(wanted, layout.where(F.col("interest_pct") > 0))
     return rows.select(
         "field", "period", F.col("company_name").alias("company"), "interest_pct",
         *[F.round(F.col(s) * F.col("interest_pct") / 100, 6).cast(SHARE).alias(s) for s in EQUITY_STREAMS],
@@ -267,11 +267,11 @@ def company_summary(attributed: DataFrame) -> DataFrame:
     )
 
 
-def excluded_hits(resolved: DataFrame, stakes: DataFrame, first: Column, last: Column) -> DataFrame:
+def excluded_hits(resolved: DataFrame, layout: DataFrame) -> DataFrame:
     """Per company: active rows in quarantined or mismatched field-months."""
     held = resolved.where(F.col("category").isin("quarantined", "e1_sum_mismatch"))
     return (
-        active_rows(held, stakes, first, last)
+        active_rows(held, layout)
         .groupBy(F.col("company_name").alias("company"))
         .agg(F.count("*").alias("excluded_rows"))
     )
@@ -288,12 +288,9 @@ def latest_value_rounding(rows: DataFrame, names: tuple[str, ...] = EQUITY_STREA
                        *[F.round(F.col(n), 3).cast(PUBLISHED).alias(n) for n in names])
 
 
-def join_active(months: DataFrame, stakes: DataFrame, first: Column, last: Column) -> DataFrame:
+def join_active(months: DataFrame, layout: DataFrame) -> DataFrame:
     """Left outer: every field-month with its 0..n active intervals."""
-    laid = lay_out(stakes, first, last).select(
-        F.col("field_name").alias("equity_field"), "month_start", "company_name", "interest_pct", "start_date", "end_date"
-    )
-    return join_months(months, laid)
+    return join_months(months, active_in(layout).drop("operator_flag"))
 
 
 def field_documents_summary(published: DataFrame, stakes: DataFrame) -> DataFrame:

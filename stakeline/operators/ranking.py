@@ -117,6 +117,33 @@ def search(entries: DataFrame, query: str, k: int = 20) -> DataFrame:
     )
 
 
+GRAM = 3
+
+
+def grams(text: Column) -> Column:
+    """The different runs of three characters of a text."""
+    places = F.when(F.length(text) >= GRAM, F.sequence(F.lit(1), F.length(text) - GRAM + 1)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(places, lambda k: F.substring(text, k, F.lit(GRAM))))
+
+
+def postings(entries: DataFrame) -> DataFrame:
+    """An inverted index of the entries: one row per entry and run of three characters of its label."""
+    return entries.select(F.explode(grams(F.lower("label"))).alias("gram"), *entries.columns)
+
+
+def search_index(entries: DataFrame, index: DataFrame, query: str, k: int = 20) -> DataFrame:
+    """``search`` by an index of ``postings``: only entries that have all runs of the query are ranked.
+
+    ``index`` is read for the query's runs alone; a query of fewer than three characters has none and scans the entries.
+    """
+    text = query.strip().lower()
+    if len(text) < GRAM:
+        return search(entries, query, k)
+    wanted = sorted({text[i:i + GRAM] for i in range(len(text) - GRAM + 1)})
+    found = index.where(F.col("gram").isin(wanted)).groupBy(*entries.columns).agg(F.count("*").alias("hits"))
+    return search(found.where(F.col("hits") == len(wanted)).drop("hits"), query, k)
+
+
 def sample_with_total(offenders: DataFrame, order: list[str], k: int = 20) -> DataFrame:
     """The first k offenders and how many more there are."""
     more = offenders.agg(F.greatest(F.count("*") - k, F.lit(0))).scalar()

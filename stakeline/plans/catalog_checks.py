@@ -10,14 +10,15 @@ from ..functions import scalars as X
 from ..functions.volumes import DERIVED_STREAMS, NATIVE_STREAMS
 from ..operators import checks as K, licence as L, production as P, ranking as R
 from ..operators.rows import one_row
+from ..session import scratch_path
 from ..sources import adapters, readers, schemas
 from .catalog_licence import EPISODE_COLUMNS
 from .catalog_ownership import FOUR_SQL, four_sum
 from .catalog_production import EIGHT_SQL, d
-from .catalog_sources import META_SQL
+from .catalog_sources import META_SQL, PAGE_SIZE
 from .domain import Domain
 from .reference_sql import DERIVED, FIVE, FOUR
-from .registry import entry
+from .registry import ENTRIES, entry
 from .shape import plain
 
 SOURCES = {
@@ -77,10 +78,25 @@ def _(t: Domain):
     return K.negatives(t.history, ["field", "period"], list(NATIVE_STREAMS))
 
 
+def landed_extract(t: Domain, pages: DataFrame) -> str:
+    path = scratch_path(t.spark, "extract")
+    readers.land_pages(pages, path)
+    return path
+
+
 @entry("V4_fetched_count", "select count(*) counted, count(*) expected from prod")
 def _(t: Domain):
-    fetched = readers.features(adapters.feature_pages(t.prod), geometry=False)
-    return one_row(fetched.agg(F.count("*").alias("counted")), t.prod.agg(F.count("*").alias("expected")))
+    path = landed_extract(t, adapters.landed_pages(t.prod, PAGE_SIZE))
+    fetched = readers.features(readers.page_stream(t.spark, path, PAGE_SIZE, geometry=False), geometry=False)
+    return one_row(fetched.agg(F.count("*").alias("counted")), readers.read_manifest(t.spark, path).agg(F.sum("features").alias("expected")))
+
+
+@entry("V4_planted_lost_pages", f"""
+select object_id // {PAGE_SIZE} as "offset", count(*) expected, 0::bigint fetched from prod where object_id // {PAGE_SIZE} % 7 = 3 group by 1""")
+def _(t: Domain):
+    path = landed_extract(t, adapters.landed_pages(t.prod, PAGE_SIZE))
+    pages = readers.page_stream(t.spark, path, PAGE_SIZE, geometry=False)
+    return readers.page_gaps(pages.where(F.col("offset") % 7 != 3), readers.read_manifest(t.spark, path))
 
 
 @entry("V5_repartition_conservation", " union all ".join(f"""
@@ -176,7 +192,7 @@ from fm f join act a on a.field = f.field and a.period = f.period where f.catego
 def _(t: Domain):
     from ..operators import intervals as I
     held = t.resolved.where(F.col("category") == "quarantined")
-    return plain(I.active_rows(held, t.stakes, *t.window).select("field", "period", "company_name", "interest_pct", "start_date", "end_date"))
+    return plain(I.active_rows(held, t.layout).select("field", "period", "company_name", "interest_pct", "start_date", "end_date"))
 
 
 @entry("V13_quarantined_but_attributed", """
@@ -313,6 +329,26 @@ def _(t: Domain):
     return K.title_changed(previous, current)
 
 
+TITLE = "'Interests to ' || strftime(max(start_date), '%Y-%m-%d')"
+
+
+@entry("V26_title_of_builds", f"""
+select * from (with now as (select {TITLE} t from equity), old as (select {TITLE} t from equity where start_date < date '2001-01-01')
+select 'after an older build' as run, old.t previous_title, now.t source_title, case when old.t = now.t then 'unchanged' else 'changed' end outcome from old, now
+union all select 'again', now.t, now.t, 'unchanged' from now union all select 'first', null, now.t, 'first run' from now) z""")
+def _(t: Domain):
+    title = lambda stakes: stakes.agg(F.concat(F.lit("Interests to "), F.date_format(F.max("start_date"), "yyyy-MM-dd"))).scalar()
+    old = t.stakes.where(F.col("start_date") < F.lit("2001-01-01").cast("date"))
+    base = scratch_path(t.spark, "builds")
+    current = K.titled(K.build_metadata(t.prod), title(t.stakes))
+    for name, stakes in (("older", old), ("same", t.stakes)):
+        K.titled(K.build_metadata(t.prod), title(stakes)).write.json(f"{base}/{name}")
+    shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in current.schema)
+    runs = {"after an older build": "older", "again": "same", "first": "none"}
+    return union([K.title_change(readers.read_metadata(t.spark, f"{base}/{folder}", shape), current).select(F.lit(run).alias("run"), "*")
+                  for run, folder in runs.items()])
+
+
 # --- the same checks over tables with planted violations -------------------------------------
 
 
@@ -384,3 +420,12 @@ def _(t: Domain):
     unlisted = t.prod.withColumn("unit_class", F.lit("production"))
     keep = ["field", "period", *NATIVE_STREAMS]
     return K.table_changes(P.field_history(unlisted).select(*keep), t.history.select(*keep), ["field", "period"])
+
+
+@entry("J19_comparison_by_digests", ENTRIES["J19_build_comparison"].sql)
+def _(t: Domain):
+    keep, keys = ["field", "period", *NATIVE_STREAMS], ["field", "period"]
+    before = P.field_history(t.prod.withColumn("unit_class", F.lit("production"))).select(*keep)
+    after, path = t.history.select(*keep), scratch_path(t.spark, "digests")
+    K.range_digests(before, keys).write.parquet(path)  # as a build leaves them
+    return K.changes_by_digest(before, after, t.spark.read.parquet(path), K.range_digests(after, keys), keys)

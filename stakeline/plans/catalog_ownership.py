@@ -134,7 +134,7 @@ select h.field, h.period, a.company_name, a.interest_pct, {ISO.format('a.start_d
 from hist h left join act a on a.field = h.field and a.period = h.period""")
 def _(t: Domain):
     months = t.history.select("field", "period", "month_start").join(t.matches.select("field", "equity_field"), "field", "left")
-    return plain(I.join_active(months, t.stakes, *t.window).select(
+    return plain(I.join_active(months, t.layout).select(
         "field", "period", "company_name", "interest_pct", "start_date", "end_date"))
 
 
@@ -208,7 +208,7 @@ select a.company, min(a.period) first_period, max(a.period) last_period, count(d
  select c.company_name company, count(*) n from act c join fm f on f.field = c.field and f.period = c.period
  where f.category in ('quarantined', 'e1_sum_mismatch') group by 1) x on x.company = a.company group by a.company""")
 def _(t: Domain):
-    hits = I.excluded_hits(t.resolved, t.stakes, *t.window)
+    hits = I.excluded_hits(t.resolved, t.layout)
     return plain(I.latest_value_rounding(I.company_history_summary(t.attributed_all, hits)))
 
 

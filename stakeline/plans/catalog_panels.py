@@ -293,7 +293,12 @@ def _(t: Domain):
 
 @entry("Q12_search", search_sql("00001"))
 def _(t: Domain):
-    return plain(R.search(t.search_entries, "00001"))
+    return plain(R.search_index(t.search_entries, t.search_index, "00001"))
+
+
+@entry("T8_indexed_search", search_sql("or 1"))
+def _(t: Domain):
+    return plain(R.search_index(t.search_entries, t.search_index, " OR 1 "))
 
 
 @entry("Q13_field_map_table", f"""

@@ -32,6 +32,54 @@ def _(t: Domain):
     return readers.features(t.pages)
 
 
+PAGE_SIZE = 2000
+
+
+def saved(t: Domain, name: str):
+    """Stores rows in one pass and reads them back."""
+    def save(rows: DataFrame) -> DataFrame:
+        path = scratch_path(t.spark, name)
+        rows.write.parquet(path)
+        return t.spark.read.schema(rows.schema).parquet(path)
+    return save
+
+
+@entry("S1_landed_page_stream", "select object_id, field, unit, period, oil_mbd, lon x, lat y from prod")
+def _(t: Domain):
+    path = scratch_path(t.spark, "extract")
+    readers.land_pages(adapters.landed_pages(t.prod, PAGE_SIZE, leftovers=True), path)
+    return readers.fetched_features(t.spark, path, PAGE_SIZE, saved(t, "fetched"))
+
+
+@entry("S1_repeated_features", f"""
+select object_id, count(*) * case when object_id // {PAGE_SIZE} % 11 = 2 then 2 else 1 end copies from prod group by object_id
+having count(*) > 1 or object_id // {PAGE_SIZE} % 11 = 2""")
+def _(t: Domain):
+    path = scratch_path(t.spark, "extract")
+    pages = adapters.landed_pages(t.prod, PAGE_SIZE)
+    readers.land_pages(pages.unionByName(pages.where(F.col("offset") % 11 == 2)), path)
+    return readers.repeated_features(readers.features(readers.page_stream(t.spark, path, PAGE_SIZE, geometry=False), geometry=False))
+
+
+LANDED = f"{schemas.PRODUCTION}, reported_on date, year int"
+
+
+@entry("S3_months_of_a_landing", "select field, unit, object_id from prod where period between '199806' and '199901'")
+def _(t: Domain):
+    return readers.in_months(t.spark, t.landed, LANDED, "199806", "199901").select("field", "unit", "object_id")
+
+
+@entry("P4_latest_month_of_a_landing", "select field, unit, object_id from prod where period = (select p from newest)")
+def _(t: Domain):
+    return readers.latest_landed(t.spark, t.landed, LANDED).select("field", "unit", "object_id")
+
+
+@entry("S4_footer_statistics", """
+select strftime(min(l_shipdate), '%Y-%m-%d') min_value, strftime(max(l_shipdate), '%Y-%m-%d') max_value, count(*) row_count from lineitem""")
+def _(t: Domain):
+    return plain(readers.footer_statistics(t.spark, t.landed, LANDED, "reported_on"))
+
+
 @entry("S2_column_pruning", "select object_id, field, unit, period, oil_mbd from prod")
 def _(t: Domain):
     return readers.features(t.pages, geometry=False)

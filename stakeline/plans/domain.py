@@ -15,9 +15,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import scalars as X
-from ..operators import attribution, coverage, groups, intervals, licence, matching, production
+from ..operators import attribution, coverage, groups, intervals, licence, matching, production, ranking
 from ..sources import adapters
-from .store import input_version, stored
+from .store import input_version, stored, stored_in_buckets, stored_in_partitions
 
 # fixed values: parameters of the queries over the test tables
 PUBLICATION_START = "199703"
@@ -49,6 +49,11 @@ class Domain:
     def prod(self) -> DataFrame:
         return adapters.unit_production(self.raw("lineitem"))
 
+    @cached_property
+    def landed(self) -> str:
+        """Path of the reports as a transfer job lands them: a folder per year, files by date."""
+        return stored_in_partitions(self.spark, self._key, "landed", lambda: adapters.landed_production(self.prod), "year", "reported_on")
+
     @cached_property
     def pages(self) -> DataFrame:
         """The reports as landed pages of a feature service."""
@@ -139,7 +144,13 @@ class Domain:
     @cached_property
     def resolved(self) -> DataFrame:
         return self._stored("resolved", lambda: intervals.resolve(
-            self.history, self.matches, self.stakes, TODAY_MONTH, *self.window))
+            self.history, self.matches, self.stakes, TODAY_MONTH, *self.window, layout=self.layout))
+
+    @cached_property
+    def layout(self) -> DataFrame:
+        """Intervals by active month, in buckets of (field, month)."""
+        return stored_in_buckets(self.spark, self._key, "layout", lambda: intervals.month_layout(self.stakes, *self.window),
+                                 ["equity_field", "month_start"])
 
     @cached_property
     def published(self) -> DataFrame:
@@ -147,11 +158,11 @@ class Domain:
 
     @cached_property
     def attributed(self) -> DataFrame:
-        return intervals.attribute(self.published, self.stakes, *self.window)
+        return intervals.attribute(self.published, self.layout)
 
     @cached_property
     def attributed_all(self) -> DataFrame:
-        return intervals.attribute(self.resolved, self.stakes, *self.window)
+        return intervals.attribute(self.resolved, self.layout)
 
     @cached_property
     def resolved_latest(self) -> DataFrame:
@@ -160,7 +171,8 @@ class Domain:
 
     @cached_property
     def attributed_latest(self) -> DataFrame:
-        return intervals.attribute(self.resolved_latest, self.stakes, self.latest_month, self.latest_month)
+        return intervals.attribute(
+            self.resolved_latest, intervals.month_layout(self.stakes, self.latest_month, self.latest_month))
 
     # coverage
     @cached_property
@@ -271,3 +283,9 @@ class Domain:
             F.lit("operator").alias("type"), F.col("operator").alias("label"), F.col("operator").alias("slug")
         )
         return fields.unionByName(companies).unionByName(operators)
+
+    @cached_property
+    def search_index(self) -> DataFrame:
+        """Postings of the search entries, in order of their runs of characters, so that a query reads few row groups."""
+        return self._stored("search_index", lambda: ranking.postings(self.search_entries).repartitionByRange("gram").sortWithinPartitions(
+            "gram", "label"))

@@ -7,6 +7,7 @@ push-down, and a lost executor costs only the tasks it ran.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +38,27 @@ def stored(spark: SparkSession, key: tuple, name: str, build: Callable[[], DataF
     return spark.read.schema(schema).parquet(path)
 
 
+def stored_in_buckets(spark: SparkSession, key: tuple, name: str, build: Callable[[], DataFrame], by: list[str]) -> DataFrame:
+    """A stored table in sorted buckets of ``by``: joins and groupings by these columns read it without an exchange."""
+    full_key = (spark.sparkContext.applicationId, *key, name)
+    if full_key not in _TABLES:
+        frame, path, table = build(), scratch_path(spark, name), f"{name}_{uuid.uuid4().hex}"
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        frame.repartition(buckets, *by).write.bucketBy(buckets, *by).sortBy(*by).option("path", path).format("parquet").saveAsTable(table)
+        _TABLES[full_key] = (path, table)
+    return spark.table(_TABLES[full_key][1])
+
+
+def stored_in_partitions(spark: SparkSession, key: tuple, name: str, build: Callable[[], DataFrame], by: str, order: str) -> str:
+    """The path of a stored table with a folder per value of ``by``, each file holding a narrow range of ``order``."""
+    full_key = (spark.sparkContext.applicationId, *key, name)
+    if full_key not in _TABLES:
+        frame, path = build(), scratch_path(spark, name)
+        frame.repartitionByRange(by, order).sortWithinPartitions(by, order).write.partitionBy(by).parquet(path)
+        _TABLES[full_key] = (path, frame.schema)
+    return _TABLES[full_key][0]
+
+
 def forget(keep: tuple[str, ...] = ()) -> None:
     """Deletes every stored table but those named; the next use builds it anew.
 
@@ -44,7 +66,9 @@ def forget(keep: tuple[str, ...] = ()) -> None:
     """
     spark = SparkSession.getActiveSession()
     for key in [k for k in _TABLES if k[-1] not in keep]:
-        path, _ = _TABLES.pop(key)
+        path, what = _TABLES.pop(key)
         if spark is not None:
+            if isinstance(what, str):  # a table in buckets
+                spark.sql(f"drop table if exists {what}")
             target = spark._jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

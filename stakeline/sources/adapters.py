@@ -213,6 +213,25 @@ def polygons(supplier: DataFrame) -> DataFrame:
     )
 
 
+def landed_production(prod: DataFrame) -> DataFrame:
+    """The reports with their day and year as stored columns, for landing by year."""
+    return prod.withColumn("reported_on", F.col("reported_at").cast("date")).withColumn("year", F.year("reported_at"))
+
+
+def landed_pages(prod: DataFrame, rows_per_page: int = 2000, leftovers: bool = False) -> DataFrame:
+    """Pages as an extract writes them, by offset: full pages with the flag, then a short one without it.
+
+    ``leftovers`` adds pages of an older, longer extract behind the last one.
+    """
+    pages = feature_pages(prod, rows_per_page).withColumnRenamed("page", "offset")
+    end = feature_pages(prod, rows_per_page).agg(F.max("page")).scalar()
+    pages = pages.withColumn("exceededTransferLimit", F.col("offset") < end)
+    if leftovers:
+        old = pages.where(F.col("offset") % 5 == 0).withColumn("offset", F.col("offset") + end + 1)
+        pages = pages.unionByName(old.withColumn("exceededTransferLimit", F.lit(True)))
+    return pages.select("offset", "exceededTransferLimit", "features")
+
+
 def feature_pages(prod: DataFrame, rows_per_page: int = 2000) -> DataFrame:
     """Source rows packed into pages of a landed feature service answer, a bounded number per page."""
     attributes = F.struct("object_id", "field", "unit", "period", "oil_mbd")

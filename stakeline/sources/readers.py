@@ -6,7 +6,10 @@ service as JSON, exported tables as CSV or Parquet. Schemas are explicit.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from collections.abc import Callable
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from ..functions import scalars as X
 from . import schemas
 
@@ -25,6 +28,55 @@ def read_pages(spark: SparkSession, path: str, schema: str = schemas.FEATURE_PAG
     return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
+def land_pages(pages: DataFrame, path: str) -> None:
+    """Writes pages, one JSON document a line, and beside them the number of features the extract had for each."""
+    pages.write.json(f"{path}/pages")
+    pages.select("offset", F.size("features").cast("bigint").alias("features")).write.parquet(f"{path}/manifest")
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(schemas.MANIFEST).parquet(f"{path}/manifest")
+
+
+def page_stream(spark: SparkSession, path: str, page_size: int, geometry: bool = True) -> DataFrame:
+    """``offset, n, exceeded, features`` of the pages that belong to the answer, from JSON lines; a malformed page is an error.
+
+    In the order of their offsets, pages count up to the first that ends the answer: an empty one, or one that is shorter than
+    ``page_size`` and doesn't carry the flag that more was left. What lies behind it is not part of the answer.
+    """
+    shape = schemas.LANDED_PAGE if geometry else schemas.LANDED_PAGE.replace(", geometry: struct<x: double, y: double>", "")
+    pages = spark.read.schema(shape).option("mode", "FAILFAST").json(f"{path}/pages").select(
+        "offset", F.coalesce(F.size("features"), F.lit(0)).alias("n"),
+        F.coalesce("exceededTransferLimit", F.lit(False)).alias("exceeded"), "features")
+    ends = (F.col("n") <= 0) | ((F.col("n") < page_size) & ~F.col("exceeded"))
+    last = pages.where(ends).agg(F.min("offset")).scalar()
+    return pages.where(F.coalesce(F.col("offset") <= last, F.lit(True)))
+
+
+def page_gaps(pages: DataFrame, manifest: DataFrame) -> DataFrame:
+    """``offset, expected, fetched`` of pages with another number of features than the extract had for them."""
+    fetched = pages.select("offset", F.col("n").cast("bigint").alias("n")).groupBy("offset").agg(F.sum("n").alias("fetched"))
+    expected = manifest.select("offset", F.col("features").alias("expected"))
+    counts = expected.join(fetched, "offset", "full").select(
+        "offset", F.coalesce("expected", F.lit(0)).alias("expected"), F.coalesce("fetched", F.lit(0)).alias("fetched"))
+    return counts.where(F.col("expected") != F.col("fetched"))
+
+
+def fetched_features(spark: SparkSession, path: str, page_size: int, save: Callable[[DataFrame], DataFrame],
+                     geometry: bool = True) -> DataFrame:
+    """The features of an answer, stored by ``save`` and counted on the way; another count than the extract's is an error.
+
+    The count is observed where the rows pass, so it costs no second reading, and is held against the manifest.
+    """
+    seen = Observation("fetched")
+    stored = save(features(page_stream(spark, path, page_size, geometry), geometry).observe(seen, F.count("*").alias("rows")))
+    last = page_stream(spark, path, page_size, geometry).agg(F.max("offset")).scalar()
+    expected = read_manifest(spark, path).where(F.col("offset") <= last).agg(F.sum("features")).first()[0] or 0
+    if seen.get["rows"] != expected:
+        raise SourceError(f"fetched {seen.get['rows']} rows, the extract had {expected}")
+    return stored
+
+
 def features(pages: DataFrame, geometry: bool = True) -> DataFrame:
     """One row per feature. Without geometry the nested columns are never read."""
     rows = pages.select(F.explode("features").alias("f"))
@@ -45,6 +97,43 @@ def statistics(rows: DataFrame, column: str, where: Column | None = None) -> Dat
     )
 
 
+def footer_statistics(spark: SparkSession, path: str, schema: str, column: str) -> DataFrame:
+    """Smallest and largest value of a stored column and the row count, from file footers: no row is read.
+
+    The columnar reader of Spark's second data source API answers these; it is chosen in a session of its own, so
+    that no setting of the caller's changes.
+    """
+    own = spark.newSession()
+    for name, value in (("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text"), ("spark.sql.parquet.aggregatePushdown", "true"),
+                        ("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))):
+        own.conf.set(name, value)
+    return statistics(own.read.schema(schema).parquet(path), column)
+
+
+def newest_year(spark: SparkSession, path: str, schema: str, year: str = "year") -> DataFrame:
+    """The largest partition value of a landing, as one row; only the partition column is asked for."""
+    return spark.read.schema(schema).parquet(path).agg(F.max(year).alias(year))
+
+
+def latest_landed(spark: SparkSession, path: str, schema: str, day: str = "reported_on", year: str = "year") -> DataFrame:
+    """The reports of the newest month of a landing by year.
+
+    The newest year is found while the query runs and prunes the folders; the newest month within it is a range of the stored day.
+    """
+    landed = spark.read.schema(schema).parquet(path)
+    newest = landed.where(F.col(year) == newest_year(spark, path, schema, year).scalar())
+    month = newest.select(F.date_trunc("month", F.max(day)).cast("date")).scalar()
+    return newest.where(F.col(day) >= month)
+
+
+def in_months(spark: SparkSession, path: str, schema: str, first: str, last: str, day: str = "reported_on", year: str = "year") -> DataFrame:
+    """The reports of the months YYYYMM from ``first`` to ``last`` of a landing by year: folders by year, row groups by day."""
+    begin, end = date(int(first[:4]), int(first[4:]), 1), date(int(last[:4]), int(last[4:]), 1)
+    after = date(end.year + end.month // 12, end.month % 12 + 1, 1)
+    return spark.read.schema(schema).parquet(path).where(
+        F.col(year).between(begin.year, end.year) & (F.col(day) >= F.lit(begin)) & (F.col(day) < F.lit(after)))
+
+
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """CSV with exactly the contract's header; another header or a bad value is an error."""
     return spark.read.schema(schema).option("header", True).option("enforceSchema", False).option(

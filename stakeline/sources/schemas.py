@@ -34,3 +34,5 @@ FEATURE_PAGE = (
     "attributes: struct<object_id: bigint, field: string, unit: string, period: string, oil_mbd: double>, "
     "geometry: struct<x: double, y: double>>>"
 )
+LANDED_PAGE = "offset bigint, " + FEATURE_PAGE
+MANIFEST = ("offset bigint, features bigint")

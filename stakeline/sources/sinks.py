@@ -8,8 +8,10 @@ into one value, and a reader of one slug skips all other files.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import scalars as X
@@ -120,13 +122,43 @@ def _rename(spark: SparkSession, source: str, target: str) -> None:
         raise CheckFailed(f"could not move {source} to {target}")
 
 
-def publish(spark: SparkSession, target: str, build_id: str, tables: dict[str, DataFrame],
-            checks: dict[str, DataFrame], write: Callable[[DataFrame, str], None] | None = None) -> str:
-    """All or nothing: check, write every table to a staging folder, move it into place as one build.
+def _commits(spark: SparkSession, target: str) -> list[int]:
+    """Numbers of the commits there are: one small file each."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/commits")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    return sorted(int(name) for s in fs.listStatus(path) if (name := s.getPath().getName().removesuffix(".json")).isdigit())
 
-    Readers follow the newest line of ``<target>/pointer``, appended last; a
-    build that fails before that leaves the previous one in force.
+
+def newest_commit(spark: SparkSession, target: str) -> int:
+    """Number of the build in force; 0 before the first one."""
+    return max(_commits(spark, target), default=0)
+
+
+def _commit(spark: SparkSession, target: str, number: int, build_id: str) -> None:
+    """Creates the commit's file if there is none of its number; the file system lets one of several writers do so."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/commits/{number:012d}.json")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        out = fs.create(path, False)
+    except Py4JJavaError as error:
+        if fs.exists(path):
+            raise CheckFailed(f"build {build_id}: another build was published after commit {number - 1}") from error
+        raise
+    out.write(bytearray(json.dumps({"build_id": build_id}).encode()))
+    out.close()
+
+
+def publish(spark: SparkSession, target: str, build_id: str, tables: dict[str, DataFrame], checks: dict[str, DataFrame],
+            write: Callable[[DataFrame, str], None] | None = None, after: int | None = None) -> str:
+    """All or nothing: check, write every table to a staging folder, move it into place as one build, commit.
+
+    Readers follow the commit with the largest number. A build follows commit ``after`` (the newest one when it starts,
+    by default) and takes the next number, whose file is created only if it is absent: of two builds from one predecessor
+    the second is refused, whatever their clocks say. A build that fails before leaves the previous one in force.
     """
+    after = newest_commit(spark, target) if after is None else after
     for what, offenders in checks.items():
         require_empty(offenders, what)
     staging, final = f"{target}/_staging/{build_id}", f"{target}/builds/{build_id}"
@@ -136,16 +168,14 @@ def publish(spark: SparkSession, target: str, build_id: str, tables: dict[str, D
     for name, frame in tables.items():
         save(frame, f"{staging}/{name}")
     _rename(spark, staging, final)
-    spark.createDataFrame([(build_id,)], "build_id string").withColumn(
-        "published_at", F.current_timestamp()
-    ).coalesce(1).write.mode("append").json(f"{target}/pointer")
+    _commit(spark, target, after + 1, build_id)
     return final
 
 
 def current_build(spark: SparkSession, target: str) -> str | None:
     """Path of the build in force, or None before the first one."""
-    if not _exists(spark, f"{target}/pointer"):
+    number = newest_commit(spark, target)
+    if not number:
         return None
-    lines = spark.read.schema("build_id string, published_at timestamp").json(f"{target}/pointer")
-    row = lines.orderBy(F.desc("published_at")).first()
-    return None if row is None else f"{target}/builds/{row['build_id']}"
+    row = spark.read.schema("build_id string").option("mode", "FAILFAST").json(f"{target}/commits/{number:012d}.json").first()
+    return f"{target}/builds/{row['build_id']}"

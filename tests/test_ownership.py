@@ -7,6 +7,7 @@ from helpers import day, history, one, rows, stakes
 from pyspark.sql import functions as F
 
 from stakeline.operators import checks as K, diagnostics as D, intervals as I, matching as M
+from stakeline.plans.store import stored_in_buckets
 
 TODAY = "2026-09-01"
 
@@ -84,7 +85,7 @@ def test_attribution_and_conservation(spark):
     frame, st, window = resolved(spark, [("F", "202003", 10.0), ("G", "202003", 5.0)], [
         ("F", "A", 60, "2020-01-01", None), ("F", "B", 40, "2020-01-01", None), ("F", "C", 0, "2020-01-01", None, "Y"),
         ("G", "A", 50, "2020-01-01", None)])
-    att = I.attribute(frame, st, *window)
+    att = I.attribute(frame, I.month_layout(st, *window))
     assert [(c, float(v)) for c, v in rows(att, "company", "oil_mbd")] == [("A", 6.0), ("B", 4.0)]
     assert K.beyond(K.attribution_conservation(frame, att)).count() == 0
     assert K.beyond(K.attribution_conservation(frame, att.where("company = 'A'"))).count() == 1
@@ -145,6 +146,34 @@ def test_resolution_equals_brute_force(spark, partitions):
     assert len(set(got.values())) >= 6
 
 
+def test_stored_layout_is_read_without_an_exchange(spark):
+    intervals = [(f"F{i % 9}", f"C{i % 4}", 25, f"20{10 + i % 9}-0{1 + i % 9}-1{i % 3}", None if i % 3 else f"20{14 + i % 9}-01-01") for i in range(80)]
+    months = [(f"F{i}", f"20{y}0{m}") for i in range(9) for y in (12, 15, 18) for m in (1, 4)]
+    hist, st = history(spark, months), stakes(spark, intervals)
+    window = I.window_of(hist)
+    layout = stored_in_buckets(spark, ("test", "layout"), "layout", lambda: I.month_layout(st, *window), ["equity_field", "month_start"])
+    plain = I.month_layout(st, *window)
+    facts = I.month_facts(layout)
+    assert "Exchange" not in facts._jdf.queryExecution().executedPlan().toString()
+    assert rows(facts) == rows(I.month_facts(plain))
+    matches = hist.select("field").distinct().select("field", F.col("field").alias("equity_field"), F.lit("exact").alias("method"))
+    found = I.resolve(hist, matches, st, TODAY, *window, layout=layout)
+    assert rows(found) == rows(I.resolve(hist, matches, st, TODAY, *window))
+    wide = found.withColumn("category", F.lit("resolved")).hint("merge")
+    joined = I.attribute(wide, layout)
+    assert rows(joined) == rows(I.attribute(wide, plain)) and joined.count() > 0
+    above = joined._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    scan = above[:above.index("layout_")].splitlines()
+    depth = scan[-1].index("FileScan")
+    for line in reversed(scan[:-1]):  # from the stored side up to the join that it meets
+        at = len(line) - len(line.lstrip(" :+-"))
+        if at < depth:
+            depth = at
+            assert "Exchange" not in line
+            if "Join" in line:
+                break
+
+
 def test_overlap_counting_equals_pairs(spark):
     rng = random.Random(3)
     data = []

@@ -22,6 +22,112 @@ def test_pages_round_trip(spark, tmp_path):
     assert rows(readers.repeated_features(found)) == [(3, 2)]
 
 
+FEATURE = '{"attributes":{"object_id":%d,"field":"F","unit":"U","period":"202001","oil_mbd":1.5},"geometry":{"x":1.0,"y":55.0}}'
+
+
+def landing(spark, folder, pages, counts=None):
+    """pages: (offset, object ids, flag); ``counts``: what the extract had, by offset, if other than what is there."""
+    folder.joinpath("pages").mkdir(parents=True)
+    lines = ['{"offset":%d,"exceededTransferLimit":%s,"features":[%s]}' % (o, flag, ",".join(FEATURE % i for i in ids)) for o, ids, flag in pages]
+    folder.joinpath("pages", "part.json").write_text("\n".join(lines))
+    found = counts or {o: len(ids) for o, ids, _ in pages}
+    spark.createDataFrame(list(found.items()), schemas.MANIFEST).write.parquet(str(folder / "manifest"))
+    return str(folder)
+
+
+@pytest.mark.parametrize("pages,kept", [
+    ([(0, [1, 2], "true"), (2, [3], "false"), (4, [4, 5], "true")], [1, 2, 3]),  # a short page without the flag ends the answer
+    ([(0, [1, 2], "true"), (2, [3], "true"), (4, [4], "false")], [1, 2, 3, 4]),  # a short page with the flag does not
+    ([(0, [1, 2], "false"), (2, [3, 4], "false"), (4, [], "true"), (6, [5, 6], "true")], [1, 2, 3, 4]),  # an empty page does, whatever its flag
+    ([(4, [], "false"), (2, [3, 4], "null"), (0, [1, 2], "null")], [1, 2, 3, 4]),  # offsets give the order, not the file
+    ([(0, [1, 2], "true"), (2, [3, 4], "true")], [1, 2, 3, 4]),  # no end: all there is
+])
+def test_stop_rules_of_landed_pages(spark, tmp_path, pages, kept):
+    path = landing(spark, tmp_path / "extract", pages)
+    found = readers.features(readers.page_stream(spark, path, 2))
+    assert [r[0] for r in rows(found, "object_id")] == kept and "x" in found.columns
+    assert "x" not in readers.features(readers.page_stream(spark, path, 2, geometry=False), geometry=False).columns
+    keep = lambda frame: (frame.write.parquet(str(tmp_path / "out")), spark.read.parquet(str(tmp_path / "out")))[1]
+    assert readers.fetched_features(spark, path, 2, keep).count() == len(kept)
+
+
+def test_lost_and_malformed_pages(spark, tmp_path):
+    path = landing(spark, tmp_path / "lost", [(0, [1, 2], "true"), (4, [5], "false")], {0: 2, 2: 2, 4: 2})
+    pages = readers.page_stream(spark, path, 2)
+    assert rows(readers.page_gaps(pages, readers.read_manifest(spark, path))) == [(2, 2, 0), (4, 2, 1)]
+    with pytest.raises(readers.SourceError, match="fetched 3 rows, the extract had 6"):
+        readers.fetched_features(spark, path, 2, lambda frame: (frame.write.parquet(str(tmp_path / "o")), frame)[1])
+    bad = tmp_path / "bad"
+    bad.joinpath("pages").mkdir(parents=True)
+    bad.joinpath("pages", "part.json").write_text('{"offset":0,"features":[\n')
+    with pytest.raises(Exception, match="MALFORMED|Malformed|FAILFAST"):
+        readers.page_stream(spark, str(bad), 2).collect()
+
+
+def landed_days(spark, folder):
+    days = spark.range(4000).selectExpr("id", "date_add(date'2018-03-01', cast(id % 1000 as int)) as reported_on", "id % 7 as v")
+    days.withColumn("year", F.year("reported_on")).repartitionByRange("year", "reported_on").sortWithinPartitions("year", "reported_on").write.partitionBy("year").parquet(folder)
+    return "id bigint, reported_on date, v bigint, year int"
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_footers_answer_statistics(spark, tmp_path):
+    shape = landed_days(spark, str(tmp_path / "days"))
+    found = readers.footer_statistics(spark, str(tmp_path / "days"), shape, "reported_on")
+    assert "PushedAggregation: [MIN(reported_on), MAX(reported_on), COUNT(*)]" in found._jdf.queryExecution().toString()
+    got = one(found)
+    assert (str(got["min_value"]), str(got["max_value"]), got["row_count"]) == ("2018-03-01", "2020-11-24", 4000)
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")
+
+
+def test_landings_are_read_by_folder_and_day(spark, tmp_path):
+    shape, path = landed_days(spark, str(tmp_path / "days")), str(tmp_path / "days")
+    newest = readers.latest_landed(spark, path, shape)
+    assert {str(r["reported_on"])[:7] for r in newest.collect()} == {"2020-11"} and newest.count() == 4 * 24
+    scans = [line for line in plan_of(newest).splitlines() if "PartitionFilters" in line]
+    assert any("subquery" in line.split("PartitionFilters: [")[1].split("]")[0] for line in scans)
+    files = lambda frame: {r[0] for r in frame.select(F.input_file_name()).distinct().collect()}
+    assert all("year=2020" in f for f in files(newest))
+    some = readers.in_months(spark, path, shape, "201812", "201901")
+    assert {str(r["reported_on"])[:7] for r in some.collect()} == {"2018-12", "2019-01"}
+    assert "year#" in plan_of(some).split("PartitionFilters: [")[1].split("]")[0] and len(files(some)) < len(files(spark.read.parquet(path)))
+
+
+def test_titles_of_builds(spark, tmp_path):
+    now = spark.createDataFrame([(3, "Interests, May")], "record_count int, source_title string")
+    outcome = lambda before, after=now: one(K.title_change(before, after))["outcome"]
+    assert outcome(now) == "unchanged" and outcome(now.limit(0)) == "first run"
+    assert outcome(now.withColumn("source_title", F.lit("Interests, April"))) == "changed"
+    assert outcome(now.withColumn("source_title", F.lit(None).cast("string"))) == "changed"
+    assert outcome(now, now.withColumn("source_title", F.lit(None).cast("string"))) == "no title"
+
+
+def test_builds_are_compared_by_digests(spark):
+    before = spark.range(5000).selectExpr("concat('f', id % 50) as field", "cast(id div 50 as string) as period", "if(id % 9 = 0, null, id) as v", "id as built_at")
+    same = before.withColumn("built_at", F.lit(0)).repartition(7)
+    keys = ["field", "period"]
+    changes = lambda after: K.changes_by_digest(before, after, K.range_digests(before, keys), K.range_digests(after, keys), keys)
+    assert changes(same).count() == 0
+    assert "Scan ExistingRDD" not in plan_of(changes(same)) and "Range (" not in plan_of(changes(same))  # empty without reading the tables
+    other = same.where("period <> '7' or field <> 'f3'").withColumn(
+        "v", F.when(F.expr("period = '9' and field = 'f1'"), None).otherwise(F.col("v"))).unionByName(
+        spark.createDataFrame([("new", "1", 1, 0)], same.schema))
+    assert rows(changes(other)) == [("f1", "9", "changed"), ("f3", "7", "gone"), ("new", "1", "new")]
+    assert rows(changes(other)) == rows(K.table_changes(before, other, keys))
+
+
+def test_search_by_index_equals_the_scan(spark):
+    labels = ["Clair", "Nuclear North", "clair ridge", "CLAIRE", "air", "aaaa", "aaaaaa", "x-clair", "Ünï clair", ""]
+    entries = spark.createDataFrame([("field", label, label.lower().replace(" ", "-")) for label in labels] + [("operator", "Clair", "c")], "type string, label string, slug string")
+    index = R.postings(entries)
+    for query in ("clair", " CLA", "aaa", "aaaaa", "nï c", "cl", "", "zzz", "clair ridge and more"):
+        assert R.search_index(entries, index, query).collect() == R.search(entries, query).collect(), query
+    assert rows(index.where("label = 'aaaa'"), "gram") == [("aaa",)]
+
+
 def test_csv_contracts(spark, tmp_path):
     path = tmp_path / "c.csv"
     path.write_text("field,unit,classification,note\nF,U,storage,x\n")
@@ -68,6 +174,18 @@ def test_publish_is_all_or_nothing(spark, tmp_path):
     assert spark.read.parquet(sinks.current_build(spark, target) + "/t").count() == 5
 
 
+def test_of_two_builds_from_one_predecessor_one_is_refused(spark, tmp_path):
+    target = str(tmp_path / "site")
+    sinks.publish(spark, target, "b1", {"t": spark.range(1)}, {})
+    seen = sinks.newest_commit(spark, target)
+    sinks.publish(spark, target, "b2", {"t": spark.range(2)}, {}, after=seen)
+    with pytest.raises(K.CheckFailed, match="another build was published after commit 1"):
+        sinks.publish(spark, target, "b3", {"t": spark.range(3)}, {}, after=seen)
+    assert sinks.current_build(spark, target).endswith("builds/b2") and sinks.newest_commit(spark, target) == 2
+    sinks.publish(spark, target, "b4", {"t": spark.range(4)}, {})
+    assert spark.read.parquet(sinks.current_build(spark, target) + "/t").count() == 4
+
+
 def test_documents_by_slug(spark, tmp_path):
     points = spark.createDataFrame([("a", "202001", 1.0), ("a", "202002", None), ("b", "202001", 2.0)], "slug string, period string, v double")
     docs = sinks.section(points, "series", "slug", ["period"])
