@@ -15,6 +15,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from stakeline.plans import registry, store  # noqa: E402
+from stakeline.plans.domain import Domain  # noqa: E402
 from stakeline.session import build_session  # noqa: E402
 
 HEADLINES = (
@@ -33,7 +34,7 @@ HEADLINES = (
     "A31_zero_interest_profile",
 )
 
-FROM_HISTORY = ("X19_field_month_category", "A18_attribution", "Q16_history_join_diagnostic")
+FROM_HISTORY = ("X19_field_month_category", "A18_attribution", "Q16_history_join_diagnostic", "Q16_history_diagnostic_report")
 
 
 def main() -> None:
@@ -54,6 +55,9 @@ def main() -> None:
     for name in HEADLINES:
         store.forget()
         times[name] = timed(name)
+    store.forget()
+    ready = Domain(spark, sf_dir)
+    ready.side_by_side("history", "stakes")
     for name in FROM_HISTORY:
         store.forget(keep=("history", "stakes"))
         times[f"{name}_from_history"] = timed(name)

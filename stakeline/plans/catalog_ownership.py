@@ -209,7 +209,7 @@ select a.company, min(a.period) first_period, max(a.period) last_period, count(d
  where f.category in ('quarantined', 'e1_sum_mismatch') group by 1) x on x.company = a.company group by a.company""")
 def _(t: Domain):
     hits = I.excluded_hits(t.resolved, t.layout)
-    return plain(I.latest_value_rounding(I.company_history_summary(t.attributed_all, hits)))
+    return plain(I.latest_value_rounding(I.company_history_summary(t.shares, hits)))
 
 
 @entry("A26_gap_diagnostics", f"""

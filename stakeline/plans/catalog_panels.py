@@ -340,7 +340,7 @@ select f.category, count(*) field_months, count(distinct f.field) distinct_field
  {', '.join(f"cast(sum(f.{s}) as double) {s}" for s in FOUR)}, cast(coalesce(sum(a.n), 0) as bigint) attributed_rows
 from fm f left join (select field, period, count(*) n from att_all group by 1, 2) a on a.field = f.field and a.period = f.period group by 1""")
 def _(t: Domain):
-    shares = t.attributed_all.groupBy("field", "period").agg(F.count("*").alias("n"))
+    shares = t.shares.groupBy("field", "period").agg(F.count("*").alias("n"))
     by_field = t.resolved.join(shares, ["field", "period"], "left").groupBy("category", "field").agg(
         F.count("*").alias("m"), F.min("period").alias("lo"), F.max("period").alias("hi"), F.sum("n").alias("n"),
         *[F.sum(s).alias(s) for s in EQUITY_STREAMS])

@@ -10,11 +10,13 @@ are only ever scanned.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import scalars as X
+from ..functions.volumes import EQUITY_STREAMS
 from ..operators import attribution, coverage, groups, intervals, licence, matching, production, ranking
 from ..sources import adapters
 from .store import input_version, stored, stored_in_buckets, stored_in_partitions
@@ -44,6 +46,11 @@ class Domain:
     def raw(self, name: str) -> DataFrame:
         return adapters.table(self.spark, self.sf_dir, name)
 
+    def side_by_side(self, *names: str) -> None:
+        """Builds stored tables that don't need one another at the same time; each alone leaves cores idle at its ends."""
+        with ThreadPoolExecutor(len(names)) as pool:
+            list(pool.map(lambda name: getattr(self, name), names))
+
     # sources
     @cached_property
     def prod(self) -> DataFrame:
@@ -143,6 +150,8 @@ class Domain:
 
     @cached_property
     def resolved(self) -> DataFrame:
+        self.side_by_side("history", "stakes")
+        self.side_by_side("matches", "layout")
         return self._stored("resolved", lambda: intervals.resolve(
             self.history, self.matches, self.stakes, TODAY_MONTH, *self.window, layout=self.layout))
 
@@ -164,6 +173,11 @@ class Domain:
     def attributed_all(self) -> DataFrame:
         return intervals.attribute(self.resolved, self.layout)
 
+    @cached_property
+    def shares(self) -> DataFrame:
+        """The attributed volumes of all months, for the several questions a batch run asks of them."""
+        return self._stored("shares", lambda: self.attributed_all.select("company", "field", "period", *EQUITY_STREAMS))
+
     @cached_property
     def resolved_latest(self) -> DataFrame:
         return self._stored("resolved_latest", lambda: intervals.resolve_latest(

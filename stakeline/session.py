@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -27,14 +29,28 @@ def build_session(app: str = "stakeline", master: str | None = None, **extra: st
         builder = builder.master(master)
     for key, value in {**SETTINGS, **{k.replace("_", "."): v for k, v in extra.items()}}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if not is_local(spark.sparkContext.master):
+        ship(spark)
+    return spark
+
+
+def is_local(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers of a cluster, which need not have it installed."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    folder = tempfile.mkdtemp(prefix="stakeline-package-", dir="/tmp")  # on the driver, which serves it to the workers
+    spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/stakeline", "zip", root, "stakeline"))
 
 
 _LOCAL: dict[str, str] = {}
 
 
 def refuse_remote(master: str) -> None:
-    if not (master == "local" or master.startswith("local[")):
+    if not is_local(master):
         raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
 
 
