@@ -129,22 +129,30 @@ def _finish(arrow: pa.Schema):
 
 
 def encode(docs: DataFrame, ranks_path: str, *, id_col: str = "doc_id", text_col: str = "text",
-           block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``doc_id, token_ids`` per document."""
+           block_bytes: int = BLOCK_BYTES, decoded_col: str | None = None) -> DataFrame:
+    """``doc_id, token_ids`` per document, with the bytes that they decode to in ``decoded_col`` where one is named.
+
+    Decoding goes on in the worker that put the ids together, so that ids don't travel in between.
+    """
     from pyspark.sql.pandas.types import to_arrow_type
 
     docs = id_and_text(docs, id_col, text_col)
     kind = docs.schema["doc_id"].dataType
     arrow = pa.schema([("doc_id", to_arrow_type(kind)), ("token_ids", pa.list_(pa.int32()))])
+    schema = f"doc_id {kind.simpleString()}, token_ids array<int>"
+    then = decoder(ranks_path, 1, decoded_col) if decoded_col else None
     return once_per_piece(docs, "text", ["doc_id"], lambda: pre_tokens, _encoder(ranks_path), _finish(arrow),
-                          f"doc_id {kind.simpleString()}, token_ids array<int>", block_bytes=block_bytes)
+                          f"{schema}, `{decoded_col}` binary" if decoded_col else schema, block_bytes=block_bytes, then=then)
 
 
 def decode(encoded: DataFrame, ranks_path: str, *, ids_col: str = "token_ids", out_col: str = "decoded") -> DataFrame:
     """Adds ``out_col``, the bytes of the tokens in ``ids_col`` (binary); null ids give null."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema) + f", `{out_col}` binary"
-    place = encoded.columns.index(ids_col)
+    return map_arrow(encoded, decoder(ranks_path, encoded.columns.index(ids_col), out_col), schema)
+
 
+def decoder(ranks_path: str, place: int, out_col: str):
+    """A function that adds to batches the bytes of the ids in column ``place``, by the table of token bytes."""
     def work(batches):
         ranks = load_ranks(ranks_path)
         length = np.full(max(ranks.values()) + 1, -1, dtype=np.int64)
@@ -165,7 +173,7 @@ def decode(encoded: DataFrame, ranks_path: str, *, ids_col: str = "token_ids", o
             out = [None if gone else data[a:b] for gone, a, b in zip(ids.is_null().to_pylist(), bounds, bounds[1:])]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())],
                                              names=[*batch.schema.names, out_col])
-    return map_arrow(encoded, work, schema)
+    return work
 
 
 def slices(batch: pa.RecordBatch, place: int) -> Iterator[pa.RecordBatch]:

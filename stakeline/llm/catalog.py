@@ -70,7 +70,7 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = vocabulary("byte_bpe_multi_50k.tiktoken")
-    return byte_bpe.digests(byte_bpe.decode(byte_bpe.encode(read(spark, sf_dir, "documents"), ranks), ranks))
+    return byte_bpe.digests(byte_bpe.encode(read(spark, sf_dir, "documents"), ranks, decoded_col="decoded"))
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

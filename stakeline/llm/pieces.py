@@ -137,12 +137,14 @@ def _blocks(split_factory, part: str, buckets: int, keep: list[str], block_bytes
 def once_per_piece(docs: DataFrame, text_col: str, keep: list[str], split_factory: Callable[[], Callable],
                    treat_factory: Callable[[], Callable[[list[bytes]], bytes]],
                    finish: Callable[[Block, Iterator[tuple[np.ndarray, bytes]], int], pa.RecordBatch],
-                   schema: str, *, buckets: int | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                   schema: str, *, buckets: int | None = None, block_bytes: int = BLOCK_BYTES,
+                   then: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]] | None = None) -> DataFrame:
     """Splits texts, treats each distinct pre-token once and finishes each block with the results.
 
     ``split_factory()`` gives a function from a text to its pre-tokens; ``treat_factory()`` one from the
     pre-tokens of one block and bucket to a packed result in the same order; ``finish(block, parts, n)``
-    gets (numbers of the pre-tokens, packed result) of each bucket and their count ``n``.
+    gets (numbers of the pre-tokens, packed result) of each bucket and their count ``n``. ``then`` goes on
+    with the finished batches in the same worker.
     """
     spark = docs.sparkSession
     buckets = buckets or max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -193,7 +195,7 @@ def once_per_piece(docs: DataFrame, text_col: str, keep: list[str], split_factor
     codes = map_arrow(source, _blocks(split_factory, "codes", buckets, keep, block_bytes), _ROW)
     treated = map_arrow(words.repartition("bucket").sortWithinPartitions("bucket"), treat, _ROW)
     back = treated.unionByName(codes).repartition("block").sortWithinPartitions("block", "bucket")
-    return map_arrow(back, put_back, schema)
+    return map_arrow(back, (lambda batches: then(put_back(batches))) if then else put_back, schema)
 
 
 def per_document(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:

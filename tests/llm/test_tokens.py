@@ -68,6 +68,17 @@ def test_empty_table(spark):
     assert B.decode(B.encode(docs, RANKS), RANKS).count() == 0
 
 
+@pytest.mark.parametrize("ids_at_once", [B.SLICE_IDS, 40])
+def test_decoding_in_the_worker_that_encodes(spark, monkeypatch, ids_at_once):
+    monkeypatch.setattr(B, "SLICE_IDS", ids_at_once)
+    docs = rows_of(spark)
+    fused = B.encode(docs, RANKS, block_bytes=900, decoded_col="bytes of the text")
+    assert fused.columns == ["doc_id", "token_ids", "bytes of the text"]
+    apart = B.decode(B.encode(docs, RANKS, block_bytes=900), RANKS)
+    assert sorted(map(repr, map(tuple, fused.collect()))) == sorted(map(repr, map(tuple, apart.collect())))
+    assert sorted(repr((r[0], bytes(r[2]).decode())) for r in fused.collect()) == sorted(repr((r.doc_id, r.text or "")) for r in docs.collect())
+
+
 def test_decoding_null_and_unknown_ids(spark):
     frame_ = spark.createDataFrame([(1, None), (2, []), (3, [5])], "doc_id int, token_ids array<int>")
     got = {r.doc_id: r.decoded for r in B.decode(frame_, RANKS).collect()}
