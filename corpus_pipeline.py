@@ -44,7 +44,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, as counts and digests, with the round trip."""
     ranks = catalog.vocabulary("byte_bpe_multi_50k.tiktoken")
-    return byte_bpe.digests(byte_bpe.decode(byte_bpe.encode(docs, ranks), ranks))
+    return byte_bpe.digests(byte_bpe.encode(docs, ranks, decoded_col="decoded"))
 
 
 STAGES = [
