@@ -14,7 +14,7 @@ def test_stages_and_contract():
         "language ID", "SimHash near-dedup", "benchmark decontamination", "secret scans", "byte-level BPE"]
     assert corpus_pipeline.ORACLE_SQL is None and "pipeline" in catalog.queries()
     assert set(catalog.oracle_sql()) <= set(catalog.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in catalog.queries()} - {"pipeline"}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in catalog.queries()} - {"pipeline"}
 
 
 def test_each_stage_does_its_part(spark, tmp_path):
