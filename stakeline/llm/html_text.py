@@ -4,23 +4,28 @@ A tree builder reads the markup with implied end tags (paragraphs, list items, t
 and void elements; visibility rules drop what a browser does not show (scripts, styles, heads, titles,
 templates, ``noscript``, ``datalist``, what stands inside ``iframe``, ``audio``, ``video`` and ``canvas`` for
 old browsers, definitions and descriptions of drawings, annotations of formulas, ``hidden`` and
-``display:none`` or ``visibility:hidden`` elements, comments). All other text is rendered: blocks begin on new
+``display:none`` elements, comments; texts under ``visibility:hidden`` up to an element that is visible
+again). All other text is rendered: blocks begin on new
 lines, with an empty line around paragraphs and headings, list items carry their bullet or number with their
-depth, ``br`` breaks lines, ``pre`` keeps its blanks, and the cells of a table are padded so that its columns
-stand below each other. What stands in a table, row group or row outside the cells comes before the table, as
+depth, ``br`` breaks lines, ``pre`` keeps its blanks, and the cells of a table are laid into a grid, padded so
+that its columns stand below each other; a cell over several columns or rows keeps their places. What stands in a table, row group or row outside the cells comes before the table, as
 in browsers; cells inside a form or the like there belong to the row. Options, text areas and texts of drawings
 have lines of their own. Navigation and the like is visible and stays.
 
 Defined cases: a null page gives a null text, a page without visible text an empty one; broken markup never
 fails: stray end tags are dropped and open elements end with their parent; text of any length is read
-whole; nesting deeper than ``DEPTH`` is read flat; repeated rows give repeated results; other columns do
+whole; elements nested deeper than ``DEPTH`` follow each other without nesting, each on its own lines where
+one is a block, but what is hidden stays hidden; spans of cells that are no whole numbers count as 1; repeated rows give repeated results; other columns do
 not matter.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import Counter
 from html.parser import HTMLParser
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -50,15 +55,31 @@ IMPLIED = {
     "option": ({"option"}, {"select"}), "optgroup": ({"option", "optgroup"}, {"select"}), "body": ({"head"}, {"html"}),
 }
 _RAW = {"script", "style"}
-_INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+#: Widest spans of a cell, in columns and rows.
+SPANS = {"colspan": 1000, "rowspan": 65534}
+#: Between the columns of a table.
+GAP = "  "
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
 
 
+def _style(text: str) -> dict[str, str]:
+    """Declarations of a style attribute; the last one of a name counts."""
+    pairs = (part.split(":", 1) for part in text.lower().split(";") if ":" in part)
+    return {name.strip(): value.replace("!important", "").strip() for name, value in pairs}
+
+
+def _span(value: str | None, name: str) -> int:
+    digits = re.match(r"\s*([0-9]{1,9})", value or "")
+    return min(int(digits[1]), SPANS[name]) if digits else 1
+
+
 class Node:
-    __slots__ = ("tag", "hidden", "items", "start", "parts")
+    __slots__ = ("tag", "hidden", "items", "start", "parts", "unseen", "across", "down")
 
-    def __init__(self, tag: str, hidden: bool = False, start: int = 1):
+    def __init__(self, tag: str, hidden: bool = False, start: int = 1, unseen: bool = False):
         self.tag, self.hidden, self.items, self.start = tag, hidden, [], start
+        self.unseen = unseen  # takes its place, but its own texts are not shown
+        self.across = self.down = 1  # columns and rows of a cell; down 0: to the end of the row group
         self.parts = False  # whether rows or cells of the table around it lie inside
 
 
@@ -67,11 +88,15 @@ class _Builder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("html")
         self.open = [self.root]
+        self.deep: list[Node] = []  # open elements below DEPTH; their nodes lie side by side
+        self.deep_tags = Counter()
 
     def handle_starttag(self, tag, attrs):
         attrs = dict(attrs)
         ends, bounds = IMPLIED.get(tag, ((), ()))
-        if ends:
+        while self.deep and self.deep[-1].tag in ends:
+            self.close_deep()
+        if ends and not self.deep:
             for k in range(len(self.open) - 1, 0, -1):
                 if self.open[k].tag in bounds:
                     break
@@ -80,38 +105,74 @@ class _Builder(HTMLParser):
                     # a row ends its cells, a row group its rows
                     if tag not in ("tr", "thead", "tbody", "tfoot"):
                         break
-        hidden = (tag in HIDDEN or "hidden" in attrs or bool(_INVISIBLE.search(attrs.get("style") or ""))
+        style = _style(attrs.get("style") or "")
+        above = self.deep[-1] if self.deep else self.open[-1]
+        hidden = (tag in HIDDEN or "hidden" in attrs or style.get("display") == "none" or bool(self.deep) and above.hidden
                   or any(tag in tags and self.inside(of) for of, tags in HIDDEN_IN.items()))
+        shown = style.get("visibility")
+        unseen = shown in ("hidden", "collapse") or (above.unseen and shown not in ("visible", "initial"))
         first = attrs.get("start") or ""
-        node = Node(tag, hidden, int(first) if re.fullmatch(r"-?[0-9]{1,9}", first) else 1)
+        node = Node(tag, hidden, int(first) if re.fullmatch(r"-?[0-9]{1,9}", first) else 1, unseen)
+        if tag in ("td", "th"):
+            node.across, node.down = max(1, _span(attrs.get("colspan"), "colspan")), _span(attrs.get("rowspan"), "rowspan")
         self.open[-1].items.append(node)
         if tag in ROW_PARTS:
             for above in reversed(self.open):
                 if above.tag == "table" or above.parts:
                     break
                 above.parts = True
-        if tag not in VOID and len(self.open) < DEPTH:
+        if tag in VOID:
+            if self.deep:
+                self.go_on()
+        elif len(self.open) < DEPTH:
             self.open.append(node)
+        else:
+            self.deep.append(node)
+            self.deep_tags[tag] += 1
+
+    def close_deep(self):
+        self.deep_tags[self.deep.pop().tag] -= 1
+
+    def go_on(self):
+        """What follows in the innermost open element below DEPTH stands after its last child."""
+        if self.deep:
+            of = self.deep[-1]
+            rest = Node("div" if of.tag in BLOCK else "span", of.hidden, unseen=of.unseen)
+            self.open[-1].items.append(rest)
+            of.items = rest.items
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         # only drawings and formulas have elements that end at once
-        if tag not in VOID and self.open[-1] is not self.root and not self.open[-1].items and self.open[-1].tag == tag and any(map(self.inside, HIDDEN_IN)):
+        if self.deep and tag not in VOID and self.deep[-1].tag == tag and not self.deep[-1].items and any(map(self.inside, HIDDEN_IN)):
+            self.close_deep()
+            self.go_on()
+        elif not self.deep and tag not in VOID and self.open[-1] is not self.root and not self.open[-1].items and self.open[-1].tag == tag and any(map(self.inside, HIDDEN_IN)):
             self.open.pop()
 
     def inside(self, tag: str) -> bool:
-        return any(node.tag == tag for node in self.open)
+        return self.deep_tags[tag] > 0 or any(node.tag == tag for node in self.open)
 
     def handle_endtag(self, tag):
+        if self.deep_tags[tag]:
+            while self.deep[-1].tag != tag:
+                self.close_deep()
+            self.close_deep()
+            self.go_on()
+            return
         for k in range(len(self.open) - 1, 0, -1):
             if self.open[k].tag == tag:
                 del self.open[k:]
+                self.deep.clear()
+                self.deep_tags.clear()
                 return
             if self.open[k].tag == "table" and tag in IMPLIED and tag != "table":
                 return
 
     def handle_data(self, data):
-        self.open[-1].items.append(data)
+        node = self.deep[-1] if self.deep else self.open[-1]
+        if not node.unseen:
+            node.items.append(data)
 
 
 class _Lines:
@@ -161,8 +222,8 @@ def _inner(node: Node) -> str:
     return lines.done()
 
 
-def _lay_out(node: Node, rows: list[list[Node]], stray: list, row: list[Node] | None, shown: bool = True):
-    """Cells by row, and what stands outside of them; None in ``stray`` where a row begins."""
+def _lay_out(node: Node, rows: list[list[Node]], groups: set[int], stray: list, row: list[Node] | None, shown: bool = True):
+    """Cells by row, the rows at which row groups begin, what stands outside of cells; None in ``stray`` where a row begins."""
     for item in node.items:
         if isinstance(item, str):
             if shown and item.strip():
@@ -179,17 +240,45 @@ def _lay_out(node: Node, rows: list[list[Node]], stray: list, row: list[Node] |
                 stray.append(None)
                 if item.tag == "tr":
                     rows.append([])
-                _lay_out(item, rows, stray, rows[-1] if item.tag == "tr" else None, shown)
+                else:
+                    groups.add(len(rows))
+                _lay_out(item, rows, groups, stray, rows[-1] if item.tag == "tr" else None, shown)
+                if item.tag != "tr":
+                    groups.add(len(rows))
         elif item.parts and item.tag != "table":
-            _lay_out(item, rows, stray, row, shown and not item.hidden)
+            _lay_out(item, rows, groups, stray, row, shown and not item.hidden)
         elif shown:
             stray.append(item)
 
 
+def _places(rows: list[list[Node]], groups: set[int]) -> list[list[tuple[int, int]]]:
+    """First column and column after the last of every cell, beside the cells that come down from rows above."""
+    held: list[tuple[int, int, int]] = []  # first column, column after the last, first row that is free again
+    places = []
+    for number, row in enumerate(rows):
+        if number in groups:
+            held = []
+        held = [h for h in held if h[2] > number]
+        column, taken, mine = 0, iter(held), []
+        over = next(taken, None)
+        for cell in row:
+            while over and over[0] <= column:
+                column = max(column, over[1])
+                over = next(taken, None)
+            mine.append((column, column + cell.across))
+            column += cell.across
+        places.append(mine)
+        down = [(*place, number + cell.down if cell.down else len(rows)) for place, cell in zip(mine, row) if cell.down != 1]
+        if down:
+            held = sorted(held + down)
+    return places
+
+
 def _table(node: Node, out: _Lines, depth: int):
     found: list[list[Node]] = []
+    groups: set[int] = set()
     stray: list = []
-    _lay_out(node, found, stray, None)
+    _lay_out(node, found, groups, stray, None)
     for item in stray:  # captions and stray content come before the rows
         if item is None:
             out.block(False)
@@ -198,16 +287,31 @@ def _table(node: Node, out: _Lines, depth: int):
         else:
             _render(item, out, depth, False)
     out.block(False)
-    rows = [[_inner(cell).split("\n") for cell in row] for row in found]
-    width: list[int] = []
+    places = _places(found, groups)
+    # columns in which no cell begins have no width
+    begins = sorted({first for row in places for first, _ in row})
+    rows = [[(bisect_left(begins, first), bisect_left(begins, end), _inner(cell).split("\n")) for (first, end), cell in zip(place, row)]
+            for place, row in zip(places, found)]
+    width = [0] * len(begins)
+    wide = []
     for row in rows:
-        for k, cell in enumerate(row):
-            width[k:] = [max([*width[k:k + 1], *map(len, cell)]), *width[k + 1:]]
+        for first, end, lines in row:
+            size = max(map(len, lines))
+            if end - first == 1:
+                width[first] = max(width[first], size)
+            else:
+                wide.append((end - first, first, end, size))
+    for _, first, end, size in sorted(wide):  # the last column of a wide cell takes what its columns do not hold
+        width[end - 1] += max(0, size - sum(width[first:end]) - len(GAP) * (end - first - 1))
+    offset = list(accumulate((w + len(GAP) for w in width), initial=0))
     for row in rows:
-        for line in range(max(map(len, row), default=0)):
-            cells = [(cell[line] if line < len(cell) else "").ljust(width[k]) for k, cell in enumerate(row)]
-            text = "  ".join(cells).rstrip()
-            if text:
+        for line in range(max((len(lines) for _, _, lines in row), default=0)):
+            text = ""
+            for first, _, lines in row:
+                if line < len(lines) and lines[line]:
+                    # cells that lie over each other stand side by side
+                    text = text.ljust(max(offset[first], len(text) + len(GAP) if text else 0)) + lines[line]
+            if text := text.rstrip():
                 out.text(text, True)
                 out.block(False)
 
@@ -261,7 +365,8 @@ def _children(node: Node, out: _Lines, depth: int, kept: bool):
         if isinstance(item, str):
             out.text(item, kept)
         elif item.tag == "li" and not item.hidden:
-            _render(item, out, max(1, depth), kept, f"{number}. " if node.tag == "ol" else "- ")
+            marker = f"{number}. " if node.tag == "ol" else "- "
+            _render(item, out, max(1, depth), kept, "" if item.unseen else marker)
             number += 1
         else:
             _render(item, out, depth, kept)

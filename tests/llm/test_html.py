@@ -69,3 +69,61 @@ TABLES_AND_CONTROLS = {
 @pytest.mark.parametrize("html", TABLES_AND_CONTROLS)
 def test_all_that_browsers_show(html):
     assert H.render(html) == TABLES_AND_CONTROLS[html]
+
+
+SPANS_AND_VISIBILITY = {
+    "<table><tr><td colspan=2>A<td>B<tr><td>1<td>2<td>3</table>": "A     B\n1  2  3",
+    "<table><tr><td rowspan=2>A<td>B<tr><td>C</table>": "A  B\n   C",
+    "<table><tr><td>a<td rowspan=3>b<td>c<tr><td>d<td>e<tr><td>f<td>g</table>": "a  b  c\nd     e\nf     g",
+    "<table><tbody><tr><td rowspan=9>a<td>b</tbody><tbody><tr><td>c<td>d</table>": "a  b\nc  d",
+    "<table><tr><td rowspan=0>a<td>b<tr><td>c<tr><td>d</table>": "a  b\n   c\n   d",
+    "<table><tr><td colspan=2>wide heading<td>z<tr><td>1<td>2<td>3</table>": "wide heading  z\n1  2          3",
+    "<table><tr><td colspan=1000>a<td>b<tr><td>c</table>": "a  b\nc",
+    "<table><tr><td colspan=x>a<td rowspan=-1>b</table>": "a  b",
+    "<div style='visibility:hidden'>no<b style='visibility: visible'>yes</b>no</div>": "yes",
+    "<ul style='visibility:hidden'><li>no<li style='visibility:visible'>yes</ul>": "- yes",
+    "<p style='display:block;display:none'>no</p><p style='display:none;display:block'>yes": "yes",
+    "<p style='display:none'><b style='display:inline;visibility:visible'>no</b></p>yes": "yes",
+}
+
+
+@pytest.mark.parametrize("html", SPANS_AND_VISIBILITY)
+def test_spans_and_visibility(html):
+    assert H.render(html) == SPANS_AND_VISIBILITY[html]
+
+
+@pytest.mark.parametrize("depth", [10, H.DEPTH - 2, H.DEPTH - 1, H.DEPTH, 250, 5000])
+def test_hidden_at_any_depth(depth):
+    html = ("<div>" * depth + "<script>var x=1;</script>a<span style='display:none'>secret<p>secret<br>secret</p>secret</span>"
+            "<b style='visibility:hidden'>secret<i style='visibility:visible'>b</i>secret</b><p hidden>secret<div>c</div>"
+            "<ul><li>d<li>e</ul><svg><desc>secret</desc><g/></svg>" + "</div>" * depth + "f")
+    # below DEPTH inline elements may begin lines of their own
+    assert "".join(H.render(html).split()) == "abc-d-ef"
+
+
+def plain_grid(rows):
+    """Every cell by the places it takes, one by one."""
+    taken, first = set(), []
+    for y, row in enumerate(rows):
+        x, mine = 0, []
+        for across, down in row:
+            while (y, x) in taken:
+                x += 1
+            mine.append((x, x + across))
+            taken |= {(y + dy, x + dx) for dy in range(down or len(rows)) for dx in range(across)}
+            x += across
+        first.append(mine)
+    return first
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.tuples(st.integers(1, 4), st.integers(0, 4)), max_size=5), max_size=6))
+def test_cells_stand_where_a_grid_puts_them(rows):
+    cells = []
+    for row in rows:
+        cells.append([])
+        for across, down in row:
+            cell = H.Node("td")
+            cell.across, cell.down = across, down
+            cells[-1].append(cell)
+    assert H._places(cells, set()) == plain_grid(rows)
