@@ -52,7 +52,9 @@ CANDIDATE = f"(?:{ASSIGNED_VALUE}|{LONG_RUN})"
 NAMED = rf"{TELLING}{GIVEN}[\"'`]?$"
 PASSWORD_NAMED = rf"(?i:{PASSWORDS}){GIVEN}[\"'`]?$"
 #: Values after telling names that are taken for words, counts or placeholders where labels are made by rule.
-PLAIN = r"(?i)^([a-z]{1,15}|\*+|x{3,}|\.+|<.*|[$%]?[{(\[].*|\$\w+|%\w+%|.*[(){}\[\]].*|.*\s.*)$"
+PLAIN = r"(?i)^([a-z]{1,15}|\*+|x{3,}|\.+|<.*|[$%]?[{(\[].*|\$\w+|%\w+%|[\w.]+[(\[].*)$"
+#: A part between blanks that is neither a word nor a number, up to a sign at its end.
+NO_WORD = r"(?:^|\s)(?!(?:[A-Za-z']+|[0-9]+)[,.;:!?]?(?:\s|$))\S"
 COUNT = r"^[0-9.,]+$"
 EXAMPLE_PATH = r"(?i)(test|example|sample|fixture|demo|mock|doc)"
 LOCK_PATH = r"(?i)(lock|sum|min|map|svg|csv)"
@@ -131,11 +133,12 @@ def featured(candidates: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def weak_labels(findings: DataFrame) -> DataFrame:
-    """Adds ``label``: 1 for known issuers and for assignments to telling names, but for plain words, counts and
+    """Adds ``label``: 1 for known issuers and for assignments to telling names, but for plain words, sentences, counts and
     placeholders, else 0. A number counts as a secret only after a name for passwords."""
     value, before = F.col("value"), F.col("before")
     return findings.withColumn("label", (
-        value.rlike(ISSUERS) | (before.rlike(NAMED) & ~value.rlike(PLAIN) & (~value.rlike(COUNT) | before.rlike(PASSWORD_NAMED)))
+        value.rlike(ISSUERS) | (before.rlike(NAMED) & ~value.rlike(PLAIN)
+                                & (~value.rlike(r"\s") | value.rlike(NO_WORD)) & (~value.rlike(COUNT) | before.rlike(PASSWORD_NAMED)))
     ).cast("double"))
 
 

@@ -94,7 +94,7 @@ def test_short_signed_and_letter_secrets_are_masked(spark):
     rows, _ = texts(40)
     named = [(500 + i, t) for i, t in enumerate(ASSIGNED)]
     prose = [(700 + i, t) for i, t in enumerate(["the author: Ann wrote", "max_tokens: 4096 were read", "a secretary: someone", "my secret: chocolate",
-                                                 "token = None", "password=${DB_PASSWORD}", "no tokens at all"])]
+                                                 "token = None", "password: 'See the manual, page 3'", "password=${DB_PASSWORD}", "no tokens at all"])]
     docs = spark.createDataFrame([*rows, *named, *prose], "doc_id bigint, text string")
     got = {r.doc_id: r.text for r in S.redact(docs).collect()}
     for i, (text, value) in enumerate(ASSIGNED.items()):
