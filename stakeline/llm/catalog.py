@@ -54,7 +54,8 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def held_out(doc_id):
-    return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
+    """A null id is never held out (and never learned from)."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def learned_languages(docs: DataFrame) -> dict[str, bytes]:

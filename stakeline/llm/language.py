@@ -6,12 +6,15 @@ are closer than ``MARGIN`` of the second, the guess is rejected (``accepted`` is
 names the best. Only letters count: others become single blanks, and case is folded.
 
 Dictionaries are learned from at most ``SAMPLE_ROWS`` labelled rows per language, those with the smallest
-hash of their id (a documented bound; of rows that repeat an id, the smallest text); at most ``LANGUAGES`` languages are accepted. Everything else reads
-all rows, and texts are encoded whole.
+hash of their id. All of them count: of a long text the dictionary takes parts at ``PLACES`` places, evenly
+spread from its begin to its end, so that together they fill ``DICTIONARY_BYTES`` (with 600 rows about 27
+bytes at each place). This sample is a documented bound; of rows that repeat an id, the smallest parts are
+taken. At most ``LANGUAGES`` languages are accepted. Learning reads the labelled rows three times, whatever
+the number of languages: for counts, for hashes of ids, for parts. All rows are judged, by their whole texts.
 
 Defined cases: null texts and texts without a letter get ``und``, score 0, not accepted; ties go to the
 language whose name sorts first; without labelled rows every text gets ``und``; with one language the
-score of a text is 1; ids may be null; repeated rows give repeated results; other columns do not matter.
+score of a text is 1; rows with a null id are judged but not learned from; repeated rows give repeated results; other columns do not matter.
 """
 
 from __future__ import annotations
@@ -19,13 +22,15 @@ from __future__ import annotations
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .frames import id_and_text, map_arrow
+from .frames import id_and_text, map_arrow, settle
 
 #: Bounds: labelled rows and dictionary bytes of each language, and languages.
 SAMPLE_ROWS, DICTIONARY_BYTES, LANGUAGES = 600, 64 << 10, 500
+#: Places of a sampled text that parts are taken from, least characters of a part, and rows drawn by hash for each one sampled.
+PLACES, LEAST_PART, SPARE = 4, 16, 4
 #: Bytes of text encoded at once, and the margin below which a guess is rejected.
 CHUNK_BYTES, MARGIN = 8192, 0.002
 #: Compression level; the sizes of texts below ``SHORT_BYTES`` are coarse, so several levels are added up there.
@@ -47,37 +52,48 @@ def learn(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
           sample_rows: int = SAMPLE_ROWS) -> dict[str, bytes]:
     """A dictionary per language from a bounded sample of labelled rows."""
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(
-        "lang is not null and text is not null")
-    names = [r[0] for r in rows.select("lang").distinct().limit(LANGUAGES + 1).collect()]
-    if len(names) > LANGUAGES:
+        "lang is not null and text is not null and id is not null")
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(LANGUAGES + 1).collect()}
+    if len(counts) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
-    rank = F.xxhash64(F.col("id").cast("string"))
-    picked = None
-    for name in sorted(names):  # the smallest hashes of each language: kept per task, so nothing else is moved
-        part = rows.where(F.col("lang") == name).select("lang", rank.alias("rank"), "id").orderBy("rank", "id").limit(sample_rows)
-        picked = part if picked is None else picked.unionByName(part)
-    if picked is None:
+    if not counts:
         return {}
-    found = {(r["id"], r["lang"]): r["rank"] for r in picked.collect()}
-    ids = rows.sparkSession.createDataFrame([(k[0], k[1]) for k in found], picked.select("id", "lang").schema)
-    shares = rows.join(F.broadcast(ids), ["id", "lang"]).groupBy("id", "lang").agg(
-        F.min(F.substring("text", 1, DICTIONARY_BYTES)).alias("text"))
+    spark = rows.sparkSession
+    # of SPARE times as many rows as are wanted, so few that fewer than wanted remain by a negligible chance only
+    below = spark.createDataFrame([(name, min(1.0, SPARE * sample_rows / n)) for name, n in counts.items()], "lang string, share double")
+    rank = F.shiftrightunsigned(F.xxhash64(F.col("id").cast("string")), 11)
+    drawn = rows.select("lang", "id", rank.alias("rank")).join(F.broadcast(below), "lang").where(
+        F.col("rank") < F.col("share") * float(1 << 53))
+    first = Window.partitionBy("lang").orderBy("rank", "id")  # each task keeps sample_rows a language before the shuffle
+    picked = drawn.withColumn("place", F.row_number().over(first)).where(F.col("place") <= sample_rows).select("lang", "id").distinct()
+    picked = settle(picked, "sampled")
+    size = picked.groupBy("lang").agg(F.count("*").alias("n"))
+    chosen = picked.join(F.broadcast(size), "lang")  # at most sample_rows x LANGUAGES short rows
+    # the same number of characters from each of several places, so that the driver gets a dictionary's worth a language
+    part = F.greatest(F.lit(LEAST_PART), F.floor(F.lit(DICTIONARY_BYTES) / (F.col("n") * PLACES))).cast("int")
+    length = F.length("text")
+    cut = [F.substring("text", (F.floor((length - part) * k / (PLACES - 1)) + 1).cast("int"), part) for k in range(PLACES)]
+    parts = F.when(length <= part * PLACES, F.array(F.col("text"))).otherwise(F.array(*cut))
+    shares = rows.join(F.broadcast(chosen), ["lang", "id"]).groupBy("lang", "id").agg(F.min(parts).alias("parts"))
     samples: dict[str, list] = {}
-    for r in shares.collect():  # at most sample_rows x languages rows
-        samples.setdefault(r["lang"], []).append((found[(r["id"], r["lang"])], r["text"]))
-    return {name: _dictionary(rows) for name, rows in sorted(samples.items())}
-
-
-def _dictionary(rows: list[tuple]) -> bytes:
-    texts = list(dict.fromkeys(folded(text) for _, text in sorted(rows)))
-    share = max(256, DICTIONARY_BYTES // max(1, len(texts)))
-    parts = [t[:share] for t in texts]
-    rest = DICTIONARY_BYTES - sum(map(len, parts))
-    for k, text in enumerate(texts):  # short texts leave room for more of the long ones
-        more = text[share:share + max(0, rest)]
-        parts[k] += more
-        rest -= len(more)
-    return b" ".join(parts)[:DICTIONARY_BYTES]
+    for r in shares.collect():
+        samples.setdefault(r["lang"], []).append((r["id"], r["parts"]))
+    return {name: _dictionary([parts for _, parts in sorted(found)]) for name, found in sorted(samples.items())}
+
+
+def _dictionary(texts: list[list[str]]) -> bytes:
+    """Parts of all texts, the same bytes of each; short ones leave room for more of the others."""
+    ready = [[folded(p) for p in parts] for parts in texts]
+    whole = list(dict.fromkeys(b" ".join(parts) for parts in ready))
+    if sum(len(t) + 1 for t in whole) <= DICTIONARY_BYTES:
+        return b" ".join(whole)
+    room, left, out = DICTIONARY_BYTES, len(ready), []
+    for parts in sorted(ready, key=lambda parts: sum(map(len, parts))):
+        each = max(1, room // left // len(parts) - 1)  # a blank after each
+        out.append(b" ".join(p[:each] for p in parts))
+        room -= len(out[-1]) + 1
+        left -= 1
+    return b" ".join(dict.fromkeys(out))[:DICTIONARY_BYTES]
 
 
 class Model:

@@ -51,3 +51,61 @@ def test_narrow_margins_are_rejected():
     model = L.Model({"a": b"one two three", "b": b"one two three"})
     name, score, accepted = model.predict("one two three")
     assert (name, score, accepted) == ("a", 0.0, False)
+
+
+def test_all_sampled_texts_are_in_the_dictionary(spark):
+    """Long texts count by parts from begin to end, so that every one of them has a share."""
+    def name(i):
+        return "".join(chr(97 + int(c)) for c in f"{i:04d}")
+    filler = "plain words of no weight " * 400
+    rows = [(i, f"{name(i)}qq {filler} {name(i)}zz", "en") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = L.learn(docs)["en"].decode()
+    assert len(model) <= L.DICTIONARY_BYTES
+    assert sum(f"{name(i)}qq" in model for i in range(200)) == 200
+    assert sum(f"{name(i)}zz" in model for i in range(200)) == 200
+
+
+def test_learning_equals_a_plain_version(spark):
+    docs = spark.createDataFrame(labelled(90) + [(None, "the of and", "en"), (5, None, "en"), (6, "der die", None)],
+                                 "doc_id bigint, text string, lang string")
+    texts = {}
+    for i, text, lang in labelled(90):
+        texts.setdefault(lang, []).append((i, L.folded(text)))
+    assert L.learn(docs) == {lang: b" ".join(dict.fromkeys(t for _, t in sorted(found))) for lang, found in texts.items()}
+
+
+def brute(text, dictionaries):
+    """The smallest encoding, chunk by chunk."""
+    import zstandard
+
+    data = L.folded(text or "")
+    if not data.strip():
+        return "und"
+    levels = L.SHORT_LEVELS if len(data) < L.SHORT_BYTES else (L.LEVEL,)
+    sizes = {}
+    for lang, content in dictionaries.items():
+        raw = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        sizes[lang] = 0
+        for level in levels:
+            encoder = zstandard.ZstdCompressor(level=level, dict_data=raw, write_content_size=False, write_checksum=False,
+                                               write_dict_id=False)
+            sizes[lang] += sum(len(encoder.compress(data[k:k + L.CHUNK_BYTES])) for k in range(0, len(data), L.CHUNK_BYTES))
+    return min(sorted(sizes), key=sizes.get)
+
+
+def test_predictions_equal_a_plain_version(spark):
+    model = L.learn(spark.createDataFrame(labelled(90), "doc_id bigint, text string, lang string"))
+    texts = [text for _, text, _ in labelled(30, 3)] + ["", None, "123", "der stein " * 3000, "x"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert {r.doc_id: r.lang_pred for r in L.predict(docs, model).collect()} == {i: brute(t, model) for i, t in enumerate(texts)}
+
+
+def test_query_on_awkward_rows(spark, tmp_path):
+    from stakeline.llm import catalog
+
+    frame(spark, awkward()).write.parquet(f"{tmp_path}/documents.parquet")
+    got = catalog.op7_language(spark, str(tmp_path))
+    assert got.count() == len(awkward())
+    assert got.where("held_out is null or lang_pred is null or score is null or score < 0 or score > 1").count() == 0
+    assert got.where("doc_id is null and held_out").count() == 0
