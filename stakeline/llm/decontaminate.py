@@ -13,24 +13,27 @@ Test strings are put into classes by length, so that a short one does not shorte
 ones. Many places of a batch are searched at the same time, each with its own jumps.
 
 Defined cases: a null or wordless text has no words and is not contaminated; items without words give no
-test strings; an item that is there twice counts twice if its ids differ; with no benchmark every
-document is clean; repeated rows give repeated results; a null ``doc_id`` stays null. Other columns of the
+test strings; an item that is there twice counts twice if its ids differ; an item with a null id marks the
+words that it hits, but is neither listed nor counted; with no benchmark every document is clean; repeated rows give repeated results; a null ``doc_id`` stays null. Other columns of the
 documents do not matter. Texts are searched whole, in slices of whole documents.
 
-The benchmark goes to the tasks in blocks of at most ``block_bytes`` of text, which is checked first.
-More blocks mean more passes over the documents, whose hits are then united per document.
+The benchmark goes to the tasks in blocks of about ``block_bytes`` of text at most (an item is not divided),
+which is checked first; the driver holds one block at a time. More blocks mean more passes over the
+documents, each written before the next block is fetched, whose hits are then united per document.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import id_and_text, map_arrow, texts_as_bytes
+from .frames import id_and_text, map_arrow, settle, texts_as_bytes
 
 WIDTH = 13
 #: Most bytes of benchmark text in one set of search tables.
@@ -177,15 +180,22 @@ def slices(texts: list[bytes]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> list[list[tuple]]:
-    """The items in blocks of about ``block_bytes`` at most, by the measured size of the table."""
+def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple]]:
+    """The items in blocks of about ``block_bytes`` at most, by the measured size of the table, one at a time."""
     items = benchmark.select(F.col(item_col).alias("item_id"), F.col(text_col).alias("text")).where("text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = -(-size // block_bytes) if size else 0
     if count <= 1:
-        return [[tuple(r) for r in items.collect()]] if count else []
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(2 * count))
-    return [[tuple(r) for r in items.where(part == k).collect()] for k in range(2 * count)]
+        if count:
+            yield [tuple(r) for r in items.collect()]
+        return
+    # sorted by block, so that a block is read from few row groups
+    dealt = settle(items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(2 * count)))
+                   .repartitionByRange("block").sortWithinPartitions("block"), "items")
+    for k in range(2 * count):
+        block = [tuple(r) for r in dealt.where(F.col("block") == k).select("item_id", "text").collect()]
+        if block:
+            yield block
 
 
 _SPAN = pa.struct([("first", pa.int64()), ("end", pa.int64())])
@@ -205,7 +215,7 @@ def _search_block(docs: DataFrame, items: list[tuple], width: int, keyed: bool)
                 pa.array([xxhash.xxh3_128_hexdigest(t) if keyed else None for t in texts], pa.string()),
                 pa.array([n for n, _, _ in found], pa.int64()),
                 pa.array([[{"first": a, "end": b} for a, b in s] for _, s, _ in found], pa.list_(_SPAN)),
-                pa.array([[str(i) for i in ids] for _, _, ids in found], pa.list_(pa.string())),
+                pa.array([[str(i) for i in ids if i is not None] for _, _, ids in found], pa.list_(pa.string())),
             ], names=["doc_id", "copy_of", "n_words", "spans", "items"])
     return map_arrow(docs, work, _HITS.replace("doc_id bigint", f"doc_id {docs.schema['doc_id'].dataType.simpleString()}"))
 
@@ -220,13 +230,25 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, width: int = WI
     """
     docs = id_and_text(docs, id_col, text_col)
     blocks = benchmark_blocks(benchmark, item_col, item_text_col, block_bytes)
-    if len(blocks) <= 1:
-        return _search_block(docs, blocks[0] if blocks else [], width, False).drop("copy_of")
-    parts = [_search_block(docs, items, width, True).withColumn("block", F.lit(k)) for k, items in enumerate(blocks)]
-    united_parts = parts[0]
-    for part in parts[1:]:
-        united_parts = united_parts.unionByName(part)
-    grouped = united_parts.groupBy("doc_id", "copy_of").agg(
+    first, second = next(blocks, []), next(blocks, None)
+    if second is None:
+        return _search_block(docs, first, width, False).drop("copy_of")
+    merged = _merged(docs, chain([first, second], blocks), width)
+    return merged.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(
+        "doc_id", "n_words", "spans", "items")
+
+
+def _merged(docs: DataFrame, blocks: Iterable[list[tuple]], width: int) -> DataFrame:
+    """``doc_id, copy_of, copies, n_words, spans, items`` per distinct row, from one pass for each block.
+
+    The hits of a block are written before the next block is fetched, so the driver holds one block and a
+    lost executor costs running tasks only. Later blocks add rows only for documents that they hit.
+    """
+    parts = []
+    for k, items in enumerate(blocks):
+        part = _search_block(docs, items, width, True)
+        parts.append(settle((part if k == 0 else part.where(F.size("spans") > 0)).withColumn("block", F.lit(k)), "hits"))
+    grouped = reduce(DataFrame.unionByName, parts).groupBy("doc_id", "copy_of").agg(
         F.sum(F.when(F.col("block") == 0, 1).otherwise(0)).alias("copies"),
         F.first("n_words").alias("n_words"),
         F.array_distinct(F.flatten(F.collect_set("spans"))).alias("spans"),
@@ -239,9 +261,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, width: int = WI
                      for row in batch.column("spans").to_pylist()]
             k = batch.schema.get_field_index("spans")
             yield batch.set_column(k, pa.field("spans", pa.list_(_SPAN)), pa.array(spans, pa.list_(_SPAN)))
-    merged = map_arrow(grouped, unite, grouped.schema)
-    return merged.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(
-        "doc_id", "n_words", "spans", "items")
+    return map_arrow(grouped, unite, grouped.schema)
 
 
 def judged(found: DataFrame, share: int = 20) -> DataFrame:
@@ -251,26 +271,27 @@ def judged(found: DataFrame, share: int = 20) -> DataFrame:
         "contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words")))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                      width: int = WIDTH, share: int = 20, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id",
+                      item_text_col: str = "text", width: int = WIDTH, share: int = 20,
+                      block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns."""
-    blocks = benchmark_blocks(benchmark, "item_id", "text", block_bytes)
-    if not blocks:
+    blocks = benchmark_blocks(benchmark, item_col, item_text_col, block_bytes)
+    first, second = next(blocks, None), next(blocks, None)
+    if first is None:
         return docs
+    if second is not None:  # the verdict is that of the text, so only digests of contaminated texts are joined
+        digest = F.sha2(docs[text_col].cast("binary"), 256)
+        texts = docs.select(digest.alias("doc_id"), docs[text_col].alias("text")).where("text is not null")
+        bad = settle(judged(_merged(texts, chain([first, second], blocks), width), share).where("contaminated").select(
+            F.col("doc_id").alias("digest")), "contaminated")
+        return docs.join(bad, digest == bad["digest"], "left_anti")
     place = docs.columns.index(text_col)
 
     def work(batches):
-        searchers = [Searcher(items, width) for items in blocks] if len(blocks) == 1 else None
+        searcher = Searcher(first, width)
         for batch in batches:
             texts = [t or b"" for t in texts_as_bytes(batch.column(place))]
-            spans: list[list] = [[] for _ in texts]
-            counts = [0] * len(texts)
-            for searcher in searchers or (Searcher(items, width) for items in blocks):
-                row = 0
-                for a, b in slices(texts):
-                    for n, s, _ in searcher.search(texts[a:b]):
-                        counts[row], _ = n, spans[row].extend(s)
-                        row += 1
-            hit = [sum(b - a for a, b in united(s)) for s in spans]
-            yield batch.filter(pa.array([not (h > 0 and share * h >= n) for h, n in zip(hit, counts)], pa.bool_()))
+            found = [x for a, b in slices(texts) for x in searcher.search(texts[a:b])]
+            hit = [sum(b - a for a, b in s) for _, s, _ in found]
+            yield batch.filter(pa.array([not (h > 0 and share * h >= n) for h, (n, _, _) in zip(hit, found)], pa.bool_()))
     return map_arrow(docs, work, docs.schema)

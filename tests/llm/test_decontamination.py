@@ -67,3 +67,28 @@ def test_empty_tables(spark):
     assert D.find_contamination(docs.limit(0), benchmark).count() == 0
     clean = D.judged(D.find_contamination(docs, benchmark.limit(0)))
     assert clean.where("contaminated or n_hit > 0").count() == 0 and clean.count() == docs.count()
+
+
+@pytest.mark.parametrize("block_bytes", [D.BLOCK_BYTES, 60])
+def test_null_item_ids_mark_words_but_are_not_listed(spark, block_bytes):
+    docs, benchmark, items = tables(spark)
+    nameless = spark.createDataFrame([(None, text) for _, text in items], "item_id bigint, text string")
+    found = D.judged(D.find_contamination(docs, nameless, block_bytes=block_bytes))
+    want = {r.doc_id: r.n_hit for r in D.judged(D.find_contamination(docs, benchmark)).collect()}
+    assert {r.doc_id: r.n_hit for r in found.collect()} == want
+    assert found.where("n_items > 0 or size(items) > 0").count() == 0
+
+
+def test_blocks_come_one_at_a_time_and_lose_nothing(spark):
+    _, benchmark, items = tables(spark)
+    blocks = list(D.benchmark_blocks(benchmark, "item_id", "text", 60))
+    assert len(blocks) > 1
+    assert sorted(x for block in blocks for x in block) == sorted(x for x in items if x[1] is not None)
+
+
+def test_filter_with_other_item_columns(spark):
+    docs, benchmark, _ = tables(spark)
+    named = benchmark.selectExpr("item_id as name", "text as question", "'x' as text")
+    for block_bytes in (D.BLOCK_BYTES, 60):
+        kept = D.drop_contaminated(docs, named, item_col="name", item_text_col="question", block_bytes=block_bytes)
+        assert {20, 21, 22}.isdisjoint({r.doc_id for r in kept.collect()})
