@@ -11,11 +11,15 @@ pre-tokens, their results and the numbers are shuffled, and no table is written.
 digest of what it holds, so both readings must agree on it; a block without its results raises.
 
 A bucket holds one row per block and a block is bounded, so a frequent pre-token or a frequent document
-does not make a hot key. Memory: one block, and the pre-tokens of one bucket.
+does not make a hot key. Memory: one block, and the distinct pre-tokens of one bucket. The number of
+buckets is the root of the measured bytes of text: distinct pre-tokens grow about as fast as that, so a
+bucket holds about as many at any size, while a block still has many pre-tokens for each row it sends
+(0.5 GB: 21 buckets, 30 GB: 169, 100 TB: about 10,000). Every bucket is a partition of its own.
 """
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -27,8 +31,10 @@ from pyspark.sql import functions as F
 
 from .frames import map_arrow
 
-#: Bytes of text of one block, at least one document.
-BLOCK_BYTES = 8 << 20
+#: Bytes of text of one block, at least one document, and fewest buckets.
+BLOCK_BYTES, BUCKETS = 8 << 20, 16
+#: Bytes of text for which there is one bucket; for ``n`` squared times as many there are ``n``.
+BUCKET_BYTES = 1 << 20
 _ROW = "block string, bucket int, docs binary, payload binary"
 _ARROW = pa.schema([("block", pa.string()), ("bucket", pa.int32()), ("docs", pa.binary()), ("payload", pa.binary())])
 _CODES = -1
@@ -134,6 +140,11 @@ def _blocks(split_factory, part: str, buckets: int, keep: list[str], block_bytes
     return work
 
 
+def bucket_count(n_bytes: int) -> int:
+    """Buckets for so many bytes of text."""
+    return max(BUCKETS, math.isqrt(max(0, n_bytes) // BUCKET_BYTES))
+
+
 def once_per_piece(docs: DataFrame, text_col: str, keep: list[str], split_factory: Callable[[], Callable],
                    treat_factory: Callable[[], Callable[[list[bytes]], bytes]],
                    finish: Callable[[Block, Iterator[tuple[np.ndarray, bytes]], int], pa.RecordBatch],
@@ -146,8 +157,7 @@ def once_per_piece(docs: DataFrame, text_col: str, keep: list[str], split_factor
     gets (numbers of the pre-tokens, packed result) of each bucket and their count ``n``. ``then`` goes on
     with the finished batches in the same worker.
     """
-    spark = docs.sparkSession
-    buckets = buckets or max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = buckets or bucket_count(docs.agg(F.sum(F.octet_length(text_col).cast("bigint"))).first()[0] or 0)
     source = docs.select(F.col(text_col).alias("__text"), *keep)
 
     def treat(batches):
@@ -193,7 +203,7 @@ def once_per_piece(docs: DataFrame, text_col: str, keep: list[str], split_factor
 
     words = map_arrow(source.select("__text"), _blocks(split_factory, "pieces", buckets, [], block_bytes), _ROW)
     codes = map_arrow(source, _blocks(split_factory, "codes", buckets, keep, block_bytes), _ROW)
-    treated = map_arrow(words.repartition("bucket").sortWithinPartitions("bucket"), treat, _ROW)
+    treated = map_arrow(words.repartitionById(buckets, "bucket").sortWithinPartitions("bucket"), treat, _ROW)
     back = treated.unionByName(codes).repartition("block").sortWithinPartitions("block", "bucket")
     return map_arrow(back, (lambda batches: then(put_back(batches))) if then else put_back, schema)
 

@@ -85,3 +85,11 @@ def test_decoding_null_and_unknown_ids(spark):
     assert got[1] is None and got[2] == b"" and len(got[3]) == 1
     with pytest.raises(Exception):
         B.decode(spark.createDataFrame([(1, [-1])], "doc_id int, token_ids array<int>"), RANKS).collect()
+
+
+def test_buckets_follow_the_data(spark, monkeypatch):
+    assert [PC.bucket_count(n) for n in (0, 100 << 20, 30 << 30, 100 << 40)] == [16, 16, 175, 10240]
+    docs = rows_of(spark)
+    few = sorted(map(repr, T.count_tokens(docs, MODEL, block_bytes=500).collect()))
+    monkeypatch.setattr(PC, "BUCKET_BYTES", 4)  # more buckets than most blocks have pre-tokens
+    assert sorted(map(repr, T.count_tokens(docs, MODEL, block_bytes=500).collect())) == few
