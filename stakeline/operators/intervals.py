@@ -47,25 +47,31 @@ def active_months(start: Column, end: Column, first: Column, last: Column) -> Co
     return F.when(begin <= stop, F.sequence(begin, stop, F.expr("interval 1 month")))
 
 
-def month_layout(stakes: DataFrame, first: Column, last: Column) -> DataFrame:
-    """(equity_field, month_start): one row per interval and month it is active in, and one, not active, per start within a month.
+def start_months(stakes: DataFrame) -> DataFrame:
+    """(equity_field, start_month): the earliest start in the month and whether one lies after its first day.
+
+    What names, first starts and starts within a month are all read from, in one pass over the intervals.
+    """
+    start = F.col("start_date")
+    return stakes.groupBy(F.col("field_name").alias("equity_field"), X.month_floor(start).alias("start_month")).agg(
+        F.min(start).alias("first_start"), F.max(F.dayofmonth(start) > 1).alias("within"))
+
+
+def month_layout(stakes: DataFrame, first: Column, last: Column, starts: DataFrame | None = None) -> DataFrame:
+    """(equity_field, month_start): one row per interval and month it is active in, and one, not active, where any starts within the month.
 
     The one layout that all questions of field-months are answered from. Kept as a table in buckets of its
     two keys (see ``store``), it meets months by joins and groupings that move only the other side.
+    ``starts`` are the ``start_months`` of ``stakes``, where stored.
     """
-    start = F.col("start_date")
-    begins = X.month_floor(start)
-    inside = (begins >= first) & (begins <= last) & (F.dayofmonth(start) > 1)
-    none = F.array().cast("array<date>")
-    dated = stakes.select(
-        F.col("field_name").alias("equity_field"), "company_name", "interest_pct", "start_date", "end_date", "operator_flag",
-        F.coalesce(active_months(start, F.col("end_date"), first, last), none).alias("held"),
-        F.when(inside, F.array(begins)).otherwise(none).alias("begun"),
-    )
-    flags = F.concat(F.array_repeat(F.lit(True), F.size("held")), F.array_repeat(F.lit(False), F.size("begun")))
-    months = F.explode(F.arrays_zip(F.concat("held", "begun").alias("month_start"), flags.alias("active"))).alias("m")
-    return dated.select("*", months).select(
-        "equity_field", "m.month_start", "m.active", "company_name", "interest_pct", "start_date", "end_date", "operator_flag")
+    held = stakes.select(
+        F.col("field_name").alias("equity_field"),
+        F.explode(active_months(F.col("start_date"), F.col("end_date"), first, last)).alias("month_start"),
+        F.lit(True).alias("active"), "company_name", "interest_pct", "start_date", "end_date", "operator_flag")
+    begins = F.col("start_month")
+    begun = (starts if starts is not None else start_months(stakes)).where(F.col("within") & (begins >= first) & (begins <= last))
+    return held.unionByName(
+        begun.select("equity_field", begins.alias("month_start"), F.lit(False).alias("active")), allowMissingColumns=True)
 
 
 def active_in(layout: DataFrame) -> DataFrame:
@@ -92,18 +98,18 @@ def month_facts(layout: DataFrame) -> DataFrame:
     )
 
 
-def first_starts(stakes: DataFrame) -> DataFrame:
-    """Earliest and latest-starting evidence per equity field."""
-    return stakes.groupBy(F.col("field_name").alias("equity_field")).agg(
-        X.month_floor(F.min("start_date")).alias("first_start_month"),
-        F.min("start_date").alias("first_start"),
+def first_starts(starts: DataFrame) -> DataFrame:
+    """Earliest and latest-starting evidence per equity field, from its ``start_months``."""
+    return starts.groupBy("equity_field").agg(
+        F.min("start_month").alias("first_start_month"),
+        F.min("first_start").alias("first_start"),
     )
 
 
-def matched_starts(matches: DataFrame, stakes: DataFrame) -> DataFrame:
+def matched_starts(matches: DataFrame, starts: DataFrame) -> DataFrame:
     """Matched fields with the first start of their intervals; unmatched fields would only share a null key."""
     found = matches.where(F.col("equity_field").isNotNull())
-    return found.join(first_starts(stakes), "equity_field", "left")
+    return found.join(first_starts(starts), "equity_field", "left")
 
 
 def window_of(prod: DataFrame) -> tuple[Column, Column]:
@@ -125,16 +131,17 @@ def join_months(months: DataFrame, facts: DataFrame) -> DataFrame:
 
 
 def resolve(history: DataFrame, matches: DataFrame, stakes: DataFrame, today_month: str,
-            first: Column, last: Column, layout: DataFrame | None = None) -> DataFrame:
+            first: Column, last: Column, layout: DataFrame | None = None, starts: DataFrame | None = None) -> DataFrame:
     """(field, period) with its category, match method and active-interest figures.
 
-    ``first`` and ``last`` bound the production months (see ``window_of``); ``layout`` is that of ``stakes``, where stored.
+    ``first`` and ``last`` bound the production months (see ``window_of``); ``layout`` and ``starts`` are those of ``stakes``, where stored.
     ``today_month`` (first of a month, ISO) separates fields whose ownership is
     still in the future from fields whose ownership simply began later.
     """
-    by_field = matched_starts(matches, stakes)
+    starts = starts if starts is not None else start_months(stakes)
+    by_field = matched_starts(matches, starts)
     keyed = history.join(by_field, "field", "left")
-    joined = join_months(keyed, month_facts(layout if layout is not None else month_layout(stakes, first, last)))
+    joined = join_months(keyed, month_facts(layout if layout is not None else month_layout(stakes, first, last, starts)))
     active = F.coalesce("active_rows", F.lit(0))
     total = F.coalesce("positive_sum", F.lit(0).cast("decimal(38,6)"))
     rounded = F.round(total, 4)
@@ -165,11 +172,13 @@ def resolve(history: DataFrame, matches: DataFrame, stakes: DataFrame, today_mon
     )
 
 
-def resolve_latest(latest: DataFrame, matches: DataFrame, stakes: DataFrame, month: Column) -> DataFrame:
+def resolve_latest(latest: DataFrame, matches: DataFrame, stakes: DataFrame, month: Column,
+                   starts: DataFrame | None = None) -> DataFrame:
     """The single-month form: five categories, for fields that produce in the latest ``month``."""
     dated = latest.withColumn("month_start", X.month_start(F.col("period")))
-    by_field = matched_starts(matches, stakes)
-    joined = join_months(dated.join(by_field, "field", "left"), month_facts(month_layout(stakes, month, month)))
+    starts = starts if starts is not None else start_months(stakes)
+    by_field = matched_starts(matches, starts)
+    joined = join_months(dated.join(by_field, "field", "left"), month_facts(month_layout(stakes, month, month, starts)))
     active = F.coalesce("active_rows", F.lit(0))
     total = F.coalesce("positive_sum", F.lit(0).cast("decimal(38,6)"))
     category = (

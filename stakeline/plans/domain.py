@@ -134,7 +134,11 @@ class Domain:
 
     @cached_property
     def right_names(self) -> DataFrame:
-        return matching.right_names(self.stakes)
+        return self.starts.select("equity_field").distinct()
+
+    @cached_property
+    def starts(self) -> DataFrame:
+        return self._stored("starts", lambda: intervals.start_months(self.stakes))
 
     @cached_property
     def matches(self) -> DataFrame:
@@ -150,15 +154,15 @@ class Domain:
 
     @cached_property
     def resolved(self) -> DataFrame:
-        self.side_by_side("history", "stakes")
+        self.side_by_side("history", "starts")  # the latter with the intervals
         self.side_by_side("matches", "layout")
         return self._stored("resolved", lambda: intervals.resolve(
-            self.history, self.matches, self.stakes, TODAY_MONTH, *self.window, layout=self.layout))
+            self.history, self.matches, self.stakes, TODAY_MONTH, *self.window, layout=self.layout, starts=self.starts))
 
     @cached_property
     def layout(self) -> DataFrame:
         """Intervals by active month, in buckets of (field, month)."""
-        return stored_in_buckets(self.spark, self._key, "layout", lambda: intervals.month_layout(self.stakes, *self.window),
+        return stored_in_buckets(self.spark, self._key, "layout", lambda: intervals.month_layout(self.stakes, *self.window, self.starts),
                                  ["equity_field", "month_start"])
 
     @cached_property
@@ -181,12 +185,12 @@ class Domain:
     @cached_property
     def resolved_latest(self) -> DataFrame:
         return self._stored("resolved_latest", lambda: intervals.resolve_latest(
-            self.latest, self.matches, self.stakes, self.latest_month))
+            self.latest, self.matches, self.stakes, self.latest_month, self.starts))
 
     @cached_property
     def attributed_latest(self) -> DataFrame:
         return intervals.attribute(
-            self.resolved_latest, intervals.month_layout(self.stakes, self.latest_month, self.latest_month))
+            self.resolved_latest, intervals.month_layout(self.stakes, self.latest_month, self.latest_month, self.starts))
 
     # coverage
     @cached_property

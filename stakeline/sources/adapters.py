@@ -98,6 +98,9 @@ def ownership_spans(orders: DataFrame) -> DataFrame:
 def stakes(orders: DataFrame) -> DataFrame:
     rows = ownership_spans(orders).selectExpr(
         "*",
+        "case when fk % 100 = 49 then concat('RETIRED FIELD ', cast(fk as string))"
+        " when fk % 7 = 3 then concat(case when fk % 10 = 6 and ck % 2 = 0 then 'Field   ' else 'field   ' end, lpad(cast(fk as string), 10, '0'))"
+        f" when fk % 11 = 5 then concat('OLD FIELD ', cast(fk as string)) else {FIELD.format('fk')} end as field_name",
         "case when fk % 100 = 37 then make_date(2090, 1, 4) when pd is null and fk % 17 = 4 then make_date(1950, 1, 1) "
         "else d end as s",
         "case when fk % 100 = 37 then null when ok % 123 = 0 and nd is not null then date_add(nd, 60) "
@@ -111,13 +114,11 @@ def stakes(orders: DataFrame) -> DataFrame:
         "case when ok % 29 = 0 and fk % 100 <> 37 then array(named_struct('i', 0, 'pct', 60.0D, 'point', true)) else array() end"
         ")) as k",
     ).selectExpr(
-        "fk", "ck", "ok", "k.i as i", "round(k.pct / n, 4) as pct",
+        "fk", "ck", "ok", "field_name", "k.i as i", "round(k.pct / n, 4) as pct",
         "case when k.point then d else s end as s", "case when k.point then d else e end as e",
     )
     return rows.selectExpr(
-        "case when fk % 100 = 49 then concat('RETIRED FIELD ', cast(fk as string))"
-        " when fk % 7 = 3 then concat(case when fk % 10 = 6 and ck % 2 = 0 then 'Field   ' else 'field   ' end, lpad(cast(fk as string), 10, '0'))"
-        f" when fk % 11 = 5 then concat('OLD FIELD ', cast(fk as string)) else {FIELD.format('fk')} end as field_name",
+        "field_name",
         "case when fk % 9 = 0 then 'ONSHORE' else 'OFFSHORE' end as on_offshore",
         "case when fk % 6 = 0 then 'CEASED' else 'PRODUCING' end as status",
         f"{COMPANY.format('15 * (fk div 10) + (ck - 15 * fk + i) % 15')} as company_name",

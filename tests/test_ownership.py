@@ -270,3 +270,12 @@ def test_label_audit(spark):
 def test_interval_rules(spark):
     data = [("F", "A", 101, "2020-01-01", None), ("", "A", 1, "2020-01-01", None), ("F", "A", 1, "2020-02-01", "2020-01-01"), ("F", "A", 0, "2020-01-01", None)]
     assert [r[0] for r in rows(K.interval_offenders(stakes(spark, data)), "reason")] == ["end before start", "field name missing", "percentage out of range"]
+
+
+def test_starts_within_a_month_are_one_row_of_the_layout(spark):
+    frame, st, window = resolved(spark, [("F", "202001"), ("F", "202002"), ("F", "202003")], [
+        ("F", c, 50, s, "2020-02-20") for c in ("A", "B", "C") for s in ("2020-02-05", "2020-02-10")])
+    layout = I.month_layout(st, *window)
+    assert rows(layout.where("not active"), "equity_field", "month_start", "company_name") == [("F", date(2020, 2, 1), None)]
+    assert rows(I.month_facts(layout), "active_rows", "repeated_companies", "mid_month_start") == [(0, 0, True)]
+    assert [r[0] for r in rows(frame, "category")] == ["genuine_interval_gap", "month_start_boundary", "pre_equity_history"]
