@@ -59,7 +59,7 @@ class Domain:
     @cached_property
     def landed(self) -> str:
         """Path of the reports as a transfer job lands them: a folder per year, files by date."""
-        return stored_in_partitions(self.spark, self._key, "landed", lambda: adapters.landed_production(self.prod), "year", "reported_on")
+        return stored_in_partitions(self.spark, self._key, "landed", lambda: adapters.landed_production(self.raw("lineitem")), "year")
 
     @cached_property
     def pages(self) -> DataFrame:

@@ -49,12 +49,12 @@ def stored_in_buckets(spark: SparkSession, key: tuple, name: str, build: Callabl
     return spark.table(_TABLES[full_key][1])
 
 
-def stored_in_partitions(spark: SparkSession, key: tuple, name: str, build: Callable[[], DataFrame], by: str, order: str) -> str:
-    """The path of a stored table with a folder per value of ``by``, each file holding a narrow range of ``order``."""
+def stored_in_partitions(spark: SparkSession, key: tuple, name: str, build: Callable[[], DataFrame], by: str) -> str:
+    """The path of a stored table with a folder per value of ``by``; its rows come spread and sorted by it."""
     full_key = (spark.sparkContext.applicationId, *key, name)
     if full_key not in _TABLES:
         frame, path = build(), scratch_path(spark, name)
-        frame.repartitionByRange(by, order).sortWithinPartitions(by, order).write.partitionBy(by).parquet(path)
+        frame.write.partitionBy(by).parquet(path)
         _TABLES[full_key] = (path, frame.schema)
     return _TABLES[full_key][0]
 

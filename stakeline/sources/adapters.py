@@ -43,7 +43,7 @@ def _rings(key: str) -> str:
     )
 
 
-def unit_production(lineitem: DataFrame) -> DataFrame:
+def unit_production(lineitem: DataFrame, *carried: str) -> DataFrame:
     return lineitem.selectExpr(
         f"{FIELD.format('l_suppkey')} as field",
         "concat('UNIT ', cast(l_partkey % 7 as string), case l_partkey % 7 when 6 then ' STORAGE' "
@@ -63,6 +63,7 @@ def unit_production(lineitem: DataFrame) -> DataFrame:
         "48.0D + (l_orderkey % 150) / 10.0D as lat",
         "l_orderkey * 10 + l_linenumber as object_id",
         "l_shipdate as reported_at",
+        *carried,
     )
 
 
@@ -214,9 +215,14 @@ def polygons(supplier: DataFrame) -> DataFrame:
     )
 
 
-def landed_production(prod: DataFrame) -> DataFrame:
-    """The reports with their day and year as stored columns, for landing by year."""
-    return prod.withColumn("reported_on", F.col("reported_at").cast("date")).withColumn("year", F.year("reported_at"))
+def landed_production(lineitem: DataFrame) -> DataFrame:
+    """The reports with their day and year as stored columns, for landing by year: in narrow ranges of their date.
+
+    The source rows are spread and sorted; the wide reports are made of them after that.
+    """
+    dated = lineitem.withColumn("year", F.year("l_shipdate"))
+    spread = dated.repartitionByRange("year", "l_shipdate").sortWithinPartitions("year", "l_shipdate")
+    return unit_production(spread, "year").withColumn("reported_on", F.col("reported_at").cast("date"))
 
 
 def landed_pages(prod: DataFrame, rows_per_page: int = 2000, leftovers: bool = False) -> DataFrame:

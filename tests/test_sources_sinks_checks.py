@@ -335,3 +335,14 @@ def test_stored_tables_follow_their_files(spark, tmp_path):
     assert os.path.exists(path) and kept.count() == 2
     store.forget()
     assert not os.path.exists(path)
+
+
+def test_landed_reports_are_made_after_their_rows_are_spread(spark):
+    from stakeline.sources import adapters
+
+    lines = adapters.table(spark, "/root/testdata/sf0.001", "lineitem")
+    landed = adapters.landed_production(lines)
+    plan = landed._jdf.queryExecution().optimizedPlan().toString()
+    assert "OPERATOR" in plan.split("RepartitionByExpression")[0] and "OPERATOR" not in plan.split("RepartitionByExpression")[1]
+    assert landed.drop("year", "reported_on").exceptAll(adapters.unit_production(lines)).count() == 0
+    assert landed.count() == lines.count() and landed.where("year <> year(reported_at) or reported_on <> cast(reported_at as date)").count() == 0
