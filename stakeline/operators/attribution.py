@@ -82,24 +82,26 @@ def owner_field_series(attributed: DataFrame, derived: DataFrame, key: Column |
 
     The grid is the owner's own fields times the owner's own months. An owner's months
     (bounded by the calendar) and the numbers of its parts (``parts`` at most) are small sets;
-    its fields are dealt over these parts, take the months by (owner, part) and are only then
-    laid out. So an owner of nearly all fields is spread over ``parts`` tasks.
+    its fields are dealt over these parts, each with its own months in one array, and take the
+    owner's months by (owner, part). They are laid out after that, so the grid itself is neither
+    shuffled nor joined, and an owner of nearly all fields is spread over ``parts`` tasks.
     """
     owner = F.col(key) if isinstance(key, str) else key
-    facts = attributed.groupBy(owner.alias(name), "field", "period").agg(
-        *[F.sum(s).cast(TOTAL).alias(s) for s in EQUITY_STREAMS]
-    )
     part = F.pmod(F.xxhash64("field"), F.lit(parts)).cast("int").alias("part")
-    fields = facts.select(name, "field", part).distinct()
-    months = facts.select(name, "period", part).groupBy(name).agg(
+    # one exchange, by (owner, part), serves the sums, the arrays of a field and the join of the months
+    dealt = attributed.select(owner.alias(name), part, "field", "period", *EQUITY_STREAMS).repartition(name, "part")
+    facts = dealt.groupBy(name, "part", "field", "period").agg(*[F.sum(s).cast(TOTAL).alias(s) for s in EQUITY_STREAMS])
+    zero = F.lit(0).cast(TOTAL)
+    point = F.struct("period", *[F.coalesce(s, zero).alias(s) for s in EQUITY_STREAMS])
+    # a field has one point per month at most, so the calendar bounds the array
+    fields = facts.groupBy(name, "part", "field").agg(F.collect_list(point).alias("points"))
+    months = attributed.select(owner.alias(name), part, "period").groupBy(name).agg(
         F.collect_set("period").alias("periods"), F.collect_set("part").alias("owned")
     ).select(name, "periods", F.explode("owned").alias("part"))
-    laid = fields.join(months, [name, "part"]).select(name, "field", F.explode("periods").alias("period"))
-    grid = laid.join(facts, [name, "field", "period"], "left")
-    filled = grid.select(
-        name, "field", "period",
-        *[F.coalesce(s, F.lit(0).cast(TOTAL)).alias(s) for s in EQUITY_STREAMS],
-    )
+    missing = F.transform(F.array_except("periods", "points.period"),
+                          lambda p: F.struct(p.alias("period"), *[zero.alias(s) for s in EQUITY_STREAMS]))
+    filled = fields.join(months, [name, "part"]).select(
+        name, "field", F.explode(F.concat("points", missing)).alias("p")).select(name, "field", "p.*")
     rated = filled.join(per_month(derived), "period")
     return rated.select(
         name, "field", "period",

@@ -134,3 +134,16 @@ def test_side_by_side_sums_give_the_same_group_series(spark):
     fast = G.month_series(G.group_months(wide, members), members)
     assert sorted(map(tuple, fast.collect()), key=repr) == sorted(map(tuple, slow.select(fast.columns).collect()), key=repr)
     assert G.energy_months(G.group_months(wide, members)).count() == 3
+
+
+def test_grid_is_laid_out_after_the_last_exchange_of_its_rows(spark):
+    facts = spark.createDataFrame([("A", "F", "202001"), ("A", "G", "202002"), ("B", "F", "202002")], "company string, field string, period string").select(
+        "company", "field", "period", *[F.lit(6).cast("decimal(38,12)").alias(s) for s in A.EQUITY_STREAMS])
+    months = spark.createDataFrame([(p, "complete", "complete", "complete") for p in ("202001", "202002", "202003")],
+                                   "period string, liquids_status string, gas_status string, total_status string")
+    grid = A.owner_field_series(facts, months)
+    got = {(r["company"], r["field"], r["period"]): float(r["total_mboed"]) for r in grid.collect()}
+    assert got == {("A", "F", "202001"): 14.0, ("A", "F", "202002"): 0.0, ("A", "G", "202001"): 0.0, ("A", "G", "202002"): 14.0,
+                   ("B", "F", "202002"): 14.0}
+    plan = grid._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 2 and "Join LeftOuter" not in plan  # the owner's months and the statuses; facts never meet the grid
