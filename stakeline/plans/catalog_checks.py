@@ -255,9 +255,9 @@ join (select grp, count(*) m from collapsed group by grp) s on s.grp = g.grp
 where (g.total_mboed is null and coalesce(f.n, 0) > 0) or
  cast(abs(g.total_mboed - coalesce(f.v, 0)) as double) > 8 * 0.5e-3 * sqrt((coalesce(f.n, 0) + s.m) / 3.0)""")
 def _(t: Domain):
-    sizes = t.collapsed.groupBy("grp").agg(F.count("*").alias("members"))
+    groups, sizes = t.group_wide, t.collapsed.groupBy("grp").agg(F.count("*").alias("members"))
     bound = X.rounding_tolerance(F.coalesce("parts_known", F.lit(0)), F.col("members"))
-    compared = K.parts_against_group(t.group_wide.join(sizes, "grp"), t.group_fields, bound)
+    compared = K.parts_against_group(groups.join(sizes, "grp"), t.group_fields, bound)
     return plain(K.parts_offenders(compared).select("grp", "period", "total_mboed", "parts_total"))
 
 
@@ -394,9 +394,9 @@ select g.grp, g.period, cast(coalesce(g.total_mboed, 0) + 50 as double) total_mb
 left join (select grp, period, sum(total_mboed) v from gfs group by 1, 2) f on f.grp = g.grp and f.period = g.period
 where g.period like '%05'""")
 def _(t: Domain):
-    sizes = t.collapsed.groupBy("grp").agg(F.count("*").alias("members"))
+    groups, sizes = t.group_wide, t.collapsed.groupBy("grp").agg(F.count("*").alias("members"))
     total = F.col("total_mboed")
-    planted = t.group_wide.join(sizes, "grp").withColumn("total_mboed", F.when(F.col("period").endswith("05"), F.coalesce(total, F.lit(0)) + 50).otherwise(total))
+    planted = groups.join(sizes, "grp").withColumn("total_mboed", F.when(F.col("period").endswith("05"), F.coalesce(total, F.lit(0)) + 50).otherwise(total))
     bound = X.rounding_tolerance(F.coalesce("parts_known", F.lit(0)), F.col("members"))
     return plain(K.parts_offenders(K.parts_against_group(planted, t.group_fields, bound)).select("grp", "period", "total_mboed", "parts_total"))
 

@@ -257,14 +257,14 @@ from mapping"""
 
 @entry("A36_grouping_review", REPORT)
 def _(t: Domain):
-    return plain(G.review_report(t.mapping, t.group_series, t.membership))
+    return plain(G.review_report(series=t.group_series, mapping=t.mapping, membership=t.membership))
 
 
 @entry("A48_overview_metadata", f"""
 select r.*, (select min(period) from country) first_period, (select max(period) from country) last_period, '{PUBLICATION_START}' equity_first_period from ({REPORT}) r""")
 def _(t: Domain):
     span = t.country.agg(F.min("period").alias("first_period"), F.max("period").alias("last_period"))
-    report = one_row(G.review_report(t.mapping, t.group_series, t.membership), span)
+    report = one_row(G.review_report(series=t.group_series, mapping=t.mapping, membership=t.membership), span)
     return plain(report.withColumn("equity_first_period", F.lit(PUBLICATION_START)))
 
 

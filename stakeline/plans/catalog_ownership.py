@@ -100,7 +100,7 @@ def _(t: Domain):
 select h.field, min(period) first_period, max(period) last_period, {four_sum()} from hist h join matched m on m.field = h.field
 where m.method is null group by h.field""")
 def _(t: Domain):
-    return plain(M.unmatched_cumulative(t.matches, t.history))
+    return plain(M.unmatched_cumulative(history=t.history, matches=t.matches))
 
 
 @entry("A42_unmatched_production_impact", f"""
@@ -117,7 +117,7 @@ select h.field, min(h.period) first_period, max(h.period) last_period, max(h.per
  {', '.join(f"cast(sum(case when h.period = (select max(period) from hist) then h.{s} end) as double) {s}" for s in FOUR)}
 from hist h join matched m on m.field = h.field where m.method is null group by h.field""")
 def _(t: Domain):
-    return plain(M.unmatched_detail(t.matches, t.history))
+    return plain(M.unmatched_detail(history=t.history, matches=t.matches))
 
 
 @entry("A56_normalization_collisions", f"""

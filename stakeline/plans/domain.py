@@ -19,7 +19,7 @@ from ..functions import scalars as X
 from ..functions.volumes import EQUITY_STREAMS
 from ..operators import attribution, coverage, groups, intervals, licence, matching, production, ranking
 from ..sources import adapters
-from .store import input_version, stored, stored_in_buckets, stored_in_partitions
+from .store import input_version, is_stored, stored, stored_in_buckets, stored_in_partitions
 
 # fixed values: parameters of the queries over the test tables
 PUBLICATION_START = "199703"
@@ -43,6 +43,9 @@ class Domain:
     def _stored(self, name: str, build) -> DataFrame:
         return stored(self.spark, self._key, name, build)
 
+    def _is_stored(self, name: str) -> bool:
+        return is_stored(self.spark, self._key, name)
+
     def raw(self, name: str) -> DataFrame:
         return adapters.table(self.spark, self.sf_dir, name)
 
@@ -130,7 +133,9 @@ class Domain:
     # ownership
     @cached_property
     def left_names(self) -> DataFrame:
-        return self.history.select("field").distinct()
+        """Fields with a month: read from the history where there is one, otherwise without its sums."""
+        months = self.history if self._is_stored("history") else production.production_rows(self.classified)
+        return months.select("field").distinct()
 
     @cached_property
     def right_names(self) -> DataFrame:
@@ -236,7 +241,9 @@ class Domain:
 
     @cached_property
     def entities(self) -> DataFrame:
-        return self.facts.select(F.col("company").alias("entity")).distinct()
+        """Companies with a share: read from the facts where there are any, otherwise without their sums."""
+        shares = self.facts if self._is_stored("facts") else self.attributed
+        return self._stored("entities", lambda: shares.select(F.col("company").alias("entity")).distinct())
 
     @cached_property
     def evidence(self) -> DataFrame:
@@ -290,13 +297,13 @@ class Domain:
 
     @cached_property
     def search_entries(self) -> DataFrame:
-        fields = self.history.select("field").distinct().select(
-            F.lit("field").alias("type"), F.col("field").alias("label"), X.slugify(F.col("field")).alias("slug")
-        )
         companies = self.entities.select(
             F.lit("legal-entity").alias("type"), F.col("entity").alias("label"),
             X.slugify(F.col("entity")).alias("slug"),
         )
+        fields = self.left_names.select(  # after the companies, which leave the history to read
+            F.lit("field").alias("type"), F.col("field").alias("label"), X.slugify(F.col("field")).alias("slug")
+        )
         operators = self.attributes.select("operator").distinct().select(
             F.lit("operator").alias("type"), F.col("operator").alias("label"), F.col("operator").alias("slug")
         )

@@ -28,6 +28,10 @@ def input_version(spark: SparkSession, paths: list[str]) -> tuple:
     return tuple(sorted(found))
 
 
+def is_stored(spark: SparkSession, key: tuple, name: str) -> bool:
+    return (spark.sparkContext.applicationId, *key, name) in _TABLES
+
+
 def stored(spark: SparkSession, key: tuple, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     full_key = (spark.sparkContext.applicationId, *key, name)
     if full_key not in _TABLES:
