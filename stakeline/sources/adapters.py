@@ -7,7 +7,7 @@ rows, blank names) are cases over key values; no row is filtered away.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 FIELD = "concat('FIELD ', lpad(cast({0} as string), 10, '0'))"
 COMPANY = "concat('Customer#', lpad(cast({0} as string), 9, '0'))"
@@ -226,20 +226,20 @@ def landed_production(lineitem: DataFrame) -> DataFrame:
 
 
 def landed_pages(prod: DataFrame, rows_per_page: int = 2000, leftovers: bool = False) -> DataFrame:
-    """Pages as an extract writes them, by offset: full pages with the flag, then a short one without it.
+    """Pages as an extract writes them, by offset, with their counts ``n``: full pages with the flag, then a short one without it.
 
     ``leftovers`` adds pages of an older, longer extract behind the last one.
     """
-    pages = feature_pages(prod, rows_per_page).withColumnRenamed("page", "offset")
+    pages = feature_pages(prod, rows_per_page, F.count("*").alias("n")).withColumnRenamed("page", "offset")
     end = feature_pages(prod, rows_per_page).agg(F.max("page")).scalar()
     pages = pages.withColumn("exceededTransferLimit", F.col("offset") < end)
     if leftovers:
         old = pages.where(F.col("offset") % 5 == 0).withColumn("offset", F.col("offset") + end + 1)
         pages = pages.unionByName(old.withColumn("exceededTransferLimit", F.lit(True)))
-    return pages.select("offset", "exceededTransferLimit", "features")
+    return pages.select("offset", "exceededTransferLimit", "features", "n")
 
 
-def feature_pages(prod: DataFrame, rows_per_page: int = 2000) -> DataFrame:
+def feature_pages(prod: DataFrame, rows_per_page: int = 2000, *counts: Column) -> DataFrame:
     """Source rows packed into pages of a landed feature service answer, a bounded number per page."""
     attributes = F.struct("object_id", "field", "unit", "period", "oil_mbd")
     geometry = F.struct(F.col("lon").alias("x"), F.col("lat").alias("y"))
@@ -249,5 +249,5 @@ def feature_pages(prod: DataFrame, rows_per_page: int = 2000) -> DataFrame:
         ).alias("feature"),
     )
     return keyed.groupBy("page").agg(
-        F.collect_list("feature").alias("features"), F.lit(True).alias("exceededTransferLimit")
+        F.collect_list("feature").alias("features"), F.lit(True).alias("exceededTransferLimit"), *counts
     )

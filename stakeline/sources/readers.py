@@ -29,9 +29,13 @@ def read_pages(spark: SparkSession, path: str, schema: str = schemas.FEATURE_PAG
 
 
 def land_pages(pages: DataFrame, path: str) -> None:
-    """Writes pages, one JSON document a line, and beside them the number of features the extract had for each."""
-    pages.write.json(f"{path}/pages")
-    pages.select("offset", F.size("features").cast("bigint").alias("features")).write.parquet(f"{path}/manifest")
+    """Writes pages, one JSON document a line, and beside them the number of features the extract had for each.
+
+    Where the extract counts its pages (``n``) the numbers are taken from there, without gathering the features again.
+    """
+    pages.drop("n").write.json(f"{path}/pages")
+    count = F.col("n") if "n" in pages.columns else F.size("features")
+    pages.select("offset", count.cast("bigint").alias("features")).write.parquet(f"{path}/manifest")
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:

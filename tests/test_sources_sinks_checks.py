@@ -346,3 +346,14 @@ def test_landed_reports_are_made_after_their_rows_are_spread(spark):
     assert "OPERATOR" in plan.split("RepartitionByExpression")[0] and "OPERATOR" not in plan.split("RepartitionByExpression")[1]
     assert landed.drop("year", "reported_on").exceptAll(adapters.unit_production(lines)).count() == 0
     assert landed.count() == lines.count() and landed.where("year <> year(reported_at) or reported_on <> cast(reported_at as date)").count() == 0
+
+
+def test_counts_of_landed_pages_gather_no_features(spark, tmp_path):
+    from stakeline.sources import adapters
+
+    pages = adapters.landed_pages(adapters.unit_production(adapters.table(spark, "/root/testdata/sf0.001", "lineitem")), leftovers=True)
+    assert "collect_list" not in pages.select("offset", "n")._jdf.queryExecution().optimizedPlan().toString()
+    readers.land_pages(pages, str(tmp_path / "extract"))
+    landed = spark.read.json(str(tmp_path / "extract" / "pages"))
+    assert set(landed.columns) == {"offset", "exceededTransferLimit", "features"}
+    assert rows(readers.read_manifest(spark, str(tmp_path / "extract"))) == rows(landed.select("offset", F.size("features").cast("bigint")))
