@@ -306,7 +306,8 @@ def _(t: Domain):
     companies = plain(t.series).select(F.lit("company").alias("kind"), X.slugify(F.col("company")).alias("slug"), "period", "stream", "value")
     grouped = plain(t.group_series).select(F.lit("group").alias("kind"), X.slugify(F.col("grp")).alias("slug"), "period", "stream", "value")
     docs = sinks.documents([
-        sinks.section(companies, "company", "slug", ["period", "stream"]), sinks.section(grouped, "group", "slug", ["period", "stream"])])
+        sinks.section(companies, "company", "slug", ["period", "stream"], text=False),
+        sinks.section(grouped, "group", "slug", ["period", "stream"], text=False)])
     path = scratch_path(t.spark, "equity")
     sinks.write_documents(docs, path)
     lines = sinks.read_documents(t.spark, path)

@@ -20,13 +20,20 @@ from ..operators.checks import CheckFailed, require_empty
 
 
 
-def section(rows: DataFrame, name: str, slug: str, order: list[str]) -> DataFrame:
-    """Lines of one document section: slug, section, sort text and JSON body."""
+JSON = {"ignoreNullFields": "false"}
+
+
+def section(rows: DataFrame, name: str, slug: str, order: list[str], text: bool = True) -> DataFrame:
+    """Lines of one document section: slug, section, sort text and JSON body.
+
+    Without ``text`` the body stays a struct until it is written; sections of one layout can be put together so.
+    """
     body = [c for c in rows.columns if c != slug]
     position = F.concat_ws("|", *[F.col(c).cast("string") for c in order]) if order else F.lit("")
+    packed = F.struct(*body)
     return rows.select(
         F.col(slug).alias("slug"), F.lit(name).alias("section"), position.alias("position"),
-        F.to_json(F.struct(*body), {"ignoreNullFields": "false"}).alias("body"),
+        (F.to_json(packed, JSON) if text else packed).alias("body"),
     )
 
 
@@ -42,9 +49,15 @@ DOCUMENT = "slug string, section string, position string, body string"
 
 
 def write_documents(docs: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Deterministic layout: range-partitioned and sorted by slug, section and position."""
+    """Deterministic layout: range-partitioned and sorted by slug, section and position.
+
+    Ranges take a pass of their own over the rows; bodies that are structs become text after it and after the exchange.
+    """
     order = ["slug", "section", "position"]
-    docs.select(*order, "body").repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode).parquet(path)
+    spread = docs.select(*order, "body").repartitionByRange(*order).sortWithinPartitions(*order)
+    if dict(spread.dtypes)["body"] != "string":
+        spread = spread.withColumn("body", F.to_json("body", JSON))
+    spread.write.mode(mode).parquet(path)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:

@@ -357,3 +357,14 @@ def test_counts_of_landed_pages_gather_no_features(spark, tmp_path):
     landed = spark.read.json(str(tmp_path / "extract" / "pages"))
     assert set(landed.columns) == {"offset", "exceededTransferLimit", "features"}
     assert rows(readers.read_manifest(spark, str(tmp_path / "extract"))) == rows(landed.select("offset", F.size("features").cast("bigint")))
+
+
+def test_bodies_become_text_after_the_rows_are_spread(spark, tmp_path):
+    points = spark.createDataFrame([("b", "202002", 2.0), ("a", "202001", None), ("a", "202002", 1.5)], "slug string, period string, v double")
+    found = []
+    for text in (True, False):
+        docs = sinks.documents([sinks.section(points, n, "slug", ["period"], text=text) for n in ("one", "two")])
+        assert (dict(docs.dtypes)["body"] == "string") == text
+        sinks.write_documents(docs, str(tmp_path / str(text)))
+        found.append(sorted(map(tuple, sinks.read_documents(spark, str(tmp_path / str(text))).collect())))
+    assert found[0] == found[1] and len(found[0]) == 6 and '"v":null' in found[0][0][3]
