@@ -86,13 +86,22 @@ def group_series(series: DataFrame, membership: DataFrame) -> DataFrame:
     )
 
 
+# fixed values: what a stream of a month can be
+STATUSES = ("complete", "warning", "unavailable", "not_applicable")
+
+
 def group_months(wide: DataFrame, membership: DataFrame) -> DataFrame:
-    """(grp, period): sum, number of known values and the month's status of every stream, side by side."""
+    """(grp, period): sum, number of known values and the month's status of every stream, side by side.
+
+    Statuses are numbers while they are grouped: a largest text would have the rows sorted instead of hashed.
+    """
+    number = lambda status: F.coalesce(*[F.when(status == x, i) for i, x in enumerate(STATUSES)])
+    named = lambda code: F.coalesce(*[F.when(code == i, x) for i, x in enumerate(STATUSES)])
     rated = wide.join(membership, wide["company"] == membership["entity"])
     return rated.groupBy("grp", "period").agg(*[
         c for s in STREAMS for c in (
             F.sum(f"{s}.value").cast(TOTAL).alias(s), F.count(f"{s}.value").alias(f"{s}_present"),
-            F.max(f"{s}.status").alias(f"{s}_status"))
+            named(F.max(number(F.col(f"{s}.status")))).alias(f"{s}_status"))
     ])
 
 

@@ -147,3 +147,15 @@ def test_grid_is_laid_out_after_the_last_exchange_of_its_rows(spark):
                    ("B", "F", "202002"): 14.0}
     plan = grid._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") == 2 and "Join LeftOuter" not in plan  # the owner's months and the statuses; facts never meet the grid
+
+
+def test_group_months_are_hashed_and_not_sorted(spark):
+    point = F.struct(F.lit(1).cast("decimal(18,3)").alias("value"), F.lit("warning").alias("status"), F.lit(97.0).alias("coverage_pct"))
+    wide = spark.createDataFrame([("A", "202001"), ("B", "202001")], "company string, period string").select(
+        "company", "period", *[point.alias(s) for s in A.STREAMS])
+    months = G.group_months(wide, spark.createDataFrame([("A", "G"), ("B", "G")], "entity string, grp string"))
+    assert "SortAggregate" not in months._jdf.queryExecution().executedPlan().toString()
+    assert [r["total_mboed_status"] for r in months.collect()] == ["warning"]
+    members = spark.createDataFrame([("A", "G")], "entity string, grp string")
+    blank = wide.withColumn("oil_mbd", F.struct(F.col("oil_mbd.value").alias("value"), F.lit(None).cast("string").alias("status"), F.lit(0.0).alias("coverage_pct")))
+    assert [r["oil_mbd_status"] for r in G.group_months(blank, members).collect()] == [None]
