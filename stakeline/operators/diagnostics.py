@@ -90,14 +90,18 @@ def next_start(day: Column) -> Column:
     return F.when(F.dayofmonth(day) == 1, day).otherwise(X.next_month(day))
 
 
-def policy_events(stakes: DataFrame) -> DataFrame:
+def policy_events(stakes: DataFrame, parts: int | None = None) -> DataFrame:
     """(policy, field, company, month) with the changes in rows, percent and zero-length rows there.
 
     An interval is active from the first month start on or after its start up to the one on or after its end,
-    so it is two changes, or none where the two are one.
+    so it is two changes, or none where the two are one. Rows are dealt by pair before they are taken apart, over
+    ``parts`` partitions where given: the groups of a task and its sweep by company need no other exchange.
     """
     begin, over = next_start(F.col("p.s")), next_start(F.col("p.e"))
-    rows = stakes.select(
+    pair = ["field_name", "company_name"]
+    dealt = stakes.select(*pair, "interest_pct", "start_date", "end_date", "period_label").repartition(
+        *([parts] if parts else []), *pair)
+    rows = dealt.select(
         "field_name", "company_name", micro_percent(F.col("interest_pct")).alias("pct"),
         F.coalesce(F.col("start_date") == F.col("end_date"), F.lit(False)).cast("bigint").alias("points"),
         F.explode(policy_bounds()).alias("p"),
@@ -116,7 +120,7 @@ def policy_events(stakes: DataFrame) -> DataFrame:
     )
 
 
-def policy_steps(stakes: DataFrame, latest_month: str) -> DataFrame:
+def policy_steps(stakes: DataFrame, latest_month: str, parts: int | None = None) -> DataFrame:
     """(policy, field) as a step function: the active sum and flags from ``month`` up to ``until``.
 
     Steps cover the months from each field's first one to the latest. Two sweeps make them: along a company's own
@@ -127,7 +131,7 @@ def policy_steps(stakes: DataFrame, latest_month: str) -> DataFrame:
     company = Window.partitionBy("policy", "field_name", "company_name").orderBy("month").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     held = F.sum("rows").over(company)
-    by_company = policy_events(stakes).select(
+    by_company = policy_events(stakes, parts).select(
         "policy", "field_name", "month", "rows", "pct", "points",
         ((held > 1).cast("bigint") - (held - F.col("rows") > 1).cast("bigint")).alias("several"),
     )

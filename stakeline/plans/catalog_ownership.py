@@ -416,7 +416,7 @@ group by 1, 2, 3"""
 @entry("J17_month_grid_evaluation", f"""
 select policy, field_name, {ISO.format('month_start')} month_start, active_rows, cast(sum_pct as double) sum_pct from ({GRID_SQL}) t""")
 def _(t: Domain):
-    return plain(D.policy_grid(D.policy_steps(t.stakes, LATEST_MONTH)).select(
+    return plain(D.policy_grid(D.policy_steps(t.stakes, LATEST_MONTH, t.stake_parts)).select(
         "policy", "field_name", "month_start", "active_rows", "sum_pct"))
 
 
@@ -426,7 +426,7 @@ select policy, count(*) field_months, count(case when active_rows = 0 then 1 end
  count(case when active_rows > 0 and sum_pct < 99.5 then 1 end) sum_under, count(case when active_rows > 0 and repeats then 1 end) repeated_company_months,
  count(case when active_rows > 0 and zero_length_active then 1 end) zero_length_active_months from ({GRID_SQL}) t group by policy""")
 def _(t: Domain):
-    return D.policy_comparison(D.policy_steps(t.stakes, LATEST_MONTH))
+    return D.policy_comparison(D.policy_steps(t.stakes, LATEST_MONTH, t.stake_parts))
 
 
 @entry("A28_future_only_fields", f"select field_name, strftime(first_month, '%Y-%m-%d') first_month from starts where first_month > date '{LATEST_MONTH}'")
@@ -438,7 +438,7 @@ def _(t: Domain):
 select field_name, {ISO.format('month_start')} month_start, cast(round(sum_pct, 2) as double) sum_pct, active_rows from ({GRID_SQL}) t
 where policy = 'A' and abs(sum_pct - 100) > 0.5 order by abs(round(sum_pct, 2) - 100) desc, field_name, t.month_start limit 15""")
 def _(t: Domain):
-    return plain(D.worst_sums(D.policy_steps(t.stakes, LATEST_MONTH)))
+    return plain(D.worst_sums(D.policy_steps(t.stakes, LATEST_MONTH, t.stake_parts)))
 
 
 @entry("T6_most_common_values", f"select field_name, count(*) as rows from ({OPZ}) z group by 1 order by count(*) desc, field_name limit 10")

@@ -19,7 +19,7 @@ from ..functions import scalars as X
 from ..functions.volumes import EQUITY_STREAMS
 from ..operators import attribution, coverage, groups, intervals, licence, matching, production, ranking
 from ..sources import adapters
-from .store import input_version, is_stored, stored, stored_in_buckets, stored_in_partitions
+from .store import input_version, is_stored, parts_of, stored, stored_in_buckets, stored_in_partitions
 
 # fixed values: parameters of the queries over the test tables
 PUBLICATION_START = "199703"
@@ -77,6 +77,10 @@ class Domain:
     def stakes(self) -> DataFrame:
         return self._stored("stakes", lambda: adapters.stakes(self.raw("orders")))
 
+    @cached_property
+    def stake_parts(self) -> int:
+        return parts_of(self.spark, self.stakes)
+
     @cached_property
     def aliases(self) -> DataFrame:
         return adapters.aliases(self.raw("supplier"))
@@ -168,7 +172,7 @@ class Domain:
     def layout(self) -> DataFrame:
         """Intervals by active month, in buckets of (field, month)."""
         return stored_in_buckets(self.spark, self._key, "layout", lambda: intervals.month_layout(self.stakes, *self.window, self.starts),
-                                 ["equity_field", "month_start"])
+                                 ["equity_field", "month_start"], self.stake_parts)
 
     @cached_property
     def published(self) -> DataFrame:

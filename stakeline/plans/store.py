@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
 
+# fixed value: rows of the intervals for one partition, so that what a task holds does not grow with them
+PART_ROWS = 100_000
+
 _TABLES: dict[tuple, tuple[str, object]] = {}
 
 
@@ -42,12 +45,19 @@ def stored(spark: SparkSession, key: tuple, name: str, build: Callable[[], DataF
     return spark.read.schema(schema).parquet(path)
 
 
-def stored_in_buckets(spark: SparkSession, key: tuple, name: str, build: Callable[[], DataFrame], by: list[str]) -> DataFrame:
-    """A stored table in sorted buckets of ``by``: joins and groupings by these columns read it without an exchange."""
+def parts_of(spark: SparkSession, rows: DataFrame) -> int:
+    """Partitions for a step that holds its rows in memory: the session's number or one per ``PART_ROWS`` rows of a stored table."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // PART_ROWS))
+
+
+def stored_in_buckets(spark: SparkSession, key: tuple, name: str, build: Callable[[], DataFrame], by: list[str],
+                      buckets: int | None = None) -> DataFrame:
+    """A stored table in sorted buckets of ``by`` (as many as shuffles have partitions, where not given): joins and groupings
+    by these columns read it without an exchange."""
     full_key = (spark.sparkContext.applicationId, *key, name)
     if full_key not in _TABLES:
         frame, path, table = build(), scratch_path(spark, name), f"{name}_{uuid.uuid4().hex}"
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         frame.repartition(buckets, *by).write.bucketBy(buckets, *by).sortBy(*by).option("path", path).format("parquet").saveAsTable(table)
         _TABLES[full_key] = (path, table)
     return spark.table(_TABLES[full_key][1])

@@ -279,3 +279,11 @@ def test_starts_within_a_month_are_one_row_of_the_layout(spark):
     assert rows(layout.where("not active"), "equity_field", "month_start", "company_name") == [("F", date(2020, 2, 1), None)]
     assert rows(I.month_facts(layout), "active_rows", "repeated_companies", "mid_month_start") == [(0, 0, True)]
     assert [r[0] for r in rows(frame, "category")] == ["genuine_interval_gap", "month_start_boundary", "pre_equity_history"]
+
+
+def test_policy_rows_are_dealt_by_pair_before_they_are_taken_apart(spark):
+    data = [(f"F{i % 5}", f"C{i % 3}", 50, f"20{10 + i % 7}-0{1 + i % 9}-1{i % 3}", f"20{18 + i % 3}-0{1 + i % 9}-01") for i in range(40)]
+    few, many = D.policy_steps(stakes(spark, data), "2020-12-01"), D.policy_steps(stakes(spark, data), "2020-12-01", 23)
+    assert rows(few) == rows(many) != []
+    plan = D.policy_events(stakes(spark, data), 23)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "hashpartitioning(field_name" in plan and ", 23)" in plan
