@@ -28,6 +28,7 @@ PERCENT = DecimalType(9, 6)
 
 
 NANO = Decimal("0.000000001")
+MILLI = Decimal("0.001")
 
 
 def exact_sum(value: Column) -> Column:
@@ -45,6 +46,22 @@ def exact_sum(value: Column) -> Column:
     return (total.cast(TOTAL) + (rest * F.lit(NANO)).cast(TOTAL)).cast(TOTAL)
 
 
+def published_sum(value: Column) -> Column:
+    """``round3(exact_sum(value))``, rounded in integers, so that a group makes one decimal.
+
+    The billionths add up to no less than zero, so a tie below zero is the one that must not go up.
+    """
+    whole = F.floor(value)
+    fraction = F.rint((value - whole) * 1e9).cast("bigint")
+    none = F.lit(0).cast("bigint")
+    total, rest = F.coalesce(F.sum(whole), none), F.coalesce(F.sum(fraction), none)
+    million = F.lit(1_000_000).cast("bigint")
+    thousandths = total * 1000 + F.floor(rest / million)
+    left = rest % million
+    up = (left > 500_000) | ((left == 500_000) & (thousandths >= 0))
+    return ((thousandths + up.cast("bigint")).cast("decimal(18,0)") * F.lit(MILLI)).cast(PUBLISHED)
+
+
 def round3(value: Column) -> Column:
     """Three decimals, ties away from zero, null stays null, never minus zero."""
     return F.round(value.cast(TOTAL), 3).cast(PUBLISHED)

@@ -134,6 +134,7 @@ def resolve(history: DataFrame, matches: DataFrame, stakes: DataFrame, today_mon
             first: Column, last: Column, layout: DataFrame | None = None, starts: DataFrame | None = None) -> DataFrame:
     """(field, period) with its category, match method and active-interest figures.
 
+    ``history`` may be the months alone; then there are no volumes.
     ``first`` and ``last`` bound the production months (see ``window_of``); ``layout`` and ``starts`` are those of ``stakes``, where stored.
     ``today_month`` (first of a month, ISO) separates fields whose ownership is
     still in the future from fields whose ownership simply began later.
@@ -168,7 +169,7 @@ def resolve(history: DataFrame, matches: DataFrame, stakes: DataFrame, today_mon
         active.alias("active_rows"),
         F.when(active > 0, rounded).alias("positive_sum"),
         F.coalesce("repeated_companies", F.lit(0)).alias("repeated_companies"),
-        *EQUITY_STREAMS,
+        *[s for s in EQUITY_STREAMS if s in history.columns],
     )
 
 

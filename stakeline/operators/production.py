@@ -17,8 +17,10 @@ from ..functions.volumes import (
     NATIVE_STREAMS,
     PUBLISHED,
     TOTAL,
+    EQUITY_STREAMS,
     derived,
     exact_sum,
+    published_sum,
     round3,
 )
 from .rows import one_row
@@ -64,6 +66,19 @@ def field_history(classified: DataFrame) -> DataFrame:
     )
 
 
+def equity_volumes(classified: DataFrame) -> DataFrame:
+    """(field, period): the published streams that ownership counts, as in ``field_history`` and without its other sums."""
+    return production_rows(classified).groupBy("field", "period").agg(
+        *[published_sum(F.col(s)).alias(s) for s in EQUITY_STREAMS]
+    ).select("field", "period", X.month_start(F.col("period")).alias("month_start"), *EQUITY_STREAMS)
+
+
+def reported_months(classified: DataFrame) -> DataFrame:
+    """(field, period): the months of ``field_history`` without any sums."""
+    return production_rows(classified).select("field", "period").distinct().withColumn(
+        "month_start", X.month_start(F.col("period")))
+
+
 def month_number(period: Column) -> Column:
     return period.cast("int")
 

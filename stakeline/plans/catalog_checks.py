@@ -160,7 +160,7 @@ def _(t: Domain):
 select count(case when category = 'resolved' then 1 end) passing, count(case when category = 'e1_sum_mismatch' and positive_sum < 100 then 1 end) below_100,
  count(case when category = 'e1_sum_mismatch' and positive_sum >= 100 then 1 end) above_100 from fm""")
 def _(t: Domain):
-    return K.interest_sums(t.resolved)
+    return K.interest_sums(t.categorised)
 
 
 @entry("V12_mismatch_examples", """
@@ -205,7 +205,7 @@ def _(t: Domain):
 select (select count(*) from fm where category is null) uncategorised, count(*) rows_checked,
  count(case when start_date > end_date then 1 end) start_after_end, count(case when start_date = end_date then 1 end) zero_length from equity""")
 def _(t: Domain):
-    return one_row(K.uncategorised(t.resolved).agg(F.count("*").alias("uncategorised")), K.date_order(t.stakes))
+    return one_row(K.uncategorised(t.categorised).agg(F.count("*").alias("uncategorised")), K.date_order(t.stakes))
 
 
 @entry("V15_missing_rings", "select field_no, polygon_name from poly where len(rings) = 0")
@@ -224,7 +224,7 @@ select f.period, '{s}' stream, cast(f.v as double) expected, cast(round(coalesce
 from (select period, sum({s}) v from pub where category = 'resolved' group by period) f
 left join (select period, sum({s}) v from att group by period) a on a.period = f.period""" for s in FOUR))
 def _(t: Domain):
-    compared = K.attribution_conservation(t.published, t.attributed)
+    compared = K.attribution_conservation(t.published, t.published_shares)
     return plain(compared.select("period", "stream", "expected", F.round("actual", 3).alias("actual"),
                                  (F.col("gap") <= F.col("tolerance")).alias("holds")))
 
@@ -255,9 +255,10 @@ join (select grp, count(*) m from collapsed group by grp) s on s.grp = g.grp
 where (g.total_mboed is null and coalesce(f.n, 0) > 0) or
  cast(abs(g.total_mboed - coalesce(f.v, 0)) as double) > 8 * 0.5e-3 * sqrt((coalesce(f.n, 0) + s.m) / 3.0)""")
 def _(t: Domain):
+    fields = t.group_fields  # before the group months, which then read its facts
     groups, sizes = t.group_wide, t.collapsed.groupBy("grp").agg(F.count("*").alias("members"))
     bound = X.rounding_tolerance(F.coalesce("parts_known", F.lit(0)), F.col("members"))
-    compared = K.parts_against_group(groups.join(sizes, "grp"), t.group_fields, bound)
+    compared = K.parts_against_group(groups.join(sizes, "grp"), fields, bound)
     return plain(K.parts_offenders(compared).select("grp", "period", "total_mboed", "parts_total"))
 
 
@@ -394,11 +395,12 @@ select g.grp, g.period, cast(coalesce(g.total_mboed, 0) + 50 as double) total_mb
 left join (select grp, period, sum(total_mboed) v from gfs group by 1, 2) f on f.grp = g.grp and f.period = g.period
 where g.period like '%05'""")
 def _(t: Domain):
+    fields = t.group_fields  # before the group months, which then read its facts
     groups, sizes = t.group_wide, t.collapsed.groupBy("grp").agg(F.count("*").alias("members"))
     total = F.col("total_mboed")
     planted = groups.join(sizes, "grp").withColumn("total_mboed", F.when(F.col("period").endswith("05"), F.coalesce(total, F.lit(0)) + 50).otherwise(total))
     bound = X.rounding_tolerance(F.coalesce("parts_known", F.lit(0)), F.col("members"))
-    return plain(K.parts_offenders(K.parts_against_group(planted, t.group_fields, bound)).select("grp", "period", "total_mboed", "parts_total"))
+    return plain(K.parts_offenders(K.parts_against_group(planted, fields, bound)).select("grp", "period", "total_mboed", "parts_total"))
 
 
 @entry("V20_planted", "select period, cast(total_mboed as double) total_mboed from country where period like '%11'")

@@ -93,14 +93,14 @@ select '{s}' stream, cast(round(sum(l.{s}), 3) as double) total, cast(round(sum(
  round(100.0 * cast(sum(case when m.method is not null then l.{s} else 0 end) as double) / case when sum(l.{s}) > 0 then cast(sum(l.{s}) as double) end, 3) coverage_pct
 from hist l join matched m on l.field = m.field""" for s in FOUR))
 def _(t: Domain):
-    return plain(M.matched_coverage(M.field_volumes(t.history), t.matches, 3))
+    return plain(M.matched_coverage(M.field_volumes(t.volumes), t.matches, 3))
 
 
 @entry("A16_unmatched_fields_cumulative", f"""
 select h.field, min(period) first_period, max(period) last_period, {four_sum()} from hist h join matched m on m.field = h.field
 where m.method is null group by h.field""")
 def _(t: Domain):
-    return plain(M.unmatched_cumulative(history=t.history, matches=t.matches))
+    return plain(M.unmatched_cumulative(history=t.volumes, matches=t.matches))
 
 
 @entry("A42_unmatched_production_impact", f"""

@@ -44,8 +44,11 @@ def long_sql(part: Part) -> str:
             f"unnest([{values}]) u from ({ENTRIES[part.query].sql}) x) y")
 
 
-def report(name: str, parts: list[Part]) -> None:
+def report(name: str, parts: list[Part], first: tuple[str, ...] = ()) -> None:
+    """``first``: stored tables that later parts need and earlier ones would do without, at the cost of a scan of their own."""
     def build(t: Domain) -> DataFrame:
+        if first:
+            t.side_by_side(*first)
         out = None
         for part in parts:
             rows = long_rows(part, ENTRIES[part.query].build(t))
@@ -143,7 +146,7 @@ report("Q15_latest_checkpoint_report", [
     Part("names", "A15_match_coverage_latest", ("stream",), ("total", "matched", "unmatched", "coverage_pct")),
     Part("interest sums", "V12_interest_sums", (), ("passing", "below_100", "above_100")),
     Part("dates", "V14_categories_and_dates", (), ("uncategorised", "rows_checked", "start_after_end", "zero_length")),
-])
+], first=("reported", "starts"))
 
 report("Q16_history_diagnostic_report", [
     Part("categories", "Q16_history_join_diagnostic", ("category", "first_period", "last_period"), ("field_months", "distinct_fields", "attributed_rows", *VOLUMES)),

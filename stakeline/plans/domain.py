@@ -110,6 +110,21 @@ class Domain:
     def history(self) -> DataFrame:
         return self._stored("history", lambda: production.field_history(self.classified))
 
+    @cached_property
+    def volumes(self) -> DataFrame:
+        """The streams that ownership counts: read from the history where there is one, otherwise without its other sums."""
+        if self._is_stored("history"):
+            return self.history
+        return self._stored("volumes", lambda: production.equity_volumes(self.classified))
+
+    @property
+    def reported(self) -> DataFrame:
+        """Months of fields: read from the history or the volumes where there are any, otherwise without sums."""
+        for name in ("history", "volumes"):
+            if self._is_stored(name):
+                return getattr(self, name)
+        return self._stored("reported", lambda: production.reported_months(self.classified))
+
     @cached_property
     def attributes(self) -> DataFrame:
         return self._stored("attributes", lambda: production.current_attributes(self.classified))
@@ -137,8 +152,9 @@ class Domain:
     # ownership
     @cached_property
     def left_names(self) -> DataFrame:
-        """Fields with a month: read from the history where there is one, otherwise without its sums."""
-        months = self.history if self._is_stored("history") else production.production_rows(self.classified)
+        """Fields with a month: read from a stored table of months where there is one, otherwise without sums."""
+        stored_months = any(self._is_stored(n) for n in ("history", "volumes", "reported"))
+        months = self.reported if stored_months else production.production_rows(self.classified)
         return months.select("field").distinct()
 
     @cached_property
@@ -155,7 +171,7 @@ class Domain:
 
     @cached_property
     def window(self):
-        return intervals.window_of(self.history)
+        return intervals.window_of(self.reported)
 
     @cached_property
     def latest_month(self):
@@ -163,10 +179,22 @@ class Domain:
 
     @cached_property
     def resolved(self) -> DataFrame:
-        self.side_by_side("history", "starts")  # the latter with the intervals
+        self.side_by_side("volumes", "starts")  # the latter with the intervals
         self.side_by_side("matches", "layout")
-        return self._stored("resolved", lambda: intervals.resolve(
-            self.history, self.matches, self.stakes, TODAY_MONTH, *self.window, layout=self.layout, starts=self.starts))
+        return self._stored("resolved", lambda: self._resolve(self.volumes))
+
+    @cached_property
+    def categorised(self) -> DataFrame:
+        """``resolved`` for questions that count field-months: read from it where stored, otherwise without volumes."""
+        if self._is_stored("resolved"):
+            return self.resolved
+        self.side_by_side("reported", "starts")
+        self.side_by_side("matches", "layout")
+        return self._stored("categorised", lambda: self._resolve(self.reported.select("field", "period", "month_start")))
+
+    def _resolve(self, months: DataFrame) -> DataFrame:
+        return intervals.resolve(
+            months, self.matches, self.stakes, TODAY_MONTH, *self.window, layout=self.layout, starts=self.starts)
 
     @cached_property
     def layout(self) -> DataFrame:
@@ -191,6 +219,11 @@ class Domain:
         """The attributed volumes of all months, for the several questions a batch run asks of them."""
         return self._stored("shares", lambda: self.attributed_all.select("company", "field", "period", *EQUITY_STREAMS))
 
+    @cached_property
+    def published_shares(self) -> DataFrame:
+        """``attributed`` for questions of its volumes: read from the shares of all months where there are any."""
+        return production.in_range(self.shares, PUBLICATION_START) if self._is_stored("shares") else self.attributed
+
     @cached_property
     def resolved_latest(self) -> DataFrame:
         return self._stored("resolved_latest", lambda: intervals.resolve_latest(
@@ -233,7 +266,10 @@ class Domain:
 
     @cached_property
     def owner_volumes(self) -> DataFrame:
-        return attribution.owner_months(self.facts)
+        """(company, period) sums: of the facts where there are any, otherwise of the attributed rows without a sum by field."""
+        if self._is_stored("facts"):
+            return attribution.owner_months(self.facts)
+        return self._stored("owner_volumes", lambda: attribution.owner_months(self.attributed))
 
     @cached_property
     def owner_wide(self) -> DataFrame:
@@ -245,8 +281,9 @@ class Domain:
 
     @cached_property
     def entities(self) -> DataFrame:
-        """Companies with a share: read from the facts where there are any, otherwise without their sums."""
-        shares = self.facts if self._is_stored("facts") else self.attributed
+        """Companies with a share: read from the facts or the owners' months where there are any, otherwise without sums."""
+        shares = next((getattr(self, n) for n in ("facts", "owner_volumes") if self._is_stored(n)), None)
+        shares = shares if shares is not None else self.attributed
         return self._stored("entities", lambda: shares.select(F.col("company").alias("entity")).distinct())
 
     @cached_property

@@ -1,5 +1,7 @@
 from helpers import classification, one, production, rows
+from pyspark.sql import functions as F
 
+from stakeline.functions import volumes
 from stakeline.operators import production as P, ranking as R
 
 
@@ -97,3 +99,12 @@ def test_storage_tripwire(spark):
 def test_attribute_notes(spark):
     classified, _ = histories(spark, [dict(unit="A", region="N"), dict(unit="B", region="S"), dict(unit="C", region=None)])
     assert rows(P.attribute_notes(classified), "attribute", "distinct_values", "first_value") == [("region", 3, "<null>")]
+
+
+def test_published_sum_rounds_as_the_exact_sum(spark):
+    groups = [[0.0005], [-0.0005], [0.0015, -0.001], [-0.0015], [1.0005, -2.001], [0.00049999], [-0.00050001], [None], [None, 2.0], [-0.25, 0.2495],
+              [1e9 + 0.0005], [-1e9 - 0.0005], [0.1] * 10, [-3.7] * 7, [1e-9] * 500, [-0.0004995, -0.0000005], [0.9999999996], [-1.0], [0.0]]
+    frame = spark.createDataFrame([(i, v) for i, g in enumerate(groups) for v in g], "k int, v double")
+    both = frame.groupBy("k").agg(volumes.round3(volumes.exact_sum(F.col("v"))).alias("a"), volumes.published_sum(F.col("v")).alias("b"))
+    assert both.schema["a"].dataType == both.schema["b"].dataType
+    assert [(r["k"], r["a"]) for r in both.collect()] == [(r["k"], r["b"]) for r in both.collect()] and both.count() == len(groups)
