@@ -12,9 +12,11 @@ Two readings of the tiles:
 * the second knows each anchor's positives and so the windows of scores that make a hard negative, and keeps a heap of the
   best ``negatives`` rows of other labels for each (anchor, positive), merged the same way.
 
-Blocks and tiles meet by an equality join on (part of the tiles, group of the blocks). A group holds at most ``GROUP_BYTES``
-of anchors; tiles are laid out once per group and blocks once per part, so neither side is broadcast, and what moves
-is tiles x groups + blocks x parts. A task holds one tile, one block and the heaps of ``HELD`` blocks at most.
+Blocks and tiles meet by an equality join on (width, part of the tiles, group of the blocks). A group holds at most
+``GROUP_BYTES`` of anchors; tiles are laid out once per group and blocks once per part, and the join is a sorted one, so
+neither side is broadcast. What moves is tiles x groups + blocks x parts; parts are as many as keep the second no larger
+than the first (at least the session's partitions). A task holds one tile, the blocks of one group and the heaps of
+``HELD`` blocks at most.
 
 Defined cases: rows with a null id, label or vector, a null or non-finite component, or a component that is no
 64-bit number once scaled, take no part; vectors meet those of their own length only (empty ones score 0); an anchor
@@ -26,6 +28,8 @@ Rows that repeat an anchor's id are one anchor, by the row with the smallest lab
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +41,8 @@ from .frames import map_arrow, settle
 SCALE, EVERY, POSITIVES, NEGATIVES = 256, 50, 5, 3
 #: A hard negative scores from LOW to HIGH hundredths of its positive.
 LOW, HIGH = 50, 95
-#: Anchors in a block, bytes of anchors in a group, tiles in a part, blocks whose heaps a task holds.
-BLOCK_ROWS, GROUP_BYTES, PART_TILES, HELD = 512, 64 << 20, 4, 64
+#: Anchors in a block, bytes of anchors in a group, tiles in a part at least, blocks whose heaps a task holds.
+BLOCK_ROWS, GROUP_BYTES, PART_TILES, HELD = 512, 64 << 20, 1, 64
 #: A side of this length is multiplied plainly.
 LEAF = 32
 
@@ -102,17 +106,27 @@ def tiled(rows: DataFrame, most: int | None = None) -> DataFrame:
     return map_arrow(rows.select("id", "label", "vector"), work, _TILE)
 
 
+def size_of(tiles: DataFrame) -> tuple[int, int]:
+    """Rows, and bytes of all their cells."""
+    cells = [F.octet_length(name).cast("bigint") for name, kind in tiles.dtypes if kind == "binary"]
+    size = tiles.agg(F.count("*").alias("rows"), F.sum(reduce(add, cells)).alias("bytes")).first()
+    return size.rows, size.bytes or 0
+
+
 def met(tiles: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Every tile with every block of its width, by a join on (part, group)."""
-    sizes = tiles.agg(F.count("*").alias("tiles")).first()
-    held = blocks.agg(F.sum(F.octet_length("vectors").cast("bigint") + F.octet_length("ids")).alias("bytes")).first()
-    groups = max(1, -(-(held.bytes or 0) // GROUP_BYTES))
-    parts = max(1, -(-sizes.tiles // PART_TILES))
+    """Every tile with every block of its width, by a sorted join on (width, part, group)."""
+    (many, tile_bytes), (_, block_bytes) = size_of(tiles), size_of(blocks)
+    groups = max(1, -(-block_bytes // GROUP_BYTES))
+    # so many that tasks share the work evenly, but that the copies of blocks are no more bytes than those of tiles
+    least = int(tiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, min(-(-many // PART_TILES), max(least, tile_bytes * groups // max(1, block_bytes))))
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(int(n) - 1)))
-    left = tiles.select("*", F.pmod(F.xxhash64("ids"), F.lit(parts)).alias("part"), spread(groups).alias("group"))
-    right = blocks.select(*[F.col(c).alias(f"a_{c}") for c in blocks.columns],
-                          F.pmod(F.xxhash64("ids"), F.lit(groups)).alias("group"), spread(parts).alias("part"))
-    return left.join(right, ["part", "group"]).where("width = a_width")
+    dealt = lambda n: F.pmod(F.xxhash64("ids"), F.lit(n)).cast("int")
+    left = tiles.select("*", dealt(parts).alias("part"), spread(groups).alias("group"))
+    right = blocks.select("width", *[F.col(c).alias(f"a_{c}") for c in blocks.columns if c != "width"], dealt(groups).alias("group"), spread(parts).alias("part"))
+    # Spark takes a frame for as large as it was before its rows are laid out, and would send small blocks through the driver
+    keys = ["width", "part", "group"]
+    return left.repartition(parts * groups, *keys).join(right.repartition(parts * groups, *keys).hint("merge"), keys)
 
 
 def matrix(cell, rows: int, width: int) -> np.ndarray:
@@ -175,7 +189,7 @@ def heaped(pairs: DataFrame, schema: str, heap_of: Callable, offer: Callable, gi
                         yield from out(heaps)
                         heaps.clear()
                     kept = {n: np.frombuffer(cell[n].as_py(), dtype=np.int64) for n in batch.schema.names
-                            if n.startswith("a_") and n not in ("a_width", "a_rows")}
+                            if n.startswith("a_") and n != "a_rows"}
                     heaps[key] = heap_of(kept), kept
                 heap, kept = heaps[key]
                 anchors = kept["a_vectors"].reshape(block_rows, width)
@@ -279,8 +293,8 @@ def mine(rows: DataFrame, *, scale: int = SCALE, every: int = EVERY, positives:
     # at most ``positives`` scores an anchor, in the order of their slots
     scores = chosen.groupBy(F.col("anchor").alias("id")).agg(F.transform(
         F.array_sort(F.collect_list(F.struct("slot", "score"))), lambda p: p["score"]).alias("scores"))
-    windows = settle(with_positives(gathered(settle(anchors.join(scores, "id"), "scored"))), "windows")
+    windows = settle(with_positives(gathered(settle(anchors.join(scores.hint("merge"), "id"), "scored"))), "windows")
     found = in_windows(met(tiles, windows), negatives, low, high)
-    return found.join(chosen.withColumnRenamed("score", "positive_score"), ["anchor", "slot"]).select(
+    return found.join(chosen.withColumnRenamed("score", "positive_score").hint("merge"), ["anchor", "slot"]).select(
         F.col("anchor").alias("anchor_id"), F.col("positive").alias("positive_id"), F.col("rank"), F.col("negative").alias("negative_id"),
         "positive_score", F.col("score").alias("negative_score"))

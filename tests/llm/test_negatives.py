@@ -70,6 +70,29 @@ def test_small_tiles_blocks_and_groups_give_the_same(spark, monkeypatch):
     assert found(table(spark, rows, 7), every=10) == brute(rows, every=10)
 
 
+def test_nothing_is_broadcast(spark, monkeypatch):
+    plans, rows, settle = [], invented(300, 5), N.settle
+
+    def settled(frame, name):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return settle(frame, name)
+    monkeypatch.setattr(N, "settle", settled)
+    frame = N.mine(table(spark, rows), label=catalog.moved_label)
+    plans.append(frame._jdf.queryExecution().executedPlan().toString())
+    assert sum("SortMergeJoin" in p for p in plans) == 3 and not any("Broadcast" in p for p in plans)
+    assert sorted(repr(tuple(r)) for r in frame.collect()) == brute(rows)
+
+
+def test_copies_of_blocks_are_no_more_bytes_than_those_of_tiles(spark):
+    one = lambda k, n: (1, n, bytes([k % 256, k // 256]) * 4 * n, bytes(8 * n), bytes(8 * n))
+    tiles = spark.createDataFrame([one(k, 1) for k in range(300)], N._TILE)
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for n, parts in ((30, 10), (300, least), (1, 300)):
+        pairs = N.met(tiles, spark.createDataFrame([one(0, n)], N._TILE))
+        seen = [r.part for r in pairs.select("part").collect()]
+        assert len(seen) == 300 and max(seen) < parts and len(set(seen)) > parts / 2
+
+
 def test_awkward_rows(spark):
     rows = invented(120, 3) + [
         (200, None, 1), (201, [0.5] * 6, None), (None, [0.5] * 6, 1), (202, [0.5, None] * 3, 1), (203, [float("nan")] * 6, 1),
