@@ -3,7 +3,8 @@
 Vectors become whole numbers, ``floor(scale * x)``. Anchors lie in blocks, all rows in tiles, and the scores of a
 block against a tile are one product of int64 matrices: Strassen's recursion halves all three sides (padded with
 zeros to even ones), adds and subtracts quarters exactly and multiplies seven times in place of eight, down to
-``LEAF``. Sums that pass 64 bits on the way wrap around and come back, so every score that fits into a long is exact.
+``LEAF``. Where no sum on the way can reach 2^53 it runs on doubles, which are exact there. Otherwise sums that pass 64 bits
+on the way wrap around and come back, so every score that fits into a long is exact.
 
 Two readings of the tiles:
 
@@ -50,7 +51,7 @@ _TILE = "width int, rows int, ids binary, labels binary, vectors binary"
 
 
 def strassen(a: np.ndarray, b: np.ndarray, leaf: int | None = None) -> np.ndarray:
-    """``a @ b`` of int64 matrices, modulo 2^64."""
+    """``a @ b`` of whole numbers: modulo 2^64 in int64, exact in doubles while no sum on the way reaches 2^53."""
     leaf = LEAF if leaf is None else leaf
     (m, k), n = a.shape, b.shape[1]
     if min(m, k, n) <= max(leaf, 1):
@@ -61,7 +62,7 @@ def strassen(a: np.ndarray, b: np.ndarray, leaf: int | None = None) -> np.ndarra
     i, j, h = a.shape[0] // 2, a.shape[1] // 2, b.shape[1] // 2
     a11, a12, a21, a22 = a[:i, :j], a[:i, j:], a[i:, :j], a[i:, j:]
     b11, b12, b21, b22 = b[:j, :h], b[:j, h:], b[j:, :h], b[j:, h:]
-    out = np.empty((2 * i, 2 * h), dtype=np.int64)
+    out = np.empty((2 * i, 2 * h), dtype=a.dtype)
     p1 = strassen(a11 + a22, b11 + b22, leaf)
     p2 = strassen(a21 + a22, b11, leaf)
     p3 = strassen(a11, b12 - b22, leaf)
@@ -74,6 +75,21 @@ def strassen(a: np.ndarray, b: np.ndarray, leaf: int | None = None) -> np.ndarra
     return out[:m, :n]
 
 
+def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``strassen`` of int64 matrices; in doubles, which processors multiply faster, where every sum on the way is exact."""
+    side, most = min(*a.shape, b.shape[1]), a.shape[1] * largest(a) * largest(b)
+    while side > max(LEAF, 1):  # a level doubles the numbers of both sides
+        side, most = -(-side // 2), 4 * most
+    if 4 * most < 2**53:  # up to four products are added
+        return strassen(a.astype(np.float64), b.astype(np.float64)).astype(np.int64)
+    return strassen(a, b)
+
+
+def largest(a: np.ndarray) -> int:
+    """The largest magnitude, as a number without bounds."""
+    return max(int(a.max(initial=0)), -int(a.min(initial=0)))
+
+
 def usable(rows: DataFrame, id_col: str, vector_col: str, label_col: str, label: Callable | None, scale: int) -> DataFrame:
     """``id, label, vector`` of the rows that take part, with whole components."""
     named = rows.select(F.col(id_col).cast("bigint").alias("id"), F.col(label_col).cast("bigint").alias("label"),
@@ -142,6 +158,10 @@ class Heap:
         self.ids = np.full((n, k), np.iinfo(np.int64).max)
         self.filled = np.zeros((n, k), dtype=bool)
 
+    def floors(self) -> np.ndarray:
+        """The score of each owner below which none can enter."""
+        return self.scores[:, -1] if self.k else np.full(len(self.scores), np.iinfo(np.int64).max)
+
     def take(self, owner: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
         """Candidates as (owner, score, id)."""
         if self.k == 0 or not len(owner):
@@ -193,7 +213,7 @@ def heaped(pairs: DataFrame, schema: str, heap_of: Callable, offer: Callable, gi
                     heaps[key] = heap_of(kept), kept
                 heap, kept = heaps[key]
                 anchors = kept["a_vectors"].reshape(block_rows, width)
-                scores = strassen(anchors, matrix(cell["vectors"], rows, width).T)
+                scores = product(anchors, matrix(cell["vectors"], rows, width).T)
                 ids = np.frombuffer(cell["ids"].as_py(), dtype=np.int64)
                 labels = np.frombuffer(cell["labels"].as_py(), dtype=np.int64)
                 offer(heap, kept, ids, labels, scores)
@@ -211,7 +231,7 @@ def nearest_of_label(pairs: DataFrame, k: int) -> DataFrame:
     """``anchor, positive, score``: the best ``k`` other rows of an anchor's label."""
     def offer(heap, kept, ids, labels, scores):
         same = (kept["a_labels"][:, None] == labels[None, :]) & (kept["a_ids"][:, None] != ids[None, :])
-        owner, place = np.nonzero(same)
+        owner, place = np.nonzero(same & (scores >= heap.floors()[:, None]))
         heap.take(owner, scores[owner, place], ids[place])
 
     def given(heap, kept):
@@ -231,13 +251,20 @@ def in_windows(pairs: DataFrame, k: int, low: int, high: int) -> DataFrame:
     """``anchor, slot, negative, score``: the best ``k`` rows of other labels in the window of each positive."""
     def offer(heap, kept, ids, labels, scores):
         least, most = windows_of(kept["a_scores"], low, high)
-        anchor = kept["a_owner"]
-        other = kept["a_labels"][:, None] != labels[None, :]
-        for begin in range(0, len(anchor), BLOCK_ROWS):  # as many (anchor, positive) as a block has anchors at a time
-            part = slice(begin, begin + BLOCK_ROWS)
-            s = scores[anchor[part]]
-            owner, place = np.nonzero(other[anchor[part]] & (s >= least[part, None]) & (s <= most[part, None]))
-            heap.take(owner + begin, s[owner, place], ids[place])
+        least = np.maximum(least, heap.floors())
+        anchor, n = kept["a_owner"], len(kept["a_ids"])
+        # the widest window of an anchor first, then those of its positives, which lie one after the other
+        lowest, highest = np.full(n, np.iinfo(np.int64).max), np.full(n, np.iinfo(np.int64).min)
+        np.minimum.at(lowest, anchor, least)
+        np.maximum.at(highest, anchor, most)
+        row, place = np.nonzero((kept["a_labels"][:, None] != labels) & (scores >= lowest[:, None]) & (scores <= highest[:, None]))
+        many = np.bincount(anchor, minlength=n)
+        begin = np.cumsum(many) - many
+        for slot in range(many.max(initial=0)):
+            row, place = row[many[row] > slot], place[many[row] > slot]
+            owner, s = begin[row] + slot, scores[row, place]
+            fits = (s >= least[owner]) & (s <= most[owner])
+            heap.take(owner[fits], s[fits], ids[place[fits]])
 
     def given(heap, kept):
         owner, place = np.nonzero(heap.filled)

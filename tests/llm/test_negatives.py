@@ -50,6 +50,20 @@ def test_strassen_equals_plain_product():
     assert N.strassen(big, big, 1).tolist() == wrapped
 
 
+def test_product_is_exact_on_both_sides_of_what_doubles_hold(monkeypatch):
+    rng, kinds, strassen = np.random.default_rng(4), [], N.strassen
+    monkeypatch.setattr(N, "LEAF", 4)
+    monkeypatch.setattr(N, "strassen", lambda a, b, *leaf: (kinds.append(a.dtype.kind), strassen(a, b, *leaf))[1])
+    for bits in (8, 16, 20, 22, 24, 31, 62):
+        a, b = (rng.choice([-2**bits, 2**bits - 1, 2**bits - 3], shape) for shape in ((9, 33), (33, 20)))
+        exact = [[sum(int(x) * int(y) for x, y in zip(r, c)) for c in b.T.tolist()] for r in a.tolist()]
+        assert N.product(a, b).tolist() == [[(v + 2**63) % 2**64 - 2**63 for v in r] for r in exact]
+    assert {kinds[0], kinds[-1]} == {"f", "i"}
+    lowest = np.full((1, 1), np.iinfo(np.int64).min)
+    assert N.largest(lowest) == 2**63 and N.product(lowest, np.ones((1, 1), dtype=np.int64)).tolist() == lowest.tolist()
+    assert N.product(np.zeros((2, 0), dtype=np.int64), np.zeros((0, 3), dtype=np.int64)).tolist() == [[0] * 3] * 2
+
+
 def test_windows_of_scores():
     positive = np.array([0, 1, 7, 99, 100, 101, 12345, -1, -7, -250, 2**56])
     low, high = N.windows_of(positive, 50, 95)
