@@ -14,10 +14,10 @@ Two readings of the tiles:
   best ``negatives`` rows of other labels for each (anchor, positive), merged the same way.
 
 Blocks and tiles meet by an equality join on (width, part of the tiles, group of the blocks). A group holds at most
-``GROUP_BYTES`` of anchors; tiles are laid out once per group and blocks once per part, and the join is a sorted one, so
-neither side is broadcast. What moves is tiles x groups + blocks x parts; parts are as many as keep the second no larger
-than the first (at least the session's partitions). A task holds one tile, the blocks of one group and the heaps of
-``HELD`` blocks at most.
+``GROUP_BYTES`` of anchors and, on average, half of ``HELD`` blocks; tiles are laid out once per group and blocks once per
+part, and the join is a sorted one, so neither side is broadcast. What moves is tiles x groups + blocks x parts; parts are as
+many as keep the second no larger than the first (at least the session's partitions). A task holds one tile, the blocks of
+one group and the heaps of ``HELD`` blocks at most.
 
 Defined cases: rows with a null id, label or vector, a null or non-finite component, or a component that is no
 64-bit number once scaled, take no part; vectors meet those of their own length only (empty ones score 0); an anchor
@@ -43,7 +43,7 @@ SCALE, EVERY, POSITIVES, NEGATIVES = 256, 50, 5, 3
 #: A hard negative scores from LOW to HIGH hundredths of its positive.
 LOW, HIGH = 50, 95
 #: Anchors in a block, bytes of anchors in a group, tiles in a part at least, blocks whose heaps a task holds.
-BLOCK_ROWS, GROUP_BYTES, PART_TILES, HELD = 512, 64 << 20, 1, 64
+BLOCK_ROWS, GROUP_BYTES, PART_TILES, HELD = 512, 64 << 20, 1, 256
 #: A side of this length is multiplied plainly.
 LEAF = 32
 
@@ -131,8 +131,9 @@ def size_of(tiles: DataFrame) -> tuple[int, int]:
 
 def met(tiles: DataFrame, blocks: DataFrame) -> DataFrame:
     """Every tile with every block of its width, by a sorted join on (width, part, group)."""
-    (many, tile_bytes), (_, block_bytes) = size_of(tiles), size_of(blocks)
-    groups = max(1, -(-block_bytes // GROUP_BYTES))
+    (many, tile_bytes), (held, block_bytes) = size_of(tiles), size_of(blocks)
+    # blocks come again with every tile, so a task keeps the heaps of all blocks of a group; hashing makes some groups larger
+    groups = max(1, -(-block_bytes // GROUP_BYTES), -(-2 * held // HELD))
     # so many that tasks share the work evenly, but that the copies of blocks are no more bytes than those of tiles
     least = int(tiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = max(1, min(-(-many // PART_TILES), max(least, tile_bytes * groups // max(1, block_bytes))))

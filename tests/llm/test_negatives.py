@@ -107,6 +107,15 @@ def test_copies_of_blocks_are_no_more_bytes_than_those_of_tiles(spark):
         assert len(seen) == 300 and max(seen) < parts and len(set(seen)) > parts / 2
 
 
+def test_heaps_live_through_all_tiles_of_a_part(spark, monkeypatch):
+    for name, value in (("BLOCK_ROWS", 3), ("PART_TILES", 7), ("HELD", 8)):
+        monkeypatch.setattr(N, name, value)
+    given, rows, best_of = [], invented(300, 6), N.best_of
+    monkeypatch.setattr(N, "best_of", lambda rows_found, *more: (given.append(rows_found.count()), best_of(rows_found, *more))[1])
+    assert found(table(spark, rows, 7), every=5) == brute(rows, every=5)
+    assert given[0] == 60 * 5 and given[1] <= 60 * 5 * 3  # one part, 20 blocks of 3 anchors, 5 positives with 3 negatives each
+
+
 def test_awkward_rows(spark):
     rows = invented(120, 3) + [
         (200, None, 1), (201, [0.5] * 6, None), (None, [0.5] * 6, 1), (202, [0.5, None] * 3, 1), (203, [float("nan")] * 6, 1),
